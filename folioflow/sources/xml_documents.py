@@ -44,18 +44,27 @@ XSD_HEAD = 4096
 
 # ---- discovery --------------------------------------------------------------------------------
 
+Paths = str | list[str]
+
+
 def _xml_reader(spark: SparkSession, modified_after: str | None) -> DataFrameReader:
     reader = spark.read.option("pathGlobFilter", XML_NAMES).option("recursiveFileLookup", "true")
     return reader.option("modifiedAfter", modified_after) if modified_after else reader
 
 
-def xml_files(spark: SparkSession, path: str, *, max_bytes: int | None = WHOLE_FILE_BYTES,
+def xml_files(spark: SparkSession, path: Paths, *, max_bytes: int | None = WHOLE_FILE_BYTES,
               modified_after: str | None = None) -> DataFrame:
     """(file, content) of the XML files below ``path``; larger files are left unread."""
     files = _xml_reader(spark, modified_after).format("binaryFile").load(path)
     if max_bytes is not None:
         files = files.filter(F.col("length") <= max_bytes)
-    return files.select(F.col("path").alias("file"), "content")
+    return files.select(F.col("_metadata.file_path").alias("file"), "content")
+
+
+def listed_files(spark: SparkSession, path: Paths, modified_after: str | None = None) -> DataFrame:
+    """Names only: contents are not read."""
+    return _xml_reader(spark, modified_after).format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("file"))
 
 
 def file_name(file: Column) -> Column:
@@ -138,7 +147,7 @@ def whole_file_documents(files: DataFrame) -> DataFrame:
     return rows.select("file", position.alias("position"), "malformed", F.lit(0).alias("balance"), "doc")
 
 
-def split_file_documents(spark: SparkSession, path: str, *, min_bytes: int = WHOLE_FILE_BYTES,
+def split_file_documents(spark: SparkSession, path: Paths, *, min_bytes: int = WHOLE_FILE_BYTES,
                          encoding: str | None = None, modified_after: str | None = None) -> DataFrame:
     """The same rows for files larger than ``min_bytes``, many tasks per file.
 
@@ -192,7 +201,7 @@ def split_file_documents(spark: SparkSession, path: str, *, min_bytes: int = WHO
     return each.select("file", "position", F.col("r.malformed").alias("malformed"), "balance", F.col("r.doc").alias("doc"))
 
 
-def scan_documents(spark: SparkSession, path: str, *, whole_file_bytes: int = WHOLE_FILE_BYTES,
+def scan_documents(spark: SparkSession, path: Paths, *, whole_file_bytes: int = WHOLE_FILE_BYTES,
                    split_encoding: str | None = None, modified_after: str | None = None) -> DataFrame:
     """All documents below ``path``, small files whole and large ones split.
 
