@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folioflow.functions.taxonomy import FITTINGS, Taxonomy
 from folioflow.operators import enrichment, listing
 from folioflow.plans.registry import query, with_roles
-from folioflow.sources.tables import lines, table
+from folioflow.sources.tables import line_id, table
 
 # A taxonomy for the given part names and types.
 PARTS = Taxonomy(
@@ -139,8 +139,7 @@ def line_items(spark, sf):
         "p_partkey", F.col("p_type").alias("codigo"), F.col("p_name").alias("nombre_item"),
         F.col("p_brand").alias("descripcion")), PARTS).drop("codigo", "nombre_item", "descripcion")
     rows = table(spark, sf, "lineitem").select(
-        F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line_id"),
-        F.col("l_orderkey").alias("header_id"), F.col("l_extendedprice").cast("decimal(18,2)").alias("monto_item"),
+        line_id().alias("line_id"), F.col("l_orderkey").alias("header_id"), F.col("l_extendedprice").cast("decimal(18,2)").alias("monto_item"),
         "l_partkey")
     return rows.join(judged, F.col("l_partkey") == F.col("p_partkey"), "left").drop("l_partkey", "p_partkey")
 

@@ -6,7 +6,7 @@ table only when the caller asks for its names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.scalars import run_status
@@ -37,14 +37,19 @@ def documents(spark: SparkSession, folder: str, parties: bool = False) -> DataFr
         F.col("c_nationkey").cast("string").alias("rut_receptor"), F.col("n_name").alias("razon_social_receptor"))
 
 
-def lines(spark: SparkSession, folder: str, items: bool = True) -> DataFrame:
-    """Line items as document lines; ``items`` adds what the part table knows.
+def line_id() -> Column:
+    """The id of a line item, spelled from its columns, because line numbers repeat within an order.
 
-    The line id is spelled from the line's own columns, because line numbers repeat within an order.
+    A numbering would need all lines of an order in one task.
     """
+    amount = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    return F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", amount)
+
+
+def lines(spark: SparkSession, folder: str, items: bool = True) -> DataFrame:
+    """Line items as document lines; ``items`` adds what the part table knows."""
     rows = table(spark, folder, "lineitem").select(
-        F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line_id"),
-        F.col("l_orderkey").alias("header_id"), F.col("l_linenumber").alias("nro_linea"),
+        line_id().alias("line_id"), F.col("l_orderkey").alias("header_id"), F.col("l_linenumber").alias("nro_linea"),
         F.col("l_returnflag").alias("tipo_codigo"), F.col("l_quantity").cast("decimal(18,6)").alias("cantidad"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("monto_item"), "l_partkey")
     if not items:
