@@ -58,8 +58,9 @@ def header_fields(text: Column) -> list[Column]:
 
 
 def _named_entities() -> Column:
-    pairs = [F.lit(v) for name, code in name2codepoint.items() for v in (name, chr(code))]
-    return F.create_map(*pairs)
+    # One expression text instead of one call per entry; characters as code points, free of quoting.
+    pairs = ", ".join(f"'{name}', decode(unhex('{code:08X}'), 'UTF-32')" for name, code in name2codepoint.items())
+    return F.expr(f"map({pairs})")
 
 
 def decode_entities(text: Column) -> Column:

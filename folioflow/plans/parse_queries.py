@@ -41,9 +41,10 @@ def order_xml(spark, sf) -> DataFrame:
     """(file, text): envelopes in three shapes, with and without prefix, by document type.
 
     Receipts spell the issuer name in the second tag, credit notes leave an empty first one; orders
-    of low priority have no net amount, urgent ones no header.
+    of low priority have no net amount, urgent ones no header. Each has one line; those of credit
+    notes carry the gross amount.
     """
-    d = documents(spark, sf, parties=True)
+    d = documents(spark, sf, parties=True, dealt=True)
     urgency = table(spark, sf, "orders").select(F.col("o_orderkey").alias("header_id"), "o_orderpriority")
     d = d.join(urgency, "header_id")
     tipo = F.col("tipo_dte")
@@ -60,7 +61,11 @@ def order_xml(spark, sf) -> DataFrame:
         F.lit("<TasaIVA>19.00</TasaIVA>"), _tag("IVA", _whole(F.col("iva"))), _tag("MntTotal", _whole(F.col("mnt_total"))),
         F.lit("</Totales>"))
     head = _maybe(F.col("o_orderpriority") != "1-URGENT", _tag("Encabezado", head))
-    doc = F.concat(F.lit('<Documento ID="D">'), head, F.lit("</Documento>"))
+    amount = F.when(tipo == 61, F.col("mnt_total")).otherwise(F.col("mnt_neto"))
+    line = F.concat(
+        _tag("NroLinDet", F.lit(1)), _tag("NmbItem", F.col("o_orderpriority")), _tag("QtyItem", F.lit("1.0")),
+        _tag("PrcItem", _whole(F.col("mnt_neto"))), _tag("MontoItem", _whole(amount)))
+    doc = F.concat(F.lit('<Documento ID="D">'), head, _tag("Detalle", line), F.lit("</Documento>"))
     ns = ' xmlns="http://www.sii.cl/SiiDte"'
     text = (
         F.when(tipo == 33, F.concat(F.lit(f'<?xml version="1.0"?><EnvioDTE{ns}><SetDTE><DTE>'), doc, F.lit("</DTE></SetDTE></EnvioDTE>")))
@@ -133,7 +138,7 @@ def xsd_kinds(spark, sf):
 
 def line_xml(spark, sf) -> DataFrame:
     """(file, text): returned lines lack the price, accepted ones the quantity, part names may repeat as description."""
-    d = lines(spark, sf)
+    d = lines(spark, sf, dealt=True)
     flag = F.col("tipo_codigo")
     line = F.concat(
         _tag("NroLinDet", F.col("nro_linea")), F.lit("<CdgItem>"), _tag("TpoCodigo", F.lit("INT1")), _tag("VlrCodigo", F.col("codigo")),
@@ -180,18 +185,18 @@ SHOWN = f"""shown AS (SELECT page_id, trim(regexp_replace(
 
 @query("html_text", with_roles("", "SELECT * FROM shown", SHOWN))
 def html_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", visible_text(F.col("html")).alias("text"))
+    return table(spark, sf, "pages", dealt=True).select("page_id", visible_text(F.col("html")).alias("text"))
 
 
 @query("plain_text", "SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM documents")
 def plain_text_documents(spark, sf):
     name = F.concat(F.lit("d"), "doc_id", F.lit(".txt"))
-    return table(spark, sf, "documents").select("doc_id", plain_text(name, F.col("text")).alias("text"))
+    return table(spark, sf, "documents", dealt=True).select("doc_id", plain_text(name, F.col("text")).alias("text"))
 
 
 def order_pages(spark, sf) -> DataFrame:
     """Printed documents as HTML, labels and date style by document type."""
-    d = documents(spark, sf, parties=True)
+    d = documents(spark, sf, parties=True, dealt=True)
     tipo, day = F.col("tipo_dte"), F.col("fecha_emision")
 
     def by_type(invoice, receipt, note) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # A hot document key is split by AQE even where the split costs one more exchange.
 RUNTIME_SETTINGS = {
@@ -30,6 +30,8 @@ def local_session(cores: str = "8", app: str = "folioflow") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
+        # Plans are built faster when Python call sites are not recorded.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -49,3 +51,17 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="folioflow-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+SPLIT_BYTES = 16 * 1024 * 1024
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Deals out the rows of an input too small to occupy all cores by its own splits.
+
+    For costly per-row work such as parsing. The size is the planner's estimate of the scan, so
+    this decides without a job; an input of ``SPLIT_BYTES`` per core or more stays where it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return rows.repartition(cores) if size < cores * SPLIT_BYTES else rows

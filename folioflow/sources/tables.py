@@ -10,17 +10,37 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.scalars import run_status
+from folioflow.session import spread
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+# Declared, so that opening a table starts no job to read its footer.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
 
 
-def documents(spark: SparkSession, folder: str, parties: bool = False) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str, dealt: bool = False) -> DataFrame:
+    """A table; ``dealt`` spreads a small one over all cores before costly work on its rows."""
+    rows = spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+    return spread(rows) if dealt else rows
+
+
+def documents(spark: SparkSession, folder: str, parties: bool = False, dealt: bool = False) -> DataFrame:
     """Orders as documents; with ``parties`` the customer is the issuer and the nation the receiver."""
     money = F.col("o_totalprice").cast("decimal(18,2)")
     net = (money * F.lit("0.84").cast("decimal(3,2)")).cast("decimal(18,2)")
-    orders = table(spark, folder, "orders").select(
+    orders = table(spark, folder, "orders", dealt).select(
         F.col("o_orderkey").alias("header_id"), F.col("o_orderkey").alias("file_id"),
         F.when(F.col("o_orderstatus") == "F", 33).when(F.col("o_orderstatus") == "O", 39).otherwise(61).alias("tipo_dte"),
         F.col("o_orderkey").alias("folio"), F.to_date("o_orderdate").alias("fecha_emision"),
@@ -46,9 +66,9 @@ def line_id() -> Column:
     return F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", amount)
 
 
-def lines(spark: SparkSession, folder: str, items: bool = True) -> DataFrame:
+def lines(spark: SparkSession, folder: str, items: bool = True, dealt: bool = False) -> DataFrame:
     """Line items as document lines; ``items`` adds what the part table knows."""
-    rows = table(spark, folder, "lineitem").select(
+    rows = table(spark, folder, "lineitem", dealt).select(
         line_id().alias("line_id"), F.col("l_orderkey").alias("header_id"), F.col("l_linenumber").alias("nro_linea"),
         F.col("l_returnflag").alias("tipo_codigo"), F.col("l_quantity").cast("decimal(18,6)").alias("cantidad"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("monto_item"), "l_partkey")

@@ -20,7 +20,7 @@ def arriving_files(spark: SparkSession, path: str, files_per_batch: int = FILES_
     return (
         spark.readStream.format("binaryFile").option("pathGlobFilter", XML_NAMES)
         .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch)
-        .load(path).select("path")
+        .schema("path string, modificationTime timestamp, length bigint, content binary").load(path).select("path")
     )
 
 
