@@ -94,7 +94,7 @@ def stream_load(spark, sf) -> DataFrame:
     work = work_folder(spark, "stream-load")
     write_envelopes(spark, sf, f"{work}/in")
     store = Store(spark, f"{work}/store")
-    stream_ingest(store, f"{work}/in", f"{work}/checkpoint", files_per_batch=4, as_of=AS_OF).awaitTermination()
+    stream_ingest(store, f"{work}/in", f"{work}/checkpoint", files_per_batch=6, as_of=AS_OF).awaitTermination()
     return _loaded(store)
 
 
