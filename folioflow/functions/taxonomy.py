@@ -109,60 +109,51 @@ def measures(text: Column) -> Column:
     return F.when(text.rlike(UNICODE + MEASURES), size)
 
 
-def enrichment(taxonomy: Taxonomy, code: Column, name: Column, description: Column) -> Column:
-    """One struct with category, subcategory, brand, attributes, confidence and version.
-
-    Built-in expressions only. The text is bound once, so the patterns share it.
-    """
-    def judge(row: Column) -> Column:
-        text, lower = row.getField("text"), F.lower(row.getField("text"))
-        prefix = F.create_map(*[
-            x for key, (cat, sub, brand) in taxonomy.prefixes.items()
-            for x in (F.lit(key), F.struct(F.lit(cat).alias("cat"), F.lit(sub).cast("string").alias("sub"),
-                                           F.lit(brand).cast("string").alias("brand")))
-        ]) if taxonomy.prefixes else None
-        none = F.lit(None).cast("struct<cat:string,sub:string,brand:string>")
-        known = F.try_element_at(prefix, row.getField("prefix")) if prefix is not None else none
-        rule = _first([(text.rlike(UNICODE + p), i) for i, (p, _) in enumerate(taxonomy.keywords)]).cast("int")
-        brand = _first([(text.rlike(UNICODE + r"\b" + re.escape(b) + r"\b"), b) for b in taxonomy.brands])
-        color = _first([(F.contains(lower, F.lit(c.lower())), c) for c in taxonomy.colors])
-        material = _first([(F.contains(lower, F.lit(m.lower())), m) for m in taxonomy.materials])
-        incident = text.rlike(UNICODE + taxonomy.incident) | F.coalesce(row.getField("code") == INCIDENT_CODE, F.lit(False))
-        return F.struct(known.alias("known"), rule.alias("rule"), brand.cast("string").alias("brand"),
-                        measures(text).alias("dimension"), color.cast("string").alias("color"),
-                        material.cast("string").alias("material"), incident.alias("incident"))
-
-    def settle(f: Column) -> Column:
-        def g(n: str) -> Column:
-            return f.getField(n)
-
-        known, rule = g("known"), g("rule")
-        cats = F.array(*[F.lit(c) for _, (c, _) in taxonomy.keywords]).cast("array<string>")
-        subs = F.array(*[F.lit(s) for _, (_, s) in taxonomy.keywords]).cast("array<string>")
-        category = F.coalesce(known.getField("cat"), F.get(cats, rule))
-        # A prefix without subcategory takes the keyword's.
-        sub = F.coalesce(known.getField("sub"), F.get(subs, rule))
-
-        def part(test: Column, points: str) -> Column:
-            return F.when(test, _score(points)).otherwise(_score("0"))
-
-        score = (
-            _score(BASE) + part(known.isNotNull(), PREFIX_PART) + part(rule.isNotNull(), KEYWORD_PART)
-            + part(g("brand").isNotNull(), BRAND_PART) + part(g("color").isNotNull(), ATTRIBUTE_PART)
-            + part(g("material").isNotNull(), ATTRIBUTE_PART)
-        )
-        some = g("dimension").isNotNull() | g("color").isNotNull() | g("material").isNotNull()
-        inc_cat, inc_sub = taxonomy.incident_class
-        return F.struct(
-            F.when(g("incident"), inc_cat).otherwise(F.coalesce(category, F.lit(taxonomy.unclassified))).alias("ai_category"),
-            F.when(g("incident"), inc_sub).when(category.isNotNull(), sub).alias("ai_subcategory"),
-            F.coalesce(F.when(~g("incident"), g("brand")), known.getField("brand")).alias("ai_brand"),
-            F.when(some, F.struct(g("dimension").alias("dimension"), g("color").alias("color"),
-                                  g("material").alias("material"))).alias("ai_attrs"),
-            F.when(g("incident"), _score(INCIDENT_SCORE)).otherwise(F.least(score, _score(SCORE_CAP)))
-            .cast("decimal(5,2)").alias("ai_confidence"),
-            F.lit(taxonomy.version).alias("ai_version"),
-        )
-
-    source = F.struct(item_text(name, description).alias("text"), code_prefix(code).alias("prefix"), code.alias("code"))
-    return F.get(F.transform(F.transform(F.array(source), judge), settle), F.lit(0))
+def item_facts(taxonomy: Taxonomy, text: Column, prefix: Column, code: Column) -> dict[str, Column]:
+    """What the tables say about an item: prefix entry, keyword entry, brand, measures, colour, material."""
+    entry = "struct<cat:string,sub:string,brand:string>"
+    by_prefix = F.create_map(*[
+        x for key, (cat, sub, brand) in taxonomy.prefixes.items()
+        for x in (F.lit(key), F.struct(F.lit(cat).alias("cat"), F.lit(sub).cast("string").alias("sub"),
+                                       F.lit(brand).cast("string").alias("brand")))])
+    known = F.try_element_at(by_prefix, prefix) if taxonomy.prefixes else F.lit(None).cast(entry)
+    lower = F.lower(text)
+    return {
+        "known": known,
+        "rule": _first([(text.rlike(UNICODE + p), i) for i, (p, _) in enumerate(taxonomy.keywords)]).cast("int"),
+        "brand": _first([(text.rlike(UNICODE + r"\b" + re.escape(b) + r"\b"), b) for b in taxonomy.brands]).cast("string"),
+        "dimension": measures(text),
+        "color": _first([(F.contains(lower, F.lit(c.lower())), c) for c in taxonomy.colors]).cast("string"),
+        "material": _first([(F.contains(lower, F.lit(m.lower())), m) for m in taxonomy.materials]).cast("string"),
+        "incident": text.rlike(UNICODE + taxonomy.incident) | F.coalesce(code == INCIDENT_CODE, F.lit(False)),
+    }
+
+
+def item_verdict(taxonomy: Taxonomy, f: dict[str, Column]) -> Column:
+    """The six enrichment columns as one struct, from the facts."""
+    known, rule, incident = f["known"], f["rule"], f["incident"]
+    cats = F.array(*[F.lit(c) for _, (c, _) in taxonomy.keywords]).cast("array<string>")
+    subs = F.array(*[F.lit(s) for _, (_, s) in taxonomy.keywords]).cast("array<string>")
+    category = F.coalesce(known.getField("cat"), F.get(cats, rule))
+    # A prefix without subcategory takes the keyword's.
+    sub = F.coalesce(known.getField("sub"), F.get(subs, rule))
+
+    def part(test: Column, points: str) -> Column:
+        return F.when(test, _score(points)).otherwise(_score("0"))
+
+    score = (
+        _score(BASE) + part(known.isNotNull(), PREFIX_PART) + part(rule.isNotNull(), KEYWORD_PART)
+        + part(f["brand"].isNotNull(), BRAND_PART) + part(f["color"].isNotNull(), ATTRIBUTE_PART)
+        + part(f["material"].isNotNull(), ATTRIBUTE_PART)
+    )
+    some = f["dimension"].isNotNull() | f["color"].isNotNull() | f["material"].isNotNull()
+    inc_cat, inc_sub = taxonomy.incident_class
+    return F.struct(
+        F.when(incident, inc_cat).otherwise(F.coalesce(category, F.lit(taxonomy.unclassified))).alias("ai_category"),
+        F.when(incident, inc_sub).when(category.isNotNull(), sub).alias("ai_subcategory"),
+        F.coalesce(F.when(~incident, f["brand"]), known.getField("brand")).alias("ai_brand"),
+        F.when(some, F.struct(*[f[n].alias(n) for n in ("dimension", "color", "material")])).alias("ai_attrs"),
+        F.when(incident, _score(INCIDENT_SCORE)).otherwise(F.least(score, _score(SCORE_CAP)))
+        .cast("decimal(5,2)").alias("ai_confidence"),
+        F.lit(taxonomy.version).alias("ai_version"),
+    )

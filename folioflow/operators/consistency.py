@@ -50,17 +50,16 @@ def inventory(files: DataFrame, headers: DataFrame, lines: DataFrame, violations
     """(metric, value) sizes of the store."""
     return reduce(DataFrame.unionByName, [
         _count(files, "files.total"),
-        _headers_inventory(headers),
+        _as_rows(headers.agg(F.count_distinct("file_id").alias("files.with_headers"), F.count("*").alias("headers.total"))),
         _count(lines, "details.total"),
         _count(violations, "dq.violations_total"),
     ])
 
 
-def _headers_inventory(headers: DataFrame) -> DataFrame:
-    both = headers.agg(F.count_distinct("file_id").alias("files"), F.count("*").alias("n"))
-    return both.select(F.inline(F.array(
-        F.struct(F.lit("files.with_headers").alias("metric"), F.col("files").alias("value")),
-        F.struct(F.lit("headers.total").alias("metric"), F.col("n").alias("value")))))
+def _as_rows(wide: DataFrame) -> DataFrame:
+    """One row of named counts as (metric, value) rows."""
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").alias("value")) for c in wide.columns])))
 
 
 def unparsed_files(files: DataFrame, headers: DataFrame) -> DataFrame:
@@ -78,18 +77,32 @@ def backlog(files: DataFrame, headers: DataFrame) -> DataFrame:
 
 def consistency_report(files: DataFrame, headers: DataFrame, lines: DataFrame, violations: DataFrame,
                        rules: DataFrame, tolerance: float = 1, compare_to: str = "mnt_total") -> DataFrame:
-    """(metric, value): inventory and all check counts; true counts, not capped at a sample."""
-    from folioflow.operators.quality import by_level
+    """(metric, value): inventory and all check counts; true counts, not capped at a sample.
 
-    levels = by_level(violations, rules).select(
-        F.concat(F.lit("dq.by_level."), "rule_level").alias("metric"), F.col("n").alias("value"))
+    Lines shrink to one row per document, and one full outer join with the documents then answers
+    all questions between the two tables.
+    """
+    from folioflow.operators.quality import with_rules
+
+    zero = F.lit(0).cast("decimal(28,2)")
+    per_document = lines.groupBy("header_id").agg(F.sum("monto_item").alias("sumdet"), F.count("*").alias("n_lines"))
+    known = headers.select("header_id", F.col(compare_to).alias("total"), F.lit(True).alias("known"))
+    both = known.join(per_document, "header_id", "full_outer")
+    gap = F.abs(F.coalesce("total", zero) - F.coalesce("sumdet", zero))
+    checks = both.agg(
+        F.count("known").alias("headers.total"),
+        F.count_if(F.col("n_lines").isNull()).alias("headers.without_details"),
+        F.coalesce(F.sum("n_lines"), F.lit(0)).alias("details.total"),
+        F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n_lines"))), F.lit(0)).alias("details.orphans"),
+        F.count_if(F.col("known") & (gap > tolerance)).alias("totals_check.mismatch_count"))
+    per_rule = violations.groupBy("rule_id").agg(F.count("*").alias("n"))
     return reduce(DataFrame.unionByName, [
-        inventory(files, headers, lines, violations),
-        _count(headers_without_lines(headers.select("header_id"), lines), "headers.without_details"),
+        _count(files, "files.total"),
+        headers.agg(F.count_distinct("file_id").alias("value")).select(F.lit("files.with_headers").alias("metric"), "value"),
+        _as_rows(checks),
         _count(duplicate_keys(headers), "headers.duplicate_groups_count"),
-        _count(orphan_lines(lines.select("header_id"), headers), "details.orphans"),
-        _count(totals_mismatch(headers, lines, tolerance, compare_to), "totals_check.mismatch_count"),
-        levels,
+        per_rule.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("value")).select(F.lit("dq.violations_total").alias("metric"), "value"),
+        with_rules(per_rule, rules).groupBy(F.concat(F.lit("dq.by_level."), "rule_level").alias("metric")).agg(F.sum("n").alias("value")),
     ])
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.operators.quality import failed_codes, line_flags, line_rules, Limits, with_owner, with_rules
+from folioflow.operators.quality import (
+    Limits, amount_differs, bad_quantity_or_price, line_flags, with_owner, with_rules,
+)
 
 HEADER_SIDE = ["fecha_emision", "tipo_dte", "folio", "rut_emisor", "razon_social_emisor",
                "rut_receptor", "razon_social_receptor"]
@@ -39,11 +41,9 @@ def flagged_line_totals(headers: DataFrame, lines: DataFrame, limits: Limits = L
     Rules are judged inside the line scan and lines are added up per document before the join, so
     the join meets at most one row per document and no violation table is built.
     """
-    codes = failed_codes(line_rules(limits))
-    per_document = lines.withColumn("_codes", codes).groupBy("header_id").agg(
+    per_document = lines.groupBy("header_id").agg(
         F.count("*").alias("n_lines"), F.sum("monto_item").alias("amount"),
-        F.count_if(F.array_contains("_codes", "DQ1")).alias("n_error"),
-        F.count_if(F.array_contains("_codes", "DQ2")).alias("n_warn"))
+        F.count_if(bad_quantity_or_price(limits)).alias("n_error"), F.count_if(amount_differs(limits)).alias("n_warn"))
     return headers.select("header_id", "fecha_emision", "tipo_dte").join(per_document, "header_id").groupBy(
         "fecha_emision", "tipo_dte").agg(
         F.sum("n_lines").alias("n_lines"), F.sum("amount").cast("decimal(38,2)").alias("monto_total"),

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.functions.taxonomy import FITTINGS, Taxonomy, enrichment
+from folioflow.functions.taxonomy import FITTINGS, Taxonomy, code_prefix, item_facts, item_text, item_verdict
 
 ENRICHED = ["ai_category", "ai_subcategory", "ai_brand", "ai_attrs", "ai_confidence", "ai_version"]
 
@@ -23,11 +23,18 @@ def candidates(lines: DataFrame, version: str, force: bool = False, limit: int |
 
 
 def classify(lines: DataFrame, taxonomy: Taxonomy = FITTINGS) -> DataFrame:
-    """Every line with the six enrichment columns."""
+    """Every line with the six enrichment columns; narrow, built-in expressions only.
+
+    Text, facts and verdict are layers: each value is computed once and then referred to. The
+    verdict leaves a generator, so that a later filter on it does not copy the layers below.
+    """
     kept = [c for c in lines.columns if c not in ENRICHED]
-    judged = enrichment(taxonomy, F.col("codigo"), F.col("nombre_item"), F.col("descripcion"))
-    # Through a generator, so that no later filter copies the whole expression.
-    return lines.select(*kept, F.explode(F.array(judged)).alias("_ai")).select(*kept, "_ai.*")
+    texts = lines.select(
+        *kept, item_text(F.col("nombre_item"), F.col("descripcion")).alias("_text"), code_prefix(F.col("codigo")).alias("_prefix"))
+    facts = item_facts(taxonomy, F.col("_text"), F.col("_prefix"), F.col("codigo"))
+    judged = texts.select(*kept, *[c.alias(f"_{n}") for n, c in facts.items()])
+    verdict = item_verdict(taxonomy, {n: F.col(f"_{n}") for n in facts})
+    return judged.select(*kept, F.explode(F.array(verdict)).alias("_ai")).select(*kept, "_ai.*")
 
 
 def enrich(lines: DataFrame, taxonomy: Taxonomy = FITTINGS, force: bool = False) -> DataFrame:

@@ -53,9 +53,10 @@ def header_rules(as_of: date, limits: Limits = Limits()) -> dict[str, Column]:
     return {"DQ4": day_out_of_range(as_of, limits)}
 
 
-def failed_codes(rules: dict[str, Column]) -> Column:
-    """Codes of the rules a row breaks, all judged in one pass."""
-    return F.array_compact(F.array(*[F.when(p, F.lit(code)) for code, p in rules.items()]))
+def broken_rules(rows: DataFrame, rules: dict[str, Column], *keep: Column) -> DataFrame:
+    """One row per rule a row breaks: ``keep`` and ``rule_code``. All rules share the scan."""
+    codes = F.array(*[F.when(p, F.lit(code)) for code, p in rules.items()])
+    return rows.select(*keep, F.explode(codes).alias("rule_code")).filter(F.col("rule_code").isNotNull())
 
 
 def _violations(broken: DataFrame, catalogue: DataFrame, entity: str, run_id: str | None, created_at) -> DataFrame:
@@ -80,17 +81,14 @@ def find_violations(headers: DataFrame, lines: DataFrame, *, as_of: date, run_id
     Rows carry the owning document, so later reports need not look it up.
     """
     catalogue = rule_catalogue(headers.sparkSession) if rules is None else bounded_rules(rules)
-    line_hits = lines.select(
-        F.col("line_id").cast("string").alias("entity_id"), F.col("header_id").cast("string").alias("header_id"),
-        F.explode(failed_codes(line_rules(limits))).alias("rule_code"))
-    header_hits = headers.select(
-        F.col("header_id").cast("string").alias("entity_id"), F.col("header_id").cast("string").alias("header_id"),
-        F.explode(failed_codes(header_rules(as_of, limits))).alias("rule_code"))
+    owner = F.col("header_id").cast("string")
+    line_hits = broken_rules(
+        lines, line_rules(limits), F.col("line_id").cast("string").alias("entity_id"), owner.alias("header_id"))
+    header_hits = broken_rules(headers, header_rules(as_of, limits), owner.alias("entity_id"), owner.alias("header_id"))
     if check_totals:
         off = totals_mismatch(headers, lines, tolerance=limits.amount_gap)
-        key = F.col("header_id").cast("string")
         header_hits = header_hits.unionByName(
-            off.select(key.alias("entity_id"), key.alias("header_id"), F.lit("DQ3").alias("rule_code")))
+            off.select(owner.alias("entity_id"), owner.alias("header_id"), F.lit("DQ3").alias("rule_code")))
     return _violations(line_hits, catalogue, "detail", run_id, created_at).unionByName(
         _violations(header_hits, catalogue, "header", run_id, created_at))
 

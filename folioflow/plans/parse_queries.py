@@ -84,8 +84,7 @@ XML_HEADERS = f"""parsed AS (
 
 @query("xml_headers", with_roles("docs", "SELECT * FROM parsed", XML_HEADERS))
 def xml_headers(spark, sf):
-    pieces = xml.whole_file_documents(order_xml(spark, sf))
-    return xml.parsed_documents(xml.sound_documents(pieces)).drop("position", "lines")
+    return xml.parsed_documents(xml.whole_file_documents(order_xml(spark, sf))).drop("position", "lines")
 
 
 @query("xml_rejects", with_roles("docs", """

@@ -25,7 +25,7 @@ ROLES = {
         CAST(o_totalprice AS DECIMAL(18,2)) AS mnt_total
       FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey)""",
     "lins": """lins AS (
-      SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_extendedprice AS DECIMAL(18,2))) AS line_id, l_orderkey AS header_id,
+      SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT)) AS line_id, l_orderkey AS header_id,
         l_linenumber AS nro_linea, l_returnflag AS tipo_codigo, p_brand AS codigo, p_name AS nombre_item,
         p_type AS descripcion, CAST(l_quantity AS DECIMAL(18,6)) AS cantidad,
         CAST(p_retailprice AS DECIMAL(18,6)) AS precio_unitario, CAST(l_extendedprice AS DECIMAL(18,2)) AS monto_item

@@ -62,8 +62,8 @@ def line_id() -> Column:
 
     A numbering would need all lines of an order in one task.
     """
-    amount = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
-    return F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", amount)
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents)
 
 
 def lines(spark: SparkSession, folder: str, items: bool = True, dealt: bool = False) -> DataFrame:

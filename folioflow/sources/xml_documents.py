@@ -220,7 +220,10 @@ def file_verdicts(pieces: DataFrame) -> DataFrame:
 
 
 def sound_documents(pieces: DataFrame) -> DataFrame:
-    """Pieces of well-formed files. Bad files are few, so AQE broadcasts them."""
+    """Pieces of well-formed files, for split files, whose verdict needs all their pieces.
+
+    Reads the pieces twice: stage them first. Bad files are few, so AQE broadcasts them.
+    """
     bad = file_verdicts(pieces).filter("malformed").select("file")
     return pieces.join(bad, "file", "left_anti")
 
