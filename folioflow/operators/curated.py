@@ -25,12 +25,17 @@ def line_detail(headers: DataFrame, lines: DataFrame) -> DataFrame:
 def fact_lines(headers: DataFrame, lines: DataFrame, violations: DataFrame, rules: DataFrame) -> DataFrame:
     """Every line beside its document with its data-quality flags, 22 columns.
 
-    Flags are one row per line before the join; lines without violations get False.
+    Flags are one row per line before the join; lines without violations get False. Where the
+    violations carry their document, the join on (document, line) reuses the lines' partitioning
+    by document, and the wide rows are shuffled once.
     """
     flags = line_flags(violations, rules)
-    flagged = lines.join(flags, "line_id", "left")
-    return flagged.join(headers, "header_id").select(
-        "header_id", F.col("line_id").alias("detail_id"), *HEADER_SIDE, *LINE_SIDE, *TOTALS,
+    same = F.col("f.line_id") == F.col("l.line_id").cast("string")
+    if "header_id" in flags.columns:
+        same = (F.col("f.header_id") == F.col("l.header_id").cast("string")) & same
+    joined = lines.join(headers, "header_id").alias("l").join(flags.alias("f"), same, "left")
+    return joined.select(
+        "l.header_id", F.col("l.line_id").alias("detail_id"), *HEADER_SIDE, *LINE_SIDE, *TOTALS,
         F.coalesce("dq_has_error", F.lit(False)).alias("dq_has_error"),
         F.coalesce("dq_has_warn", F.lit(False)).alias("dq_has_warn"))
 

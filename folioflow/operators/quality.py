@@ -146,10 +146,15 @@ def lines_of_documents(lines: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def line_flags(violations: DataFrame, rules: DataFrame) -> DataFrame:
-    """(line_id, dq_has_error, dq_has_warn), both flags from one pass over the violations."""
+    """(line_id, dq_has_error, dq_has_warn), both flags from one pass over the violations.
+
+    With the owning document where the violations carry it, so that a join can use its partitioning.
+    """
     level = F.col("rule_level")
-    return with_rules(violations.filter("entity = 'detail'"), rules).groupBy(
-        F.col("entity_id").alias("line_id")).agg(
+    keys = [F.col("entity_id").alias("line_id")]
+    if "header_id" in violations.columns:
+        keys.insert(0, F.col("header_id"))
+    return with_rules(violations.filter("entity = 'detail'"), rules).groupBy(*keys).agg(
         F.bool_or(level == "ERROR").alias("dq_has_error"), F.bool_or(level == "WARN").alias("dq_has_warn"))
 
 

@@ -160,6 +160,35 @@ def initial_load(store: Store, path: str, **options) -> DataFrame:
     return ingest_folder(store, path, Run(job="initial_load", source="bootstrap", note="carga inicial"), **options)
 
 
+def parse_all(store: Store, path: str, user: str | None = None, **options) -> DataFrame:
+    """Loads all unseen files on a user's behalf and records it in the audit log."""
+    run = Run(job="manual_parse_all", source="ui")
+    row = ingest_folder(store, path, run, **options)
+    total = store.read("headers").count()
+    store.append_audit(row.select(
+        F.lit(user).cast("string").alias("user"), F.lit("parse_all").alias("action"), F.lit("file").alias("resource"),
+        F.to_json(F.struct(F.col("files_total").alias("created_files"), F.lit(total).alias("total_headers_now"))).alias("extra")))
+    return row
+
+
+def parse_file(store: Store, file: str, user: str | None = None, *, xsd_paths: dict[str, str] | None = None,
+               whole_file_bytes: int = WHOLE_FILE_BYTES, **load) -> DataFrame:
+    """Loads one file, seen before or not, and records the parse, or what its schema refuses."""
+    spark, run = store.spark, Run(job="manual_parse", source="ui", note=f"file={file}")
+    barred = None
+    if xsd_paths:
+        texts = xml_files(spark, file, max_bytes=whole_file_bytes).select("file", decoded(F.col("content")).alias("text"))
+        barred = xsd_invalid(texts, xsd_paths).select("file", F.concat(F.lit("xsd "), "kind").alias("reason"))
+    row = load_documents(store, scan_documents(spark, file, whole_file_bytes=whole_file_bytes), run, barred=barred, **load)
+    refused = F.exists(F.coalesce("errors", F.array().cast("array<struct<where:string,message:string,file:string>>")),
+                       lambda e: F.startswith(e.getField("message"), F.lit("xsd ")))
+    store.append_audit(row.select(
+        F.lit(user).cast("string").alias("user"), F.when(refused, "xsd_invalid").otherwise("xml_parse").alias("action"),
+        F.lit("file").alias("resource"), F.when(refused, 422).otherwise(303).alias("status"),
+        F.to_json(F.struct(F.lit(file).alias("filename"), F.col("headers_inserted").alias("n_headers"))).alias("extra")))
+    return row
+
+
 def alert(store: Store, run_id: str, threshold: float = 1.0) -> DataFrame:
     """Violations of a run per 100 lines loaded, with the alert flag."""
     runs = store.runs().filter(F.col("run_id") == run_id)

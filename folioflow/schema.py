@@ -36,7 +36,6 @@ RULE_CATALOGUE = [
     (3, "DQ4", "WARN", "header", "fecha_emision fuera de rango"),
     (4, "DQ3", "ERROR", "header", "suma(detalle) != total"),
 ]
-RULES = "rule_id bigint, rule_code string, rule_level string, entity string, description string"
 
 VIOLATIONS = (
     "violation_id string, run_id string, rule_id bigint, entity string, entity_id string, "
@@ -56,7 +55,8 @@ AUDIT_LOG = (
 
 def rule_catalogue(spark: SparkSession) -> DataFrame:
     """The built-in rules. Always complete, so no rule can go missing silently."""
-    return spark.createDataFrame(RULE_CATALOGUE, RULES)
+    rows = ", ".join(f"({i}L, '{code}', '{level}', '{entity}', '{text}')" for i, code, level, entity, text in RULE_CATALOGUE)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS r(rule_id, rule_code, rule_level, entity, description)")
 
 
 def missing_rules(rules: DataFrame) -> DataFrame:

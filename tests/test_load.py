@@ -194,3 +194,18 @@ def test_event_streams(spark, folder, tmp_path):
     assert sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "u")).collect()) == [1, 2, 3]
     got = sorted((str(r.day), r.kind, r.n) for r in spark.read.parquet(str(tmp_path / "d")).collect())
     assert got == [("2025-01-01", "a", 3), ("2025-01-02", "a", 1), ("2025-01-02", "b", 1)]
+
+
+def test_manual_parse_is_audited(spark, folder, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    schema = tmp_path / "dte.xsd"
+    schema.write_text('<?xml version="1.0"?><xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"><xs:element name="DTE" type="xs:int"/></xs:schema>')
+    (folder / "a.xml").write_text(f'<DTE s="EnvioDTE_v10.xsd">{document(1, [line()])}</DTE>')
+    (folder / "b.xml").write_text(VALID)
+    refused = ingest.parse_file(store, str(folder / "a.xml"), "u@x", xsd_paths={"dte": str(schema)}, as_of=AS_OF).first()
+    assert counters(refused)[:5] == ("PARTIAL", 1, 0, 1, 0)
+    assert ingest.parse_file(store, str(folder / "a.xml"), "u@x", as_of=AS_OF).first().headers_inserted == 1
+    assert ingest.parse_all(store, str(folder), as_of=AS_OF).first().files_total == 1
+    got = sorted((r.action, r.user, r.status) for r in store.audit().collect())
+    assert got == [("parse_all", "-", 0), ("xml_parse", "u@x", 303), ("xsd_invalid", "u@x", 422)]
+    assert '"total_headers_now":2' in store.audit().filter("action = 'parse_all'").first().extra
