@@ -15,7 +15,7 @@ def squeeze(text: Column) -> Column:
 
 def present(text: Column) -> Column:
     """Trimmed text; absent and empty elements are both NULL."""
-    return F.nullif(F.regexp_replace(text, r"^\s+|\s+$", ""), F.lit(""))
+    return F.nullif(F.btrim(text, F.lit(" \t\r\n")), F.lit(""))
 
 
 def whole(text: Column) -> Column:

@@ -90,24 +90,28 @@ def decoded(content: Column) -> Column:
         .when(named == "UTF-16", F.decode(content, "UTF-16"))
         .otherwise(utf8)
     )
-    return F.regexp_replace(text, "^﻿", "")
+    return F.regexp_replace(text, r"^\uFEFF", "")
 
 
 def _root(text: Column) -> Column:
     return F.regexp_extract(text, r"(?s)^(?:\s|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>)*<([\w.:-]+)", 1)
 
 
-def _one_root(text: Column) -> Column:
-    """True when the text closes its root element once, at its end."""
-    name = _root(text)
-    closed = F.concat(F.lit("</"), name)
+def _one_root(text: Column, name: Column) -> Column:
+    """True when the text closes its root element once, at its end.
+
+    Plain string search settles the usual file; patterns are tried only on the others.
+    """
+    closing = F.concat(F.lit("</"), name, F.lit(">"))
+    body = F.rtrim(text, F.lit(" \t\r\n"))
+    usual = F.instr(body, closing) == F.length(body) - F.length(closing) + 1
     tail = F.regexp_extract(text, r"(?s)</([\w.:-]+)\s*>(?:\s|<!--.*?-->)*$", 1)
-    pairs = (tail == name) & (F.size(F.split(text, F.concat(closed, F.lit(r"\s*>")))) == 2)
+    once = F.size(F.split(text, F.concat(F.lit("</"), name, F.lit(r"\s*>")))) == 2
     single = text.rlike(r"(?s)^(?:\s|<\?.*?\?>|<!--.*?-->)*<[^<>]*/>\s*$")
-    return (name != "") & (pairs | single)
+    return (name != "") & F.when(usual, True).otherwise(((tail == name) & once) | single)
 
 
-def _all_documents(text: Column, xml: Column) -> Column:
+def _all_documents(xml: Column, is_bare: Column) -> Column:
     """Documents of the parsed file for every envelope shape."""
     none = F.array().cast(DOCUMENTS_XML)
 
@@ -124,7 +128,6 @@ def _all_documents(text: Column, xml: Column) -> Column:
         inside(sets),
         inside(F.flatten(F.transform(sets, lambda s: F.coalesce(s.getField("DTE"), no_dte)))),
     )
-    is_bare = F.regexp_replace(_root(text), "^.*:", "") == "Documento"
     return F.when(is_bare, bare).otherwise(nested)
 
 
@@ -134,14 +137,15 @@ def whole_file_documents(files: DataFrame) -> DataFrame:
     The parse result leaves a generator, so later filters cannot make the parser run twice.
     """
     def outcome(xml: Column) -> Column:
-        bad = F.col("text").isNull() | xml.getField("_corrupt_record").isNotNull() | ~_one_root(F.col("text"))
-        return F.struct(
-            F.coalesce(bad, F.lit(True)).alias("malformed"),
-            F.when(~bad, _all_documents(F.col("text"), xml)).alias("docs"),
-        )
+        bad = F.col("_bad") | xml.getField("_corrupt_record").isNotNull()
+        return F.struct(bad.alias("malformed"), F.when(~bad, _all_documents(xml, F.col("_bare"))).alias("docs"))
 
+    rooted = files.select("file", "text", _root(F.col("text")).alias("_root"))
+    checked = rooted.select(
+        "file", "text", (~F.coalesce(_one_root(F.col("text"), F.col("_root")), F.lit(False))).alias("_bad"),
+        (F.substring_index("_root", ":", -1) == "Documento").alias("_bare"))
     parsed = F.from_xml("text", ENVELOPE_XML, PARSER)
-    each = files.select("file", F.explode(F.transform(F.array(parsed), outcome)).alias("r"))
+    each = checked.select("file", F.explode(F.transform(F.array(parsed), outcome)).alias("r"))
     rows = each.select("file", F.col("r.malformed").alias("malformed"), F.posexplode_outer("r.docs").alias("at", "doc"))
     position = F.struct(F.lit(0).cast("bigint").alias("block"), F.col("at").cast("bigint").alias("row"))
     return rows.select("file", position.alias("position"), "malformed", F.lit(0).alias("balance"), "doc")
