@@ -90,26 +90,32 @@ def documents(headers: DataFrame, *, tipo=None, folio=None, date_from=None, date
     return _like(out, (receiver or "").strip(), "rut_receptor", "razon_social_receptor")
 
 
+def _newest_first(headers: DataFrame) -> list[Column]:
+    """By load time where it is known, else by id."""
+    loaded = [F.desc("created_at")] if "created_at" in headers.columns else []
+    return [*loaded, F.desc("header_id")]
+
+
 def latest_documents(headers: DataFrame, limit: int = 500, **filters) -> DataFrame:
     if not 1 <= limit <= MAX_DOCUMENTS:
         raise ValueError(f"limit is 1 to {MAX_DOCUMENTS}")
-    return documents(headers, **filters).orderBy(F.desc("header_id")).limit(limit)
+    return documents(headers, **filters).orderBy(*_newest_first(headers)).limit(limit)
 
 
 def export_rows(headers: DataFrame, **filters) -> DataFrame:
-    """All matching documents with the export's column titles, last id first."""
-    return documents(headers, **filters).orderBy(F.desc("header_id")).select(
+    """All matching documents with the export's column titles, newest first."""
+    return documents(headers, **filters).orderBy(*_newest_first(headers)).select(
         F.col("header_id").alias("ID"), F.col("tipo_dte").alias("Tipo"), F.col("folio").alias("Folio"),
         F.col("fecha_emision").alias("Fecha"), F.col("rut_emisor").alias("Emisor"),
         F.col("rut_receptor").alias("Receptor"), F.col("mnt_total").alias("Monto Total"))
 
 
 def listed_documents(headers: DataFrame) -> DataFrame:
-    """Short list form: parties as ``id - name``, last id first."""
+    """Short list form: parties as ``id - name``, newest first."""
     def party(rut: str, name: str) -> Column:
         return F.concat(F.col(rut), F.lit(" - "), F.coalesce(name, F.lit("")))
 
-    return headers.orderBy(F.desc("header_id")).select(
+    return headers.orderBy(*_newest_first(headers)).select(
         F.col("header_id").alias("id"), F.col("tipo_dte").alias("tipo"), "folio", F.col("fecha_emision").alias("fecha"),
         party("rut_emisor", "razon_social_emisor").alias("emisor"),
         party("rut_receptor", "razon_social_receptor").alias("receptor"),

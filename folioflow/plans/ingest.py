@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from uuid import uuid4
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -124,10 +125,9 @@ def load_documents(store: Store, pieces: DataFrame, run: Run, *, as_of: date | N
     store.write("run_logs", load_id, log.select(*spark.createDataFrame([], RUN_LOGS).columns))
 
     # After the run is closed, so that the day includes it.
-    day = daily_health(store.runs(), zone=zone)
-    touched = daily_health(store.runs().filter(F.col("run_id") == load_id), job=run.job, zone=zone).select("day")
     if run.job == DAILY_JOB:
-        store.upsert_health(day.join(F.broadcast(touched), "day", "left_semi"))
+        day = run.started_at.astimezone(ZoneInfo(zone)).date()
+        store.upsert_health(daily_health(store.runs(), zone=zone, day=day))
     return store.runs().filter(F.col("load_id") == load_id)
 
 

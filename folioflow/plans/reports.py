@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 
 from folioflow.functions.scalars import LOCAL_ZONE
 from folioflow.functions.taxonomy import FITTINGS, Taxonomy
-from folioflow.operators import consistency, enrichment, health, listing, quality
+from folioflow.operators import consistency, curated, enrichment, health, listing, quality
+from folioflow.sources.store import Store, publish
 
 
 def health_report(days: DataFrame, runs: DataFrame, as_of: date) -> dict[str, DataFrame]:
@@ -77,3 +78,26 @@ def documents_list(headers: DataFrame, limit: int = 500, **filters) -> dict[str,
         "documents": listing.latest_documents(headers, limit, **filters),
         "types": listing.pick_list(headers, "tipo_dte"),
     }
+
+
+def curated_views(headers: DataFrame, lines: DataFrame, violations: DataFrame, rules: DataFrame) -> dict[str, tuple[DataFrame, str | None]]:
+    """Every curated view by the name it is queried by, with the date its months come from."""
+    return {
+        "fact_dte_lines": (curated.fact_lines(headers, lines, violations, rules), "fecha_emision"),
+        "dim_emisor": (curated.dim_issuer(headers), None),
+        "dim_receptor": (curated.dim_receiver(headers), None),
+        "fct_dte_daily_totals": (curated.daily_totals(headers), "fecha_emision"),
+        "dq_violations_enriched": (curated.violations_enriched(violations, rules), None),
+        "v_dte_detail": (curated.line_detail(headers, lines), "fecha_emision"),
+        "v_dte_kpi_daily": (curated.daily_kpi(headers), None),
+    }
+
+
+def publish_curated(store: Store, rules: DataFrame, zone: str = "curated") -> list[str]:
+    """Writes the curated views below the store and returns their paths."""
+    headers, lines, violations = (store.read(t).drop("load_id") for t in ("headers", "lines", "violations"))
+    paths = []
+    for name, (view, month_of) in curated_views(headers, lines, violations, rules).items():
+        paths.append(f"{store.path(zone)}/{name}")
+        publish(view, paths[-1], month_of)
+    return paths

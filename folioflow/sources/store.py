@@ -109,10 +109,16 @@ def write_export(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def publish(view: DataFrame, path: str, month_of: str | None = None) -> None:
-    """A curated view as Parquet for BI, by month where it has a date."""
-    if month_of is None:
-        view.write.mode("overwrite").parquet(path)
-        return
-    month = F.date_format(month_of, "yyyy-MM").alias("month")
-    view.select("*", month).write.mode("overwrite").partitionBy("month").parquet(path)
+def publish(view: DataFrame, path: str, month_of: str | None = None, table: str | None = None) -> None:
+    """A curated view as Parquet for BI, by month where it has a date, as a catalog table if named.
+
+    Rows are rebalanced by month first: a month gets files of even size, not one from every task.
+    """
+    if month_of is not None:
+        view = view.select("*", F.date_format(month_of, "yyyy-MM").alias("month")).hint("rebalance", "month")
+    writer = view.write.mode("overwrite")
+    writer = writer.partitionBy("month") if month_of is not None else writer
+    if table:
+        writer.option("path", path).saveAsTable(table)
+    else:
+        writer.parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from folioflow.operators import curated, listing
 from folioflow.plans import ingest
 from folioflow.plans.ingest import Run, alert, ingest_folder, initial_load
+from folioflow.plans.reports import publish_curated
 from folioflow.schema import rule_catalogue
 from folioflow.sources.store import Store, append_violations, publish, write_export
 from folioflow.sources.text_documents import headers_from_text, text_files
@@ -137,6 +138,10 @@ def test_sinks(spark, folder, tmp_path):
     assert spark.read.parquet(str(tmp_path / "fact")).filter("month = '2025-10' AND dq_has_warn").count() == 1
     publish(curated.dim_issuer(heads), str(tmp_path / "dim"))
     assert spark.read.parquet(str(tmp_path / "dim")).count() == 1
+    paths = publish_curated(store, rule_catalogue(spark))
+    assert {p.rsplit("/", 1)[1]: spark.read.parquet(p).count() for p in paths} == {
+        "fact_dte_lines": 4, "dim_emisor": 1, "dim_receptor": 1, "fct_dte_daily_totals": 1, "dq_violations_enriched": 1,
+        "v_dte_detail": 4, "v_dte_kpi_daily": 1}
     append_violations(store.read("violations"), str(tmp_path / "v"))
     append_violations(store.read("violations"), str(tmp_path / "v"))
     assert spark.read.parquet(str(tmp_path / "v")).count() == 2

@@ -101,6 +101,14 @@ def test_scans_read_only_what_is_needed(spark):
     assert "EqualTo(o_orderkey,42)" in text and "EqualTo(l_orderkey,42)" in text
 
 
+def test_listing_reads_no_contents(spark, tmp_path):
+    from folioflow.sources import xml_documents as xml
+
+    (tmp_path / "a.xml").write_text("<x/>")
+    assert "ReadSchema: struct<>" in plan(xml.listed_files(spark, str(tmp_path)))
+    assert "LessThanOrEqual(length,100)" in plan(xml.xml_files(spark, str(tmp_path), max_bytes=100))
+
+
 def test_reports_are_whole(spark, store):
     headers, lines, violations = store
     rules = rule_catalogue(spark)
