@@ -26,6 +26,10 @@ from folioflow.sources.xml_documents import (
 BROADCAST_FILES = 50_000
 
 
+#: Length of a failure's message in the run log.
+MESSAGE_CHARS = 2_000
+
+
 @dataclass(frozen=True)
 class Run:
     """What identifies a load. The same id again replaces that load's rows."""
@@ -46,10 +50,25 @@ def staged_documents(pieces: DataFrame) -> DataFrame:
     return rows.withColumn("header_id", header_key(F.col("tipo_dte"), F.col("folio"), F.col("rut_emisor")))
 
 
-def load_documents(store: Store, pieces: DataFrame, run: Run, *, as_of: date | None = None, limits: Limits = Limits(),
-                   scope: str = "document", rules: DataFrame | None = None, zone: str = LOCAL_ZONE,
-                   barred: DataFrame | None = None) -> DataFrame:
-    """Loads parsed pieces and returns the run log row.
+def load_documents(store: Store, pieces: DataFrame, run: Run, **options) -> DataFrame:
+    """Loads parsed pieces and returns the run log row; takes the options of ``_load``.
+
+    A load that fails leaves an ERROR row and no visible data. Its files stay unregistered, so the
+    next load takes them up.
+    """
+    try:
+        return _load(store, pieces, run, **options)
+    except Exception as failure:
+        store.write("run_logs", run.run_id, store.spark.createDataFrame([(
+            run.run_id, run.job, run.source, run.started_at, datetime.now(timezone.utc), "ERROR", 0, 0, 0, 0, 0, 0, 0,
+            [("load", str(failure)[:MESSAGE_CHARS], None)], run.note)], RUN_LOGS))
+        raise
+
+
+def _load(store: Store, pieces: DataFrame, run: Run, *, as_of: date | None = None, limits: Limits = Limits(),
+          scope: str = "document", rules: DataFrame | None = None, zone: str = LOCAL_ZONE,
+          barred: DataFrame | None = None) -> DataFrame:
+    """Writes one load, its run log row last.
 
     The parse result and the new documents are each written once in the shared work folder and read
     from there, so nothing is parsed or matched twice, and a lost executor costs its tasks only.

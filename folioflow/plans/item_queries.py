@@ -162,12 +162,13 @@ def brand_ranking(spark, sf):
 
 
 @query("subcategory_pairs", with_roles("lins", """
-  SELECT least(a.ai_subcategory, b.ai_subcategory) AS s1, greatest(a.ai_subcategory, b.ai_subcategory) AS s2, CAST(count(*) AS DECIMAL(38,0)) AS n
+  SELECT least(a.ai_subcategory, b.ai_subcategory) AS s1, greatest(a.ai_subcategory, b.ai_subcategory) AS s2, count(*) AS n
   FROM enriched a JOIN enriched b ON a.header_id = b.header_id AND a.line_id < b.line_id
   WHERE a.ai_subcategory IS NOT NULL AND b.ai_subcategory IS NOT NULL
   GROUP BY 1, 2 HAVING count(*) >= 3 ORDER BY n DESC, s1, s2 LIMIT 20""", *LINES))
 def subcategory_pairs(spark, sf):
-    return enrichment.subcategory_pairs(line_items(spark, sf), PARTS.subcategories())
+    pairs = enrichment.subcategory_pairs(line_items(spark, sf), PARTS.subcategories())
+    return pairs.withColumn("n", F.col("n").cast("bigint"))
 
 
 @query("items_of_category", with_roles("lins", """

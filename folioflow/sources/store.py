@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.schema import AUDIT_LOG, RUN_LOGS, VIOLATIONS
+from folioflow.schema import ATTRS, AUDIT_LOG, RUN_LOGS, VIOLATIONS
 
 HEADERS = (
     "header_id string, file_id string, tipo_dte int, folio bigint, fecha_emision date, rut_emisor string, "
@@ -23,6 +23,7 @@ LINES = (
     "line_id string, header_id string, nro_linea int, tipo_codigo string, nombre_item string, codigo string, "
     "descripcion string, cantidad decimal(18,6), precio_unitario decimal(18,6), monto_item decimal(18,2)"
 )
+ENRICHMENT = f"ai_category string, ai_subcategory string, ai_brand string, ai_attrs {ATTRS}, ai_confidence decimal(5,2)"
 FILES = "file_id string, filename string, status string, created_at timestamp"
 REJECTS = "file string, header_id string, reason string"
 HEALTH = "headers bigint, details bigint, violations_total bigint, score decimal(5,2)"
@@ -53,12 +54,12 @@ class Store:
         return self._read("run_logs", RUN_LOGS + ", load_id string")
 
     def read(self, table: str, but: str | None = None) -> DataFrame:
-        """Rows of committed loads, without load ``but``.
+        """Rows of committed loads, without load ``but``. A load that ended in ERROR is not committed.
 
         The list of loads is short, so this is a broadcast filter on the partition column.
         """
         rows = self._read(table, TABLES[table] + ", load_id string")
-        done = self.runs().select("load_id").distinct()
+        done = self.runs().filter("status <> 'ERROR'").select("load_id").distinct()
         if but is not None:
             rows, done = rows.filter(F.col("load_id") != but), done.filter(F.col("load_id") != but)
         return rows.join(done, "load_id", "left_semi")
@@ -66,6 +67,17 @@ class Store:
     def write(self, table: str, load_id: str, rows: DataFrame) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path(table)}/load_id={load_id}")
 
+    # ---- enrichment: one folder per taxonomy version and load
+
+    def enriched(self, version: str) -> DataFrame:
+        rows = self._read("enriched_lines", f"{LINES}, {ENRICHMENT}, ai_version string, load_id string")
+        return rows.filter(F.col("ai_version") == version)
+
+    def write_enriched(self, lines: DataFrame) -> None:
+        """Replaces the (version, load) folders given and leaves the others; appears only when complete."""
+        lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "ai_version", "load_id").parquet(self.path("enriched_lines"))
+
     # ---- health: one row per day, replaced by key
 
     def health(self) -> DataFrame:

@@ -1,12 +1,15 @@
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal as D
 
-from pyspark.sql import functions as F
+import pytest
 
+from folioflow.functions.taxonomy import FITTINGS
 from folioflow.operators import curated, listing
 from folioflow.plans import ingest
+from folioflow.plans.enrich import enrich_store, lines_with_enrichment
 from folioflow.plans.ingest import Run, alert, ingest_folder, initial_load
-from folioflow.plans.reports import publish_curated
+from folioflow.plans.reports import enrichment_overview, publish_curated
 from folioflow.schema import rule_catalogue
 from folioflow.sources.store import Store, append_violations, publish, write_export
 from folioflow.sources.text_documents import headers_from_text, text_files
@@ -214,3 +217,39 @@ def test_manual_parse_is_audited(spark, folder, tmp_path):
     got = sorted((r.action, r.user, r.status) for r in store.audit().collect())
     assert got == [("parse_all", "-", 0), ("xml_parse", "u@x", 303), ("xsd_invalid", "u@x", 422)]
     assert '"total_headers_now":2' in store.audit().filter("action = 'parse_all'").first().extra
+
+
+def test_a_failed_load_leaves_an_error_row_and_no_data(spark, folder, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    (folder / "a.xml").write_text(VALID)
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("rules are down")
+
+    monkeypatch.setattr(ingest, "find_violations", fail)
+    with pytest.raises(RuntimeError):
+        ingest_folder(store, str(folder), run("bad"), as_of=AS_OF)
+    row = store.runs().first()
+    assert (row.run_id, row.status, row.errors[0].message) == ("bad", "ERROR", "rules are down")
+    assert store.read("headers").count() == 0 and store.read("files").count() == 0
+    monkeypatch.undo()
+    assert ingest_folder(store, str(folder), run("good"), as_of=AS_OF).first().headers_inserted == 1
+    assert {r.run_id: r.status for r in store.runs().collect()} == {"bad": "ERROR", "good": "OK"}
+
+
+def test_stored_lines_are_enriched_load_by_load(spark, folder, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    code = "<CdgItem><VlrCodigo>60AR1</VlrCodigo></CdgItem>"
+    (folder / "a.xml").write_text(envelope(document(1, [line(1, "x", more=code), line(2, "espejo")])))
+    ingest_folder(store, str(folder), run("one"), as_of=AS_OF)
+    assert lines_with_enrichment(store).filter("ai_version IS NULL").count() == 2
+    assert enrich_store(store) == 2 and enrich_store(store) == 0
+    (folder / "b.xml").write_text(envelope(document(2, [line(1, "Zoé")])))
+    ingest_folder(store, str(folder), run("two"), as_of=AS_OF)
+    rows = {r.line_id: (r.ai_category, r.ai_version) for r in lines_with_enrichment(store).collect()}
+    assert rows == {"33:1:11111111-1#1": ("Sanitarios", "v0.2"), "33:1:11111111-1#2": ("Accesorios", "v0.2"), "33:2:11111111-1#1": (None, None)}
+    assert enrich_store(store) == 1 and enrich_store(store, force=True) == 3
+    other = replace(FITTINGS, version="v9")
+    assert enrich_store(store, other) == 3 and store.enriched("v9").count() == 3 and store.enriched("v0.2").count() == 3
+    overview = enrichment_overview(lines_with_enrichment(store))
+    assert overview["rates"].first().unenriched_rate == D("0.00") and overview["mix"].count() == 3 and overview["pairs"].count() == 0
