@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime, time, timedelta, timezone
+from functools import reduce
+from operator import and_
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -87,6 +92,30 @@ def local_day(ts: Column, zone: str = LOCAL_ZONE, stored_zone: str | None = "UTC
     return F.to_date(F.convert_timezone(source, F.lit(zone), ts.cast("timestamp_ntz")))
 
 
+def within_days(ts: Column, first: date | None, last: date | None, zone: str = LOCAL_ZONE,
+                stored_zone: str | None = "UTC") -> Column:
+    """True where ``local_day(ts)`` lies in ``first``..``last``; a missing bound is open.
+
+    For times kept in UTC, and for zoned ones, the bounds are turned into instants once and the bare
+    column is compared, so that the scan can skip row groups.
+    """
+    if stored_zone not in (None, "UTC"):
+        day = local_day(ts, zone, stored_zone)
+        low, high = (day >= F.lit(first), day <= F.lit(last))
+    else:
+        def midnight(day: date) -> Column:
+            instant = datetime.combine(day, time(), ZoneInfo(zone)).astimezone(timezone.utc)
+            if stored_zone is None:
+                return F.lit(instant)
+            return F.lit(instant.replace(tzinfo=None).isoformat(" ")).cast("timestamp_ntz")
+
+        stored = ts if stored_zone is None else ts.cast("timestamp_ntz")
+        low = stored >= midnight(first) if first else None
+        high = stored < midnight(last + timedelta(days=1)) if last else None
+    tests = [t for t, bound in ((low, first), (high, last)) if bound]
+    return reduce(and_, tests, F.lit(True))
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1_000_000)
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.functions.scalars import LOCAL_ZONE, health_score, local_day, run_status, score_band, seconds_between
+from folioflow.functions.scalars import LOCAL_ZONE, health_score, local_day, run_status, score_band, seconds_between, within_days
 from folioflow.operators.consistency import backlog
 
 DAILY_JOB = "etl_daily"
@@ -30,8 +30,8 @@ def daily_health(runs: DataFrame, job: str = DAILY_JOB, zone: str = LOCAL_ZONE,
     if day is None:
         counts = started.groupBy("day").agg(*sums)
     else:
-        wanted = F.lit(day).cast("date")
-        counts = started.filter(F.col("day") == wanted).agg(*sums).select(wanted.alias("day"), "*")
+        on_day = started.filter(within_days(F.col("started_at"), day, day, zone, stored_zone))
+        counts = on_day.agg(*sums).select(F.lit(day).cast("date").alias("day"), "*")
     return counts.withColumn("score", health_score(F.col("violations_total"), F.col("headers")))
 
 

@@ -11,7 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.functions.scalars import LOCAL_ZONE, local_day
+from folioflow.functions.scalars import LOCAL_ZONE, local_day, within_days
 
 MAX_DOCUMENTS = 5000
 
@@ -48,6 +48,11 @@ def between_days(df: DataFrame, day: Column, first, last) -> DataFrame:
     return df
 
 
+def between_local_days(df: DataFrame, ts: str, first, last, zone: str, stored_zone: str | None) -> DataFrame:
+    low, high = day_range(first, last)
+    return df.filter(within_days(F.col(ts), low, high, zone, stored_zone)) if low or high else df
+
+
 def _equal(df: DataFrame, **wanted) -> DataFrame:
     for name, value in wanted.items():
         if value:
@@ -141,7 +146,7 @@ def violations(enriched: DataFrame, *, code: str | None = None, level: str | Non
     wanted = str(header_id).strip() if header_id is not None else ""
     if wanted:
         out = out.filter(F.col("header_id") == wanted)
-    return between_days(out, F.col("created_on"), date_from, date_to)
+    return between_local_days(out, "created_at", date_from, date_to, zone, stored_zone)
 
 
 def audit_entries(log: DataFrame, *, user: str | None = None, path: str | None = None, method: str | None = None,
@@ -152,14 +157,14 @@ def audit_entries(log: DataFrame, *, user: str | None = None, path: str | None =
     code = number_argument(status)
     if code is not None:
         out = out.filter(F.col("status") == code)
-    return between_days(out, F.col("ts_on"), date_from, date_to)
+    return between_local_days(out, "ts", date_from, date_to, zone, stored_zone)
 
 
 def runs(log: DataFrame, *, job: str | None = None, status: str | None = None, source: str | None = None,
          started_from=None, started_to=None, zone: str = LOCAL_ZONE, stored_zone: str | None = None) -> DataFrame:
     out = log.withColumn("started_on", local_day(F.col("started_at"), zone, stored_zone))
     out = _like(_equal(out, job=job, status=status), source, "source")
-    return between_days(out, F.col("started_on"), started_from, started_to)
+    return between_local_days(out, "started_at", started_from, started_to, zone, stored_zone)
 
 
 def run_by_id(log: DataFrame, run_id: str) -> DataFrame:

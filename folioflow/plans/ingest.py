@@ -15,7 +15,7 @@ from folioflow.operators.dedupe import first_wins, only_new, split_rejects
 from folioflow.operators.health import DAILY_JOB, daily_health
 from folioflow.operators.quality import Limits, find_violations, violations_per_hundred
 from folioflow.schema import BUSINESS_KEY, HEADER_COLUMNS, RUN_LOGS
-from folioflow.session import work_folder
+from folioflow.session import discard, work_folder
 from folioflow.sources.store import Store
 from folioflow.sources.xml_documents import (
     WHOLE_FILE_BYTES, decoded, document_lines, file_name, file_verdicts, header_key, header_projection,
@@ -56,16 +56,19 @@ def load_documents(store: Store, pieces: DataFrame, run: Run, **options) -> Data
     A load that fails leaves an ERROR row and no visible data. Its files stay unregistered, so the
     next load takes them up.
     """
+    work = work_folder(store.spark, "load")
     try:
-        return _load(store, pieces, run, **options)
+        return _load(store, pieces, run, work, **options)
     except Exception as failure:
         store.write("run_logs", run.run_id, store.spark.createDataFrame([(
             run.run_id, run.job, run.source, run.started_at, datetime.now(timezone.utc), "ERROR", 0, 0, 0, 0, 0, 0, 0,
             [("load", str(failure)[:MESSAGE_CHARS], None)], run.note)], RUN_LOGS))
         raise
+    finally:
+        discard(store.spark, work)
 
 
-def _load(store: Store, pieces: DataFrame, run: Run, *, as_of: date | None = None, limits: Limits = Limits(),
+def _load(store: Store, pieces: DataFrame, run: Run, work: str, *, as_of: date | None = None, limits: Limits = Limits(),
           scope: str = "document", rules: DataFrame | None = None, zone: str = LOCAL_ZONE,
           barred: DataFrame | None = None) -> DataFrame:
     """Writes one load, its run log row last.
@@ -77,7 +80,6 @@ def _load(store: Store, pieces: DataFrame, run: Run, *, as_of: date | None = Non
     """
     spark, load_id = store.spark, run.run_id
     started = F.lit(run.started_at).cast("timestamp")
-    work = work_folder(spark, "load")
 
     staged_documents(pieces).write.parquet(f"{work}/staged")
     staged = spark.read.parquet(f"{work}/staged")

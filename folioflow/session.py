@@ -56,6 +56,12 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Removes a folder that ``work_folder`` named, once nothing reads it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 SPLIT_BYTES = 16 * 1024 * 1024
 
 

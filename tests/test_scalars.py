@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from folioflow.functions import scalars as s
@@ -91,3 +92,17 @@ def test_html_text(spark):
     html = "<html><title>T</title><style>p{}</style><script>var a='<p>';</script><p>a&nbsp;b<b>c</b>d<!-- x\n --> &lt;e&gt; &#233;&#xE9; &zz; & &#0;</p>"
     assert values(spark, visible_text(F.col("t")), html) == ["T a b c d <e> éé &zz; & &#0;"]
     assert values(spark, decode_entities(F.col("t")), "&amp;lt; &Oacute;", "none") == ["&lt; Ó", "none"]
+
+
+@pytest.mark.parametrize("stored", ["UTC", None, "America/Lima"])
+def test_day_bounds_agree_with_local_days(spark, stored):
+    # Hours around both clock changes of the zone, which happen at midnight, and around plain midnights.
+    hours = [dt.datetime(*d) + dt.timedelta(minutes=30 * i) for d in ((2024, 4, 6), (2024, 9, 7), (2024, 12, 31)) for i in range(96)]
+    kind = "timestamp" if stored is None else "timestamp_ntz"
+    df = spark.createDataFrame([(h.isoformat(" "),) for h in hours], "t string").select(F.col("t").cast(kind).alias("t"))
+    day = s.local_day(F.col("t"), stored_zone=stored)
+    bounds = [(dt.date(2024, 4, 6), dt.date(2024, 4, 7)), (dt.date(2024, 9, 8), dt.date(2024, 9, 8)), (None, dt.date(2024, 9, 7)), (dt.date(2025, 1, 1), None)]
+    for first, last in bounds:
+        want = (day >= F.lit(first) if first else F.lit(True)) & (day <= F.lit(last) if last else F.lit(True))
+        got = s.within_days(F.col("t"), first, last, stored_zone=stored)
+        assert df.filter(want != got).count() == 0 and 0 < df.filter(got).count() < df.count()
