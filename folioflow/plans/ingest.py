@@ -19,11 +19,11 @@ from folioflow.session import discard, work_folder
 from folioflow.sources.store import Store
 from folioflow.sources.xml_documents import (
     WHOLE_FILE_BYTES, decoded, document_lines, file_name, file_verdicts, header_key, header_projection,
-    line_projection, listed_files, scan_documents, unseen, xml_files, xsd_invalid,
+    line_projection, listed_files, literal_path, scan_documents, unseen, xml_files, xsd_invalid,
 )
 
-#: Up to this many file names are sent to every task; beyond it they are joined by shuffle.
-BROADCAST_FILES = 50_000
+#: Up to this many new files are opened by name; beyond it the folder is read and joined with the names.
+LISTED_FILES = 50_000
 
 
 #: Length of a failure's message in the run log.
@@ -106,8 +106,10 @@ def _load(store: Store, pieces: DataFrame, run: Run, work: str, *, as_of: date |
         return seen.get["n"]
 
     n_lines = observed("lines", document_lines(fresh))
+    # Sorted within files, so that day filters skip row groups.
     n_headers = observed("headers", fresh.select(
-        "header_id", F.col("file").alias("file_id"), *HEADER_COLUMNS, started.alias("created_at")))
+        "header_id", F.col("file").alias("file_id"), *HEADER_COLUMNS, started.alias("created_at")
+    ).sortWithinPartitions("fecha_emision", "header_id"))
 
     lines = spark.read.parquet(f"{store.path('lines')}/load_id={load_id}")
     headers = spark.read.parquet(f"{store.path('headers')}/load_id={load_id}")
@@ -163,16 +165,24 @@ def ingest_folder(store: Store, path: str, run: Run | None = None, *, whole_file
     spark, run = store.spark, run or Run()
     listed = listed_files(spark, path, modified_after)
     fresh = unseen(listed, store.read("files", but=run.run_id), retry_failed=retry_failed)
+    few = fresh.select("path").distinct().take(LISTED_FILES + 1)
     names = fresh.select("file").distinct()
-    few = len(names.limit(BROADCAST_FILES + 1).take(BROADCAST_FILES + 1)) <= BROADCAST_FILES
-    names = F.broadcast(names) if few else names
-
-    pieces = scan_documents(spark, path, whole_file_bytes=whole_file_bytes, split_encoding=split_encoding,
-                            modified_after=modified_after).join(names, "file", "left_semi")
+    if len(few) <= LISTED_FILES:
+        # Only these files are opened.
+        paths, chosen = [literal_path(r.path) for r in few] or path, names.limit(0) if not few else None
+    else:
+        # So many new files that the whole folder is read, as in a first load.
+        paths, chosen = path, names
+
+    def only_fresh(rows: DataFrame) -> DataFrame:
+        return rows if chosen is None else rows.join(chosen, "file", "left_semi")
+
+    pieces = only_fresh(scan_documents(spark, paths, whole_file_bytes=whole_file_bytes, split_encoding=split_encoding,
+                                       modified_after=modified_after))
     barred = None
     if xsd_paths:
-        texts = xml_files(spark, path, max_bytes=whole_file_bytes, modified_after=modified_after).join(
-            names, "file", "left_semi").select("file", decoded(F.col("content")).alias("text"))
+        texts = only_fresh(xml_files(spark, paths, max_bytes=whole_file_bytes, modified_after=modified_after)).select(
+            "file", decoded(F.col("content")).alias("text"))
         barred = xsd_invalid(texts, xsd_paths).select("file", F.concat(F.lit("xsd "), "kind").alias("reason"))
     return load_documents(store, pieces, run, barred=barred, **load)
 

@@ -7,6 +7,8 @@ closing document tag, so that many tasks share one file and none holds it whole.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,9 +64,14 @@ def xml_files(spark: SparkSession, path: Paths, *, max_bytes: int | None = WHOLE
 
 
 def listed_files(spark: SparkSession, path: Paths, modified_after: str | None = None) -> DataFrame:
-    """Names only: contents are not read."""
+    """(file, path): the name as documents carry it, and the path to read it by. Contents are not read."""
     return _xml_reader(spark, modified_after).format("binaryFile").load(path).select(
-        F.col("_metadata.file_path").alias("file"))
+        F.col("_metadata.file_path").alias("file"), "path")
+
+
+def literal_path(path: str) -> str:
+    """A path for a reader that would take brackets and stars for patterns."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
 
 
 def file_name(file: Column) -> Column:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from folioflow.plans.ingest import Run, load_documents
 from folioflow.sources.store import Store
-from folioflow.sources.xml_documents import WHOLE_FILE_BYTES, XML_NAMES, scan_documents
+from folioflow.sources.xml_documents import WHOLE_FILE_BYTES, XML_NAMES, literal_path, scan_documents
 
 #: Files per micro-batch; also the most names the driver holds at a time.
 FILES_PER_BATCH = 10_000
@@ -36,7 +34,7 @@ def stream_ingest(store: Store, path: str, checkpoint: str, *, name: str = "arri
 
     def load_batch(batch: DataFrame, number: int) -> None:
         # Bounded by files_per_batch.
-        paths = [re.sub(r"([*?\[\]{}\\])", r"\\\1", r.path) for r in batch.collect()]
+        paths = [literal_path(r.path) for r in batch.collect()]
         if not paths:
             return
         pieces = scan_documents(spark, paths, whole_file_bytes=whole_file_bytes, split_encoding=split_encoding)

@@ -39,7 +39,7 @@ def contents(store):
 
 def test_load_repeat_retry(spark, folder, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
-    (folder / "a.xml").write_text(VALID)
+    (folder / "a [1] b.xml").write_text(VALID)
     (folder / "b.xml").write_text(FAULTY)
     (folder / "c.xml").write_text(VALID[:-30])
     first = ingest_folder(store, str(folder), run("one"), as_of=AS_OF).first()
@@ -118,8 +118,8 @@ def test_xsd_bars_files(spark, folder, tmp_path):
     assert [e.message for e in row.errors] == ["xsd dte: 1"]
 
 
-def test_many_new_files_are_joined_without_broadcast(spark, folder, tmp_path, monkeypatch):
-    monkeypatch.setattr(ingest, "BROADCAST_FILES", 1)
+def test_many_new_files_are_read_with_their_folder(spark, folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "LISTED_FILES", 1)
     store = Store(spark, str(tmp_path / "store"))
     for i in range(3):
         (folder / f"{i}.xml").write_text(envelope(document(i + 1, [line()])))

@@ -105,7 +105,7 @@ def test_listing_reads_no_contents(spark, tmp_path):
     from folioflow.sources import xml_documents as xml
 
     (tmp_path / "a.xml").write_text("<x/>")
-    assert "ReadSchema: struct<>" in plan(xml.listed_files(spark, str(tmp_path)))
+    assert "ReadSchema: struct<path:string>" in plan(xml.listed_files(spark, str(tmp_path)))
     assert "LessThanOrEqual(length,100)" in plan(xml.xml_files(spark, str(tmp_path), max_bytes=100))
 
 
