@@ -32,7 +32,8 @@ def _minima(w: Column, span: int, kgram: int) -> Column:
     grams = F.transform(indices(F.size(w) - k + 1), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(k)]))
     if span == k:
         return grams
-    return let(grams, lambda g: F.transform(indices(F.size(g) - (span - k)), lambda i: F.array_min(F.slice(g, i + 1, span - k + 1))))
+    return let(grams, lambda g: F.transform(
+        indices(F.size(g) - (span - k)), lambda i: F.least(*[F.get(g, i + j) for j in range(span - k + 1)])))
 
 
 def _runs(w: Column, span: int, kgram: int) -> Column:

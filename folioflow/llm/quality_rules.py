@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import SPACED, indices, let, words
+from folioflow.llm.common import indices, let, words
 
 # Frequent function words of the corpus's languages.
 STOP_WORDS = {
@@ -72,7 +72,7 @@ def _repeated(w: Column) -> Column:
 def measures(text: Column) -> Column:
     """One-element array of a struct with every measure of the text."""
     text = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.regexp_like(x, F.lit(SPACED)))
+    lines = F.filter(F.split(text, "\n"), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))
     stop = sorted({x for ws in STOP_WORDS.values() for x in ws.split()})
     count = lambda c: c.cast("long")
 
