@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import decontaminate, quality_rules
+from folioflow.llm import decontaminate, pseudonyms, quality_rules
 from folioflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,20 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# ---- 1
+
+#: Key of the registered query; a production run passes its own secret.
+KEY = "check-key"
+
+
+@query("op1_pseudonyms")
+def op1_pseudonyms(spark, folder):
+    """Every document with personal values replaced, and whether any was."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    made = docs.withColumn("new_text", pseudonyms.pseudonymise(F.col("text"), KEY))
+    return made.select("doc_id", F.col("new_text").alias("text"), (~F.col("new_text").eqNullSafe(F.col("text"))).alias("changed"))
+
+
 # ---- 2
 
 CONTAMINATION_SQL = r"""
