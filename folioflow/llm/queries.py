@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import decontaminate, pseudonyms, quality_rules
+from folioflow.llm import decontaminate, near_duplicates, pseudonyms, quality_rules
 from folioflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,11 @@ def op6_quality_rules(spark, folder):
     judged = quality_rules.judge(table(spark, folder, "documents"), ["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                          "n_stop_words", "n_lines")
+
+
+# ---- 7
+
+@query("op7_near_duplicates")
+def op7_near_duplicates(spark, folder):
+    """Component of near-duplicates of every document, over shingles of four words."""
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"), width=4, percent=80)
