@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import decontaminate, near_duplicates, pseudonyms, quality_rules
+from folioflow.llm import byte_pairs, decontaminate, near_duplicates, pseudonyms, quality_rules
 from folioflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,11 @@ def op6_quality_rules(spark, folder):
 def op7_near_duplicates(spark, folder):
     """Component of near-duplicates of every document, over shingles of four words."""
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), width=4, percent=80)
+
+
+# ---- 9
+
+@query("op9_byte_pairs")
+def op9_byte_pairs(spark, folder):
+    """Number of tokens of every document, digests of its ids and of the decoded text."""
+    return byte_pairs.encode(table(spark, folder, "documents"), with_ids=False).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
