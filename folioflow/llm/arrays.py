@@ -19,7 +19,7 @@ _POWERS: list[np.ndarray] = []
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse, modulo 2^64."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 19)
         both = []
         for b in (_BASE, pow(_BASE, -1, 2**64)):
             p = np.full(size, b, np.uint64)
@@ -36,7 +36,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def portions(batch: pa.RecordBatch, text: str, size: int = 1 << 21) -> Iterator[tuple[int, list[bytes]]]:
+def portions(batch: pa.RecordBatch, text: str, size: int = 1 << 19) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts as UTF-8) in portions of about ``size`` bytes; null counts as empty."""
     first, held, total = 0, [], 0
     column = batch.column(batch.schema.get_field_index(text))

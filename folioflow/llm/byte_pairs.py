@@ -21,7 +21,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.llm.arrays import _BYTE, _powers, mix, portions
-from folioflow.llm.common import small, written
+from folioflow.llm.common import in_batches, small, written
 
 VOCABULARY = "byte_bpe_50k"
 #: Bytes the rolling hash sees; one safe place in ``SAFE_CUT`` and one character in ``ANY_CUT`` is a cut.
@@ -44,13 +44,9 @@ class Encoder:
 
     def __init__(self, name: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        file = public_tokenizers.path(f"{name}.json")
-        self.exact = Tokenizer.from_file(file)
-        self.exact.no_truncation()
-        self.exact.no_padding()
-        with open(file) as f:
+        self.file = public_tokenizers.path(f"{name}.json")
+        with open(self.file) as f:
             self.special = {x["content"]: x["id"] for x in json.load(f)["added_tokens"]}
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -60,6 +56,15 @@ class Encoder:
         self.lengths = np.zeros(max(self.bytes) + 1, np.int64)
         self.lengths[list(self.bytes)] = [len(b) for b in self.bytes.values()]
 
+    @cached_property
+    def exact(self):
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self.file)
+        made.no_truncation()
+        made.no_padding()
+        return made
+
     def encode(self, raw: bytes) -> np.ndarray:
         text = raw.decode("utf-8")
         if _RARE.search(text) or any(s in text for s in self.special):
@@ -219,19 +224,19 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabula
     """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("key"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
-    met = written(rows.select("key", "text").mapInArrow(_cut, "key bigint, chunks array<bigint>"), "chunks").select("key", F.explode("chunks").alias("chunk"))
+    met = written(in_batches(rows.select("key", "text"), _cut, "key bigint, chunks array<bigint>"), "chunks").select("key", F.explode("chunks").alias("chunk"))
     shared = met.groupBy("chunk").agg(F.count("*").alias("n"), F.min("key").alias("owner")).where("n > 1").select("chunk", "owner")
     needs = met.distinct().join(shared, "chunk").groupBy("key").agg(
         F.collect_list(F.struct("chunk", (F.col("owner") == F.col("key")).alias("own"))).alias("needs"))
     needs = small(written(needs, "needs"))
-    first = written(rows.join(needs, "key", "left").select("doc_id", "key", "text", "needs")
-                    .mapInArrow(_encode(vocabulary, with_ids), _ddl(_FIRST)), "encoded")
+    first = written(in_batches(rows.join(needs, "key", "left").select("doc_id", "key", "text", "needs"),
+                               _encode(vocabulary, with_ids), _ddl(_FIRST)), "encoded")
     waiting = first.where("text IS NOT NULL")
     made = first.where("chunk IS NOT NULL").select("chunk", "ids").dropDuplicates(["chunk"])
     sent = (waiting.select("key", F.explode("shared").alias("chunk")).distinct().join(made, "chunk")
             .groupBy("key").agg(F.collect_list(F.struct("chunk", "ids")).alias("sent")))
-    rest = waiting.select("doc_id", "key", "text").join(sent, "key", "left").select("doc_id", "text", "sent").mapInArrow(
-        _assemble(vocabulary, with_ids), _ddl(_LAST))
+    rest = in_batches(waiting.select("doc_id", "key", "text").join(sent, "key", "left").select("doc_id", "text", "sent"),
+                      _assemble(vocabulary, with_ids), _ddl(_LAST))
     return first.where("n_tokens IS NOT NULL").select(*_LAST.names).union(rest)
 
 
@@ -243,4 +248,4 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             texts = [None if x is None else enc.decode(np.frombuffer(x, "<u4")).decode("utf-8", "replace") for x in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
+    return in_batches(encoded.select("doc_id", "ids"), run, "doc_id bigint, text string")

@@ -60,3 +60,15 @@ def indices(n: Column) -> Column:
 def crc_of(column: str) -> Column:
     """crc32 of an id written as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
+
+
+def in_batches(rows: DataFrame, run: Callable, schema: str, records: int = 1000) -> DataFrame:
+    """``mapInArrow`` over batches of at most ``records`` rows.
+
+    A batch of whole texts must fit into a Python worker several times over; Spark's own limit of 10,000 rows is made for
+    short rows. The limit is a session setting, lowered here if it is higher and never raised.
+    """
+    conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= records:
+        conf.set(name, str(records))
+    return rows.mapInArrow(run, schema)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.llm.arrays import Words, mix, portions
-from folioflow.llm.common import written
+from folioflow.llm.common import in_batches, written
 
 WIDTH, PERCENT = 5, 80
 ROWS, BANDS = 5, 32
@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     their component is null and they are kept. Ties: the smallest id represents a component. An empty table gives no rows.
     """
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    feats = written(docs.mapInArrow(_features(width), "doc_id bigint, node bigint, n bigint, bands array<bigint>, sig binary"), "features")
+    feats = written(in_batches(docs, _features(width), "doc_id bigint, node bigint, n bigint, bands array<bigint>, sig binary"), "features")
     linkable = feats.where("node IS NOT NULL AND doc_id IS NOT NULL")
     banded = linkable.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket", "lo")
@@ -250,16 +250,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         """Pairs (a, b) that are alike."""
         if not compared:
             s = nodes.select("node", "sig")
-            pairs = (pairs.join(s.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a")
-                     .join(s.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b").select("a", "b", "x", "y")
-                     .mapInArrow(_prune(percent), "a bigint, b bigint"))
+            pairs = in_batches(pairs.join(s.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a")
+                               .join(s.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b").select("a", "b", "x", "y"),
+                               _prune(percent), "a bigint, b bigint")
         pairs = written(pairs, "survivors")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node")
-        sets = written(docs.join(wanted.select("doc_id", "node"), "doc_id").select("doc_id", "node", "text")
-                       .mapInArrow(_sets(width), "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
-        return (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-                .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-                .mapInArrow(_jaccard(percent), "a bigint, b bigint"))
+        texts = docs.join(wanted.select("doc_id", "node"), "doc_id").select("doc_id", "node", "text")
+        sets = written(in_batches(texts, _sets(width), "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
+        return in_batches(pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+                          .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y"),
+                          _jaccard(percent), "a bigint, b bigint")
 
     links = written(confirm(members.where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()), "links")
     for last in (False, True):
@@ -277,8 +277,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
                  .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp")
                  .join(nodes.select("node", "sig"), "node"))
-        across = (dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-                  .select("bucket", "i", "j", "own", "node", "comp", "sig").mapInArrow(_blocks(percent), "a bigint, b bigint").distinct())
+        dealt = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").select("bucket", "i", "j", "own", "node", "comp", "sig")
+        across = in_batches(dealt, _blocks(percent), "a bigint, b bigint").distinct()
         links = written(links.union(confirm(across, compared=True)), "links")
     comps = written(components(links), "components")
 
