@@ -2,9 +2,9 @@
 
 1. Each text becomes its set of word shingles, as 64-bit hashes, a digest of that set, a signature of ``ROWS * BANDS``
    minima and one bucket key per band. Documents with the same set are one node from here on.
-2. Within a bucket nodes are first linked to its smallest node only, so a group of any size gives linearly many candidates.
-   Candidates are verified; components of confirmed links are found. What is still in different components of a
-   bucket is linked to a node of the largest component label, again linearly.
+2. Within a bucket of the first bands nodes are linked to its smallest node only, so a group of any size gives linearly
+   many candidates. Candidates are verified; components of confirmed links are found. What is still in different components
+   of a bucket of any band is linked to a node of the largest component label, again linearly.
 3. For buckets that then still hold several components, all remaining pairs across components are compared, in
    blocks of nodes that are dealt to tasks; only pairs whose signatures pass leave a block.
 4. Verification compares signatures batch by batch. After each, a pair is dropped if the posterior
@@ -34,6 +34,8 @@ WIDTH, PERCENT = 5, 80
 ROWS, BANDS = 5, 32
 MISS = 1e-6
 STEP = 32
+#: Bands whose buckets are linked first; the other bands then only link what these left apart.
+FIRST_BANDS = 4
 BLOCK = 512
 
 _RNG = np.random.default_rng(77)
@@ -240,9 +242,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     feats = written(in_batches(docs, _features(width), "doc_id bigint, node bigint, n bigint, bands array<bigint>, sig binary"), "features")
     linkable = feats.where("node IS NOT NULL AND doc_id IS NOT NULL")
-    banded = linkable.select("node", F.explode("bands").alias("bucket"))
+    banded = linkable.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket", "lo")
-    members = written(banded.join(shared, "bucket").groupBy("bucket", "lo", "node").agg(F.lit(1).alias("one")).select("bucket", "lo", "node"), "members")
+    members = written(banded.join(shared, "bucket").select("bucket", "band", "lo", "node").distinct(), "members")
     nodes = written(linkable.join(members.select("node").distinct(), "node", "left_semi")
                     .groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), "nodes")
 
@@ -261,7 +263,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                           .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y"),
                           _jaccard(percent), "a bigint, b bigint")
 
-    links = written(confirm(members.where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()), "links")
+    links = written(confirm(members.where((F.col("node") != F.col("lo")) & (F.col("band") < FIRST_BANDS)).select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()), "links")
     for last in (False, True):
         comps = written(components(links), "components")
         told = members.select("bucket", "node").join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
