@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,4 +75,12 @@ def in_batches(rows: DataFrame, run: Callable, schema: str, records: int = 1000)
     conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(name)) <= records:
         conf.set(name, str(records))
-    return rows.mapInArrow(run, schema)
+    task, root = cloudpickle.dumps(run), str(Path(__file__).resolve().parents[2])
+
+    def there(batches):
+        # Workers of a local session started elsewhere do not have this package on their path.
+        if root not in sys.path:
+            sys.path.append(root)
+        yield from pickle.loads(task)(batches)
+
+    return rows.mapInArrow(there, schema)

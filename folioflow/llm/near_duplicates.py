@@ -6,7 +6,8 @@
    many candidates. Candidates are verified; components of confirmed links are found. What is still in different components
    of a bucket of any band is linked to a node of the largest component label, again linearly.
 3. For buckets that then still hold several components, all remaining pairs across components are compared, in
-   blocks of nodes that are dealt to tasks; only pairs whose signatures pass leave a block.
+   blocks of nodes that are dealt to tasks: first by signature, which leaves the nodes with candidates, then these on full sets.
+   A block gives confirmed links only, and none between nodes that earlier ones of the block already join.
 4. Verification compares signatures batch by batch. After each, a pair is dropped if the posterior
    probability that its similarity reaches the threshold is below ``MISS`` (uniform prior). Survivors
    are confirmed on their full shingle sets.
@@ -168,24 +169,8 @@ def _sets(width: int):
     return run
 
 
-def _blocks(percent: int):
-    """Runs of rows of one block pair -> pairs across components whose signatures pass."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def compare(part: pa.Table):
-        node, comp = part["node"].to_numpy(), part["comp"].to_numpy()
-        own = part["own"].to_numpy()
-        sig = _signatures(part["sig"].combine_chunks())
-        one, two = part["i"][0].as_py(), part["j"][0].as_py()
-        left, right = np.flatnonzero(own == one), np.flatnonzero(own == two)
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((node[right] > node[x]) if one == two else True)]
-            if len(y):
-                y = y[may_be_alike(np.broadcast_to(sig[x], (len(y), sig.shape[1])), sig[y], percent)]
-                if len(y):
-                    pair = np.sort(np.stack((np.full(len(y), node[x]), node[y])), axis=0)
-                    yield pa.record_batch([pa.array(pair[0]), pa.array(pair[1])], schema=schema)
-
+def _pair_blocks(compare, schema: pa.Schema):
+    """Applies ``compare`` to each run of rows of one (bucket, i, j): the nodes of one or two blocks of a bucket."""
     def run(batches):
         held = None
         for batch in batches:
@@ -202,7 +187,70 @@ def _blocks(percent: int):
         if held is not None and held.num_rows:
             yield from compare(held)
 
-    return run
+    def made(batches):
+        for columns in run(batches):
+            yield pa.record_batch([pa.array(c) for c in columns], schema=schema)
+
+    return made
+
+
+def _candidates(part: pa.Table, percent: int):
+    """(x, ys): places in ``part`` of nodes in different components whose signatures pass.
+
+    Two nodes may share several buckets; only the first band that they share tells of them.
+    """
+    node, comp, own = (part[c].to_numpy() for c in ("node", "comp", "own"))
+    sig = _signatures(part["sig"].combine_chunks())
+    bands = part["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    one, two, band = part["i"][0].as_py(), part["j"][0].as_py(), part["band"][0].as_py()
+    left, right = np.flatnonzero(own == one), np.flatnonzero(own == two)
+    for x in left:
+        y = right[(comp[right] != comp[x]) & ((node[right] > node[x]) if one == two else True)]
+        y = y[(bands[y] == bands[x]).argmax(axis=1) == band]
+        y = y[may_be_alike(np.broadcast_to(sig[x], (len(y), sig.shape[1])), sig[y], percent)]
+        if len(y):
+            yield x, y
+
+
+_NEAR = pa.schema([("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("node", pa.int64())])
+
+
+def _near(percent: int):
+    """Nodes with a candidate in the block pair."""
+    def compare(part: pa.Table):
+        places = {int(p) for x, ys in _candidates(part, percent) for p in (x, *ys)}
+        if places:
+            at = np.array(sorted(places))
+            yield [part[c].to_numpy()[at] for c in ("bucket", "i", "j", "node")]
+
+    return _pair_blocks(compare, _NEAR)
+
+
+def _confirm_blocks(percent: int):
+    """Links among the nodes of a block pair, confirmed on full sets; none between nodes that others already join."""
+    def compare(part: pa.Table):
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in part["shingles"].combine_chunks()]
+        node, comp = part["node"].to_numpy(), part["comp"].to_numpy()
+        lead = {c: c for c in comp.tolist()}
+
+        def top(c):
+            while lead[c] != c:
+                c = lead[c]
+            return c
+
+        found = []
+        for x, ys in _candidates(part, percent):
+            for y in ys:
+                a, b = top(int(comp[x])), top(int(comp[y]))
+                if a != b:
+                    both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                    if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                        lead[a] = b
+                        found.append((node[x], node[y]))
+        if found:
+            yield list(np.array(found).T)
+
+    return _pair_blocks(compare, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -246,19 +294,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shared = banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket", "lo")
     members = written(banded.join(shared, "bucket").select("bucket", "band", "lo", "node").distinct(), "members")
     nodes = written(linkable.join(members.select("node").distinct(), "node", "left_semi")
-                    .groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), "nodes")
+                    .groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
 
-    def confirm(pairs: DataFrame, compared: bool = False) -> DataFrame:
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """(node, shingles) of the nodes wanted, from the text of one document each."""
+        source = wanted.distinct().join(nodes.select("node", "doc_id"), "node")
+        texts = docs.join(source, "doc_id").select("doc_id", "node", "text")
+        return written(in_batches(texts, _sets(width), "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
+
+    def confirm(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that are alike."""
-        if not compared:
-            s = nodes.select("node", "sig")
-            pairs = in_batches(pairs.join(s.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a")
-                               .join(s.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b").select("a", "b", "x", "y"),
-                               _prune(percent), "a bigint, b bigint")
+        s = nodes.select("node", "sig")
+        pairs = in_batches(pairs.join(s.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a")
+                           .join(s.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b").select("a", "b", "x", "y"),
+                           _prune(percent), "a bigint, b bigint")
         pairs = written(pairs, "survivors")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node")
-        texts = docs.join(wanted.select("doc_id", "node"), "doc_id").select("doc_id", "node", "text")
-        sets = written(in_batches(texts, _sets(width), "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
         return in_batches(pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
                           .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y"),
                           _jaccard(percent), "a bigint, b bigint")
@@ -266,7 +317,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = written(confirm(members.where((F.col("node") != F.col("lo")) & (F.col("band") < FIRST_BANDS)).select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()), "links")
     for last in (False, True):
         comps = written(components(links), "components")
-        told = members.select("bucket", "node").join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+        told = members.select("bucket", "band", "node").join(comps, "node", "left").select("bucket", "band", "node", F.coalesce("comp", "node").alias("comp"))
         mixed = told.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"),
                                            F.max_by("node", "comp").alias("centre")).where("lo <> hi")
         rest = told.join(mixed, "bucket")
@@ -277,11 +328,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
         dealt = (rest.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
                  .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-                 .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp")
-                 .join(nodes.select("node", "sig"), "node"))
-        dealt = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").select("bucket", "i", "j", "own", "node", "comp", "sig")
-        across = in_batches(dealt, _blocks(percent), "a bigint, b bigint").distinct()
-        links = written(links.union(confirm(across, compared=True)), "links")
+                 .select("bucket", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp"))
+
+        def in_blocks(rows: DataFrame, run, schema: str, *more: str) -> DataFrame:
+            rows = rows.join(nodes.select("node", "sig", "bands"), "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+            return in_batches(rows.select("bucket", "i", "j", "band", "own", "node", "comp", "sig", "bands", *more), run, schema)
+
+        near = written(in_blocks(dealt, _near(percent), "bucket bigint, i int, j int, node bigint"), "near")
+        full = dealt.join(near, ["bucket", "i", "j", "node"]).join(sets_of(near.select("node")), "node")
+        links = written(links.union(in_blocks(full, _confirm_blocks(percent), "a bigint, b bigint", "shingles")), "links")
     comps = written(components(links), "components")
 
     classes = linkable.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
