@@ -12,6 +12,7 @@ _BYTE = _RNG.integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
 _BYTE[65:91] = _BYTE[97:123]  # A-Z as a-z
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+_NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
 
@@ -52,14 +53,15 @@ def portions(batch: pa.RecordBatch, text: str, size: int = 1 << 19) -> Iterator[
 
 
 class Words:
-    """Words between white space of some texts, A-Z lower-cased: 64-bit hashes in order, and where each text's begin.
+    """Words of some texts, A-Z lower-cased: 64-bit hashes in order, and where each text's begin.
 
+    Words stand between white space, or with ``alnum`` between all ASCII but letters and digits.
     ``start`` and ``end`` are byte places in ``data``, the texts joined by line feeds.
     """
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], alnum: bool = False):
         self.data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-        space = _SPACE[self.data]
+        space = (_NOT_ALNUM if alnum else _SPACE)[self.data]
         edge = np.flatnonzero(np.diff(np.concatenate(([True], space)).view(np.int8)))
         self.start, self.end = edge[::2], edge[1::2]
         power, inverse = _powers(len(self.data))

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import byte_pairs, decontaminate, near_duplicates, pseudonyms, quality_rules
+from folioflow.llm import (byte_pairs, class_ngrams, decontaminate, licences, main_text, near_duplicates, pseudonyms, quality_rules,
+                           token_rollups, toxicity)
 from folioflow.llm.common import table
+from folioflow.session import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,6 +67,49 @@ def op2_decontamination(spark, folder):
                         decontaminate.is_contaminated().alias("contaminated"))
 
 
+# ---- 3
+
+@query("op3_main_text")
+def op3_main_text(spark, folder):
+    """Main text of every page."""
+    return main_text.main_texts(table(spark, folder, "pages"))
+
+
+# ---- 4
+
+@query("op4_class_ngrams")
+def op4_class_ngrams(spark, folder):
+    """Every document under a class bigram model of six sevenths of them, beside add-one unigrams."""
+    return class_ngrams.score(table(spark, folder, "documents"))
+
+
+# ---- 5
+
+SYMBOLS = r"[#*$%&|<>]"
+
+
+@query("op5_token_rollups", r"""
+  WITH d AS (SELECT source, lang, coalesce(text, '') AS t, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS spaced,
+      len(regexp_extract_all(coalesce(text, ''), '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS alnum FROM documents)
+  SELECT source, lang, 'alnum-1' AS version, count(*) AS docs, CAST(sum(alnum) AS BIGINT) AS tokens FROM d WHERE spaced >= 50 GROUP BY source, lang
+  UNION ALL
+  SELECT source, lang, 'spaced-1', count(*), CAST(sum(CASE WHEN regexp_matches(t, '[#*$%&|<>]') THEN alnum ELSE spaced END) AS BIGINT)
+  FROM d WHERE spaced >= 50 GROUP BY source, lang""")
+def op5_token_rollups(spark, folder):
+    """Totals after four batches over all documents: two loads, one of them committed twice; a revision of the counts of texts
+    with symbols; a deletion of texts of fewer than 50 words."""
+    docs = table(spark, folder, "documents").select("source", "lang", "text")
+    spaced, alnum = token_rollups.count(F.col("text"), "spaced-1"), token_rollups.count(F.col("text"), "alnum-1")
+    sums = token_rollups.Rollup(spark, work_folder(spark, "rollup"))
+    sums.commit("load-spaced", token_rollups.inserted(docs, "spaced-1"))
+    sums.commit("load-alnum", token_rollups.inserted(docs, "alnum-1"))
+    sums.commit("load-alnum", token_rollups.inserted(docs, "alnum-1"))
+    long, short = docs.where(spaced >= 50), docs.where(~(spaced >= 50))
+    sums.commit("revise", token_rollups.revised(long.where(F.col("text").rlike(SYMBOLS)), "spaced-1", spaced, alnum))
+    sums.commit("delete", token_rollups.deleted(short, "spaced-1").union(token_rollups.deleted(short, "alnum-1")))
+    return sums.totals()
+
+
 # ---- 6
 
 _STOP = ", ".join(f"'{w}'" for w in sorted({x for ws in quality_rules.STOP_WORDS.values() for x in ws.split()}))
@@ -111,9 +156,30 @@ def op7_near_duplicates(spark, folder):
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), width=4, percent=80)
 
 
+# ---- 8
+
+@query("op8_licences")
+def op8_licences(spark, folder):
+    """Licence of every document, laid out as files: source/language/document; one that ends with a licence line is its directory's."""
+    docs = table(spark, folder, "documents")
+    last = F.element_at(F.split(F.coalesce("text", F.lit("")), "\n"), -1)
+    name = F.concat(F.when(F.regexp_like(last, F.lit(licences.HINT)), F.lit("LICENSE-")).otherwise(F.lit("doc-")), F.col("doc_id").cast("string"))
+    files = docs.select(F.concat_ws("/", F.col("source"), F.col("lang"), name).alias("path"), "text")
+    return licences.scan(files)
+
+
 # ---- 9
 
 @query("op9_byte_pairs")
 def op9_byte_pairs(spark, folder):
     """Number of tokens of every document, digests of its ids and of the decoded text."""
     return byte_pairs.encode(table(spark, folder, "documents"), with_ids=False).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+# ---- 10
+
+@query("op10_toxicity")
+def op10_toxicity(spark, folder):
+    """Toxicity of every document."""
+    docs = table(spark, folder, "documents")
+    return toxicity.toxicity(docs, toxicity.train(docs, table(spark, folder, "labels")))
