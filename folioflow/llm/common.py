@@ -16,7 +16,7 @@ from folioflow.session import work_folder
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words: white space (blank and \t \n \v \f \r), or all ASCII but letters and digits.
 SPACED = r"[\x20\x09-\x0D]+"
-ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ALNUM = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: The most rows of a small table that are sent to every executor; larger ones are shuffled.
 BROADCAST_ROWS = 200_000
 
