@@ -293,8 +293,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     banded = linkable.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket", "lo")
     members = written(banded.join(shared, "bucket").select("bucket", "band", "lo", "node").distinct(), "members")
-    nodes = written(linkable.join(members.select("node").distinct(), "node", "left_semi")
-                    .groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
+    # Copies are summed up before the shuffle, so that a set that many documents have is no hot key.
+    single = linkable.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    nodes = written(single.join(members.select("node").distinct(), "node", "left_semi"), "nodes")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         """(node, shingles) of the nodes wanted, from the text of one document each."""
