@@ -29,7 +29,9 @@ from folioflow.llm.common import crc_of, in_batches, written
 
 FREQUENT, ENDINGS, CLASSES = 8192, 2048, 24
 PASSES = 4
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
+#: Tokens that are counted at once.
+SLICE = 1 << 19
 TRANSITION, EMISSION = 0.1, 0.5
 UNITS = FREQUENT + ENDINGS + 1  # the last is the end token, alone in the last class
 CHUNKS = 64
@@ -98,7 +100,7 @@ def _words(batches):
 
 def _units(vocab: np.ndarray, bins: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """``frequent``: hashes in order of their value."""
-    unit = FREQUENT + bins.astype(np.int64)
+    unit = bins + np.uint16(FREQUENT)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, vocab), len(frequent) - 1)
         known = frequent[at] == vocab
@@ -106,12 +108,9 @@ def _units(vocab: np.ndarray, bins: np.ndarray, frequent: np.ndarray) -> np.ndar
     return unit
 
 
-def _sequence(r: dict, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Units of all documents, each with its end token; units before them; document of each place."""
-    n = np.diff(r["first"])
-    now = np.insert(unit[r["tokens"]], r["first"][1:], UNITS - 1)
-    before = np.concatenate(([UNITS - 1], now[:-1]))
-    return now, before, np.repeat(np.arange(len(n)), n + 1)
+def _sequence(r: dict, unit: np.ndarray) -> np.ndarray:
+    """An end token, then the units of all documents, each with its end token."""
+    return np.concatenate(([np.uint16(UNITS - 1)], np.insert(unit[r["tokens"]], r["first"][1:], UNITS - 1)))
 
 
 def _contexts(classes: np.ndarray, frequent: np.ndarray):
@@ -121,11 +120,13 @@ def _contexts(classes: np.ndarray, frequent: np.ndarray):
         for batch in batches:
             for row in batch.to_pylist():
                 r = _read(row)
-                now, before, doc = _sequence(r, _units(r["vocab"], r["bins"], frequent))
-                learn = ~np.array(row["held"], bool)[doc]
-                now, before = now[learn], before[learn]
-                sums[0] += np.bincount(now * CLASSES + classes[before], minlength=sums.shape[1])
-                sums[1] += np.bincount(before * CLASSES + classes[now], minlength=sums.shape[1])
+                all_units = _sequence(r, _units(r["vocab"], r["bins"], frequent))
+                learn = np.repeat(~np.array(row["held"], bool), np.diff(r["first"]) + 1)
+                for at in range(0, len(learn), SLICE):
+                    keep = learn[at:at + SLICE]
+                    now, before = (all_units[at + j:at + j + len(keep)][keep].astype(np.int64) for j in (1, 0))
+                    sums[0] += np.bincount(now * CLASSES + classes[before], minlength=sums.shape[1])
+                    sums[1] += np.bincount(before * CLASSES + classes[now], minlength=sums.shape[1])
         parts = np.array_split(sums.reshape(-1), CHUNKS)
         yield pa.record_batch([pa.array(np.arange(CHUNKS, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["chunk", "sums"])
 
@@ -161,7 +162,7 @@ def exchange(classes: np.ndarray, counts: np.ndarray, turn: int) -> np.ndarray:
     """Moves every second unit, the frequent first, to the class that gains most."""
     before, after = counts.astype(float)
     pairs = np.zeros((CLASSES, CLASSES))
-    np.add.at(pairs.T, classes, before)  # pairs[previous, own]
+    np.add.at(pairs.T, classes.astype(int), before)  # pairs[previous, own]
     classes = classes.copy()
     for u in np.argsort(-before.sum(axis=1), kind="stable"):
         if u == UNITS - 1 or not before[u].any() or (turn and u % 2 != turn % 2):
@@ -206,14 +207,14 @@ def _fit(blocks: DataFrame, counted: DataFrame) -> Model:
     for r in rest:
         tokens[FREQUENT + r["bin"]], kinds[FREQUENT + r["bin"]] = r["n"], r["v"]
 
-    classes = np.full(UNITS, CLASSES - 2)
+    classes = np.full(UNITS, CLASSES - 2, np.int8)
     first = np.argsort(-tokens[:FREQUENT], kind="stable")[:CLASSES - 2]
     classes[first] = np.arange(len(first))
     classes[UNITS - 1] = CLASSES - 1
     for turn in range(PASSES):
         classes = exchange(classes, contexts(blocks, classes, frequent), turn)
     pairs = np.zeros((CLASSES, CLASSES))
-    np.add.at(pairs.T, classes, contexts(blocks, classes, frequent)[0].astype(float))
+    np.add.at(pairs.T, classes.astype(int), contexts(blocks, classes, frequent)[0].astype(float))
     ends = pairs[:, CLASSES - 1].sum()
     transition = np.log10((pairs + TRANSITION) / (pairs.sum(axis=1, keepdims=True) + TRANSITION * CLASSES))
     class_tokens, class_words = np.bincount(classes, tokens, CLASSES), np.bincount(classes, kinds, CLASSES)
@@ -235,12 +236,13 @@ def _score(m: Model, ends: int):
             own = m.classes[unit]
             emit = np.log10((c + EMISSION) / (m.class_tokens[own] + EMISSION * (m.class_words[own] + 1)))
             base = np.log10((c + 1) / (m.train_tokens + m.train_words + 1))
-            now, before, doc = _sequence(r, unit)
+            chain = m.classes[_sequence(r, unit)]
             n = np.diff(r["first"])
+            doc = np.repeat(np.arange(len(n)), n + 1)
             token_doc = np.repeat(np.arange(len(n)), n)
             add = lambda v, d: np.bincount(d, v, minlength=len(n))
             end_base = np.log10((ends + 1) / (m.train_tokens + m.train_words + 1))
-            score = add(emit[r["tokens"]], token_doc) + add(m.transition[m.classes[before], m.classes[now]], doc)
+            score = add(emit[r["tokens"]], token_doc) + add(m.transition[chain[:-1], chain[1:]], doc)
             known = add((c > 0)[r["tokens"]].astype(float), token_doc).astype(np.int64) + (ends > 0)
             out.append(pa.table([pa.array(row["ids"], pa.int64()), pa.array(row["held"], pa.bool_()), pa.array(n + 1), pa.array(known),
                                  pa.array(np.full(len(n), m.train_tokens)), pa.array(add(base[r["tokens"]], token_doc) + end_base), pa.array(score)], names=names))
