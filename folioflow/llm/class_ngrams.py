@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -29,7 +30,7 @@ from folioflow.llm.common import crc_of, in_batches, written
 
 FREQUENT, ENDINGS, CLASSES = 8192, 2048, 24
 PASSES = 4
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 #: Tokens that are counted at once.
 SLICE = 1 << 19
 TRANSITION, EMISSION = 0.1, 0.5
@@ -61,7 +62,7 @@ def _blocks(batches):
         learn = ~np.repeat(np.array(held, bool), sizes)
         train = np.bincount(tokens[learn], minlength=len(vocab))
         first = np.concatenate(([0], np.cumsum(sizes)))
-        binary = lambda x, kind: [x.astype(kind).tobytes()]
+        binary = lambda x, kind: [zstandard.compress(x.astype(kind).tobytes(), 1)]
         return pa.record_batch([pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array(binary(vocab[order], "<u8"), pa.binary()),
                                 pa.array(binary(b[at][order], "<u2"), pa.binary()), pa.array(binary(train, "<u4"), pa.binary()), pa.array(binary(tokens, "<u4"), pa.binary()),
                                 pa.array(binary(first, "<i8"), pa.binary()), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_()))], schema=_BLOCK)
@@ -84,7 +85,7 @@ def _blocks(batches):
 
 
 def _read(row: dict) -> dict[str, np.ndarray]:
-    return {n: np.frombuffer(row[n], k) for n, k in (("vocab", "<u8"), ("bins", "<u2"), ("train", "<u4"), ("tokens", "<u4"), ("first", "<i8"))}
+    return {n: np.frombuffer(zstandard.decompress(row[n]), k) for n, k in (("vocab", "<u8"), ("bins", "<u2"), ("train", "<u4"), ("tokens", "<u4"), ("first", "<i8"))}
 
 
 def _words(batches):
