@@ -42,7 +42,7 @@ def terms(text: Column) -> Column:
 def templates(spark: SparkSession, texts: dict[str, str] | None = None) -> tuple[DataFrame, float]:
     """(template, term, weight) with unit norm per template and (by ``idf``) the weights of terms, and that of unknown terms."""
     texts = TEMPLATES if texts is None else texts
-    rows = spark.createDataFrame(sorted(texts.items()), "template string, text string")
+    rows = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(k).alias("template"), F.lit(v).alias("text")) for k, v in sorted(texts.items())])))
     counted = rows.select("template", F.explode(terms(F.col("text"))).alias("term")).groupBy("template", "term").agg(F.count("*").alias("tf"))
     n = len(texts)
     seen = counted.groupBy("term").agg((F.log((F.lit(1.0) + n) / (1 + F.count("*"))) + 1).alias("idf"))

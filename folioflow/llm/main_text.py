@@ -37,6 +37,7 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 NAMES = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
                   "sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments commentlist respond disqus share sharing "
                   "social related recommended newsletter subscribe subscription popup modal overlay widget login signup search skip pagination pager toolbar".split())
+_OPENING = re.compile(r"<[A-Za-z/!?]")
 _TOKENS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
@@ -171,8 +172,10 @@ def extract(html: str | None) -> str:
     """The main text; empty for null, empty or text-free pages."""
     if not html:
         return ""
+    tail = html.rfind(">") + 1
+    unfinished = _OPENING.search(html, tail)  # a tag that the page breaks off in
     tree = Tree()
-    tree.feed(html)
+    tree.feed(html[:unfinished.start()] if unfinished else html)
     tree.close()
     nodes = _in_order(tree.root)
     _measure(nodes)

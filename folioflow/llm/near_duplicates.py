@@ -353,8 +353,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_first(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One document of each component, all columns as they were; rows repeated with id and text stay once."""
-    dropped = near_duplicates(docs, width=width, percent=percent).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
-    left = docs.join(dropped, F.col("doc_id") == F.col("gone"), "left_anti")
-    marked = left.withColumn("_text_hash", F.xxhash64("text"))
-    some = marked.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "_text_hash"])
-    return some.union(marked.where("doc_id IS NULL")).drop("_text_hash")
+    dropped = near_duplicates(docs, width=width, percent=percent).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
+    left = docs.join(dropped, docs["doc_id"] == dropped["__gone"], "left_anti")
+    marked = left.withColumn("__text_hash", F.xxhash64("text"))
+    some = marked.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "__text_hash"])
+    return some.union(marked.where("doc_id IS NULL")).drop("__text_hash")

@@ -150,7 +150,17 @@ def op6_quality_rules(spark, folder):
 
 # ---- 7
 
-@query("op7_near_duplicates")
+@query("op7_near_duplicates", r"""
+  WITH RECURSIVE t AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  s AS (SELECT DISTINCT k, array_to_string(w[i : i + 3], ' ') AS sh FROM (SELECT k, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM t WHERE len(w) > 0)),
+  n AS (SELECT k, count(*) AS n FROM s GROUP BY k),
+  p AS (SELECT a.k AS ak, b.k AS bk, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.k < b.k GROUP BY 1, 2),
+  l AS (SELECT ak, bk FROM p JOIN n x ON x.k = ak JOIN n y ON y.k = bk WHERE 100 * c >= 80 * (x.n + y.n - c)),
+  e AS (SELECT ak, bk FROM l UNION SELECT bk, ak FROM l),
+  reach(a, b) AS (SELECT k, k FROM t UNION SELECT r.a, e.bk FROM reach r JOIN e ON r.b = e.ak),
+  c AS (SELECT a AS k, min(doc_id) AS component_id FROM reach JOIN t ON t.k = b GROUP BY a)
+  SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM t JOIN c USING (k) LEFT JOIN n USING (k)""")
 def op7_near_duplicates(spark, folder):
     """Component of near-duplicates of every document, over shingles of four words."""
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), width=4, percent=80)
