@@ -49,7 +49,7 @@ def _count(df: DataFrame, metric: str) -> DataFrame:
 def inventory(files: DataFrame, headers: DataFrame, lines: DataFrame, violations: DataFrame) -> DataFrame:
     """(metric, value) sizes of the store."""
     return reduce(DataFrame.unionByName, [
-        _count(files, "files.total"),
+        _as_rows(files.agg(F.count_distinct("file_id").alias("files.total"))),
         _as_rows(headers.agg(F.count_distinct("file_id").alias("files.with_headers"), F.count("*").alias("headers.total"))),
         _count(lines, "details.total"),
         _count(violations, "dq.violations_total"),
@@ -68,8 +68,8 @@ def unparsed_files(files: DataFrame, headers: DataFrame) -> DataFrame:
 
 
 def backlog(files: DataFrame, headers: DataFrame) -> DataFrame:
-    """How many registered files have no document: files less distinct file ids of documents."""
-    registered = files.agg(F.count("*").alias("n"))
+    """How many registered files have no document: distinct file ids, retried files once, less those of documents."""
+    registered = files.agg(F.count_distinct("file_id").alias("n"))
     parsed = headers.agg(F.count_distinct("file_id").alias("n"))
     signed = registered.select("n").unionByName(parsed.select((-F.col("n")).alias("n")))
     return signed.agg(F.sum("n").alias("backlog_unparsed_files"))
@@ -97,7 +97,7 @@ def consistency_report(files: DataFrame, headers: DataFrame, lines: DataFrame, v
         F.count_if(F.col("known") & (gap > tolerance)).alias("totals_check.mismatch_count"))
     per_rule = violations.groupBy("rule_id").agg(F.count("*").alias("n"))
     return reduce(DataFrame.unionByName, [
-        _count(files, "files.total"),
+        _as_rows(files.agg(F.count_distinct("file_id").alias("files.total"))),
         headers.agg(F.count_distinct("file_id").alias("value")).select(F.lit("files.with_headers").alias("metric"), "value"),
         _as_rows(checks),
         _count(duplicate_keys(headers), "headers.duplicate_groups_count"),

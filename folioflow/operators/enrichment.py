@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,51 +72,19 @@ def unenriched_rate(lines: DataFrame, taxonomy: Taxonomy = FITTINGS) -> DataFram
         percent(F.coalesce(category == taxonomy.unclassified, F.lit(False))).alias("unclassified_rate"))
 
 
-MAX_VOCABULARY = 2_000
-BLOCK = 64
-
-
-def _vocabulary(lines: DataFrame, column: str) -> list[str]:
-    names = lines.select(column).distinct().filter(F.col(column).isNotNull()).limit(MAX_VOCABULARY + 1).collect()
-    if len(names) > MAX_VOCABULARY:
-        raise ValueError(f"{column} has more than {MAX_VOCABULARY} values: not a taxonomy column")
-    return [r[0] for r in names]
-
-
-def subcategory_pairs(lines: DataFrame, vocabulary: list[str] | None = None, *, min_count: int = 3,
-                      top: int | None = 20, include_self: bool = True, column: str = "ai_subcategory") -> DataFrame:
+def subcategory_pairs(lines: DataFrame, *, min_count: int = 3, top: int | None = 20, include_self: bool = True,
+                      column: str = "ai_subcategory") -> DataFrame:
     """(s1, s2, n): how often two lines of one document carry these subcategories.
 
-    Pairs are counted, never built: a document's lines shrink to one count per subcategory, and
-    n(s1, s2) is the sum over documents of count(s1) * count(s2), or n * (n - 1) / 2 for s1 = s2.
-    Cost is linear in lines, and a document with a third of all lines is one row. ``vocabulary``
-    must cover the column, as a taxonomy's own list does; None reads it from the data.
+    A document's lines shrink to one count per subcategory, before and after one shuffle; only its distinct names
+    are then joined with each other. n(s1, s2) is the sum over documents of count(s1) * count(s2), or
+    n * (n - 1) / 2 for s1 = s2. A document with a third of all lines is as many rows as it has names, and every name
+    in the data counts.
     """
-    names = sorted(set(_vocabulary(lines, column) if vocabulary is None else vocabulary))
-    known = lines.filter(F.col(column).isNotNull()).select("header_id", F.col(column).alias("s1"))
-    blocks = [_block_pairs(known, names[i:i + BLOCK], len(names) <= BLOCK) for i in range(0, len(names), BLOCK)]
-    pairs = reduce(DataFrame.unionByName, blocks) if blocks else known.select("s1", F.col("s1").alias("s2"), F.lit(0).alias("n")).limit(0)
-    order = F.col("s1") <= F.col("s2") if include_self else F.col("s1") < F.col("s2")
-    kept = pairs.filter((F.col("n") >= min_count) & order)
+    own = lines.filter(F.col(column).isNotNull()).groupBy("header_id", F.col(column).alias("s1")).agg(F.count("*").cast("decimal(19,0)").alias("n1"))
+    other = own.select("header_id", F.col("s1").alias("s2"), F.col("n1").alias("n2"))
+    both = own.join(other, "header_id").filter("s1 <= s2" if include_self else "s1 < s2")
+    n = F.when(F.col("s1") == F.col("s2"), F.floor(F.col("n1") * (F.col("n1") - 1) / 2)).otherwise(F.col("n1") * F.col("n2"))
+    pairs = both.groupBy("s1", "s2").agg(F.sum(n.cast("decimal(38,0)")).cast("decimal(38,0)").alias("n"))
+    kept = pairs.filter(F.col("n") >= min_count)
     return kept if top is None else kept.orderBy(F.desc("n"), "s1", "s2").limit(top)
-
-
-def _block_pairs(known: DataFrame, names: list[str], whole: bool) -> DataFrame:
-    """Pairs whose second name is in ``names``."""
-    wide = [f"c{j}" for j in range(len(names))]
-    counts = [F.count_if(F.col("s1") == name).alias(c) for name, c in zip(names, wide)]
-    if whole:
-        per_document = known.groupBy("header_id").agg(*counts)
-        entries = [F.struct(F.lit(name).alias("s1"), F.col(c).alias("own")) for name, c in zip(names, wide)]
-        rows = per_document.select(F.inline(F.filter(F.array(*entries), lambda e: e.getField("own") > 0)), *wide)
-    else:
-        own = known.groupBy("header_id", "s1").agg(F.count("*").alias("own"))
-        per_document = known.filter(F.col("s1").isin(names)).groupBy("header_id").agg(*counts)
-        rows = own.join(per_document, "header_id")
-    exact = "decimal(19,0)"
-    own = F.col("own").cast(exact)
-    sums = rows.groupBy("s1").agg(*[
-        F.sum(F.when(F.col("s1") == name, F.floor(own * (own - 1) / 2)).otherwise(own * F.col(c).cast(exact)).cast("decimal(38,0)")).alias(c)
-        for name, c in zip(names, wide)])
-    return sums.select("s1", F.inline(F.array(*[
-        F.struct(F.lit(name).alias("s2"), F.col(c).cast("decimal(38,0)").alias("n")) for name, c in zip(names, wide)])))

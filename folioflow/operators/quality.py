@@ -62,8 +62,8 @@ def broken_rules(rows: DataFrame, rules: dict[str, Column], *keep: Column) -> Da
 def _violations(broken: DataFrame, catalogue: DataFrame, entity: str, run_id: str | None, created_at) -> DataFrame:
     messages = F.create_map(*[F.lit(x) for pair in MESSAGES.items() for x in pair])
     rules = catalogue.filter(F.col("entity") == entity).select("rule_id", "rule_code")
-    # The catalogue is a handful of rows; a code that a given catalogue lacks yields nothing.
-    found = broken.join(F.broadcast(rules), "rule_code")
+    # A code that a given catalogue lacks yields nothing.
+    found = broken.join(rules, "rule_code")
     run = F.lit(run_id).cast("string")
     return found.select(
         F.concat_ws(":", F.coalesce(run, F.lit("")), "rule_code", "entity_id").alias("violation_id"),
@@ -80,7 +80,7 @@ def find_violations(headers: DataFrame, lines: DataFrame, *, as_of: date, run_id
 
     Rows carry the owning document, so later reports need not look it up.
     """
-    catalogue = rule_catalogue(headers.sparkSession) if rules is None else bounded_rules(rules)
+    catalogue = F.broadcast(rule_catalogue(headers.sparkSession)) if rules is None else bounded_rules(rules)
     owner = F.col("header_id").cast("string")
     line_hits = broken_rules(
         lines, line_rules(limits), F.col("line_id").cast("string").alias("entity_id"), owner.alias("header_id"))
@@ -93,15 +93,14 @@ def find_violations(headers: DataFrame, lines: DataFrame, *, as_of: date, run_id
         _violations(header_hits, catalogue, "header", run_id, created_at))
 
 
-#: A rule table larger than this is not a rule table.
+#: The most rules that are sent to every task; a larger table is shuffled.
 MAX_RULES = 10_000
 
 
 def bounded_rules(rules: DataFrame) -> DataFrame:
-    """The rule table, checked to be small enough to send to every task."""
-    if len(rules.select("rule_code").limit(MAX_RULES + 1).collect()) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    return rules
+    """The rule table, marked for broadcast if it is counted and small enough."""
+    few = rules.select(F.lit(1)).limit(MAX_RULES + 1).count() <= MAX_RULES
+    return F.broadcast(rules) if few else rules
 
 
 def rule_results(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -118,7 +117,7 @@ def rule_results(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 def with_rules(violations: DataFrame, rules: DataFrame) -> DataFrame:
     """Violations with code and level of their rule."""
-    return violations.join(F.broadcast(bounded_rules(rules).select("rule_id", "rule_code", "rule_level")), "rule_id")
+    return violations.join(bounded_rules(rules.select("rule_id", "rule_code", "rule_level")), "rule_id")
 
 
 def with_owner(violations: DataFrame, lines: DataFrame) -> DataFrame:

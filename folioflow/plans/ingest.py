@@ -76,7 +76,7 @@ def _load(store: Store, pieces: DataFrame, run: Run, work: str, *, as_of: date |
     The parse result and the new documents are each written once in the shared work folder and read
     from there, so nothing is parsed or matched twice, and a lost executor costs its tasks only.
     ``barred`` holds (file, reason) of files that must not load. Headers, lines and rejects of all
-    files are stored; rules run after the documents are safe, so they cannot block the load.
+    files are stored; a failure of the rules leaves the load without violations and an entry in its run log.
     """
     spark, load_id = store.spark, run.run_id
     started = F.lit(run.started_at).cast("timestamp")
@@ -113,9 +113,13 @@ def _load(store: Store, pieces: DataFrame, run: Run, work: str, *, as_of: date |
 
     lines = spark.read.parquet(f"{store.path('lines')}/load_id={load_id}")
     headers = spark.read.parquet(f"{store.path('headers')}/load_id={load_id}")
-    found = find_violations(headers, lines, as_of=as_of or run.started_at.date(), run_id=load_id, rules=rules,
-                            limits=limits, created_at=run.started_at)
-    n_violations = observed("violations", found)
+    judge = dict(as_of=as_of or run.started_at.date(), run_id=load_id, limits=limits, created_at=run.started_at)
+    rule_failure = None
+    try:
+        n_violations = observed("violations", find_violations(headers, lines, rules=rules, **judge))
+    except Exception as failure:  # noqa: BLE001  rules may not cost the documents; the run log tells of it
+        rule_failure = str(failure)[:MESSAGE_CHARS]
+        n_violations = observed("violations", find_violations(headers.limit(0), lines.limit(0), **judge))
 
     spoils = F.lit(True) if scope == "file" else F.col("header_id").isNull()
     bad = rejects.filter(spoils).select("file").distinct().withColumn("bad", F.lit(True))
@@ -132,9 +136,12 @@ def _load(store: Store, pieces: DataFrame, run: Run, work: str, *, as_of: date |
 
     n_storable = storable.count()
     by_reason = rejects.groupBy("reason").agg(F.count("*").alias("n"), F.min("file").alias("file"))
+    rule_error = F.array() if rule_failure is None else F.array(F.struct(
+        F.lit("rules").alias("where"), F.lit(rule_failure).alias("message"), F.lit(None).cast("string").alias("file")))
     errors = by_reason.agg(F.sort_array(F.collect_list(F.struct(
         F.lit("parse").alias("where"), F.concat("reason", F.lit(": "), F.col("n").cast("string")).alias("message"),
-        "file"))).alias("errors"))
+        "file"))).alias("errors")).withColumn(
+            "errors", F.concat("errors", rule_error.cast("array<struct<where:string,message:string,file:string>>")))
     log = errors.select(
         F.lit(load_id).alias("run_id"), F.lit(run.job).alias("job"), F.lit(run.source).cast("string").alias("source"),
         started.alias("started_at"), F.current_timestamp().alias("ended_at"),

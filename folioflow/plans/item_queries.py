@@ -167,7 +167,7 @@ def brand_ranking(spark, sf):
   WHERE a.ai_subcategory IS NOT NULL AND b.ai_subcategory IS NOT NULL
   GROUP BY 1, 2 HAVING count(*) >= 3 ORDER BY n DESC, s1, s2 LIMIT 20""", *LINES))
 def subcategory_pairs(spark, sf):
-    pairs = enrichment.subcategory_pairs(line_items(spark, sf), PARTS.subcategories())
+    pairs = enrichment.subcategory_pairs(line_items(spark, sf))
     return pairs.withColumn("n", F.col("n").cast("bigint"))
 
 
@@ -198,9 +198,9 @@ def stored_items(spark, sf):
 
 
 @query("enrichment_candidates", with_roles("", """
-  SELECT line_id, ai_version FROM stored WHERE ai_version IS DISTINCT FROM 'parts-1' ORDER BY line_id DESC LIMIT 5000""", STORED))
+  SELECT line_id, ai_version FROM stored WHERE ai_version IS DISTINCT FROM 'parts-1'""", STORED))
 def enrichment_candidates(spark, sf):
-    return enrichment.candidates(stored_items(spark, sf), "parts-1", limit=5000).select("line_id", "ai_version")
+    return enrichment.candidates(stored_items(spark, sf), "parts-1").select("line_id", "ai_version")
 
 
 @query("re_enriched_items", with_roles("", """

@@ -278,6 +278,6 @@ def new_files(spark, sf):
     listed = table(spark, sf, "documents").select(
         F.concat(F.lit("/in/"), "doc_id", F.when(F.col("lang") == "en", ".xml").otherwise(".XML")).alias("file"))
     registry = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id").select(
-        F.concat("doc_id", F.when(F.col("lang") == "en", ".xml").otherwise(".XML")).alias("filename"),
+        F.concat(F.lit("/in/"), "doc_id", F.when(F.col("lang") == "en", ".xml").otherwise(".XML")).alias("file_id"),
         F.when(F.col("toxic") == 1, "FAILED").otherwise("OK").alias("status"))
     return xml.unseen(listed, registry, retry_failed=True)

@@ -23,13 +23,13 @@ def health_report(days: DataFrame, runs: DataFrame, as_of: date) -> dict[str, Da
     }
 
 
-def enrichment_overview(lines: DataFrame, taxonomy: Taxonomy = FITTINGS, vocabulary: list[str] | None = None) -> dict[str, DataFrame]:
-    """Category mix, brands, rates and pairs. Without a vocabulary the subcategories are read from the lines."""
+def enrichment_overview(lines: DataFrame, taxonomy: Taxonomy = FITTINGS) -> dict[str, DataFrame]:
+    """Category mix, brands, rates and pairs."""
     return {
         "mix": enrichment.category_mix(lines),
         "brands": enrichment.brand_ranking(lines),
         "rates": enrichment.unenriched_rate(lines, taxonomy),
-        "pairs": enrichment.subcategory_pairs(lines, vocabulary),
+        "pairs": enrichment.subcategory_pairs(lines),
     }
 
 

@@ -79,10 +79,9 @@ def file_name(file: Column) -> Column:
 
 
 def unseen(files: DataFrame, registry: DataFrame, *, retry_failed: bool = False) -> DataFrame:
-    """Files whose name the registry does not hold. Failed files come back on request only."""
+    """Files whose path the registry (file_id, status) does not hold. Failed files come back on request only."""
     known = registry.filter(F.col("status") != "FAILED") if retry_failed else registry
-    names = known.select(F.col("filename").alias("_seen"))
-    return files.join(names, file_name(F.col("file")) == F.col("_seen"), "left_anti")
+    return files.join(known.select(F.col("file_id").alias("_seen")), F.col("file") == F.col("_seen"), "left_anti")
 
 
 # ---- parsing ----------------------------------------------------------------------------------

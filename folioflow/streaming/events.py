@@ -15,8 +15,8 @@ def _timed(events: DataFrame, ts: str, lateness: str) -> DataFrame:
 
 
 def drop_repeats(events: DataFrame, keys: list[str], ts: str = "ts", lateness: str = LATENESS) -> DataFrame:
-    """Drops events seen before. State ends with the watermark, because ``ts`` is part of the key."""
-    return _timed(events, ts, lateness).dropDuplicates([*keys, ts])
+    """Drops events whose keys were seen before, whatever their time; state ends ``lateness`` after an event."""
+    return _timed(events, ts, lateness).dropDuplicatesWithinWatermark(keys)
 
 
 def daily_counts(events: DataFrame, keys: list[str], ts: str = "ts", lateness: str = LATENESS,
@@ -34,13 +34,15 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def upsert_days(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keeps one Parquet folder per day up to date, including days still open.
+    """Keeps one Parquet folder per day and key up to date, including days still open.
 
-    Complete mode hands over whole days, so replacing a day's folder is exact and repeatable.
-    State is one row per day and key.
+    Update mode hands over the counts that changed, each whole, so replacing its folder is exact and repeatable.
+    State is one row per day and key, and ends when the watermark has passed the day.
     """
+    keys = [c for c in stream.columns if c != "n"]
+
     def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+        batch.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
     return stream.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).outputMode(
-        "complete").trigger(availableNow=True).start()
+        "update").trigger(availableNow=True).start()

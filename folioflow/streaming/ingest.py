@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from folioflow.plans.ingest import Run, load_documents
 from folioflow.sources.store import Store
-from folioflow.sources.xml_documents import WHOLE_FILE_BYTES, XML_NAMES, literal_path, scan_documents
+from folioflow.sources.xml_documents import WHOLE_FILE_BYTES, XML_NAMES, literal_path, scan_documents, unseen
 
 #: Files per micro-batch; also the most names the driver holds at a time.
 FILES_PER_BATCH = 10_000
@@ -18,7 +19,8 @@ def arriving_files(spark: SparkSession, path: str, files_per_batch: int = FILES_
     return (
         spark.readStream.format("binaryFile").option("pathGlobFilter", XML_NAMES)
         .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch)
-        .schema("path string, modificationTime timestamp, length bigint, content binary").load(path).select("path")
+        .schema("path string, modificationTime timestamp, length bigint, content binary").load(path).select(
+            F.col("_metadata.file_path").alias("file"), "path")
     )
 
 
@@ -27,18 +29,22 @@ def stream_ingest(store: Store, path: str, checkpoint: str, *, name: str = "arri
                   split_encoding: str | None = None, available_now: bool = True, **load) -> StreamingQuery:
     """Loads new files and stops, or keeps running with ``available_now=False``.
 
-    The load id comes from the micro-batch number: a batch that is repeated after a failure
-    replaces its own rows. Each batch loads, checks and logs like a batch job.
+    The load id comes from the query id that the checkpoint keeps and the micro-batch number: a batch that is
+    repeated after a failure replaces its own rows, and no other stream's. Files that another load has
+    registered are left out. Each batch loads, checks and logs like a batch job.
     """
     spark = store.spark
 
     def load_batch(batch: DataFrame, number: int) -> None:
+        stream_id = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+        run_id = f"{name}-{stream_id}-{number}"
+        arrived = batch.select("file", "path")
         # Bounded by files_per_batch.
-        paths = [literal_path(r.path) for r in batch.collect()]
+        paths = [literal_path(r.path) for r in unseen(arrived, store.read("files", but=run_id)).collect()]
         if not paths:
             return
         pieces = scan_documents(spark, paths, whole_file_bytes=whole_file_bytes, split_encoding=split_encoding)
-        load_documents(store, pieces, Run(job=job, source="stream", run_id=f"{name}-{number}"), **load)
+        load_documents(store, pieces, Run(job=job, source="stream", run_id=run_id), **load)
 
     writer = arriving_files(spark, path, files_per_batch).writeStream.foreachBatch(load_batch).option(
         "checkpointLocation", checkpoint)

@@ -80,18 +80,14 @@ def brute_pairs(rows, include_self=True):
     return n
 
 
-@pytest.mark.parametrize("vocabulary", ["given", "read", "blocks"])
-def test_pairs_equal_brute_force(spark, vocabulary, monkeypatch):
+def test_pairs_equal_brute_force(spark):
     rng = random.Random(3)
     names = [f"s{i}" for i in range(9)]
     rows = [("hot" if rng.random() < 0.33 else f"d{rng.randrange(60)}", rng.choice([*names, None])) for _ in range(900)]
     df = spark.createDataFrame(rows, "header_id string, ai_subcategory string").repartition(5)
-    if vocabulary == "blocks":
-        monkeypatch.setattr(enrichment, "BLOCK", 4)
-    words = names if vocabulary == "given" else None
-    got = {(r.s1, r.s2): int(r.n) for r in enrichment.subcategory_pairs(df, words, top=None).collect()}
+    got = {(r.s1, r.s2): int(r.n) for r in enrichment.subcategory_pairs(df, top=None).collect()}
     assert got == {k: v for k, v in brute_pairs(rows).items() if v >= 3}
-    top = enrichment.subcategory_pairs(df, words, min_count=1, top=4, include_self=False).collect()
+    top = enrichment.subcategory_pairs(df, min_count=1, top=4, include_self=False).collect()
     want = sorted(brute_pairs(rows, False).items(), key=lambda e: (-e[1], e[0]))[:4]
     assert [((r.s1, r.s2), int(r.n)) for r in top] == want
 

@@ -146,7 +146,7 @@ def test_xsd(spark, folder, tmp_path):
 
 
 def test_unseen_files(spark):
-    files = spark.createDataFrame([("/in/a.xml",), ("/in/b.xml",), ("/in/c.xml",)], "file string")
-    registry = spark.createDataFrame([("a.xml", "OK"), ("b.xml", "FAILED")], "filename string, status string")
-    assert [r.file for r in xml.unseen(files, registry).collect()] == ["/in/c.xml"]
-    assert {r.file for r in xml.unseen(files, registry, retry_failed=True).collect()} == {"/in/b.xml", "/in/c.xml"}
+    files = spark.createDataFrame([("/in/a.xml",), ("/in/b.xml",), ("/in/c.xml",), ("/in/x/a.xml",)], "file string")
+    registry = spark.createDataFrame([("/in/a.xml", "OK"), ("/in/b.xml", "FAILED")], "file_id string, status string")
+    assert {r.file for r in xml.unseen(files, registry).collect()} == {"/in/c.xml", "/in/x/a.xml"}
+    assert {r.file for r in xml.unseen(files, registry, retry_failed=True).collect()} == {"/in/b.xml", "/in/c.xml", "/in/x/a.xml"}
