@@ -105,6 +105,7 @@ def _load(store: Store, pieces: DataFrame, run: Run, work: str, *, as_of: date |
         store.write(table, load_id, rows.observe(seen, F.count("*").alias("n")))
         return seen.get["n"]
 
+    store.drop_enriched(load_id)
     n_lines = observed("lines", document_lines(fresh))
     # Sorted within files, so that day filters skip row groups.
     n_headers = observed("headers", fresh.select(

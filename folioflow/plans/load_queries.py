@@ -49,9 +49,22 @@ def repeated_load(spark, sf) -> DataFrame:
     return store.runs().select(*RUN_COLUMNS)
 
 
-def write_envelopes(spark, sf, folder: str) -> None:
+@query("load_with_failing_rules", with_roles("docs", """
+  SELECT 'unjudged' AS run_id, 'etl_daily' AS job, 'PARTIAL' AS status, (SELECT count(*) FROM docs) AS files_total, (SELECT count(*) FROM docs) AS files_ok,
+    0 AS files_failed, count(*) AS headers_inserted, 0 AS headers_already_present, count(*) AS details_inserted, 0 AS dq_violations,
+    true AS rules_failed, count(*) AS visible FROM ok""", LOADS))
+def load_with_failing_rules(spark, sf) -> DataFrame:
+    """Run log of a load whose rule table cannot be read, beside the documents it left."""
+    store = Store(spark, work_folder(spark, "failing-rules"))
+    load_documents(store, whole_file_documents(order_xml(spark, sf)), Run(run_id="unjudged", started_at=START), as_of=AS_OF,
+                   rules=spark.range(1).select(F.lit("DQ1").alias("rule_code")))
+    log = store.runs().select(*RUN_COLUMNS, F.exists("errors", lambda e: e["where"] == "rules").alias("rules_failed"))
+    return log.crossJoin(store.read("headers").agg(F.count("*").alias("visible")))
+
+
+def write_envelopes(spark, sf, folder: str, only: str = "true") -> None:
     """The orders as XML envelopes, one per partition, by Spark's own XML writer."""
-    d = documents(spark, sf, parties=True, dealt=True)
+    d = documents(spark, sf, parties=True, dealt=True).filter(only)
 
     def whole(name: str):
         return F.floor(name).cast("bigint")
@@ -98,6 +111,18 @@ def stream_load(spark, sf) -> DataFrame:
     return _loaded(store)
 
 
+@query("two_streams_load", LOADED)
+def two_streams_load(spark, sf) -> DataFrame:
+    """Two folders loaded into one store by streams of their own, each run twice."""
+    work = work_folder(spark, "two-streams")
+    store = Store(spark, f"{work}/store")
+    for name, only in (("one", "tipo_dte = 39"), ("two", "tipo_dte <> 39")):
+        write_envelopes(spark, sf, f"{work}/{name}", only)
+        for _ in range(2):
+            stream_ingest(store, f"{work}/{name}", f"{work}/checkpoint-{name}", as_of=AS_OF).awaitTermination()
+    return _loaded(store)
+
+
 def event_stream(spark, sf) -> DataFrame:
     """The events, one file or a folder of files; the bracket makes the path a pattern, which takes either."""
     return spark.readStream.schema(SCHEMAS["events"]).parquet(f"{sf}/events.parque[t]")

@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow.session import discard
 from folioflow.schema import ATTRS, AUDIT_LOG, RUN_LOGS, VIOLATIONS
 
 HEADERS = (
@@ -78,6 +79,12 @@ class Store:
         lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "ai_version", "load_id").parquet(self.path("enriched_lines"))
 
+    def drop_enriched(self, load_id: str) -> None:
+        """Forgets what was judged of a load, as before the load is replaced by other documents."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path('enriched_lines')}/ai_version=*/load_id={load_id}")
+        for found in pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []:
+            discard(self.spark, found.getPath().toString())
+
     # ---- health: one row per day, replaced by key
 
     def health(self) -> DataFrame:

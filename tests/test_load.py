@@ -5,7 +5,7 @@ from decimal import Decimal as D
 import pytest
 
 from folioflow.functions.taxonomy import FITTINGS
-from folioflow.operators import curated, listing
+from folioflow.operators import consistency, curated, listing
 from folioflow.plans import ingest
 from folioflow.plans.enrich import enrich_store, lines_with_enrichment
 from folioflow.plans.ingest import Run, alert, ingest_folder, initial_load
@@ -253,3 +253,57 @@ def test_stored_lines_are_enriched_load_by_load(spark, folder, tmp_path):
     assert enrich_store(store, other) == 3 and store.enriched("v9").count() == 3 and store.enriched("v0.2").count() == 3
     overview = enrichment_overview(lines_with_enrichment(store))
     assert overview["rates"].first().unenriched_rate == D("0.00") and overview["mix"].count() == 3 and overview["pairs"].count() == 0
+
+
+def test_equal_names_in_two_folders_and_a_retried_file(spark, folder, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    for sub in ("x", "y"):
+        (folder / sub).mkdir()
+    (folder / "x" / "f.xml").write_text(VALID)
+    ingest_folder(store, str(folder), run("one"), as_of=AS_OF)
+    (folder / "y" / "f.xml").write_text(FAULTY)
+    (folder / "y" / "g.xml").write_text(BARE[:-30])
+    ingest_folder(store, str(folder), run("two"), as_of=AS_OF)
+    assert store.read("headers").count() == 2
+    (folder / "y" / "g.xml").write_text(BARE)
+    ingest_folder(store, str(folder), run("three"), as_of=AS_OF, retry_failed=True)
+    files, headers = store.read("files"), store.read("headers")
+    assert headers.count() == 3 and files.count() == 4
+    assert consistency.backlog(files, headers).first()[0] == 0
+    totals = {r.metric: r.value for r in consistency.inventory(files, headers, store.read("lines"), store.read("violations")).collect()}
+    assert totals["files.total"] == 3
+
+
+def test_a_new_checkpoint_does_not_replace_an_earlier_stream(spark, folder, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    (folder / "a.xml").write_text(VALID)
+    stream_ingest(store, str(folder), str(tmp_path / "c1"), as_of=AS_OF).awaitTermination()
+    (folder / "b.xml").write_text(FAULTY)
+    stream_ingest(store, str(folder), str(tmp_path / "c2"), as_of=AS_OF).awaitTermination()
+    assert {r.folio for r in store.read("headers").collect()} == {10001, 10002}
+    assert store.read("files").count() == 2, "the second stream leaves out what the first registered"
+
+
+def test_a_replaced_load_takes_its_enrichment_along(spark, folder, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    (folder / "a.xml").write_text(VALID)
+    ingest_folder(store, str(folder), run("r"), as_of=AS_OF)
+    enrich_store(store)
+    assert store.enriched(FITTINGS.version).count() == 2
+    (folder / "a.xml").write_text(BARE)
+    ingest_folder(store, str(folder), run("r"), as_of=AS_OF)
+    assert store.enriched(FITTINGS.version).count() == 0
+    assert lines_with_enrichment(store).count() == store.read("lines").count() == 1
+
+
+def test_event_state_ends_with_the_watermark(spark, folder, tmp_path):
+    def removed(day):
+        (folder / f"{day}.json").write_text(f'{{"event_id": {day}, "ts": "2025-01-{day:02}T10:00:00", "kind": "a"}}')
+        counts = events.daily_counts(feed(spark, folder), ["kind"])
+        query = events.upsert_days(counts, str(tmp_path / "d"), str(tmp_path / "c"))
+        query.awaitTermination()
+        return sum(o["numRowsRemoved"] for p in query.recentProgress for o in p["stateOperators"])
+
+    assert [removed(d) > 0 for d in (1, 10, 20)][1:] == [True, True]
+    got = spark.read.schema("n bigint, day date, kind string").parquet(str(tmp_path / "d"))
+    assert sorted((str(r.day), r.kind, r.n) for r in got.collect()) == [("2025-01-01", "a", 1), ("2025-01-10", "a", 1), ("2025-01-20", "a", 1)]
