@@ -160,18 +160,17 @@ def line_xml(spark, sf) -> DataFrame:
   FROM (SELECT *, CAST(floor(monto_item) AS HUGEINT) AS m, CAST(cantidad AS HUGEINT) AS q, CAST(precio_unitario * 100 AS HUGEINT) AS c FROM lins)"""))
 def xml_lines(spark, sf):
     """Line columns with the missing price or quantity derived."""
-    parsed = xml.parsed_documents(xml.whole_file_documents(line_xml(spark, sf)))
-    return parsed.select("file", F.explode("lines").alias("l")).select("file", "l.*")
+    return xml.line_rows(xml.whole_file_documents(line_xml(spark, sf)), F.col("file"))
 
 
 @query("xml_line_totals", with_roles("lins", """
   SELECT header_id, count(*) AS n_lines, CAST(sum(CAST(floor(monto_item) AS BIGINT)) AS DECIMAL(28,2)) AS sumdet FROM lins GROUP BY 1"""))
 def xml_line_totals(spark, sf):
     """Lines parsed and added up per folio, from XML text to aggregate in one job."""
-    parsed = xml.parsed_documents(xml.whole_file_documents(line_xml(spark, sf)))
-    each = parsed.select(F.col("folio").alias("header_id"), F.explode("lines").alias("l"))
+    folio = scalars.whole(F.col("doc.Encabezado.IdDoc.Folio")).alias("header_id")
+    each = xml.line_rows(xml.whole_file_documents(line_xml(spark, sf)), folio)
     return each.groupBy("header_id").agg(
-        F.count("*").alias("n_lines"), F.sum("l.monto_item").cast("decimal(28,2)").alias("sumdet"))
+        F.count("*").alias("n_lines"), F.sum("monto_item").cast("decimal(28,2)").alias("sumdet"))
 
 
 # ---- HTML and plain text

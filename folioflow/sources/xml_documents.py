@@ -297,6 +297,16 @@ def parsed_documents(documents: DataFrame) -> DataFrame:
     return rows.withColumn("header_id", header_key(F.col("tipo_dte"), F.col("folio"), F.col("rut_emisor")))
 
 
+def line_rows(documents: DataFrame, *keep: Column) -> DataFrame:
+    """One row per line: ``keep`` and the line columns, where no rule needs a document's lines together.
+
+    Lines are exploded first, so their columns are plain ones under code generation, not lambdas over an array.
+    """
+    raw = documents.filter(F.col("doc.Encabezado").isNotNull()).select(*keep, F.explode("doc.Detalle").alias("_line"))
+    kept = [c for c in raw.columns if c != "_line"]
+    return raw.select(*kept, line_projection(F.col("_line")).alias("_l")).select(*kept, "_l.*")
+
+
 def document_lines(parsed: DataFrame) -> DataFrame:
     """One row per line, keyed by document and place in it."""
     rows = parsed.select("header_id", F.posexplode("lines").alias("at", "line"))
