@@ -168,7 +168,34 @@ def op7_near_duplicates(spark, folder):
 
 # ---- 8
 
-@query("op8_licences")
+_TERMS = ("list_filter(list_transform(regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^0-9A-Za-z.\\x2D]+'), "
+          "lambda w: regexp_replace(w, '^[.\\x2D]+|[.\\x2D]+$', '', 'g')), lambda w: w <> '')")
+_TEMPLATES = ", ".join(f"('{k}', '{v}')" for k, v in licences.TEMPLATES.items())
+
+
+@query("op8_licences", rf"""
+  WITH tpl(template, t) AS (VALUES {_TEMPLATES}),
+  tt AS (SELECT template, term, count(*) AS tf FROM (SELECT template, unnest({_TERMS.format('t')}) AS term FROM tpl) GROUP BY ALL),
+  idf AS (SELECT term, ln((1.0 + {len(licences.TEMPLATES)}) / (1 + count(*))) + 1 AS idf FROM tt GROUP BY term),
+  tn AS (SELECT template, sqrt(sum(tf * idf * tf * idf)) AS norm FROM tt JOIN idf USING (term) GROUP BY template),
+  tw AS (SELECT template, term, tf * idf / norm AS weight FROM tt JOIN idf USING (term) JOIN tn USING (template)),
+  f AS (SELECT concat_ws('/', source, lang, CASE WHEN regexp_matches(string_split(coalesce(text, ''), chr(10))[-1], '{licences.HINT}') THEN 'LICENSE-' ELSE 'doc-' END || doc_id) AS path, text FROM documents),
+  ln AS (SELECT DISTINCT path, line FROM (SELECT path, unnest(string_split(text, chr(10))) AS line FROM f) WHERE regexp_matches(line, '{licences.HINT}')),
+  lt AS (SELECT path, line, term, count(*) AS tf FROM (SELECT path, line, unnest({_TERMS.format('line')}) AS term FROM ln) GROUP BY ALL),
+  lw AS (SELECT path, line, term, tf * coalesce(idf, ln(1.0 + {len(licences.TEMPLATES)}) + 1) AS w FROM lt LEFT JOIN idf USING (term)),
+  nn AS (SELECT path, line, sqrt(sum(w * w)) AS norm FROM lw GROUP BY ALL),
+  cs AS (SELECT path, template, round(sum(w * weight) / any_value(norm), 6) AS similarity FROM lw JOIN tw USING (term) JOIN nn USING (path, line) GROUP BY path, line, template),
+  own AS (SELECT path, regexp_replace(template, '-short$', '') AS licence, similarity FROM cs WHERE similarity >= {licences.LEAST}
+    QUALIFY row_number() OVER (PARTITION BY path ORDER BY similarity DESC, template) = 1),
+  stated AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS ancestor, licence, similarity FROM own WHERE regexp_matches(regexp_extract(path, '[^/]*$'), '{licences.LICENCE_FILE}')
+    QUALIFY row_number() OVER (PARTITION BY regexp_replace(path, '/?[^/]*$', '') ORDER BY similarity DESC, licence, path) = 1),
+  dirs AS (SELECT DISTINCT regexp_replace(path, '/?[^/]*$', '') AS directory FROM f),
+  above AS (SELECT directory, up, array_to_string(parts[1 : len(parts) - up], '/') AS ancestor
+    FROM (SELECT directory, parts, unnest(range(0, len(parts) + 1)) AS up FROM (SELECT directory, list_filter(string_split(directory, '/'), lambda x: x <> '') AS parts FROM dirs))),
+  near AS (SELECT directory, s.licence, s.similarity FROM above JOIN stated s USING (ancestor) QUALIFY row_number() OVER (PARTITION BY directory ORDER BY up) = 1)
+  SELECT f.path, coalesce(o.licence, n.licence) AS licence, CASE WHEN o.licence IS NOT NULL THEN o.similarity ELSE n.similarity END AS similarity,
+    CASE WHEN o.licence IS NOT NULL THEN 'own' WHEN n.licence IS NOT NULL THEN 'inherited' END AS origin
+  FROM f LEFT JOIN own o USING (path) LEFT JOIN near n ON n.directory = regexp_replace(f.path, '/?[^/]*$', '')""")
 def op8_licences(spark, folder):
     """Licence of every document, laid out as files: source/language/document; one that ends with a licence line is its directory's."""
     docs = table(spark, folder, "documents")
