@@ -58,9 +58,7 @@ def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "te
         F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item_id"),
         F.inline(F.transform(F.array(tokens(F.col(text))), lambda w: F.struct(
             w.alias("w"), F.least(F.size(w), F.lit(span)).alias("span"))))).where("span > 0")
-    listed = cut.select("item_id", F.inline(F.transform(
-        F.array(F.col("w")), lambda w: F.struct(w.alias("w"), F.col("span").alias("span")))))
-    flat = listed.select("item_id", F.inline(_windows(F.col("w"), F.col("span"), indices(F.size("w") - F.col("span") + 1))))
+    flat = cut.select("item_id", F.inline(_windows(F.col("w"), F.col("span"), indices(F.size("w") - F.col("span") + 1))))
     w = F.split("window", " ")
     by_span = F.lit(None).cast("bigint")
     for n in range(1, span + 1):

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import indices, let
+from folioflow.llm.common import let
 
 ROUNDS = 8
 #: Steps a permutation is repeated until its value is valid again; the least share of valid values is 0.88.
