@@ -3,8 +3,9 @@
 Every element has its characters C, tags T, characters in links LC and tags that are links LT. Its density is C / T, damped
 by a logarithm whose base grows with the share of link text; the density sum of an element adds the densities of its
 children. The element of the largest density sum is the kernel of the text. The smallest density on the path from it up to the body
-is the threshold: it says which of the kernel's ancestors are still text, and the outermost ``article`` or ``main`` among
-them is taken instead, as a headline is less dense than the paragraphs beside it.
+is the threshold. A kernel inside ``article`` or ``main`` stands for the outermost of them, and others of that kind that reach the threshold
+count too. On other pages every element that reaches it gives its part of the largest density sum, anywhere under the body; paragraphs and
+elements of the same class beside such a block belong to it however short, unless half of them is link text, and so do headings before it.
 Elements that say what they are (navigation, adverts, forms, comments and the like) are left out before.
 One pass per page in Arrow batches, no shuffle; a page is parsed by its task alone.
 """
@@ -37,15 +38,18 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 NAMES = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
                   "sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments commentlist respond disqus share sharing "
                   "social related recommended newsletter subscribe subscription popup modal overlay widget login signup search skip pagination pager toolbar".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements beside a block that read on with it.
+BESIDE = frozenset("p section blockquote pre".split())
 _OPENING = re.compile(r"<[A-Za-z/!?]")
 _TOKENS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "drop", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "drop", "chars", "tags", "link_chars", "link_tags", "density", "total", "kind")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False):
-        self.tag, self.parent, self.drop = tag, parent, drop
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, kind: str = ""):
+        self.tag, self.parent, self.drop, self.kind = tag, parent, drop, kind
         self.parts: list[str | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -81,7 +85,8 @@ class Tree(HTMLParser):
         up, in_text = self.now, False
         while up is not None:
             in_text, up = in_text or up.tag in ("article", "main"), up.parent
-        node = Node(tag, self.now, _named_out(tag, dict(attrs), in_text))
+        given = dict(attrs)
+        node = Node(tag, self.now, _named_out(tag, given, in_text), given.get("class") or "")
         self.now.parts.append(node)
         if tag not in VOID:
             self.now = node
@@ -131,40 +136,119 @@ def _measure(nodes: list[Node]) -> None:
     body = nodes[0]
     share = body.link_chars / max(1, body.chars)
     for node in nodes:
-        c, t, lc, lt = node.chars, max(1, node.tags), max(1, node.link_chars), max(1, node.link_tags)
-        if c:
-            base = math.log(c / max(1, c - node.link_chars) * node.link_chars + share * c + math.e)
-            node.density = c / t * math.log(max(1.0, c / lc * t / lt) + 1, max(base, 1.0001))
+        node.density = _density(node.chars, node.tags, node.link_chars, node.link_tags, share)
     for node in nodes[1:]:
         node.parent.total += node.density
 
 
-def _kernel(nodes: list[Node]) -> Node:
-    """First element, in page order, of the largest density sum; then up along the body path."""
-    best = max(nodes, key=lambda n: n.total)
+def _density(chars: int, tags: int, link_chars: int, link_tags: int, share: float) -> float:
+    """Counts of 0 are taken as 1, so that text without links stays comparable with text with some."""
+    if not chars:
+        return 0.0
+    t, lc, lt = max(1, tags), max(1, link_chars), max(1, link_tags)
+    base = math.log(chars / max(1, chars - link_chars) * lc + share * chars + math.e)
+    return chars / t * math.log(chars / lc * t / lt + 1, base)
+
+
+def _blocks(nodes: list[Node]) -> tuple[set[Node], set[Node]]:
+    """The elements that make up the main text, and those of which only the text outside their block elements does."""
+    best = max(nodes, key=lambda n: n.total)  # the first in page order
     path = []
     up = best
     while up is not None:
         path.append(up)
         up = up.parent
     threshold = min(n.density for n in path)
-    named = [n for n in path if n.tag in ("article", "main") and n.density >= threshold]
+    named = [n for n in path if n.tag in ("article", "main")]
     articles = [n for n in named if n.tag == "article"]
-    return (articles or named or [best])[-1]
+    beside, bare = frozenset(), set()
+    if named:
+        whole = (articles or named)[-1]
+        taken = {n for n in nodes if n is whole or (n.tag == whole.tag and n.density >= threshold)}
+    else:
+        beside, taken = BESIDE, _dense(nodes, threshold)
+        bare = {n for n in nodes if n not in taken and n.tag not in INLINE and n.tag not in HEADINGS and _bare_density(n, nodes[0]) >= threshold}
+    for parent in {n.parent for n in taken} - {None}:
+        inside = [p for p in parent.parts if isinstance(p, Node) and not p.drop]
+        kinds = {(n.tag, n.kind) for n in inside if n in taken and (n.kind or n.tag == "article")}
+        taken.update(n for n in inside if (n.tag in beside or (n.tag, n.kind) in kinds) and n.chars and 2 * n.link_chars < n.chars)
+    return taken | _headings(nodes, taken, bare), bare
+
+
+def _dense(nodes: list[Node], threshold: float) -> set[Node]:
+    """Of every block element whose density reaches the threshold, the element of the largest density sum within it."""
+    peak: dict[Node, Node] = {}
+    holds: set[Node] = set()  # elements with a dense one inside
+    taken = set()
+    for node in reversed(nodes):
+        if node.tag not in INLINE and (node not in peak or node.total >= peak[node].total):
+            peak[node] = node
+        dense = node.tag not in INLINE and node.tag not in HEADINGS and node.density >= threshold
+        if dense and peak[node].density >= threshold and peak[node].tag not in HEADINGS:
+            taken.add(peak[node])
+        elif dense and node not in holds:
+            taken.add(node)
+        if (dense or node in holds) and node.parent is not None:
+            holds.add(node.parent)
+        if node in peak and node.parent is not None and (node.parent not in peak or peak[node].total >= peak[node.parent].total):
+            peak[node.parent] = peak[node]
+    return taken
+
+
+def _bare_density(node: Node, body: Node) -> float:
+    own = [p for p in node.parts if isinstance(p, str) or (p.tag in INLINE and not p.drop)]
+    if not any(isinstance(p, str) and not p.isspace() for p in own):
+        return 0.0
+    chars = sum(len("".join(p.split())) if isinstance(p, str) else p.chars for p in own)
+    inner = [p for p in own if isinstance(p, Node)]
+    return _density(chars, sum(p.tags + 1 for p in inner), sum(p.link_chars for p in inner), sum(p.link_tags + (p.tag == "a") for p in inner),
+                    body.link_chars / max(1, body.chars))
+
+
+def _headings(nodes: list[Node], taken: set[Node], bare: set[Node]) -> set[Node]:
+    """Headings with nothing but headings between them and the text they head; the last h1 above all text, unless it is a link, in any case."""
+    found: set[Node] = set()
+    waiting: list[Node] = []
+    first: Node | None = None
+    done: set[Node] = set()  # elements whose inside is not looked at
+    begun = False
+    for node in nodes:
+        if node.parent in done:
+            done.add(node)
+        elif node in taken or node in bare:
+            found.update(waiting)
+            if first is not None and not begun:
+                found.add(first)
+            waiting, begun = [], True
+            if node in taken:
+                done.add(node)
+        elif node.tag in HEADINGS:
+            done.add(node)
+            if node.parent in bare:
+                found.add(node)
+            else:
+                waiting.append(node)
+            if node.tag == "h1" and node.link_chars < node.chars:
+                first = node
+        elif any(isinstance(p, str) and not p.isspace() for p in node.parts):
+            waiting = []
+    return found
 
 
-def _text(node: Node) -> str:
+def _text(root: Node, taken: set[Node], bare: set[Node]) -> str:
+    """Text of the taken elements, and of bare ones outside their block elements, in page order."""
     out: list[str] = []
-    todo: list[str | Node] = [node]
+    todo: list[tuple[str | Node, bool]] = [(root, False)]
     while todo:
-        part = todo.pop()
+        part, inside = todo.pop()
         if isinstance(part, str):
-            out.append(part)
+            if inside:
+                out.append(part)
         elif not part.drop:
-            if part.tag in INLINE:
-                todo += reversed(part.parts)
-            else:
-                todo += [" ", *reversed(part.parts), " "]
+            inside = inside or part in taken
+            text = inside or part in bare
+            parts = [(p, text if isinstance(p, str) or p.tag in INLINE else inside) for p in reversed(part.parts)]
+            todo += parts if part.tag in INLINE else [(" ", True), *parts, (" ", True)]
     return " ".join("".join(out).split())
 
 
@@ -179,7 +263,7 @@ def extract(html: str | None) -> str:
     tree.close()
     nodes = _in_order(tree.root)
     _measure(nodes)
-    return _text(_kernel(nodes))
+    return _text(tree.root, *_blocks(nodes))
 
 
 def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -262,6 +262,30 @@ def test_text_without_named_elements_is_found_by_density():
     assert got.startswith("Title Paragraph 0 has") and got.endswith("one link.") and "Link number" not in got
 
 
+def test_every_section_and_the_headline_are_taken_without_named_elements():
+    para = lambda k: "<p>" + f"text{k} " * 50 + "</p>"
+    parts = ["<div class=part>" + para(k) * n + "</div>" for k, n in ((1, 6), (2, 6), (3, 2))]
+    links = "<ul class=more>" + "".join(f"<li><a href=/{i}>Some other story {i}</a>" for i in range(20)) + "</ul>"
+    want = " ".join(["Head line"] + ["text1"] * 300 + ["text2"] * 300 + ["text3"] * 100)
+    assert main_text.extract("<div><h1>Head line</h1>" + "".join(parts) + "</div>") == want
+    assert main_text.extract(f"<body>{links}<div><h1>Head line</h1>" + "".join(parts) + f"</div>{links}</body>") == want
+    # a block elsewhere under the body, and sections of unlike length with headings
+    far = f"<div><div><h1>Head line</h1>{parts[0]}</div></div>{links}<div><div>{para(2) * 6}</div></div>"
+    assert main_text.extract(far) == " ".join(["Head line"] + ["text1"] * 300 + ["text2"] * 300)
+    cut = "<h1>Head line</h1><p>Lead.</p>" + "".join(f"<section><h2>Part {k}</h2>{para(k) * n}</section>" for k, n in ((1, 5), (2, 1), (3, 9)))
+    assert main_text.extract(f"<div>{links}{cut}</div>") == " ".join(["Head line Lead."] + [w for k, n in ((1, 5), (2, 1), (3, 9)) for w in ["Part", str(k), *[f"text{k}"] * 50 * n]])
+
+
+def test_text_outside_of_block_elements_is_taken():
+    page = "<div>" + "Bare words of a page. " * 80 + "<br>and more.<div class=q>" + "<p>" + "Quoted. " * 60 + "</p><p>" + "Quoted. " * 60 + "</p></div>Last words " + "of it " * 60 + "</div>"
+    assert main_text.extract(page) == " ".join(["Bare words of a page."] * 80 + ["and more."] + ["Quoted."] * 120 + ["Last words"] + ["of it"] * 60)
+
+
+def test_several_articles_are_one_main_text():
+    page = "<body>" + "".join(f"<article><h2>Head {k}</h2>" + f"<p>{'some text ' * 30}</p>" * n + "</article>" for k, n in ((1, 5), (2, 2))) + "<div>Bye</div></body>"
+    assert main_text.extract(page) == " ".join(["Head 1"] + ["some text"] * 150 + ["Head 2"] + ["some text"] * 60)
+
+
 # ---- 4
 
 def test_class_bigrams(spark, texts):
