@@ -6,7 +6,8 @@ children. The element of the largest density sum is the kernel of the text. The
 is the threshold. A kernel inside ``article`` or ``main`` stands for the outermost of them, and others of that kind that reach the threshold
 count too. On other pages every element that reaches it gives its part of the largest density sum, anywhere under the body; paragraphs and
 elements of the same class beside such a block belong to it however short, unless half of them is link text, and so do headings before it.
-Elements that say what they are (navigation, adverts, forms, comments and the like) are left out before.
+Elements that say what they are (navigation, adverts, forms, comments and the like) are left out before. Inside ``article`` and ``main``
+a class or id must name such a role as a whole, and but for adverts and comments links or a low density must confirm it.
 One pass per page in Arrow batches, no shuffle; a page is parsed by its task alone.
 """
 
@@ -38,6 +39,10 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 NAMES = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
                   "sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments commentlist respond disqus share sharing "
                   "social related recommended newsletter subscribe subscription popup modal overlay widget login signup search skip pagination pager toolbar".split())
+#: Of these, the ones that need no confirmation inside the article; and words that may go with any of them in one class or id.
+SURE = frozenset("ad ads adv advert adverts advertisement advertising sponsor comment comments commentlist respond disqus".split())
+BESIDES = frozenset("area article articles bar body block box button buttons container content form heading icon icons inner item items left link links "
+                    "list media news outer panel post posts right row section slot stories story thread title toggle unit units wrap wrapper".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements beside a block that read on with it.
 BESIDE = frozenset("p section blockquote pre".split())
@@ -46,10 +51,10 @@ _TOKENS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "drop", "chars", "tags", "link_chars", "link_tags", "density", "total", "kind")
+    __slots__ = ("tag", "parent", "parts", "drop", "chars", "tags", "link_chars", "link_tags", "density", "total", "kind", "doubt")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False, kind: str = ""):
-        self.tag, self.parent, self.drop, self.kind = tag, parent, drop, kind
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, kind: str = "", doubt: bool = False):
+        self.tag, self.parent, self.drop, self.kind, self.doubt = tag, parent, drop, kind, doubt
         self.parts: list[str | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -60,12 +65,21 @@ def _named_out(tag: str, attrs: dict[str, str | None], in_text: bool) -> bool:
         return True
     if (attrs.get("role") or "").lower() in ROLES or "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
         return True
-    if tag in ("article", "main", "body", "html"):
-        wide = NAMES & {"comment", "comments", "ad", "ads", "advert"}
-    else:
-        wide = NAMES if in_text else NAMES | {"header"}
+    if tag in HEADINGS:
+        return False
+    if in_text or tag in ("article", "main", "body", "html"):
+        return _role(attrs, SURE)
     names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-    return any(t.lower() in wide for t in _TOKENS.findall(names))
+    return any(t.lower() in NAMES or t.lower() == "header" for t in _TOKENS.findall(names))
+
+
+def _role(attrs: dict[str, str | None], roles: frozenset[str]) -> bool:
+    """Whether a whole class or the id names one of the roles: its first word does, and the others are roles, numbers or go with any."""
+    for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split():
+        first, *more = [t.lower() for t in _TOKENS.findall(name)] or [""]
+        if first in roles and all(t in NAMES or t in BESIDES or t == "x" or t.isdigit() for t in more):
+            return True
+    return False
 
 
 class Tree(HTMLParser):
@@ -86,7 +100,8 @@ class Tree(HTMLParser):
         while up is not None:
             in_text, up = in_text or up.tag in ("article", "main"), up.parent
         given = dict(attrs)
-        node = Node(tag, self.now, _named_out(tag, given, in_text), given.get("class") or "")
+        doubt = in_text and tag not in HEADINGS and tag not in ("article", "main") and _role(given, NAMES)
+        node = Node(tag, self.now, _named_out(tag, given, in_text), given.get("class") or "", doubt)
         self.now.parts.append(node)
         if tag not in VOID:
             self.now = node
@@ -123,6 +138,8 @@ def _in_order(root: Node) -> list[Node]:
 
 def _measure(nodes: list[Node]) -> None:
     for node in reversed(nodes):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
+        node.total = 0.0
         for part in node.parts:
             if isinstance(part, str):
                 node.chars += len("".join(part.split()))
@@ -141,6 +158,19 @@ def _measure(nodes: list[Node]) -> None:
         node.parent.total += node.density
 
 
+def _confirm(nodes: list[Node]) -> bool:
+    """Leaves out the doubtful elements of which links make up a third, or whose density is below half that of the article around them."""
+    dropped = False
+    for node in nodes:
+        if node.doubt:
+            up = node.parent
+            while up.parent is not None and up.tag not in ("article", "main"):
+                up = up.parent
+            if 3 * node.link_chars >= node.chars or 2 * node.density < up.density:
+                node.drop = dropped = True
+    return dropped
+
+
 def _density(chars: int, tags: int, link_chars: int, link_tags: int, share: float) -> float:
     """Counts of 0 are taken as 1, so that text without links stays comparable with text with some."""
     if not chars:
@@ -263,6 +293,9 @@ def extract(html: str | None) -> str:
     tree.close()
     nodes = _in_order(tree.root)
     _measure(nodes)
+    if _confirm(nodes):
+        nodes = _in_order(tree.root)
+        _measure(nodes)
     return _text(tree.root, *_blocks(nodes))
 
 

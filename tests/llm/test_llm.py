@@ -286,6 +286,17 @@ def test_several_articles_are_one_main_text():
     assert main_text.extract(page) == " ".join(["Head 1"] + ["some text"] * 150 + ["Head 2"] + ["some text"] * 60)
 
 
+def test_names_in_an_article_drop_only_what_they_name_as_a_whole():
+    text = "Running text of an article, as long as it takes. " * 8
+    kept = [f'<section id="related-work"><p>{text}</p></section>', '<h2 id="search-results">Results</h2>', '<h2 id="notice-period">Notice</h2>', '<h3 class="share">Shares</h3>',
+            f'<p class="share-price">{text}</p>', f'<div id="social-impact"><p>{text}</p></div>', f'<section id="cookies"><p>{text}</p><p>{text}</p></section>']
+    gone = ['<div class="share-buttons"><a href=x>Post</a> <a href=y>Mail</a></div>', '<ul class="entry-end relatedPosts"><li><a href=z>Other story</a></ul>',
+            f'<div id="comments"><p>{text}No.</p></div>', '<div class="ad-300x250">Buy</div>', '<div class="newsletter">Sign up</div>']
+    page = "<article><h1 id=menu>Head</h1>" + "".join(k + g for k, g in itertools.zip_longest(kept, gone, fillvalue="")) + "</article>"
+    one = " ".join(text.split())
+    assert main_text.extract(page) == " ".join(["Head", one, "Results", "Notice", "Shares", one, one, one, one])
+
+
 # ---- 4
 
 def test_class_bigrams(spark, texts):
