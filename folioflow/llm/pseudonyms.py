@@ -19,20 +19,26 @@ ROUNDS = 8
 #: Steps a permutation is repeated until its value is valid again; the least share of valid values is 0.88.
 WALK = 24
 
-# The written forms that are looked for. Possessive repeats keep the search linear.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}+[A-Za-z]{2,24}+"
+# The written forms that are looked for. Possessive or bounded repeats keep the search linear.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}+"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 PHONE = (r"(?<![A-Za-z0-9])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![A-Za-z0-9])"
-         r"|(?<![A-Za-z0-9])\+[0-9]{1,3}+[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![A-Za-z0-9])"
+         r"|(?<![A-Za-z0-9])\+[0-9]{1,3}+[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![A-Za-z0-9])"
          r"|(?<![A-Za-z0-9])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![A-Za-z0-9])"
          r"|(?<![A-Za-z0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![A-Za-z0-9]|[.-][0-9])")
+#: National numbers with their trunk 0 (French in pairs; area and number as in Germany and Britain; unspaced), Spanish ones in groups that are not thousands,
+#: and American ones with spaces.
+NATIONAL = (r"(?<![A-Za-z0-9+]|[0-9][ ./-])(?:0[1-9](?:(?: [0-9]{2}){4}|(?:\.[0-9]{2}){4}|(?:-[0-9]{2}){4}|[0-9]{8,9})"
+            r"|(?:\(0[1-9][0-9]{1,4}\) ?|0[1-9][0-9]{1,4}(?: ?/ ?| |-))(?:[0-9]{5,8}(?:-[0-9]{1,4})?|[0-9]{2,4}(?:[ -][0-9]{2,4}){2,3}|[0-9]{3,4}[ -][0-9]{3,4})"
+            r"|[6-9][0-9]{2}(?:(?: [0-9]{2}){3}|(?:\.[0-9]{2}){3}|(?:-[0-9]{2}){3}|(?:-[0-9]{3}){2})|[89][0-9](?: [0-9]{3}(?: [0-9]{2}){2}|\.[0-9]{3}(?:\.[0-9]{2}){2})"
+            r"|[2-9][0-9]{2} [0-9]{3} [0-9]{4})(?![A-Za-z0-9]|[./-][0-9])")
 CARD = (r"(?<![A-Za-z0-9])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5})"
         r"(?![A-Za-z0-9])")
 SSN = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9]|-[0-9])"
 IPV4 = r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![A-Za-z0-9]|\.[0-9])"
 DATE = (r"(?<![A-Za-z0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{1,2}(?:/[0-9]{1,2}/|\.[0-9]{1,2}\.|-[0-9]{1,2}-)[0-9]{4})"
-        r"(?![A-Za-z0-9]|[./-][0-9])")
-ANY = "|".join(f"(?:{p})" for p in (EMAIL, IBAN, PHONE, SSN, CARD, IPV4, DATE))
+        r"(?:(?=[Tt][0-9]{2}:?[0-9]{2})|(?![A-Za-z0-9]|[./-][0-9]))")
+ANY = "|".join(f"(?:{p})" for p in (EMAIL, IBAN, PHONE, SSN, CARD, IPV4, DATE, NATIONAL))
 #: Days from 1900-01-01 to 2099-12-31, and two factors whose product is the next larger domain.
 DAYS, DAY_A, DAY_B = 73049, 271, 270
 
@@ -145,9 +151,9 @@ def _card(m: Column, key: str) -> Column:
     return let(_digits(m), go)
 
 
-def _phone(m: Column, key: str) -> Column:
-    """The country code stays: it is part of the format."""
-    code = F.regexp_extract(m, r"^\+[0-9]{1,3}", 0)
+def _phone(m: Column, key: str, code: str = r"^\+[0-9]{1,3}") -> Column:
+    """The country code, or the trunk 0 of a national number, stays: it is part of the format."""
+    code = F.regexp_extract(m, code, 0)
     rest = F.substring(m, F.length(code) + 1, F.length(m))
     def go(d: Column) -> Column:
         return F.when(F.length(d).between(7, 15), F.concat(code, _refill(rest, permute_text(d, key, "phone"), "0-9"))).otherwise(m)
@@ -212,7 +218,7 @@ def _pseudonym(m: Column, key: str) -> Column:
     whole = lambda p: F.regexp_like(m, F.lit(f"^(?:{p})$"))
     return (F.when(F.contains(m, F.lit("@")), _email(m, key)).when(whole(IPV4), _ip(m, key)).when(whole(SSN), _ssn(m, key))
             .when(whole(DATE), _date(m, key)).when(whole(IBAN), _iban(m, key)).when(whole(PHONE), _phone(m, key))
-            .otherwise(_card(m, key)))
+            .when(whole(CARD), _card(m, key)).otherwise(_phone(m, key, r"^\(?0")))
 
 
 def pseudonymise(text: Column, key: str) -> Column:

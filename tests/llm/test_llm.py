@@ -238,6 +238,23 @@ def test_pseudonyms(spark):
     assert pseudonyms.pseudonymise_column(documents(spark, []), "k").count() == 0
 
 
+def test_pseudonyms_at_sentence_ends_and_in_national_forms(spark):
+    gone = ["ann@b.com", "ann@b.co.uk", "x.y@mail.example.org", "2021-03-04", "01 23 45 67 89", "01.23.45.67.89", "0612345678", "+33 1 23 45 67 89", "+33 (0)1 23 45 67 89",
+            "030 123456", "(030) 1234567", "0171/1234567", "020 7946 0958", "612 34 56 78", "91 234 56 78", "612-345-678", "+34 612 345 678", "555 123 4567"]
+    ends = [".", ". Then", ", then", "", "!", ")"]
+    rows = [f"Write to {v}{e}" for v in gone for e in ends] + ["at 2021-03-04T12:00:00Z."]
+    left = ["12 345 678 Euro", "612 345 678 euros.", "3.14159 and 007", "a@b", "2021-02-30T12:00", "0.5 / 0.25", "01.02. um 12 Uhr", "1234567890"]
+    new = [x.text for x in pseudonyms.pseudonymise_column(documents(spark, list(enumerate(rows + left))), "k").orderBy("doc_id").collect()]
+    shape = lambda t: re.sub("[a-z]", "x", re.sub("[0-9]", "9", t))
+    for i, (row, t) in enumerate(zip(rows[:-1], new)):
+        v, e = gone[i // len(ends)], ends[i % len(ends)]
+        assert t.startswith("Write to ") and t.endswith(e) and len(t) == len(row) and shape(t) == shape(row) and v not in t, (row, t)
+        assert t[9:9 + len(v)] == new[i - i % len(ends)][9:9 + len(v)]
+        assert not v.startswith(("0", "(0")) or t[9:].startswith(("0", "(0"))
+    assert re.fullmatch(r"at \d{4}-\d\d-\d\dT12:00:00Z\.", new[len(rows) - 1]) and new[len(rows) - 1] != rows[-1]
+    assert new[len(rows):] == left
+
+
 # ---- 3
 
 def test_main_text(spark):
