@@ -5,9 +5,11 @@ import itertools
 import random
 import re
 import string
+import textwrap
 import zlib
 from collections import Counter
 from math import log10
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -410,6 +412,25 @@ def test_licence_cosines(spark):
     assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 2e-6 for k in want)
 
 
+def test_headers_whole_files_and_identifiers(spark):
+    wrap = lambda t, mark="": "\n".join(f"{mark}{x}" for x in textwrap.wrap(t, 72))
+    notice = lambda name, i=0: [t for k, t in licences.NOTICES if k == name][i]
+    whole = lambda name: (Path(licences.__file__).parent / f"licence_texts/{name}.txt").read_text()
+    title = lambda x: f"                    GNU GENERAL PUBLIC LICENSE\n                       {x}\n"
+    files = {"a/COPYING": (title("Version 2, June 1991"), "GPL-2.0"), "a/x.c": ("int x;", "GPL-2.0"), "b/COPYING": (title("Version 3, 29 June 2007"), "GPL-3.0"),
+             "c/g2.c": ("/*\n * Foo, a bar\n *\n" + wrap(notice("GPL-2.0"), " * ") + "\n */\nint main() { return 0; }\n" * 40, "GPL-2.0"),
+             "c/g3.py": ("#!/usr/bin/python\n# Foo (C) 2020 Ann\n#\n" + wrap(notice("GPL-3.0"), "# ") + "\n\nimport sys\n" * 40, "GPL-3.0"),
+             "c/l21.h": (wrap(notice("LGPL-2.1"), "// ") + "\n#define X\n", "LGPL-2.1"), "c/none.py": ("# Foo and its bars\n\nprint(1)\n", None),
+             "d/LICENSE": ("The MIT License (MIT)\n\nCopyright (c) 2020 Ann\n\n" + wrap(notice("MIT")), "MIT"), "e/LICENSE": ("Copyright 2020 Ann\n\n" + wrap(notice("BSD-3-Clause")), "BSD-3-Clause"),
+             "f/LICENSE": ("Copyright 2020 Ann\n\n" + wrap(notice("BSD-2-Clause")), "BSD-2-Clause"), "g/LICENSE.txt": (whole("Apache-2.0"), "Apache-2.0"),
+             "h/COPYING": (whole("GPL-2.0"), "GPL-2.0"), "h/y.c": ("", "GPL-2.0"), "i/COPYING": (whole("GPL-3.0"), "GPL-3.0"), "j/COPYING": (whole("LGPL-3.0"), "LGPL-3.0"), "k/LICENSE": (whole("MPL-2.0"), "MPL-2.0"),
+             "c/m.js": ("// SPDX-License-Identifier: MIT\nlet a;", "MIT"), "c/s.js": ("/* SPDX-License-Identifier: Apache-2.0 */\nlet a;", "Apache-2.0"),
+             "c/t.js": ("// SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0"), "c/u.js": ("// SPDX-License-Identifier: Zlib", None), "c/apache.go": (wrap(notice("Apache-2.0"), "// "), "Apache-2.0")}
+    rows = [(k, t) for k, (t, _) in files.items()] * 2
+    got = Counter((x.path, x.licence) for x in licences.scan(spark.createDataFrame(rows, "path string, text string")).collect())
+    assert got == Counter([(k, name) for k, (_, name) in files.items()] * 2)
+
+
 # ---- 9
 
 def test_both_libraries_split_the_first_code_points_alike():
