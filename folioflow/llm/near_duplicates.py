@@ -80,11 +80,11 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _features(width: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
+            ids, hashes = batch.column("doc_id"), batch.column("hash")
             for first, texts in portions(batch, "text"):
                 sets = shingle_sets(texts, width)
                 sigs = np.array([signature(s) for s in sets], np.uint32).reshape(-1, ROWS * BANDS)
@@ -92,7 +92,7 @@ def _features(width: int):
                 full = [len(s) > 0 for s in sets]
                 short = (sigs & 0xFFFF).astype("<u2")
                 yield pa.record_batch([
-                    ids.slice(first, len(sets)), pa.array([digest(s) if f else None for s, f in zip(sets, full)], pa.int64()),
+                    ids.slice(first, len(sets)), hashes.slice(first, len(sets)), pa.array([digest(s) if f else None for s, f in zip(sets, full)], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([b.view(np.int64) if f else None for b, f in zip(bands, full)], pa.list_(pa.int64())),
                     pa.array([s.tobytes() if f else None for s, f in zip(short, full)], pa.binary())], schema=schema)
@@ -287,8 +287,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     or text have no shingles and their own id as component. Rows without an id are linked with nothing,
     their component is null and they are kept. Ties: the smallest id represents a component. An empty table gives no rows.
     """
+    return _judged(docs, doc_id, text, width, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "kept")
+
+
+def _judged(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
+    """(doc_id, hash, n, comp, component_id, kept): ``hash`` of the text; ``comp`` tells components apart, as an id may lead several if it is on several texts."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    feats = written(in_batches(docs, _features(width), "doc_id bigint, node bigint, n bigint, bands array<bigint>, sig binary"), "features")
+    feats = written(in_batches(docs.withColumn("hash", F.xxhash64("text")), _features(width), "doc_id bigint, hash bigint, node bigint, n bigint, bands array<bigint>, sig binary"), "features")
     linkable = feats.where("node IS NOT NULL AND doc_id IS NOT NULL")
     banded = linkable.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket", "lo")
@@ -342,19 +347,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     classes = linkable.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     led = comps.join(classes, "node").select("node", "comp", "least")
-    lead = led.join(led.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").select("node", "component_id")
-    copies = classes.where("rows > 1").join(comps, "node", "left_anti").select("node", F.col("least").alias("component_id"))
+    lead = led.join(led.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").select("node", "comp", "component_id")
+    copies = classes.where("rows > 1").join(comps, "node", "left_anti").select("node", F.col("node").alias("comp"), F.col("least").alias("component_id"))
     leads = lead.union(copies)
     key = F.when(F.col("doc_id").isNotNull(), F.col("node"))
-    out = feats.select("doc_id", "n", key.alias("node")).join(leads, "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
+    out = feats.select("doc_id", "hash", "n", key.alias("node")).join(leads, "node", "left")
+    return out.select("doc_id", "hash", "n", "comp", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_first(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """One document of each component, all columns as they were; rows repeated with id and text stay once."""
-    dropped = near_duplicates(docs, width=width, percent=percent).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(dropped, docs["doc_id"] == dropped["__gone"], "left_anti")
-    marked = left.withColumn("__text_hash", F.xxhash64("text"))
-    some = marked.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "__text_hash"])
-    return some.union(marked.where("doc_id IS NULL")).drop("__text_hash")
+    """One document of each component, all columns as they were; rows repeated with id and text stay once.
+
+    A document is an id and its text: of an id on several texts, only those go that are copies. Of several in one component that its id
+    leads, the one of the smallest hash stays.
+    """
+    judged = written(_judged(docs, "doc_id", "text", width, percent).select("doc_id", "hash", "comp", "kept"), "judged")
+    twice = (judged.where("kept AND comp IS NOT NULL").groupBy("doc_id", "comp").agg(F.min("hash").alias("first"), F.max("hash").alias("last"))
+             .where("first <> last").select("doc_id", "comp", "first"))
+    also = judged.where("kept").join(twice, ["doc_id", "comp"]).where("hash <> first").select("doc_id", "hash")
+    dropped = judged.where("NOT kept").select("doc_id", "hash").union(also).select(F.col("doc_id").alias("__gone"), F.col("hash").alias("__gone_hash")).distinct()
+    marked = docs.withColumn("__text_hash", F.xxhash64("text"))
+    left = marked.join(dropped, (marked["doc_id"] == dropped["__gone"]) & (marked["__text_hash"] == dropped["__gone_hash"]), "left_anti")
+    some = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "__text_hash"])
+    return some.union(left.where("doc_id IS NULL")).drop("__text_hash")

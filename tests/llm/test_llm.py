@@ -171,6 +171,15 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in got.collect()) == brute_components(docs, 5)
 
 
+def test_an_id_on_two_texts_loses_only_the_copy(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyz")
+    docs = [(1, one), (2, two), (2, one + " more"), (3, three), (3, three + " end"), (3, three), (4, None), (4, ""), (None, one)]
+    got = Counter((x.doc_id, x.text) for x in near_duplicates.keep_first(documents(spark, docs)).collect())
+    third = {t for d, t in got if d == 3}
+    assert len(third) == 1 and third <= {three, three + " end"}
+    assert got == Counter([(1, one), (2, two), (3, *third), (4, None), (4, ""), (None, one)])
+
+
 def test_posterior_bound():
     # P(similarity >= 0.8 | m of n equal) under a uniform prior, integrated numerically
     s = np.linspace(0, 1, 200_001)
