@@ -4,16 +4,17 @@
    minima and one bucket key per band. Documents with the same set are one node from here on.
 2. Within a bucket of the first bands nodes are linked to its smallest node only, so a group of any size gives linearly
    many candidates. Candidates are verified; components of confirmed links are found. What is still in different components
-   of a bucket of any band is linked to a node of the largest component label, again linearly.
-3. For buckets that then still hold several components, all remaining pairs across components are compared, in
-   blocks of nodes that are dealt to tasks: first by signature, which leaves the nodes with candidates, then these on full sets.
-   A block gives confirmed links only, and none between nodes that earlier ones of the block already join.
+   of a bucket of any band is linked to a node of the bucket's largest component, again linearly.
+3. In buckets that then still hold several components, every node outside the largest one, an outer node, is compared with all nodes
+   of other components, in blocks that are dealt to tasks: first by signature, which leaves the nodes with candidates, then these on full
+   sets. A node is sent once per block of outer nodes, an outer node also once per block of the bucket: one row each where the outer
+   nodes fit one block. A block gives confirmed links only, and none between nodes that earlier ones of the block already join.
 4. Verification compares signatures batch by batch. After each, a pair is dropped if the posterior
    probability that its similarity reaches the threshold is below ``MISS`` (uniform prior). Survivors
    are confirmed on their full shingle sets.
 
-A pair at the threshold shares no bucket with probability (1 - 0.8^5)^32 = 3e-6. Sets, shingles and nodes are
-compared by 64-bit hashes. No candidate is dropped by a cap, and nothing but counters reaches the driver.
+A pair at the threshold shares no bucket with probability (1 - 0.8^5)^32 = 3e-6. Shingles are
+compared by 64-bit hashes, sets and nodes by 128-bit digests. No candidate is dropped by a cap, and nothing but counters reaches the driver.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,8 +68,8 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     return out
 
 
-def digest(shingles: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+def digest(shingles: np.ndarray) -> str:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).hexdigest()
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -80,7 +82,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _features(width: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("node", pa.string()), ("n", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,7 +94,7 @@ def _features(width: int):
                 full = [len(s) > 0 for s in sets]
                 short = (sigs & 0xFFFF).astype("<u2")
                 yield pa.record_batch([
-                    ids.slice(first, len(sets)), hashes.slice(first, len(sets)), pa.array([digest(s) if f else None for s, f in zip(sets, full)], pa.int64()),
+                    ids.slice(first, len(sets)), hashes.slice(first, len(sets)), pa.array([digest(s) if f else None for s, f in zip(sets, full)], pa.string()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([b.view(np.int64) if f else None for b, f in zip(bands, full)], pa.list_(pa.int64())),
                     pa.array([s.tobytes() if f else None for s, f in zip(short, full)], pa.binary())], schema=schema)
@@ -154,7 +156,7 @@ def _jaccard(percent: int):
 
 
 def _sets(width: int):
-    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+    schema = pa.schema([("node", pa.string()), ("shingles", pa.binary())])
 
     def run(batches):
         for batch in batches:
@@ -164,7 +166,7 @@ def _sets(width: int):
                 made = [(w, s) for w, s in made if digest(s) == w]  # another text may have the same doc_id
                 for i in range(0, len(made), 256):
                     part = made[i:i + 256]
-                    yield pa.record_batch([pa.array([w for w, _ in part], pa.int64()), pa.array([s.tobytes() for _, s in part], pa.binary())], schema=schema)
+                    yield pa.record_batch([pa.array([w for w, _ in part], pa.string()), pa.array([s.tobytes() for _, s in part], pa.binary())], schema=schema)
 
     return run
 
@@ -195,24 +197,24 @@ def _pair_blocks(compare, schema: pa.Schema):
 
 
 def _candidates(part: pa.Table, percent: int):
-    """(x, ys): places in ``part`` of nodes in different components whose signatures pass.
+    """(x, ys): places in ``part`` of an outer node and of nodes in other components whose signatures pass.
 
     Two nodes may share several buckets; only the first band that they share tells of them.
     """
-    node, comp, own = (part[c].to_numpy() for c in ("node", "comp", "own"))
+    comp, outer, left, right = (part[c].to_numpy() for c in ("comp", "outer", "left", "right"))
+    order = pc.rank(part["node"].combine_chunks(), tiebreaker="dense").to_numpy()
     sig = _signatures(part["sig"].combine_chunks())
     bands = part["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-    one, two, band = part["i"][0].as_py(), part["j"][0].as_py(), part["band"][0].as_py()
-    left, right = np.flatnonzero(own == one), np.flatnonzero(own == two)
-    for x in left:
-        y = right[(comp[right] != comp[x]) & ((node[right] > node[x]) if one == two else True)]
+    band, right = part["band"][0].as_py(), np.flatnonzero(right)
+    for x in np.flatnonzero(left):
+        y = right[(comp[right] != comp[x]) & (~outer[right] | (order[right] > order[x]))]  # two outer nodes meet twice
         y = y[(bands[y] == bands[x]).argmax(axis=1) == band]
         y = y[may_be_alike(np.broadcast_to(sig[x], (len(y), sig.shape[1])), sig[y], percent)]
         if len(y):
             yield x, y
 
 
-_NEAR = pa.schema([("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("node", pa.int64())])
+_NEAR = pa.schema([("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("node", pa.string())])
 
 
 def _near(percent: int):
@@ -230,8 +232,8 @@ def _confirm_blocks(percent: int):
     """Links among the nodes of a block pair, confirmed on full sets; none between nodes that others already join."""
     def compare(part: pa.Table):
         sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in part["shingles"].combine_chunks()]
-        node, comp = part["node"].to_numpy(), part["comp"].to_numpy()
-        lead = {c: c for c in comp.tolist()}
+        node, comp = part["node"].to_pylist(), part["comp"].to_pylist()
+        lead = {c: c for c in comp}
 
         def top(c):
             while lead[c] != c:
@@ -241,16 +243,23 @@ def _confirm_blocks(percent: int):
         found = []
         for x, ys in _candidates(part, percent):
             for y in ys:
-                a, b = top(int(comp[x])), top(int(comp[y]))
+                a, b = top(comp[x]), top(comp[y])
                 if a != b:
                     both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
                     if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
                         lead[a] = b
                         found.append((node[x], node[y]))
         if found:
-            yield list(np.array(found).T)
+            yield list(zip(*found))
 
-    return _pair_blocks(compare, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+    return _pair_blocks(compare, pa.schema([("a", pa.string()), ("b", pa.string())]))
+
+
+#: (i, j, left, right) of the block pairs that a node goes to: as one of the bucket with every block of outer nodes and, if
+#: it is outer, as such with every block of the bucket.
+_DEALT = """inline(concat(
+    transform(sequence(0, outers - 1), x -> named_struct('i', x, 'j', own, 'left', outer AND x = out, 'right', true)),
+    filter(transform(sequence(0, blocks - 1), y -> named_struct('i', out, 'j', y, 'left', true, 'right', false)), z -> outer AND z.j <> own)))"""
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -293,7 +302,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def _judged(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
     """(doc_id, hash, n, comp, component_id, kept): ``hash`` of the text; ``comp`` tells components apart, as an id may lead several if it is on several texts."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    feats = written(in_batches(docs.withColumn("hash", F.xxhash64("text")), _features(width), "doc_id bigint, hash bigint, node bigint, n bigint, bands array<bigint>, sig binary"), "features")
+    feats = written(in_batches(docs.withColumn("hash", F.xxhash64("text")), _features(width), "doc_id bigint, hash bigint, node string, n bigint, bands array<bigint>, sig binary"), "features")
     linkable = feats.where("node IS NOT NULL AND doc_id IS NOT NULL")
     banded = linkable.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket", "lo")
@@ -306,43 +315,42 @@ def _judged(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -
         """(node, shingles) of the nodes wanted, from the text of one document each."""
         source = wanted.distinct().join(nodes.select("node", "doc_id"), "node")
         texts = docs.join(source, "doc_id").select("doc_id", "node", "text")
-        return written(in_batches(texts, _sets(width), "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
+        return written(in_batches(texts, _sets(width), "node string, shingles binary").dropDuplicates(["node"]), "sets")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that are alike."""
         s = nodes.select("node", "sig")
         pairs = in_batches(pairs.join(s.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a")
                            .join(s.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b").select("a", "b", "x", "y"),
-                           _prune(percent), "a bigint, b bigint")
+                           _prune(percent), "a string, b string")
         pairs = written(pairs, "survivors")
         sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
         return in_batches(pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
                           .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y"),
-                          _jaccard(percent), "a bigint, b bigint")
+                          _jaccard(percent), "a string, b string")
 
     links = written(confirm(members.where((F.col("node") != F.col("lo")) & (F.col("band") < FIRST_BANDS)).select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()), "links")
     for last in (False, True):
         comps = written(components(links), "components")
         told = members.select("bucket", "band", "node").join(comps, "node", "left").select("bucket", "band", "node", F.coalesce("comp", "node").alias("comp"))
-        mixed = told.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"),
-                                           F.max_by("node", "comp").alias("centre")).where("lo <> hi")
-        rest = told.join(mixed, "bucket")
+        each = told.groupBy("bucket", "comp").agg(F.count("*").alias("c"), F.max("node").alias("centre"))
+        mixed = each.groupBy("bucket").agg(F.count("*").alias("comps"), F.sum("c").alias("n"), F.max(F.struct("c", "comp", "centre")).alias("main")).where("comps > 1")
+        rest = told.join(mixed, "bucket").withColumn("outer", F.col("comp") != F.col("main.comp"))
         if not last:
-            pairs = rest.where("comp <> hi").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+            pairs = rest.where("outer").select(F.least("node", "main.centre").alias("a"), F.greatest("node", "main.centre").alias("b")).distinct()
             links = written(links.union(confirm(pairs)), "links")
             continue
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        dealt = (rest.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-                 .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-                 .select("bucket", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp"))
+        dealt = (rest.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("outers", F.ceil((F.col("n") - F.col("main.c")) / BLOCK).cast("int"))
+                 .withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("out", F.pmod(F.xxhash64("node"), "outers").cast("int"))
+                 .select("bucket", "band", "node", "comp", "outer", F.expr(_DEALT)))
 
         def in_blocks(rows: DataFrame, run, schema: str, *more: str) -> DataFrame:
             rows = rows.join(nodes.select("node", "sig", "bands"), "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-            return in_batches(rows.select("bucket", "i", "j", "band", "own", "node", "comp", "sig", "bands", *more), run, schema)
+            return in_batches(rows.select("bucket", "i", "j", "band", "left", "right", "outer", "node", "comp", "sig", "bands", *more), run, schema)
 
-        near = written(in_blocks(dealt, _near(percent), "bucket bigint, i int, j int, node bigint"), "near")
+        near = written(in_blocks(dealt, _near(percent), "bucket bigint, i int, j int, node string"), "near")
         full = dealt.join(near, ["bucket", "i", "j", "node"]).join(sets_of(near.select("node")), "node")
-        links = written(links.union(in_blocks(full, _confirm_blocks(percent), "a bigint, b bigint", "shingles")), "links")
+        links = written(links.union(in_blocks(full, _confirm_blocks(percent), "a string, b string", "shingles")), "links")
     comps = written(components(links), "components")
 
     classes = linkable.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
