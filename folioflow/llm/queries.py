@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import (byte_pairs, class_ngrams, decontaminate, licences, main_text, near_duplicates, pseudonyms, quality_rules,
-                           token_rollups, toxicity)
+from folioflow.llm import (byte_pairs, class_ngrams, collocations, decontaminate, licences, main_text, near_duplicates, pseudonyms,
+                           quality_rules, token_alignment, token_rollups, toxicity)
 from folioflow.llm.common import table
 from folioflow.session import work_folder
 
@@ -220,3 +220,32 @@ def op10_toxicity(spark, folder):
     """Toxicity of every document."""
     docs = table(spark, folder, "documents")
     return toxicity.toxicity(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
+# ---- 12
+
+@query("op12_collocations", r"""  WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+  p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+  g AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS k))),
+  f AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL),
+  n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+  c AS (SELECT lang, k, g, f, string_split(g, ' ') AS w FROM f WHERE f >= 30 AND k > 1),
+  inside AS (SELECT lang, f AS lf, array_to_string(w[i : i + m - 1], ' ') AS g FROM (SELECT lang, f, w, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k)),
+  gone AS (SELECT DISTINCT lang, g FROM inside JOIN c USING (lang, g) WHERE 100 * lf >= 80 * f),
+  cut AS (SELECT lang, g, f, array_to_string(w[1 : j], ' ') AS x, array_to_string(w[j + 1 : k], ' ') AS y, j FROM (SELECT *, unnest(range(1, k)) AS j FROM c ANTI JOIN gone USING (lang, g))),
+  s AS (SELECT cut.lang, cut.g, cut.f AS a, l.f AS l, r.f AS r, j, (2000000::HUGEINT * cut.f) // (l.f + r.f) AS score
+    FROM cut JOIN f l ON l.lang = cut.lang AND l.g = x JOIN f r ON r.lang = cut.lang AND r.g = y),
+  b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+  t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(g)) AS rank FROM b)
+  SELECT lang, rank, g AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM t JOIN n USING (lang) WHERE rank <= 2000""")
+def op12_collocations(spark, folder):
+    """The first 2,000 phrases of every language."""
+    return collocations.Graph(table(spark, folder, "documents")).top()
+
+
+# ---- 13
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark, folder):
+    """Tokens, groups and links of every document under two tokenizers."""
+    return token_alignment.Alignment(table(spark, folder, "documents")).documents()
