@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import (byte_pairs, class_ngrams, collocations, decontaminate, licences, main_text, near_duplicates, pseudonyms,
+from folioflow.llm import (byte_pairs, class_ngrams, collocations, cover_trees, decontaminate, licences, main_text, near_duplicates, pseudonyms,
                            quality_rules, token_alignment, token_rollups, toxicity)
 from folioflow.llm.common import table
 from folioflow.session import work_folder
@@ -222,6 +222,19 @@ def op10_toxicity(spark, folder):
     return toxicity.toxicity(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
+# ---- 11
+
+@query("op11_cover_trees", r"""
+  WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+  r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+  SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""")
+def op11_cover_trees(spark, folder):
+    """The ten nearest of every hundredth vector among all others."""
+    return cover_trees.top_k(table(spark, folder, "embeddings"))
+
+
 # ---- 12
 
 @query("op12_collocations", r"""  WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),

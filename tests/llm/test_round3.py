@@ -7,10 +7,11 @@ import re
 import string
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 
-from folioflow.llm import collocations, token_alignment
+from folioflow.llm import collocations, cover_trees, token_alignment
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 DOCS = "doc_id bigint, text string, lang string, gram string, f bigint, block bigint, a int, words string"
@@ -170,3 +171,66 @@ def test_alignment_groups(spark, strange):
         for x in rows:
             assert raw[x.start:x.end] == b"".join(a.bytes[i].as_py() for i in x.a_ids) == b"".join(b.bytes[i].as_py() for i in x.b_ids)
     assert token_alignment.Alignment(documents(spark, [])).documents().count() == 0
+
+
+# ---- 11
+
+def brute_top(rows, k):
+    good = [(i, [int(np.floor(1024 * float(np.float32(c)))) for c in v]) for i, v in rows if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v)]
+    out = Counter()
+    for q, a in good:
+        if q % 100 == 0:
+            found = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in good if i != q)[:k]
+            out.update((q, r + 1, i, -s) for r, (s, i) in enumerate(found))
+    return out
+
+
+def vectors(r, n, d, kind):
+    if kind == "clusters":
+        centres = r.normal(size=(6, d)) * 3
+        return centres[r.integers(0, 6, n)] + r.normal(size=(n, d)) * 0.05
+    if kind == "copies":
+        return np.where(r.random((n, 1)) < 0.4, np.ones((1, d)) / 8, np.round(r.normal(size=(n, d))))
+    return r.normal(size=(n, d)) * (1e5 if kind == "large" else 0.2)
+
+
+@pytest.mark.parametrize("kind", ["plain", "clusters", "copies", "large"])
+def test_top_k(spark, monkeypatch, kind):
+    monkeypatch.setattr(cover_trees, "LEAST_ROWS", 100)
+    monkeypatch.setattr(cover_trees, "STRIDE", 50)
+    r = np.random.default_rng(8)
+    rows = [(i - 200, v.tolist()) for i, v in enumerate(vectors(r, 900, 12, kind))]
+    rows += [(2000, None), (2100, [1.0, None]), (2200, [float("nan")]), (2300, [float("inf"), 1.0]), (2400, []), (2500, [0.5, -0.5]), (None, [1.0] * 12), (3000, [-0.0] * 12)]
+    r.shuffle(rows)
+    table = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id bigint, embedding array<float>, row int, block int").repartition(3)
+    got = Counter(tuple(x) for x in cover_trees.top_k(table).collect())
+    assert got == brute_top(rows, 10)
+
+
+def test_top_k_edges(spark):
+    schema = "vec_id bigint, embedding array<float>"
+    assert cover_trees.top_k(spark.createDataFrame([], schema)).count() == 0
+    few = [(0, [1.0, 2.0]), (1, [1.0, 1.0]), (100, [0.0, 1.0])]
+    assert Counter(tuple(x) for x in cover_trees.top_k(spark.createDataFrame(few, schema)).collect()) == brute_top(few, 10)
+    twice = [(0, [1.0]), (0, [1.0]), (7, [2.0]), (7, [2.0])]
+    got = Counter(tuple(x) for x in cover_trees.top_k(spark.createDataFrame(twice, schema)).collect())
+    assert got == Counter({(0, 1, 7, 2 << 20): 2, (0, 2, 7, 2 << 20): 2})
+    huge = [(0, [3e38]), (1, [3e38]), (2, [-3e38])]
+    got = sorted(tuple(x) for x in cover_trees.top_k(spark.createDataFrame(huge, schema)).collect())
+    assert got == [(0, 1, 1, 2**63 - 1), (0, 2, 2, -2**63)]
+
+
+def test_pruning():
+    """On clustered vectors most node pairs are never compared; no bound is passed."""
+    r = np.random.default_rng(9)
+    points = np.floor(vectors(r, 3000, 16, "clusters") * 1024).astype(np.int64)
+    parts = list(cover_trees.leaves(points, 64))
+    assert sorted(np.concatenate([p for p, _ in parts])) == list(range(3000)) and max(len(p) for p, _ in parts) <= 64
+    order = np.concatenate([p for p, _ in parts])
+    block = cover_trees.Block(order, order, points[order], np.concatenate(([0], np.cumsum([len(p) for p, _ in parts]))), np.array([x for _, x in parts]))
+    for p, radius in list(cover_trees.leaves(points[:200], 32))[:4]:
+        reach = cover_trees.bounds(points[p[0]], radius, block.centres, block.norm, block.radius)
+        exact = cover_trees.products(points[p], block.vectors).max(axis=0)
+        assert all(exact[a:b].max() <= x for a, b, x in zip(block.first[:-1], block.first[1:], reach))
+        kth = cover_trees.search(block, p, points[p], radius, np.full(len(p), cover_trees.NONE), 10)[1]
+        assert (reach < kth.min()).mean() > 0.5
