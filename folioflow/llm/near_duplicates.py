@@ -14,7 +14,8 @@
    are confirmed on their full shingle sets.
 
 A pair at the threshold shares no bucket with probability (1 - 0.8^5)^32 = 3e-6. Shingles are
-compared by 64-bit hashes, sets and nodes by 128-bit digests. No candidate is dropped by a cap, and nothing but counters reaches the driver.
+compared by 64-bit hashes, sets by 128-bit digests; nodes are named by half of these, or by the other half where two sets have the same
+first. No candidate is dropped by a cap, and nothing but counters reaches the driver.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,8 +68,10 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     return out
 
 
-def digest(shingles: np.ndarray) -> str:
-    return hashlib.blake2b(shingles.tobytes(), digest_size=16).hexdigest()
+def digest(shingles: np.ndarray) -> tuple[int, int]:
+    """Both halves."""
+    whole = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+    return tuple(int.from_bytes(whole[i:i + 8], "little", signed=True) for i in (0, 8))
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -82,7 +84,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _features(width: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("node", pa.string()), ("n", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("node", pa.int64()), ("half", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,9 +94,10 @@ def _features(width: int):
                 sigs = np.array([signature(s) for s in sets], np.uint32).reshape(-1, ROWS * BANDS)
                 bands = mix((mix(sigs.astype(np.uint64)).reshape(-1, BANDS, ROWS) * _ROW).sum(axis=2, dtype=np.uint64) + _BAND)
                 full = [len(s) > 0 for s in sets]
+                halves = zip(*(digest(s) if f else (None, None) for s, f in zip(sets, full)))
                 short = (sigs & 0xFFFF).astype("<u2")
                 yield pa.record_batch([
-                    ids.slice(first, len(sets)), hashes.slice(first, len(sets)), pa.array([digest(s) if f else None for s, f in zip(sets, full)], pa.string()),
+                    ids.slice(first, len(sets)), hashes.slice(first, len(sets)), *(pa.array(h, pa.int64()) for h in halves),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([b.view(np.int64) if f else None for b, f in zip(bands, full)], pa.list_(pa.int64())),
                     pa.array([s.tobytes() if f else None for s, f in zip(short, full)], pa.binary())], schema=schema)
@@ -156,17 +159,17 @@ def _jaccard(percent: int):
 
 
 def _sets(width: int):
-    schema = pa.schema([("node", pa.string()), ("shingles", pa.binary())])
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches):
         for batch in batches:
             wanted = batch.column(1)
             for first, texts in portions(batch, "text"):
                 made = [(w.as_py(), s) for w, s in zip(wanted.slice(first, len(texts)), shingle_sets(texts, width))]
-                made = [(w, s) for w, s in made if digest(s) == w]  # another text may have the same doc_id
+                made = [(w, s) for w, s in made if w in digest(s)]  # another text may have the same doc_id
                 for i in range(0, len(made), 256):
                     part = made[i:i + 256]
-                    yield pa.record_batch([pa.array([w for w, _ in part], pa.string()), pa.array([s.tobytes() for _, s in part], pa.binary())], schema=schema)
+                    yield pa.record_batch([pa.array([w for w, _ in part], pa.int64()), pa.array([s.tobytes() for _, s in part], pa.binary())], schema=schema)
 
     return run
 
@@ -202,19 +205,19 @@ def _candidates(part: pa.Table, percent: int):
     Two nodes may share several buckets; only the first band that they share tells of them.
     """
     comp, outer, left, right = (part[c].to_numpy() for c in ("comp", "outer", "left", "right"))
-    order = pc.rank(part["node"].combine_chunks(), tiebreaker="dense").to_numpy()
+    node = part["node"].to_numpy()
     sig = _signatures(part["sig"].combine_chunks())
     bands = part["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
     band, right = part["band"][0].as_py(), np.flatnonzero(right)
     for x in np.flatnonzero(left):
-        y = right[(comp[right] != comp[x]) & (~outer[right] | (order[right] > order[x]))]  # two outer nodes meet twice
+        y = right[(comp[right] != comp[x]) & (~outer[right] | (node[right] > node[x]))]  # two outer nodes meet twice
         y = y[(bands[y] == bands[x]).argmax(axis=1) == band]
         y = y[may_be_alike(np.broadcast_to(sig[x], (len(y), sig.shape[1])), sig[y], percent)]
         if len(y):
             yield x, y
 
 
-_NEAR = pa.schema([("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("node", pa.string())])
+_NEAR = pa.schema([("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("node", pa.int64())])
 
 
 def _near(percent: int):
@@ -252,7 +255,7 @@ def _confirm_blocks(percent: int):
         if found:
             yield list(zip(*found))
 
-    return _pair_blocks(compare, pa.schema([("a", pa.string()), ("b", pa.string())]))
+    return _pair_blocks(compare, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
 
 #: (i, j, left, right) of the block pairs that a node goes to: as one of the bucket with every block of outer nodes and, if
@@ -302,7 +305,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def _judged(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
     """(doc_id, hash, n, comp, component_id, kept): ``hash`` of the text; ``comp`` tells components apart, as an id may lead several if it is on several texts."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    feats = written(in_batches(docs.withColumn("hash", F.xxhash64("text")), _features(width), "doc_id bigint, hash bigint, node string, n bigint, bands array<bigint>, sig binary"), "features")
+    schema = "doc_id bigint, hash bigint, node bigint, half bigint, n bigint, bands array<bigint>, sig binary"
+    feats = written(in_batches(docs.withColumn("hash", F.xxhash64("text")), _features(width), schema), "features")
+    twins = feats.groupBy("node").agg(F.min("half").alias("lo"), F.max("half").alias("hi")).where("lo <> hi").select("node", F.lit(True).alias("twin"))
+    if not twins.isEmpty():  # different sets with the same half; some three among 10^10
+        feats = written(feats.join(written(twins, "twins"), "node", "left").withColumn("node", F.when(F.col("twin"), F.col("half")).otherwise(F.col("node"))), "features")
     linkable = feats.where("node IS NOT NULL AND doc_id IS NOT NULL")
     banded = linkable.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket", "lo")
@@ -315,19 +322,19 @@ def _judged(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -
         """(node, shingles) of the nodes wanted, from the text of one document each."""
         source = wanted.distinct().join(nodes.select("node", "doc_id"), "node")
         texts = docs.join(source, "doc_id").select("doc_id", "node", "text")
-        return written(in_batches(texts, _sets(width), "node string, shingles binary").dropDuplicates(["node"]), "sets")
+        return written(in_batches(texts, _sets(width), "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that are alike."""
         s = nodes.select("node", "sig")
         pairs = in_batches(pairs.join(s.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a")
                            .join(s.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b").select("a", "b", "x", "y"),
-                           _prune(percent), "a string, b string")
+                           _prune(percent), "a bigint, b bigint")
         pairs = written(pairs, "survivors")
         sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
         return in_batches(pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
                           .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y"),
-                          _jaccard(percent), "a string, b string")
+                          _jaccard(percent), "a bigint, b bigint")
 
     links = written(confirm(members.where((F.col("node") != F.col("lo")) & (F.col("band") < FIRST_BANDS)).select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()), "links")
     for last in (False, True):
@@ -348,9 +355,9 @@ def _judged(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -
             rows = rows.join(nodes.select("node", "sig", "bands"), "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
             return in_batches(rows.select("bucket", "i", "j", "band", "left", "right", "outer", "node", "comp", "sig", "bands", *more), run, schema)
 
-        near = written(in_blocks(dealt, _near(percent), "bucket bigint, i int, j int, node string"), "near")
+        near = written(in_blocks(dealt, _near(percent), "bucket bigint, i int, j int, node bigint"), "near")
         full = dealt.join(near, ["bucket", "i", "j", "node"]).join(sets_of(near.select("node")), "node")
-        links = written(links.union(in_blocks(full, _confirm_blocks(percent), "a string, b string", "shingles")), "links")
+        links = written(links.union(in_blocks(full, _confirm_blocks(percent), "a bigint, b bigint", "shingles")), "links")
     comps = written(components(links), "components")
 
     classes = linkable.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
