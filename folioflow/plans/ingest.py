@@ -45,7 +45,7 @@ def staged_documents(pieces: DataFrame) -> DataFrame:
     """Pieces with their header columns and line arrays; rows that only stand for a file stay."""
     doc = F.col("doc")
     rows = pieces.select(
-        "file", "position", "malformed", "balance", doc.getField("Encabezado").isNotNull().alias("has_header"),
+        "file", "position", "malformed", "shape", doc.getField("Encabezado").isNotNull().alias("has_header"),
         *header_projection(doc), F.transform(doc.getField("Detalle"), line_projection).alias("lines"))
     return rows.withColumn("header_id", header_key(F.col("tipo_dte"), F.col("folio"), F.col("rut_emisor")))
 
@@ -88,7 +88,7 @@ def _load(store: Store, pieces: DataFrame, run: Run, work: str, *, as_of: date |
     if barred is not None:
         failed_files = failed_files.unionByName(barred.select("file", "reason"))
 
-    candidates = staged.filter("has_header").drop("has_header", "malformed", "balance").join(
+    candidates = staged.filter("has_header").drop("has_header", "malformed", "shape").join(
         failed_files.select("file"), "file", "left_anti")
     storable, rejected = split_rejects(candidates, scope)
     winners = first_wins(storable, BUSINESS_KEY, ["file", "position"])
@@ -164,7 +164,7 @@ def _load(store: Store, pieces: DataFrame, run: Run, work: str, *, as_of: date |
 
 def ingest_folder(store: Store, path: str, run: Run | None = None, *, whole_file_bytes: int = WHOLE_FILE_BYTES,
                   modified_after: str | None = None, retry_failed: bool = False,
-                  xsd_paths: dict[str, str] | None = None, split_encoding: str | None = None, **load) -> DataFrame:
+                  xsd_paths: dict[str, str] | None = None, **load) -> DataFrame:
     """Loads the files below ``path`` that no earlier load has seen, by name.
 
     Names are compared before any content is read. ``modified_after`` keeps the listing short once
@@ -185,7 +185,7 @@ def ingest_folder(store: Store, path: str, run: Run | None = None, *, whole_file
     def only_fresh(rows: DataFrame) -> DataFrame:
         return rows if chosen is None else rows.join(chosen, "file", "left_semi")
 
-    pieces = only_fresh(scan_documents(spark, paths, whole_file_bytes=whole_file_bytes, split_encoding=split_encoding,
+    pieces = only_fresh(scan_documents(spark, paths, whole_file_bytes=whole_file_bytes,
                                        modified_after=modified_after))
     barred = None
     if xsd_paths:

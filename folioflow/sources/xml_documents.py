@@ -1,8 +1,10 @@
 """XML tax documents: discovery, parsing, well-formedness, XSD validation.
 
-Two scans give the same rows. Files up to ``WHOLE_FILE_BYTES`` are parsed whole, one row per file,
-which makes the well-formedness check exact. Larger files are read as splittable text cut at the
-closing document tag, so that many tasks share one file and none holds it whole.
+One scan for files of any size. Files up to ``WHOLE_FILE_BYTES`` are one row; larger ones are read as splittable text cut at the
+closing document tag, so that many tasks share one file and none holds it whole. Either way the text goes through the expressions of
+``xml_text``: each document is parsed by itself, and the tags around documents are summed up in a shape, which decides over the file
+once the shapes of its pieces are joined. Charset and declarations are read from the file's beginning. A large file is
+read whole only if a comment, section or declaration in it hides a place where it would be cut.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.scalars import fill_price, fill_quantity, iso_day, number, present, whole
+from folioflow.sources import xml_text
+from folioflow.sources.xml_text import decoded
 
 XML_NAMES = "*.[xX][mM][lL]"
 WHOLE_FILE_BYTES = 32 * 1024 * 1024
@@ -28,14 +32,6 @@ LINES_XML = (
     "CdgItem:array<struct<_VALUE:string,TpoCodigo:string,VlrCodigo:string>>,"
     "QtyItem:string,PrcItem:string,MontoItem:string>>"
 )
-DOCUMENT_XML = f"struct<Encabezado:{HEADER_XML},Detalle:{LINES_XML}>"
-DOCUMENTS_XML = f"array<{DOCUMENT_XML}>"
-ENVELOPE_XML = (
-    f"Encabezado {HEADER_XML}, Detalle {LINES_XML}, Documento {DOCUMENTS_XML}, "
-    f"DTE array<struct<Documento:{DOCUMENTS_XML}>>, "
-    f"SetDTE array<struct<Documento:{DOCUMENTS_XML},DTE:array<struct<Documento:{DOCUMENTS_XML}>>>>, "
-    "_corrupt_record string"
-)
 FRAGMENT_XML = f"Encabezado {HEADER_XML}, Detalle {LINES_XML}, _corrupt_record string"
 PARSER = {"mode": "PERMISSIVE", "ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt_record"}
 
@@ -86,147 +82,127 @@ def unseen(files: DataFrame, registry: DataFrame, *, retry_failed: bool = False)
 
 # ---- parsing ----------------------------------------------------------------------------------
 
-def decoded(content: Column) -> Column:
-    """File bytes as text by the encoding the prolog names; NULL where the bytes do not fit it."""
-    prolog = F.decode(F.substring(content, 1, 256), "ISO-8859-1")
-    named = F.upper(F.regexp_extract(prolog, r"<\?xml[^>]*encoding\s*=\s*[\"']([^\"']+)", 1))
-    utf8 = F.try_validate_utf8(content.cast("string"))
-    text = (
-        F.when(named.isin("ISO-8859-1", "ISO8859-1", "LATIN1", "LATIN-1", "L1"), F.decode(content, "ISO-8859-1"))
-        .when(named == "UTF-16", F.decode(content, "UTF-16"))
-        .otherwise(utf8)
-    )
-    return F.regexp_replace(text, r"^\uFEFF", "")
+#: Where large files are cut. The text before tells whether the tag is a document's.
+CUT = "Documento>"
+_CUT_TAG = r"</?(?:[\w.-]+:)?$"
 
 
-def _root(text: Column) -> Column:
-    return F.regexp_extract(text, r"(?s)^(?:\s|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>)*<([\w.:-]+)", 1)
+def _documents(texts: DataFrame) -> DataFrame:
+    """(file, block, row, texts, malformed, shape) -> (file, position, malformed, shape, doc): one row per document, one where there is none.
 
+    ``malformed`` is true for what cannot be read at all. The shape stands on the first of a piece's rows. The parse result leaves a
+    generator, so later filters cannot make the parser run twice.
+    """
+    each = texts.select("file", "block", "row", "malformed", "shape", F.posexplode_outer("texts").alias("at", "text"))
+    parsed = F.from_xml("text", FRAGMENT_XML, PARSER)
 
-def _one_root(text: Column, name: Column) -> Column:
-    """True when the text closes its root element once, at its end.
+    def outcome(xml: Column) -> Column:
+        there = F.col("text").isNotNull()
+        bad = there & xml.getField("_corrupt_record").isNotNull()
+        doc = F.struct(xml.getField("Encabezado").alias("Encabezado"), xml.getField("Detalle").alias("Detalle"))
+        return F.struct((F.col("malformed") | bad).alias("malformed"), F.when(there & ~bad, doc).alias("doc"))
 
-    Plain string search settles the usual file; patterns are tried only on the others.
-    """
-    closing = F.concat(F.lit("</"), name, F.lit(">"))
-    body = F.rtrim(text, F.lit(" \t\r\n"))
-    usual = F.instr(body, closing) == F.length(body) - F.length(closing) + 1
-    tail = F.regexp_extract(text, r"(?s)</([\w.:-]+)\s*>(?:\s|<!--.*?-->)*$", 1)
-    once = F.size(F.split(text, F.concat(F.lit("</"), name, F.lit(r"\s*>")))) == 2
-    single = text.rlike(r"(?s)^(?:\s|<\?.*?\?>|<!--.*?-->)*<[^<>]*/>\s*$")
-    return (name != "") & F.when(usual, True).otherwise(((tail == name) & once) | single)
-
-
-def _all_documents(xml: Column, is_bare: Column) -> Column:
-    """Documents of the parsed file for every envelope shape."""
-    none = F.array().cast(DOCUMENTS_XML)
-
-    def inside(parents: Column) -> Column:
-        return F.flatten(F.transform(parents, lambda p: F.coalesce(p.getField("Documento"), none)))
-
-    sets = F.coalesce(xml.getField("SetDTE"), F.array().cast(
-        f"array<struct<Documento:{DOCUMENTS_XML},DTE:array<struct<Documento:{DOCUMENTS_XML}>>>>"))
-    no_dte = F.array().cast(f"array<struct<Documento:{DOCUMENTS_XML}>>")
-    bare = F.array(F.struct(xml.getField("Encabezado").alias("Encabezado"), xml.getField("Detalle").alias("Detalle")))
-    nested = F.concat(
-        F.coalesce(xml.getField("Documento"), none),
-        inside(F.coalesce(xml.getField("DTE"), no_dte)),
-        inside(sets),
-        inside(F.flatten(F.transform(sets, lambda s: F.coalesce(s.getField("DTE"), no_dte)))),
-    )
-    return F.when(is_bare, bare).otherwise(nested)
+    first = F.coalesce(F.col("at"), F.lit(0)) == 0
+    rows = each.select("file", F.struct("block", "row", F.coalesce("at", F.lit(0)).cast("bigint").alias("at")).alias("position"), F.when(first, F.col("shape")).alias("shape"),
+                       F.explode(F.transform(F.array(parsed), outcome)).alias("r"))
+    return rows.select("file", "position", F.col("r.malformed").alias("malformed"), "shape", F.col("r.doc").alias("doc"))
 
 
 def whole_file_documents(files: DataFrame) -> DataFrame:
-    """(file, text) -> (file, position, malformed, balance, doc); no document, still one row.
+    """(file, text) -> (file, position, malformed, shape, doc); no document, still one row.
 
-    The parse result leaves a generator, so later filters cannot make the parser run twice.
+    ``shape`` is NULL, as are a position's block and row: the file has been judged.
     """
-    def outcome(xml: Column) -> Column:
-        bad = F.col("_bad") | xml.getField("_corrupt_record").isNotNull()
-        return F.struct(bad.alias("malformed"), F.when(~bad, _all_documents(xml, F.col("_bare"))).alias("docs"))
-
-    rooted = files.select("file", "text", _root(F.col("text")).alias("_root"))
-    checked = rooted.select(
-        "file", "text", (~F.coalesce(_one_root(F.col("text"), F.col("_root")), F.lit(False))).alias("_bad"),
-        (F.substring_index("_root", ":", -1) == "Documento").alias("_bare"))
-    parsed = F.from_xml("text", ENVELOPE_XML, PARSER)
-    each = checked.select("file", F.explode(F.transform(F.array(parsed), outcome)).alias("r"))
-    rows = each.select("file", F.col("r.malformed").alias("malformed"), F.posexplode_outer("r.docs").alias("at", "doc"))
-    position = F.struct(F.lit(0).cast("bigint").alias("block"), F.col("at").cast("bigint").alias("row"))
-    return rows.select("file", position.alias("position"), "malformed", F.lit(0).alias("balance"), "doc")
-
-
-def split_file_documents(spark: SparkSession, path: Paths, *, min_bytes: int = WHOLE_FILE_BYTES,
-                         encoding: str | None = None, modified_after: str | None = None) -> DataFrame:
-    """The same rows for files larger than ``min_bytes``, many tasks per file.
-
-    ``balance`` adds up to 0 over a file whose envelope and document tags all close; it does not
-    after a truncated transfer. ``encoding`` settles the charset; otherwise text that is no valid
-    UTF-8 is read as ISO-8859-1.
-    """
-    raw = (
-        _xml_reader(spark, modified_after).option("lineSep", "Documento>").text(path)
-        .filter(F.col("_metadata.file_size") > min_bytes)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.struct(F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("row")).alias("position"),
-            F.col("value"),
-        )
-    )
-    octets = F.col("value").cast("binary")
-    if encoding:
-        text = F.decode(octets, encoding)
-    else:
-        text = F.coalesce(F.try_validate_utf8(F.col("value")), F.decode(octets, "ISO-8859-1"))
-    opening = r"<(?:[\w.-]+:)?Documento(?:\s[^>]*)?>"
-    piece = raw.select("file", "position", text.alias("text"))
-    piece = piece.select(
-        "file", "position", "text",
-        F.col("text").rlike(r"</(?:[\w.-]+:)?$").alias("closes"),
-        F.col("text").rlike(r"<(?:[\w.-]+:)?$").alias("opens_bare"),
-    )
-    body = F.regexp_replace(F.regexp_replace("text", rf"(?s)^.*{opening}", ""), r"</(?:[\w.-]+:)?$", "")
-    outside = F.when(F.col("closes"), F.regexp_extract("text", rf"(?s)^(.*){opening}", 1)).otherwise(F.col("text"))
-    envelope = r"(?:[\w.-]+:)?(?:EnvioDTE|EnvioBOLETA|SetDTE|DTE)"
-    balance = (
-        F.regexp_count(outside, F.lit(rf"<{envelope}(?:\s[^>]*[^/>])?>"))
-        - F.regexp_count(outside, F.lit(rf"</{envelope}\s*>"))
-        + F.when(F.col("closes"), F.col("text").rlike(opening).cast("int") - 1)
-        .otherwise(F.col("text").rlike(opening).cast("int") + F.col("opens_bare").cast("int"))
-    )
-    fragment = F.when(F.col("closes"), F.concat(F.lit("<Documento>"), body, F.lit("</Documento>")))
-    piece = piece.select("file", "position", "closes", balance.alias("balance"), fragment.alias("fragment"))
+    def read(text: Column) -> Column:
+        return F.struct(xml_text.fragments(text).alias("texts"), xml_text.sound(xml_text.shape(xml_text.outline(text))).alias("sound"))
 
-    def outcome(xml: Column) -> Column:
-        return F.struct(
-            (F.col("closes") & xml.getField("_corrupt_record").isNotNull()).alias("malformed"),
-            F.when(F.col("closes"), F.struct(
-                xml.getField("Encabezado").alias("Encabezado"), xml.getField("Detalle").alias("Detalle"))).alias("doc"),
-        )
+    each = files.select("file", F.explode(F.transform(F.array(xml_text.plain(F.col("text"))), read)).alias("r"))
+    return _documents(each.select("file", *(F.lit(None).cast("bigint").alias(c) for c in ("block", "row")), F.col("r.texts").alias("texts"),
+                                  (~F.coalesce("r.sound", F.lit(False))).alias("malformed"), F.lit(None).cast(xml_text.SHAPE).alias("shape")))
 
-    parsed = F.from_xml("fragment", FRAGMENT_XML, PARSER)
-    each = piece.select("file", "position", "balance", F.explode(F.transform(F.array(parsed), outcome)).alias("r"))
-    return each.select("file", "position", F.col("r.malformed").alias("malformed"), "balance", F.col("r.doc").alias("doc"))
 
+def _pieces(spark: SparkSession, path: Paths, min_bytes: int, modified_after: str | None) -> DataFrame:
+    """(file, block, row, octets, cut, size): bytes of large files up to each cut, which may be another tag's."""
+    raw = _xml_reader(spark, modified_after).option("lineSep", CUT).text(path).filter(F.col("_metadata.file_size") > min_bytes)
+    return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"),
+                      F.col("value").cast("binary").alias("octets"), F.col("value").rlike(_CUT_TAG).alias("cut"), F.col("_metadata.file_size").alias("size"))
 
-def scan_documents(spark: SparkSession, path: Paths, *, whole_file_bytes: int = WHOLE_FILE_BYTES,
-                   split_encoding: str | None = None, modified_after: str | None = None) -> DataFrame:
+
+def large_files(spark: SparkSession, path: Paths, *, min_bytes: int = WHOLE_FILE_BYTES, modified_after: str | None = None) -> DataFrame:
+    """(file, charset, whole, broken) of files larger than ``min_bytes``: whether one must be read whole, and whether its end is missing.
+
+    One pass over them that keeps a row per file.
+    """
+    piece = _pieces(spark, path, min_bytes, modified_after)
+    place, text = F.struct("block", "row"), F.col("octets").cast("string")
+    prolog = text.rlike(r"^(?:\x{FEFF})?<\?xml\s")
+    told = piece.select("file", "size", place.alias("place"), "cut", (F.length("octets") + F.when(F.col("cut"), len(CUT)).otherwise(0)).alias("n"),
+                        F.substring("octets", 1, xml_text.HEAD_BYTES).alias("head"), prolog.alias("prolog"), xml_text.stands_alone(text).alias("alone"))
+    each = told.groupBy("file").agg(
+        F.min_by("head", "place").alias("head"), F.max_by("cut", "place").alias("last_cut"), F.count_if(~F.col("cut")).alias("loose"), F.bool_and("alone").alias("alone"),
+        # The reader leaves out a byte order mark; more bytes than the file has mean that it ends within a tag that looks like a cut.
+        F.sum("n").alias("n"), F.max("size").alias("size"), F.count_if("prolog").alias("prologs"), F.min_by("prolog", "place").alias("starts"))
+    # All pieces but the last end at a document's tag, else the cut is inside something else.
+    loose = F.col("loose") > F.when(F.col("last_cut"), 0).otherwise(1)
+    return each.select("file", xml_text.charset(F.col("head")).alias("charset"), (loose | ~F.col("alone")).alias("whole"),
+                       ((F.col("n") > F.col("size")) | (F.col("prologs") > F.col("starts").cast("int"))).alias("broken"))
+
+
+def split_file_documents(spark: SparkSession, path: Paths, large: DataFrame, *, min_bytes: int = WHOLE_FILE_BYTES, modified_after: str | None = None) -> DataFrame:
+    """The same rows for the files of ``large`` that may be cut, many tasks per file, each piece with its shape."""
+    piece = _pieces(spark, path, min_bytes, modified_after).join(large.filter(~F.col("whole")).select("file", "charset", "broken"), "file")
+    octets = F.when(F.col("cut"), F.concat("octets", F.lit(CUT).cast("binary"))).otherwise(F.col("octets"))
+
+    def read(text: Column) -> Column:
+        rest = xml_text.outline(text)
+        begun = xml_text.headless(rest)
+        texts = F.concat(F.when(begun.isNotNull(), F.array(begun)).otherwise(F.array().cast("array<string>")), xml_text.fragments(text))
+        return F.struct(texts.alias("texts"), xml_text.shape(F.when(begun.isNotNull(), xml_text.without_headless(rest)).otherwise(rest)).alias("shape"))
+
+    each = piece.select("file", "block", "row", "broken", F.explode(F.transform(F.array(xml_text.plain(xml_text.decoded_as(octets, F.col("charset")))), read)).alias("r"))
+    # A piece that cannot be decoded has no shape.
+    return _documents(each.select("file", "block", "row", F.col("r.texts").alias("texts"), (F.col("broken") | F.col("r.texts").isNull()).alias("malformed"),
+                                  F.coalesce("r.shape", xml_text.empty_shape()).alias("shape")))
+
+
+def scan_documents(spark: SparkSession, path: Paths, *, whole_file_bytes: int = WHOLE_FILE_BYTES, modified_after: str | None = None) -> DataFrame:
     """All documents below ``path``, small files whole and large ones split.
 
-    ``modified_after`` (``2025-01-31T00:00:00``) prunes the listing, so that old files are not read.
+    ``modified_after`` (``2025-01-31T00:00:00``) prunes the listing, so that old files are not read. Large files are
+    looked through first; the driver, which lists all files anyway, keeps a short row of each large one.
     """
-    small = xml_files(spark, path, max_bytes=whole_file_bytes, modified_after=modified_after)
-    small = small.select("file", decoded(F.col("content")).alias("text"))
-    large = split_file_documents(
-        spark, path, min_bytes=whole_file_bytes, encoding=split_encoding, modified_after=modified_after)
-    return whole_file_documents(small).unionByName(large)
+    def whole(files: DataFrame) -> DataFrame:
+        return whole_file_documents(files.select("file", decoded(F.col("content")).alias("text")))
+
+    small = whole(xml_files(spark, path, max_bytes=whole_file_bytes, modified_after=modified_after))
+    sized = _xml_reader(spark, modified_after).format("binaryFile").load(path).filter(F.col("length") > whole_file_bytes)
+    if sized.select("path").isEmpty():
+        return small
+    looked = large_files(spark, path, min_bytes=whole_file_bytes, modified_after=modified_after)
+    large = spark.createDataFrame(looked.collect(), looked.schema)
+    out = small.unionByName(split_file_documents(spark, path, large, min_bytes=whole_file_bytes, modified_after=modified_after))
+    hidden = sized.select(F.col("_metadata.file_path").alias("file"), "path").join(large.filter("whole"), "file", "left_semi").collect()
+    if hidden:
+        out = out.unionByName(whole(xml_files(spark, [literal_path(r.path) for r in hidden], max_bytes=None)))
+    return out
 
 
 def file_verdicts(pieces: DataFrame) -> DataFrame:
-    """(file, malformed): one bad byte fails the whole file, as does an unbalanced envelope."""
-    return pieces.groupBy("file").agg((F.bool_or("malformed") | (F.sum("balance") != 0)).alias("malformed"))
+    """(file, malformed): one bad byte fails the whole file, as do tags around its documents that do not fit together.
+
+    Files read whole have been judged already. Of cut ones the shapes are joined per split and then per file, so no task holds
+    more than a row per split of a file or the tags around the documents of a split.
+    """
+    whole = pieces.filter("position.block IS NULL").groupBy("file").agg(F.bool_or("malformed").alias("malformed"))
+
+    def together(rows: DataFrame, by: list[str], place: str) -> DataFrame:
+        # Rows without a shape, later documents of a piece, are not collected.
+        shapes = F.array_sort(F.collect_list(F.when(F.col("shape").isNotNull(), F.struct(F.col(place).alias("place"), "shape"))))
+        return rows.groupBy(*by).agg(F.bool_or("malformed").alias("malformed"), xml_text.all_joined(shapes).alias("shape"))
+
+    cut = pieces.filter("position.block IS NOT NULL").select("file", F.col("position.block").alias("block"), F.col("position.row").alias("row"), "malformed", "shape")
+    cut = together(together(cut, ["file", "block"], "row"), ["file"], "block")
+    return whole.unionByName(cut.select("file", (F.col("malformed") | ~xml_text.sound(F.col("shape"))).alias("malformed")))
 
 
 def sound_documents(pieces: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def arriving_files(spark: SparkSession, path: str, files_per_batch: int = FILES_
 
 def stream_ingest(store: Store, path: str, checkpoint: str, *, name: str = "arrivals", job: str = "etl_daily",
                   files_per_batch: int = FILES_PER_BATCH, whole_file_bytes: int = WHOLE_FILE_BYTES,
-                  split_encoding: str | None = None, available_now: bool = True, **load) -> StreamingQuery:
+                  available_now: bool = True, **load) -> StreamingQuery:
     """Loads new files and stops, or keeps running with ``available_now=False``.
 
     The load id comes from the query id that the checkpoint keeps and the micro-batch number: a batch that is
@@ -43,7 +43,7 @@ def stream_ingest(store: Store, path: str, checkpoint: str, *, name: str = "arri
         paths = [literal_path(r.path) for r in unseen(arrived, store.read("files", but=run_id)).collect()]
         if not paths:
             return
-        pieces = scan_documents(spark, paths, whole_file_bytes=whole_file_bytes, split_encoding=split_encoding)
+        pieces = scan_documents(spark, paths, whole_file_bytes=whole_file_bytes)
         load_documents(store, pieces, Run(job=job, source="stream", run_id=run_id), **load)
 
     writer = arriving_files(spark, path, files_per_batch).writeStream.foreachBatch(load_batch).option(
