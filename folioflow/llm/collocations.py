@@ -1,19 +1,21 @@
 """Phrase collocations from a weighted de Bruijn graph of word four-grams.
 
-1. Texts are cut into pieces and words. A four-gram is an edge between the three-word nodes of its first and last three words; its weight
-   is how often it stands in the corpus. Tasks sum up the edges of some megabytes of text, Spark adds these sums: only the longest
-   grams are counted, and per piece its end, the last three words (or the piece, if it is shorter).
-2. A node occurs as often as its outgoing edges do, plus the pieces that end with it. So counts of three words are sums of edges
-   by their first three words plus ends, those of two words sums of these by their first two plus ends, and of one word alike: the ends of
-   two and one words follow from those of three. Each step is one aggregate; only what has ``LEAST`` occurrences is kept after it.
+1. Texts are cut into pieces and words. Words are counted by hash into 2^``BITS`` buckets; one in a bucket of fewer than ``LEAST``
+   occurrences is in no candidate, nor in part of one, and ends a piece. What this leaves out changes no count that matters, and the buckets have the same
+   size however large the corpus.
+2. A four-gram is an edge from the node of its first three words to the next word; its weight is how often it stands in the corpus. Tasks
+   sum up the edges of some megabytes of text, Spark adds these sums: only the longest grams are counted, and per piece its end, the last three words
+   (or the piece, if it is shorter). A node occurs as often as its outgoing edges do, plus the pieces that end with it: sums over the rows of a node, which
+   one shuffle has brought together. Counts of two words are sums of these by their first two plus ends, and of one word alike: the ends of
+   two and one words follow from those of three. Only what has ``LEAST`` occurrences is kept of longer grams.
 3. Unary paths are compacted: where all that leaves one node enters the next, and nothing else does, the edge joins both. Path heads
    are found by pointer doubling, one join per round. All nodes of a path have its count, so each lies in a longer phrase
    that occurs as often; they are left out without looking further. ``Graph.paths`` gives the paths themselves.
 4. The other phrases are compared with the phrases one word longer that hold them, which suffices: what holds a phrase with two words more
    occurs at most as often as the one between. Cuts are scored by two joins with the counts of their parts.
 
-All keys are the words themselves, not hashes. A hot phrase, node or language reaches a shuffle as one row per task, and the
-limit per language is taken in each task before it. Tables between steps are Parquet in the shared folder.
+All keys are the words themselves, not hashes. A hot edge reaches the shuffle as one row per portion, a hot phrase of two words or one
+as one per task, and the limit per language is taken in each task before it. Tables between steps are Parquet in the shared folder.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +39,8 @@ WORDS = 4
 LEAST, SHARE, TOP = 30, 80, 2000
 #: Bytes of text whose edges are summed up in a task at once.
 PORTION = 8 << 20
+#: Buckets of word hashes, of which tasks are sent one bit each: 4 MB.
+BITS, CHUNK = 25, 1 << 15
 UNKNOWN = "und"
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -54,55 +60,67 @@ def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found.field("values").to_numpy(), found.field("counts").to_numpy()
 
 
-def edges(texts: list[bytes], langs: list[str]) -> Iterator[tuple[int, pa.Array, pa.Array, np.ndarray]]:
-    """(kind, grams, langs, counts): kind 4 for edges, -3, -2 or -1 for ends of pieces of that many words."""
-    data = np.frombuffer(b"\n".join(texts).translate(_LOWER) + b"\n", np.uint8)
-    ends = _BREAK[data]
-    apart = ends | _BLANK[data]
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], apart)).view(np.int8)))
-    start, end = edge[::2], edge[1::2]
-    if not len(start):
+class _Portion:
+    """Words of some texts, by number, in pieces: ``one`` per word, its spelling and language in ``word_of``."""
+
+    def __init__(self, texts: list[bytes], langs: list[str]):
+        data = np.frombuffer(b"\n".join(texts).translate(_LOWER) + b"\n", np.uint8)
+        ends = _BREAK[data]
+        apart = ends | _BLANK[data]
+        edge = np.flatnonzero(np.diff(np.concatenate(([True], apart)).view(np.int8)))
+        start, end = edge[::2], edge[1::2]
+        self.piece = np.cumsum(ends)[start]
+        doc = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, "right")
+        upto = np.concatenate(([0], np.cumsum(end - start)))
+        words = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(data[~apart])]).dictionary_encode()
+        self.spelled, self.names = words.dictionary.cast(pa.string()), pa.array(langs, pa.string()).dictionary_encode()
+        kinds = max(1, len(self.spelled))
+        self.one, self.word_of = _numbered(self.names.indices.to_numpy().astype(np.int64)[doc] * kinds + words.indices.to_numpy())
+        self.place, self.lang = self.word_of % kinds, self.word_of // kinds
+
+    def buckets(self) -> np.ndarray:
+        """Bucket of each word in ``word_of``."""
+        names = [n.encode() for n in self.names.dictionary.to_pylist()]
+        spelled = [w.encode() for w in self.spelled.to_pylist()]
+        return np.array([xxhash.xxh3_64_intdigest(spelled[w], len(names[x])) ^ xxhash.xxh3_64_intdigest(names[x]) for w, x in zip(self.place, self.lang)], np.uint64) >> np.uint64(64 - BITS)
+
+    def without(self, rare: np.ndarray) -> None:
+        """Leaves out the occurrences of rare words, where pieces then end."""
+        gone = rare[self.one]
+        self.piece = (self.piece + np.cumsum(gone))[~gone]
+        self.one = self.one[~gone]
+
+    def told(self, count: np.ndarray, *of: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array, np.ndarray]:
+        """(lang, node, next, count): ``of`` has numbers of the words, one array for each place; the fourth is the next."""
+        words = [self.spelled.take(pa.array(self.place[x])) for x in of]
+        node = pc.binary_join_element_wise(*words[:WORDS - 1], " ") if len(of) > 1 else words[0]
+        after = words[WORDS - 1] if len(of) == WORDS else pa.array(np.full(len(count), "", object), pa.string())
+        return self.names.dictionary.take(pa.array(self.lang[of[0]])), node, after, count
+
+
+def edges(p: _Portion) -> Iterator[tuple[pa.Array, pa.Array, pa.Array, np.ndarray]]:
+    """(lang, node, next word, count) of edges, and of ends of pieces, where the next word is empty and the node may have fewer than three words."""
+    if not len(p.one):
         return
-    piece = np.cumsum(ends)[start]
-    doc = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, "right")
-    upto = np.concatenate(([0], np.cumsum(end - start)))
-    words = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(data[~apart])]).dictionary_encode()
-    spelled, names = words.dictionary.cast(pa.string()), pa.array(langs, pa.string()).dictionary_encode()
-    kinds = len(spelled)
-    # One number per word of a language, and per pair of neighbours.
-    one, word_of = _numbered(names.indices.to_numpy().astype(np.int64)[doc] * kinds + words.indices.to_numpy())
-    near = np.flatnonzero(piece[1:] == piece[:-1])
-    two = np.full(len(one), -1, np.int64)
-    two[near], pair_of = _numbered(one[near] * len(word_of) + one[near + 1])
-    last = np.flatnonzero(np.append(piece[1:] != piece[:-1], True))
-    length = np.diff(last, prepend=-1)
-
-    def told(kind: int, count: np.ndarray, *of: np.ndarray):
-        """``of``: numbers of the gram's words, one array for each place."""
-        places = [word_of[x] for x in of]
-        gram = pc.binary_join_element_wise(*(spelled.take(pa.array(p % kinds)) for p in places), " ") if len(of) > 1 else spelled.take(pa.array(places[0] % kinds))
-        return kind, gram, names.dictionary.take(pa.array(places[0] // kinds)), count
-
-    halves = lambda pair: (pair_of[pair] // len(word_of), pair_of[pair] % len(word_of))
-    whole = np.flatnonzero(piece[3:] == piece[:-3])
-    gram, n = _counted(two[whole] * max(1, len(pair_of)) + two[whole + 2])
-    yield told(WORDS, n, *halves(gram // max(1, len(pair_of))), *halves(gram % max(1, len(pair_of))))
+    near = np.flatnonzero(p.piece[1:] == p.piece[:-1])
+    two = np.full(len(p.one), -1, np.int64)
+    two[near], pair_of = _numbered(p.one[near] * len(p.word_of) + p.one[near + 1])
+    last = np.flatnonzero(np.append(p.piece[1:] != p.piece[:-1], True))
+    length, pairs = np.diff(last, prepend=-1), max(1, len(pair_of))
+    halves = lambda pair: (pair_of[pair] // len(p.word_of), pair_of[pair] % len(p.word_of))
+    whole = np.flatnonzero(p.piece[3:] == p.piece[:-3])
+    gram, n = _counted(two[whole] * pairs + two[whole + 2])
+    yield p.told(n, *halves(gram // pairs), *halves(gram % pairs))
     at = last[length >= 3]
-    gram, n = _counted(two[at - 2] * len(word_of) + one[at])
-    yield told(-3, n, *halves(gram // len(word_of)), gram % len(word_of))
+    gram, n = _counted(two[at - 2] * len(p.word_of) + p.one[at])
+    yield p.told(n, *halves(gram // len(p.word_of)), gram % len(p.word_of))
     gram, n = _counted(two[last[length == 2] - 1])
-    yield told(-2, n, *halves(gram))
-    gram, n = _counted(one[last[length == 1]])
-    yield told(-1, n, gram)
+    yield p.told(n, *halves(gram))
+    gram, n = _counted(p.one[last[length == 1]])
+    yield p.told(n, gram)
 
 
-def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def told(texts, langs):
-        for kind, gram, lang, n in edges(texts, langs):
-            for i in range(0, len(n), 20_000):
-                part = slice(i, i + 20_000)
-                yield pa.record_batch([lang[part], gram[part], pa.array(np.full(len(n[part]), kind, np.int32)), pa.array(n[part])], names=["lang", "gram", "kind", "f"])
-
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[_Portion]:
     texts, langs, size = [], [], 0
     for batch in batches:
         spoken = batch.column(0).to_pylist()
@@ -111,10 +129,46 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             langs += spoken[first:first + len(held)]
             size += sum(map(len, held))
             if size >= PORTION:
-                yield from told(texts, langs)
+                yield _Portion(texts, langs)
                 texts, langs, size = [], [], 0
     if texts:
-        yield from told(texts, langs)
+        yield _Portion(texts, langs)
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, bucket, f): how many words of each bucket a portion has."""
+    for p in _portions(batches):
+        of = p.lang * (1 << BITS) + p.buckets().astype(np.int64)
+        key, at = np.unique(of, return_inverse=True)
+        n = np.bincount(at, np.bincount(p.one, minlength=len(p.word_of)), len(key)).astype(np.int64)
+        for i in range(0, len(key), 50_000):
+            part = key[i:i + 50_000]
+            yield pa.record_batch([p.names.dictionary.take(pa.array(part >> BITS)), pa.array((part & ((1 << BITS) - 1)).astype(np.int32)), pa.array(n[i:i + 50_000])], names=["lang", "bucket", "f"])
+
+
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of a chunk of buckets as compressed bits."""
+    for batch in batches:
+        for chunk, places in zip(batch.column(0).to_pylist(), batch.column(1)):
+            bits = np.zeros(CHUNK, bool)
+            bits[places.values.to_numpy()] = True
+            yield pa.record_batch([pa.array([chunk], pa.int32()), pa.array([zstandard.compress(np.packbits(bits).tobytes())], pa.binary())], names=["chunk", "bits"])
+
+
+def _edges(bits: dict[int, bytes]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = np.zeros((1 << BITS) // 8, np.uint8)
+        for chunk, held in bits.items():
+            common[chunk * CHUNK // 8:(chunk + 1) * CHUNK // 8] = np.frombuffer(zstandard.decompress(held), np.uint8)
+        for p in _portions(batches):
+            bucket = p.buckets().astype(np.int64)
+            p.without((common[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8) & 1) == 0)
+            for lang, node, after, n in edges(p):
+                for i in range(0, len(n), 20_000):
+                    part = slice(i, i + 20_000)
+                    yield pa.record_batch([lang[part], node[part], after[part], pa.array(n[part])], names=["lang", "node", "next", "f"])
+
+    return run
 
 
 def _first(gram: str | Column, words: int) -> Column:
@@ -125,14 +179,12 @@ def _last(gram: str | Column, words: int) -> Column:
     return F.substring_index(gram, " ", -words)
 
 
-def _flow(rows: DataFrame, k: int, least: int) -> DataFrame:
-    """From counts of k + 1 words and ends of up to k words: those of k words, ends of fewer, and what of the longer is frequent."""
-    row = lambda gram, kind: F.struct(gram.alias("gram"), F.lit(kind).alias("kind"), F.col("f"))
-    same = F.struct("gram", "kind", "f")
-    ends = [row(F.col("gram"), k)] + ([row(_last("gram", k - 1), 1 - k)] if k > 1 else [])
-    node = row(_first("gram", k), k)
-    made = F.when(F.col("kind") == k + 1, F.when(F.col("f") >= least, F.array(node, same)).otherwise(F.array(node))).when(F.col("kind") == -k, F.array(*ends)).otherwise(F.array(same))
-    return rows.select("lang", F.inline(made)).groupBy("lang", "gram", "kind").agg(F.sum("f").alias("f"))
+def _row(gram: str | Column, kind: int, f: str = "f") -> Column:
+    return F.struct((F.col(gram) if isinstance(gram, str) else gram).alias("gram"), F.lit(kind).alias("kind"), F.col(f).alias("f"))
+
+
+def _rows(when: Column, *rows: Column) -> Column:
+    return F.when(when, F.array(*rows)).otherwise(F.array().cast("array<struct<gram:string,kind:int,f:bigint>>"))
 
 
 class Graph:
@@ -147,16 +199,41 @@ class Graph:
         self.docs = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
         self.least = least
 
+    @cached_property
+    def _words(self) -> DataFrame:
+        """(lang, bucket, f): all words by the bucket of their hash."""
+        found = in_batches(self.docs.where("text IS NOT NULL"), _buckets, "lang string, bucket int, f bigint")
+        return written(found.groupBy("lang", "bucket").agg(F.sum("f").alias("f")), "word_buckets")
+
+    def totals(self) -> DataFrame:
+        """(lang, n): all word occurrences."""
+        return self._words.groupBy("lang").agg(F.sum("f").alias("n"))
+
+    def _common(self) -> dict[int, bytes]:
+        """Bits of the buckets that may hold frequent words; 2^BITS bits at most, on the driver too."""
+        some = self._words.where(F.col("f") >= self.least).select((F.col("bucket") / CHUNK).cast("int").alias("chunk"), (F.col("bucket") % CHUNK).alias("place"))
+        chunks = in_batches(some.distinct().groupBy("chunk").agg(F.collect_list("place").alias("places")), _bits, "chunk int, bits binary")
+        return {r["chunk"]: r["bits"] for r in chunks.collect()}
+
     @cached_property
     def phrases(self) -> DataFrame:
-        """(lang, gram, kind, f): all words (kind 1), and frequent phrases of 2 to 4 words (kind: their number)."""
-        rows = in_batches(self.docs.where("text IS NOT NULL"), _edges, "lang string, gram string, kind int, f bigint").groupBy("lang", "gram", "kind").agg(F.sum("f").alias("f"))
-        for k in range(WORDS - 1, 0, -1):
-            rows = _flow(rows, k, self.least)
-        return written(rows, "phrases")
+        """(lang, gram, kind, f): frequent words and phrases of up to four words (kind: their number)."""
+        made = in_batches(self.docs.where("text IS NOT NULL"), _edges(self._common()), "lang string, node string, next string, f bigint")
+        made = made.repartition("lang", "node")  # already summed up in portions; serves both aggregates
+        ended = F.sum(F.when(F.col("next") == "", F.col("f")).otherwise(0)).alias("ended")
+        nodes = made.groupBy("lang", "node").agg(F.sum("f").alias("f"), ended).withColumn("words", F.size(F.split("node", " ")))
+        full, frequent = F.col("words") == WORDS - 1, F.col("f") >= self.least
+        # What leaves a node begins with its first two words; a piece that ends with it ends with its last two and its last one.
+        told = F.concat(_rows(full, _row(_first("node", 2), 2)), _rows(full & (F.col("ended") > 0), _row(_last("node", 2), 2, "ended"), _row(_last("node", 1), 1, "ended")),
+                        _rows(full & frequent, _row("node", 3)), _rows(F.col("words") == 2, _row("node", 2), _row(_last("node", 1), 1)), _rows(F.col("words") == 1, _row("node", 1)))
+        pairs = nodes.select("lang", F.inline(told)).groupBy("lang", "gram", "kind").agg(F.sum("f").alias("f"))
+        told = F.concat(_rows(F.col("kind") == 2, _row(_first("gram", 1), 1)), _rows((F.col("kind") != 2) | frequent, F.struct("gram", "kind", "f")))
+        shorter = pairs.select("lang", F.inline(told)).groupBy("lang", "gram", "kind").agg(F.sum("f").alias("f"))
+        longest = made.where("next <> ''").groupBy("lang", "node", "next").agg(F.sum("f").alias("f")).where(frequent)
+        return written(shorter.where(frequent).union(longest.select("lang", F.concat_ws(" ", "node", "next"), F.lit(WORDS), "f")), "phrases")
 
     def frequent(self, words: int) -> DataFrame:
-        return self.phrases.where((F.col("kind") == words) & (F.col("f") >= self.least)).select("lang", "gram", "f")
+        return self.phrases.where(F.col("kind") == words).select("lang", "gram", "f")
 
     @cached_property
     def _steps(self) -> DataFrame:
@@ -198,12 +275,11 @@ class Graph:
         """(lang, phrase, a, l, r, n, score): the candidates at their lowest-scoring cut, ties to the shortest first part."""
         cuts = self.candidates(share).withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1)))
         cuts = cuts.withColumn("left", F.expr("substring_index(phrase, ' ', k)")).withColumn("right", F.expr("substring_index(phrase, ' ', k - words)"))
-        known = self.phrases.where(F.col("f") >= self.least)
+        known = self.phrases
         cuts = cuts.join(known.select("lang", F.col("gram").alias("left"), F.col("f").alias("l")), ["lang", "left"]).join(known.select("lang", F.col("gram").alias("right"), F.col("f").alias("r")), ["lang", "right"])
         cuts = cuts.withColumn("score", F.expr("(2000000BD * cast(a AS decimal(20,0))) div (cast(l AS decimal(20,0)) + cast(r AS decimal(20,0)))"))
         best = cuts.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
-        total = self.phrases.where("kind = 1").groupBy("lang").agg(F.sum("f").alias("n"))
-        return best.join(total, "lang").select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
+        return best.join(self.totals(), "lang").select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
 
     def top(self, limit: int = TOP, share: int = SHARE) -> DataFrame:
         """(lang, rank, phrase, a, l, r, n, score): the first ``limit`` of each language by score, count, then phrase in byte order."""

@@ -89,6 +89,10 @@ def test_counts_by_flow(spark, prose):
                 want.update(("und" if lang is None else lang, " ".join(w[i:i + k])) for i in range(len(w) - k + 1))
     graph = collocations.Graph(documents(spark, prose), least=1)
     assert {(x.lang, x.gram): x.f for x in graph.phrases.collect()} == dict(want)
+    total = Counter()
+    for (lang, gram), n in want.items():
+        total[lang] += n * (" " not in gram)
+    assert {x.lang: x.n for x in graph.totals().collect()} == dict(total)
 
 
 # ---- 13
