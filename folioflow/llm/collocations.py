@@ -90,16 +90,20 @@ class _Portion:
         self.piece = (self.piece + np.cumsum(gone))[~gone]
         self.one = self.one[~gone]
 
-    def told(self, count: np.ndarray, *of: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array, np.ndarray]:
-        """(lang, node, next, count): ``of`` has numbers of the words, one array for each place; the fourth is the next."""
+    def told(self, count: np.ndarray, *of: np.ndarray) -> tuple[pa.Array, pa.Array, np.ndarray]:
+        """(node, next, count): ``of`` has numbers of the words, one array for each place; the fourth is the next. The language follows the node
+        after a tab, which no word has. Rows are in order of the first word, so that neighbours compress well."""
+        order = np.argsort(of[0], kind="stable")
+        of = [x[order] for x in of]
         words = [self.spelled.take(pa.array(self.place[x])) for x in of]
+        lang = self.names.dictionary.take(pa.array(self.lang[of[0]]))
         node = pc.binary_join_element_wise(*words[:WORDS - 1], " ") if len(of) > 1 else words[0]
         after = words[WORDS - 1] if len(of) == WORDS else pa.array(np.full(len(count), "", object), pa.string())
-        return self.names.dictionary.take(pa.array(self.lang[of[0]])), node, after, count
+        return pc.binary_join_element_wise(node, lang, "\t"), after, count[order]
 
 
-def edges(p: _Portion) -> Iterator[tuple[pa.Array, pa.Array, pa.Array, np.ndarray]]:
-    """(lang, node, next word, count) of edges, and of ends of pieces, where the next word is empty and the node may have fewer than three words."""
+def edges(p: _Portion) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray]]:
+    """(node and language, next word, count) of edges, and of ends of pieces, where the next word is empty and the node may have fewer than three words."""
     if not len(p.one):
         return
     near = np.flatnonzero(p.piece[1:] == p.piece[:-1])
@@ -163,10 +167,10 @@ def _edges(bits: dict[int, bytes]):
         for p in _portions(batches):
             bucket = p.buckets().astype(np.int64)
             p.without((common[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8) & 1) == 0)
-            for lang, node, after, n in edges(p):
+            for node, after, n in edges(p):
                 for i in range(0, len(n), 20_000):
                     part = slice(i, i + 20_000)
-                    yield pa.record_batch([lang[part], node[part], after[part], pa.array(n[part])], names=["lang", "node", "next", "f"])
+                    yield pa.record_batch([node[part], after[part], pa.array(n[part])], names=["key", "next", "f"])
 
     return run
 
@@ -218,10 +222,12 @@ class Graph:
     @cached_property
     def phrases(self) -> DataFrame:
         """(lang, gram, kind, f): frequent words and phrases of up to four words (kind: their number)."""
-        made = in_batches(self.docs.where("text IS NOT NULL"), _edges(self._common()), "lang string, node string, next string, f bigint")
-        made = made.repartition("lang", "node")  # already summed up in portions; serves both aggregates
+        made = in_batches(self.docs.where("text IS NOT NULL"), _edges(self._common()), "key string, next string, f bigint")
+        # Already summed up in portions, so shuffled as it is, once: both aggregates read the same exchange, and so filter after it.
+        made = made.repartition("key")
+        lang, node = F.expr("substr(key, instr(key, '\t') + 1)").alias("lang"), F.substring_index("key", "\t", 1).alias("node")
         ended = F.sum(F.when(F.col("next") == "", F.col("f")).otherwise(0)).alias("ended")
-        nodes = made.groupBy("lang", "node").agg(F.sum("f").alias("f"), ended).withColumn("words", F.size(F.split("node", " ")))
+        nodes = made.groupBy("key").agg(F.sum("f").alias("f"), ended).select(lang, node, "f", "ended").withColumn("words", F.size(F.split("node", " ")))
         full, frequent = F.col("words") == WORDS - 1, F.col("f") >= self.least
         # What leaves a node begins with its first two words; a piece that ends with it ends with its last two and its last one.
         told = F.concat(_rows(full, _row(_first("node", 2), 2)), _rows(full & (F.col("ended") > 0), _row(_last("node", 2), 2, "ended"), _row(_last("node", 1), 1, "ended")),
@@ -229,8 +235,9 @@ class Graph:
         pairs = nodes.select("lang", F.inline(told)).groupBy("lang", "gram", "kind").agg(F.sum("f").alias("f"))
         told = F.concat(_rows(F.col("kind") == 2, _row(_first("gram", 1), 1)), _rows((F.col("kind") != 2) | frequent, F.struct("gram", "kind", "f")))
         shorter = pairs.select("lang", F.inline(told)).groupBy("lang", "gram", "kind").agg(F.sum("f").alias("f"))
-        longest = made.where("next <> ''").groupBy("lang", "node", "next").agg(F.sum("f").alias("f")).where(frequent)
-        return written(shorter.where(frequent).union(longest.select("lang", F.concat_ws(" ", "node", "next"), F.lit(WORDS), "f")), "phrases")
+        longest = made.groupBy("key", "next").agg(F.sum("f").alias("f"), F.count_if(F.col("next") != "").alias("edges")).where(frequent & (F.col("edges") > 0))
+        longest = longest.select(lang, F.concat_ws(" ", node, "next"), F.lit(WORDS), "f")
+        return written(shorter.where(frequent).union(longest), "phrases")
 
     def frequent(self, words: int) -> DataFrame:
         return self.phrases.where(F.col("kind") == words).select("lang", "gram", "f")
