@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,15 +11,24 @@ from pyspark.sql import functions as F
 from folioflow.schema import BUSINESS_KEY, HEADER_REQUIRED, HEADER_TEXT_LIMITS, LINE_TEXT_LIMITS
 
 
-def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key by ``order``.
+def elected(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """(keys, order) of the first row of each key. NULL keys are equal, as in GROUP BY.
 
     An aggregate, not a window: each task keeps one row per key before the shuffle, so a key that
-    holds a third of all rows costs one row per task. NULL keys are equal, as in GROUP BY.
+    holds a third of all rows costs one row per task. Only keys and order are read.
+    """
+    return df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first")).select(*keys, "_first.*")
+
+
+def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key by ``order``, which must tell the rows of a key apart.
+
+    Two phases: an election among keys and order, then the elected rows are fetched by a semi join. Other columns are in no
+    aggregate and in no sort; they move once, dealt by key and order, so that a hot key is spread.
     """
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
-    return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
+    won = elected(df, keys, order).select(*[F.col(c).alias(f"_{c}") for c in dict.fromkeys([*keys, *order])])
+    same = reduce(and_, [df[c].eqNullSafe(F.col(f"_{c}")) for c in dict.fromkeys([*keys, *order])])
+    return df.join(won.hint("shuffle_hash"), same, "left_semi")
 
 
 def present_keys(new: DataFrame, stored: DataFrame, keys: list[str] = BUSINESS_KEY) -> DataFrame:
@@ -42,13 +51,13 @@ def _too_long(row: Column | None, limits: dict[str, int]) -> Column:
     return reduce(or_, [F.coalesce(F.length(field(c)) > n, F.lit(False)) for c, n in limits.items()])
 
 
-def reject_reason(lines: str | None = "lines") -> Column:
+def reject_reason(lines: str | None = "lines", required: list[str] = HEADER_REQUIRED) -> Column:
     """Why a parsed document cannot be stored, or NULL.
 
     Line checks look into the document's own line array, so they need no shuffle.
     """
     reason = F.lit(None).cast("string")
-    for name in reversed(HEADER_REQUIRED):
+    for name in reversed(required):
         reason = F.when(F.col(name).isNull(), F.lit(f"missing {name}")).otherwise(reason)
     checks = F.when(reason.isNotNull(), reason).when(_too_long(None, HEADER_TEXT_LIMITS), "header text too long")
     if lines:
@@ -65,9 +74,9 @@ def repeated_lines(lines: DataFrame, header: str = "header_id", number: str = "n
     return counts.filter("n > 1")
 
 
-def split_rejects(parsed: DataFrame, scope: str = "document") -> tuple[DataFrame, DataFrame]:
+def split_rejects(parsed: DataFrame, scope: str = "document", required: list[str] = HEADER_REQUIRED) -> tuple[DataFrame, DataFrame]:
     """(storable, rejected with reason). ``scope='file'``: one bad document rejects its whole file."""
-    judged = parsed.withColumn("reason", reject_reason())
+    judged = parsed.withColumn("reason", reject_reason(required=required))
     if scope == "document":
         return judged.filter("reason IS NULL").drop("reason"), judged.filter("reason IS NOT NULL")
     if scope != "file":

@@ -19,9 +19,11 @@ def pending_lines(store: Store, version: str) -> DataFrame:
 def enrich_store(store: Store, taxonomy: Taxonomy = FITTINGS, force: bool = False) -> int:
     """Judges pending lines, or with ``force`` all, and returns how many.
 
-    No line moves between tasks: each is judged where it is read and written to its load's folder.
+    Each line is judged where it is read; the result is then rebalanced by load, so that a load gets few files.
     """
     lines = store.read("lines") if force else pending_lines(store, taxonomy.version)
+    if lines.isEmpty():
+        return 0
     seen = Observation()
     store.write_enriched(classify(lines, taxonomy).observe(seen, F.count("*").alias("n")))
     return seen.get["n"]

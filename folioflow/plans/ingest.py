@@ -2,28 +2,33 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timezone
 from uuid import uuid4
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.scalars import LOCAL_ZONE, run_status
-from folioflow.operators.dedupe import first_wins, only_new, split_rejects
+from folioflow.operators.dedupe import elected, only_new, split_rejects
 from folioflow.operators.health import DAILY_JOB, daily_health
 from folioflow.operators.quality import Limits, find_violations, violations_per_hundred
-from folioflow.schema import BUSINESS_KEY, HEADER_COLUMNS, RUN_LOGS
+from folioflow.schema import BUSINESS_KEY, HEADER_COLUMNS, HEADER_REQUIRED, PRINTED_REQUIRED, RUN_LOGS
 from folioflow.session import discard, work_folder
 from folioflow.sources.store import Store
+from folioflow.sources.text_documents import headers_from_text, listed_texts, text_files
 from folioflow.sources.xml_documents import (
-    WHOLE_FILE_BYTES, decoded, document_lines, file_name, file_verdicts, header_key, header_projection,
-    line_projection, listed_files, literal_path, scan_documents, unseen, xml_files, xsd_invalid,
+    STAGED_LINES, WHOLE_FILE_BYTES, decoded, document_lines, file_name, file_verdicts, header_key, header_projection,
+    line_projection, listed_files, literal_path, scan_documents, sized_files, unseen, whole_file_documents, xml_files, xsd_invalid,
 )
+from folioflow.sources.xml_text import SHAPE
 
-#: Up to this many new files are opened by name; beyond it the folder is read and joined with the names.
-LISTED_FILES = 50_000
+#: About as many new files make a load; more are loaded in slices, each committed by itself.
+FILES_PER_LOAD = 50_000
+#: Larger files are refused where a schema is asked for: a schema needs the file whole.
+SCHEMA_BYTES = 256 * 1024 * 1024
 
 
 #: Length of a failure's message in the run log.
@@ -50,15 +55,33 @@ def staged_documents(pieces: DataFrame) -> DataFrame:
     return rows.withColumn("header_id", header_key(F.col("tipo_dte"), F.col("folio"), F.col("rut_emisor")))
 
 
+def staged_texts(files: DataFrame) -> DataFrame:
+    """The same columns for (file, text) of printed documents: what their labels tell, no net amount, tax or names, and no lines."""
+    found = headers_from_text(files.select("file", "text"))
+    money = {n: F.col(n).cast("decimal(18,2)") if n in found.columns else F.lit(None).cast("decimal(18,2)") for n in ("mnt_neto", "iva", "mnt_total")}
+    told = {n: F.col(n) if n in found.columns else F.lit(None).cast("string") for n in HEADER_COLUMNS if n not in money} | money
+    nothing = F.lit(None).cast("bigint")
+    rows = found.select(
+        "file", F.struct(nothing.alias("block"), nothing.alias("row"), F.lit(0).cast("bigint").alias("at")).alias("position"), F.lit(False).alias("malformed"),
+        F.lit(None).cast(SHAPE).alias("shape"), F.lit(True).alias("has_header"), *[told[n].alias(n) for n in HEADER_COLUMNS],
+        F.array().cast(STAGED_LINES).alias("lines"))
+    return rows.withColumn("header_id", header_key(F.col("tipo_dte"), F.col("folio"), F.col("rut_emisor")))
+
+
 def load_documents(store: Store, pieces: DataFrame, run: Run, **options) -> DataFrame:
-    """Loads parsed pieces and returns the run log row; takes the options of ``_load``.
+    """Loads parsed pieces and returns the run log row; takes the options of ``_load``."""
+    return load_staged(store, staged_documents(pieces), run, **options)
+
+
+def load_staged(store: Store, rows: DataFrame, run: Run, **options) -> DataFrame:
+    """Loads staged documents and returns the run log row.
 
     A load that fails leaves an ERROR row and no visible data. Its files stay unregistered, so the
     next load takes them up.
     """
     work = work_folder(store.spark, "load")
     try:
-        return _load(store, pieces, run, work, **options)
+        return _load(store, rows, run, work, **options)
     except Exception as failure:
         store.write("run_logs", run.run_id, store.spark.createDataFrame([(
             run.run_id, run.job, run.source, run.started_at, datetime.now(timezone.utc), "ERROR", 0, 0, 0, 0, 0, 0, 0,
@@ -68,20 +91,21 @@ def load_documents(store: Store, pieces: DataFrame, run: Run, **options) -> Data
         discard(store.spark, work)
 
 
-def _load(store: Store, pieces: DataFrame, run: Run, work: str, *, as_of: date | None = None, limits: Limits = Limits(),
+def _load(store: Store, rows: DataFrame, run: Run, work: str, *, as_of: date | None = None, limits: Limits = Limits(),
           scope: str = "document", rules: DataFrame | None = None, zone: str = LOCAL_ZONE,
-          barred: DataFrame | None = None) -> DataFrame:
+          barred: DataFrame | None = None, required: list[str] = HEADER_REQUIRED) -> DataFrame:
     """Writes one load, its run log row last.
 
     The parse result and the new documents are each written once in the shared work folder and read
     from there, so nothing is parsed or matched twice, and a lost executor costs its tasks only.
-    ``barred`` holds (file, reason) of files that must not load. Headers, lines and rejects of all
+    ``barred`` holds (file, reason) of files that must not load, ``required`` the columns without which a document is rejected. Headers, lines and rejects of all
     files are stored; a failure of the rules leaves the load without violations and an entry in its run log.
     """
     spark, load_id = store.spark, run.run_id
     started = F.lit(run.started_at).cast("timestamp")
 
-    staged_documents(pieces).write.parquet(f"{work}/staged")
+    store.reopen(load_id)
+    rows.write.parquet(f"{work}/staged")
     staged = spark.read.parquet(f"{work}/staged")
     verdicts = file_verdicts(staged)
     failed_files = verdicts.filter("malformed").select("file", F.lit("malformed XML").alias("reason"))
@@ -90,14 +114,19 @@ def _load(store: Store, pieces: DataFrame, run: Run, work: str, *, as_of: date |
 
     candidates = staged.filter("has_header").drop("has_header", "malformed", "shape").join(
         failed_files.select("file"), "file", "left_anti")
-    storable, rejected = split_rejects(candidates, scope)
-    winners = first_wins(storable, BUSINESS_KEY, ["file", "position"])
-    only_new(winners, store.read("headers", but=load_id)).write.parquet(f"{work}/fresh")
+    storable, rejected = split_rejects(candidates, scope, required)
+    # Keys and places alone are elected and compared with the history; the documents themselves are fetched at the end.
+    place = ["file", "position"]
+    winners = elected(storable.select(*BUSINESS_KEY, *place), BUSINESS_KEY, place)
+    new = only_new(winners, store.history(winners, but=load_id)).select(*place)
+    storable.join(new.hint("shuffle_hash"), place, "left_semi").write.parquet(f"{work}/fresh")
     fresh = spark.read.parquet(f"{work}/fresh")
 
     rejects = failed_files.select("file", F.lit(None).cast("string").alias("header_id"), "reason").unionByName(
         rejected.select("file", "header_id", "reason"))
     store.write("rejects", load_id, rejects)
+    # One row per failed file or document, however many; the run log row keeps a summary by reason.
+    store.write("errors", load_id, rejects.select("file", F.lit("parse").alias("where"), F.col("reason").alias("message"), "header_id"))
     rejects = spark.read.parquet(f"{store.path('rejects')}/load_id={load_id}")
 
     def observed(table: str, rows: DataFrame) -> int:
@@ -162,37 +191,80 @@ def _load(store: Store, pieces: DataFrame, run: Run, work: str, *, as_of: date |
     return store.runs().filter(F.col("load_id") == load_id)
 
 
+def refused(spark: SparkSession, paths: str | list[str], xsd_paths: dict[str, str], most_bytes: int = SCHEMA_BYTES) -> DataFrame:
+    """(file, reason) of files that break the schema they name, whatever their size; of those too large to tell."""
+    texts = xml_files(spark, paths, max_bytes=most_bytes).select("file", decoded(F.col("content")).alias("text"))
+    broken = xsd_invalid(texts, xsd_paths).select("file", F.concat(F.lit("xsd "), "kind").alias("reason"))
+    large = sized_files(spark, paths).filter(F.col("length") > most_bytes)
+    return broken.unionByName(large.select("file", F.lit("xsd not checked: file too large").alias("reason")))
+
+
+def _slices(store: Store, listed: DataFrame, run: Run, retry_failed: bool, files_per_load: int) -> Iterator[tuple[Run, list[str]]]:
+    """(run, paths) of the loads that take up all new files.
+
+    The names of new files are written once, dealt into slices by a hash, so that a load holds about ``files_per_load`` of
+    them and every file is opened by name, by one load. A run that is repeated under its id takes the same slices.
+    """
+    own = F.col("load_id").startswith(f"{run.run_id}.") | (F.col("load_id") == run.run_id)
+    fresh = unseen(listed, store.read("files").filter(~own), retry_failed=retry_failed).select("file", "path").distinct()
+    work = work_folder(store.spark, "new-files")
+    n = -(-fresh.count() // files_per_load)
+    if n <= 1:
+        yield run, [literal_path(r.path) for r in fresh.collect()]
+        return
+    try:
+        fresh.withColumn("slice", F.pmod(F.xxhash64("file"), F.lit(n))).repartition("slice").write.partitionBy("slice").parquet(work)
+        names = store.spark.read.schema("file string, path string, slice bigint").parquet(work)
+        for i in range(n):
+            paths = [literal_path(r.path) for r in names.filter(F.col("slice") == i).collect()]
+            if paths:
+                yield replace(run, run_id=f"{run.run_id}.{i}"), paths
+    finally:
+        discard(store.spark, work)
+
+
+def _load_slices(store: Store, listed: DataFrame, run: Run, load: Callable[[Run, list[str]], DataFrame], retry_failed: bool, files_per_load: int) -> DataFrame:
+    """The run log rows of all slices."""
+    done = []
+    for part, paths in _slices(store, listed, run, retry_failed, files_per_load):
+        load(part, paths)
+        done.append(part.run_id)
+    return store.runs().filter(F.col("load_id").isin(done))
+
+
 def ingest_folder(store: Store, path: str, run: Run | None = None, *, whole_file_bytes: int = WHOLE_FILE_BYTES,
-                  modified_after: str | None = None, retry_failed: bool = False,
+                  modified_after: str | None = None, retry_failed: bool = False, files_per_load: int = FILES_PER_LOAD,
                   xsd_paths: dict[str, str] | None = None, **load) -> DataFrame:
-    """Loads the files below ``path`` that no earlier load has seen, by name.
+    """Loads the files below ``path`` that no earlier load has seen, by path, and returns the run log rows: one, or one per slice.
 
-    Names are compared before any content is read. ``modified_after`` keeps the listing short once
-    the folder holds history.
+    Names are compared before any content is read, and only new files are opened. ``modified_after`` keeps the listing short once
+    the folder holds history. If a slice fails, those before it stay, and the next run takes up the rest.
     """
-    spark, run = store.spark, run or Run()
-    listed = listed_files(spark, path, modified_after)
-    fresh = unseen(listed, store.read("files", but=run.run_id), retry_failed=retry_failed)
-    few = fresh.select("path").distinct().take(LISTED_FILES + 1)
-    names = fresh.select("file").distinct()
-    if len(few) <= LISTED_FILES:
-        # Only these files are opened.
-        paths, chosen = [literal_path(r.path) for r in few] or path, names.limit(0) if not few else None
-    else:
-        # So many new files that the whole folder is read, as in a first load.
-        paths, chosen = path, names
-
-    def only_fresh(rows: DataFrame) -> DataFrame:
-        return rows if chosen is None else rows.join(chosen, "file", "left_semi")
-
-    pieces = only_fresh(scan_documents(spark, paths, whole_file_bytes=whole_file_bytes,
-                                       modified_after=modified_after))
-    barred = None
-    if xsd_paths:
-        texts = only_fresh(xml_files(spark, paths, max_bytes=whole_file_bytes, modified_after=modified_after)).select(
-            "file", decoded(F.col("content")).alias("text"))
-        barred = xsd_invalid(texts, xsd_paths).select("file", F.concat(F.lit("xsd "), "kind").alias("reason"))
-    return load_documents(store, pieces, run, barred=barred, **load)
+    spark = store.spark
+
+    def load_slice(part: Run, paths: list[str]) -> DataFrame:
+        pieces = scan_documents(spark, paths, whole_file_bytes=whole_file_bytes) if paths else whole_file_documents(spark.createDataFrame([], "file string, text string"))
+        barred = refused(spark, paths, xsd_paths) if xsd_paths and paths else None
+        return load_documents(store, pieces, part, barred=barred, **load)
+
+    return _load_slices(store, listed_files(spark, path, modified_after), run or Run(), load_slice, retry_failed, files_per_load)
+
+
+def ingest_texts(store: Store, path: str, run: Run | None = None, *, modified_after: str | None = None, retry_failed: bool = False,
+                 files_per_load: int = FILES_PER_LOAD, **load) -> DataFrame:
+    """The same for printed documents, HTML or text: rejects, first-wins, commit and run log as for XML."""
+    spark = store.spark
+
+    def load_slice(part: Run, paths: list[str]) -> DataFrame:
+        files = text_files(spark, paths) if paths else spark.createDataFrame([], "file string, text string")
+        return load_texts(store, files, part, **load)
+
+    return _load_slices(store, listed_texts(spark, path, modified_after), run or Run(job="text_ingest"), load_slice, retry_failed, files_per_load)
+
+
+def load_texts(store: Store, files: DataFrame, run: Run, **load) -> DataFrame:
+    """Loads (file, text) of printed documents, which name neither net amount nor tax."""
+    return load_staged(store, staged_texts(files), run, **{"required": PRINTED_REQUIRED, **load})
 
 
 def initial_load(store: Store, path: str, **options) -> DataFrame:
@@ -214,16 +286,13 @@ def parse_file(store: Store, file: str, user: str | None = None, *, xsd_paths: d
                whole_file_bytes: int = WHOLE_FILE_BYTES, **load) -> DataFrame:
     """Loads one file, seen before or not, and records the parse, or what its schema refuses."""
     spark, run = store.spark, Run(job="manual_parse", source="ui", note=f"file={file}")
-    barred = None
-    if xsd_paths:
-        texts = xml_files(spark, file, max_bytes=whole_file_bytes).select("file", decoded(F.col("content")).alias("text"))
-        barred = xsd_invalid(texts, xsd_paths).select("file", F.concat(F.lit("xsd "), "kind").alias("reason"))
-    row = load_documents(store, scan_documents(spark, file, whole_file_bytes=whole_file_bytes), run, barred=barred, **load)
-    refused = F.exists(F.coalesce("errors", F.array().cast("array<struct<where:string,message:string,file:string>>")),
+    barred = refused(spark, literal_path(file), xsd_paths) if xsd_paths else None
+    row = load_documents(store, scan_documents(spark, literal_path(file), whole_file_bytes=whole_file_bytes), run, barred=barred, **load)
+    broken = F.exists(F.coalesce("errors", F.array().cast("array<struct<where:string,message:string,file:string>>")),
                        lambda e: F.startswith(e.getField("message"), F.lit("xsd ")))
     store.append_audit(row.select(
-        F.lit(user).cast("string").alias("user"), F.when(refused, "xsd_invalid").otherwise("xml_parse").alias("action"),
-        F.lit("file").alias("resource"), F.when(refused, 422).otherwise(303).alias("status"),
+        F.lit(user).cast("string").alias("user"), F.when(broken, "xsd_invalid").otherwise("xml_parse").alias("action"),
+        F.lit("file").alias("resource"), F.when(broken, 422).otherwise(303).alias("status"),
         F.to_json(F.struct(F.lit(file).alias("filename"), F.col("headers_inserted").alias("n_headers"))).alias("extra")))
     return row
 

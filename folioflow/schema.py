@@ -25,6 +25,7 @@ BUSINESS_KEY = ["tipo_dte", "folio", "rut_emisor"]
 # Columns that may not be NULL, and the longest text each column takes.
 HEADER_REQUIRED = ["tipo_dte", "folio", "fecha_emision", "rut_emisor", "rut_receptor",
                    "mnt_neto", "iva", "mnt_total"]
+PRINTED_REQUIRED = [c for c in HEADER_REQUIRED if c not in ("mnt_neto", "iva")]  # printed documents name neither
 HEADER_TEXT_LIMITS = {"rut_emisor": 16, "razon_social_emisor": 255,
                       "rut_receptor": 16, "razon_social_receptor": 255}
 LINE_TEXT_LIMITS = {"tipo_codigo": 20, "nombre_item": 255, "codigo": 50, "descripcion": 500}

@@ -16,7 +16,17 @@ def lossy_text(octets: Column) -> Column:
     return F.replace(F.make_valid_utf8(octets.cast("string")), F.lit("\N{REPLACEMENT CHARACTER}"), F.lit(""))
 
 
-def text_files(spark: SparkSession, path: str) -> DataFrame:
+TEXT_NAMES = "*.{[hH][tT][mM],[hH][tT][mM][lL],[tT][xX][tT]}"
+
+
+def listed_texts(spark: SparkSession, path: str | list[str], modified_after: str | None = None) -> DataFrame:
+    """(file, path) of printed documents; contents are not read."""
+    reader = spark.read.option("pathGlobFilter", TEXT_NAMES).option("recursiveFileLookup", "true")
+    reader = reader.option("modifiedAfter", modified_after) if modified_after else reader
+    return reader.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), "path")
+
+
+def text_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, text) of all files below ``path``, HTML by its visible text."""
     raw = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     text = lossy_text(F.col("value").cast("binary"))

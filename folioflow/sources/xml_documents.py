@@ -32,6 +32,9 @@ LINES_XML = (
     "CdgItem:array<struct<_VALUE:string,TpoCodigo:string,VlrCodigo:string>>,"
     "QtyItem:string,PrcItem:string,MontoItem:string>>"
 )
+#: A document's lines as they are staged: the struct of ``line_projection``.
+STAGED_LINES = ("array<struct<nro_linea:int,tipo_codigo:string,nombre_item:string,codigo:string,descripcion:string,cantidad:decimal(18,6),"
+                "precio_unitario:decimal(18,6),monto_item:decimal(18,2)>>")
 FRAGMENT_XML = f"Encabezado {HEADER_XML}, Detalle {LINES_XML}, _corrupt_record string"
 PARSER = {"mode": "PERMISSIVE", "ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt_record"}
 
@@ -65,6 +68,11 @@ def listed_files(spark: SparkSession, path: Paths, modified_after: str | None =
         F.col("_metadata.file_path").alias("file"), "path")
 
 
+def sized_files(spark: SparkSession, path: Paths, modified_after: str | None = None) -> DataFrame:
+    """(file, path, length), from the listing alone."""
+    return _xml_reader(spark, modified_after).format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), "path", "length")
+
+
 def literal_path(path: str) -> str:
     """A path for a reader that would take brackets and stars for patterns."""
     return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
@@ -175,13 +183,13 @@ def scan_documents(spark: SparkSession, path: Paths, *, whole_file_bytes: int =
         return whole_file_documents(files.select("file", decoded(F.col("content")).alias("text")))
 
     small = whole(xml_files(spark, path, max_bytes=whole_file_bytes, modified_after=modified_after))
-    sized = _xml_reader(spark, modified_after).format("binaryFile").load(path).filter(F.col("length") > whole_file_bytes)
+    sized = sized_files(spark, path, modified_after).filter(F.col("length") > whole_file_bytes)
     if sized.select("path").isEmpty():
         return small
     looked = large_files(spark, path, min_bytes=whole_file_bytes, modified_after=modified_after)
     large = spark.createDataFrame(looked.collect(), looked.schema)
     out = small.unionByName(split_file_documents(spark, path, large, min_bytes=whole_file_bytes, modified_after=modified_after))
-    hidden = sized.select(F.col("_metadata.file_path").alias("file"), "path").join(large.filter("whole"), "file", "left_semi").collect()
+    hidden = sized.join(large.filter("whole"), "file", "left_semi").collect()
     if hidden:
         out = out.unionByName(whole(xml_files(spark, [literal_path(r.path) for r in hidden], max_bytes=None)))
     return out

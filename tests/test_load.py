@@ -3,12 +3,13 @@ from dataclasses import replace
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from folioflow.functions.taxonomy import FITTINGS
 from folioflow.operators import consistency, curated, listing
 from folioflow.plans import ingest
 from folioflow.plans.enrich import enrich_store, lines_with_enrichment
-from folioflow.plans.ingest import Run, alert, ingest_folder, initial_load
+from folioflow.plans.ingest import Run, alert, ingest_folder, ingest_texts, initial_load
 from folioflow.plans.reports import enrichment_overview, publish_curated
 from folioflow.schema import rule_catalogue
 from folioflow.sources.store import Store, append_violations, publish, write_export
@@ -118,12 +119,89 @@ def test_xsd_bars_files(spark, folder, tmp_path):
     assert [e.message for e in row.errors] == ["xsd dte: 1"]
 
 
-def test_many_new_files_are_read_with_their_folder(spark, folder, tmp_path, monkeypatch):
-    monkeypatch.setattr(ingest, "LISTED_FILES", 1)
+def test_many_new_files_are_loaded_in_slices(spark, folder, tmp_path, monkeypatch):
+    opened = []
+    scan = ingest.scan_documents
+    monkeypatch.setattr(ingest, "scan_documents", lambda spark, paths, **more: (opened.append(paths), scan(spark, paths, **more))[1])
     store = Store(spark, str(tmp_path / "store"))
-    for i in range(3):
+    for i in range(5):
         (folder / f"{i}.xml").write_text(envelope(document(i + 1, [line()])))
-    assert ingest_folder(store, str(folder), run("one"), as_of=AS_OF).first().headers_inserted == 3
+    rows = ingest_folder(store, str(folder), run("one"), files_per_load=2, as_of=AS_OF).collect()
+    assert sum(r.headers_inserted for r in rows) == 5 and {r.run_id[:4] for r in rows} == {"one."} and len(rows) == len(opened) > 1
+    assert sorted(p.rsplit("/", 1)[1] for paths in opened for p in paths) == [f"{i}.xml" for i in range(5)]
+    before = contents(store)
+    (folder / "6.xml").write_text(envelope(document(6, [line()])))
+    opened.clear()
+    assert ingest_folder(store, str(folder), run("two"), files_per_load=2, as_of=AS_OF).first().headers_inserted == 1
+    assert [p.rsplit("/", 1)[1] for paths in opened for p in paths] == ["6.xml"], "old files are not opened"
+    (folder / "6.xml").unlink()
+    ingest_folder(store, str(folder), run("one"), files_per_load=2, as_of=AS_OF)
+    assert [x for x in contents(store)[0] if ":6:" not in x[0]] == before[0], "the same id takes the same slices"
+
+
+def test_printed_documents_are_loaded(spark, folder, tmp_path):
+    def page(folio, total="5.000", more=""):
+        return f"<p>Factura</p><b>Folio: {folio}</b> RUT Emisor: 76.123.456-7 RUT Receptor: 11.222.333-4 Fecha: 14-10-2025 Total $ {total}{more}"
+
+    store = Store(spark, str(tmp_path / "store"))
+    (folder / "a.HTML").write_text(page(1001))
+    (folder / "b.txt").write_text(page(1002, "7.500"))
+    (folder / "c.htm").write_text("<p>nothing to read</p>")
+    (folder / "d.xml").write_text(VALID)
+    row = ingest_texts(store, str(folder), run("one", job="text_ingest"), as_of=AS_OF).first()
+    assert counters(row)[:7] == ("PARTIAL", 3, 3, 0, 2, 0, 0)
+    assert [(r.folio, r.mnt_total, r.mnt_neto) for r in store.read("headers").orderBy("folio").collect()] == [(1001, D("5000.00"), None), (1002, D("7500.00"), None)]
+    assert [(r.file.rsplit("/", 1)[1], r.message) for r in store.read("errors").collect()] == [("c.htm", "missing tipo_dte")]
+    assert ingest_texts(store, str(folder), run("two", job="text_ingest"), as_of=AS_OF).first().files_total == 0
+    streamed = Store(spark, str(tmp_path / "streamed"))
+    stream_ingest(streamed, str(folder), str(tmp_path / "checkpoint"), texts=True, as_of=AS_OF).awaitTermination()
+    assert contents(streamed)[0] == contents(store)[0]
+
+
+def test_compaction_changes_no_rows(spark, folder, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    assert store.compact() is None
+    for i in range(3):
+        docs = [document(10 * i + j, [line(), line(2)], issuer=f"{i}{j}-K") for j in range(4)]
+        (folder / f"{i}.xml").write_text(envelope(*docs))
+        ingest_folder(store, str(folder), run(f"r{i}"), as_of=AS_OF)
+    before, old_reader = contents(store), store.read("headers")
+    assert store.compact() is not None
+    assert contents(store) == before and old_reader.count() == 12
+    assert store.sweep() == 3 and contents(store) == before
+    text = store.history(store.read("headers").filter("rut_emisor = '00-K'").select("rut_emisor"))._jdf.queryExecution().executedPlan().toString()
+    assert "key_range" in text.split("PartitionFilters: [")[-1].split("PushedFilters")[0] or "key_range#" in text
+    (folder / "again.xml").write_text((folder / "0.xml").read_text())
+    (folder / "new.xml").write_text(envelope(document(77, [line()], issuer="99-K")))
+    row = ingest_folder(store, str(folder), run("r3"), as_of=AS_OF).first()
+    assert (row.headers_inserted, row.headers_already_present) == (1, 4), "compacted headers are found by their range"
+    ingest_folder(store, str(folder), run("r4"), as_of=AS_OF)
+    assert store.compact() is not None and len(contents(store)[0]) == 13
+    (folder / "1.xml").write_text(envelope(document(500, [line()])))
+    ingest_folder(store, str(folder), run("r1"), as_of=AS_OF)
+    heads = {h for h, _ in contents(store)[0]}
+    assert "33:500:11111111-1" in heads and "33:10:10-K" not in heads, "a load that is written again counts from its own folder"
+
+
+def test_one_error_per_failed_file(spark, folder, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    for i in range(3):
+        (folder / f"{i}.xml").write_text(VALID[:-9 - i])
+    row = ingest_folder(store, str(folder), run("one"), as_of=AS_OF).first()
+    assert [(e.where, e.message) for e in row.errors] == [("parse", "malformed XML: 3")]
+    assert sorted((r.file.rsplit("/", 1)[1], r.where, r.message) for r in store.read("errors").collect()) == [(f"{i}.xml", "parse", "malformed XML") for i in range(3)]
+
+
+def test_schemas_hold_for_files_of_any_size(spark, folder, tmp_path, monkeypatch):
+    schema = tmp_path / "dte.xsd"
+    schema.write_text('<?xml version="1.0"?><xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"><xs:element name="DTE" type="xs:int"/></xs:schema>')
+    (folder / "a.xml").write_text(f'<DTE s="EnvioDTE_v10.xsd">{document(1, [line()])}</DTE>')
+    (folder / "b.xml").write_text(VALID)
+    store = Store(spark, str(tmp_path / "store"))
+    ingest_folder(store, str(folder), run("one"), xsd_paths={"dte": str(schema)}, whole_file_bytes=1, as_of=AS_OF)
+    assert [(r.file.rsplit("/", 1)[1], r.message) for r in store.read("errors").collect()] == [("a.xml", "xsd dte")]
+    found = ingest.refused(spark, str(folder), {"dte": str(schema)}, most_bytes=600).collect()
+    assert {(r.file.rsplit("/", 1)[1], r.reason) for r in found} >= {("b.xml", "xsd not checked: file too large")}
 
 
 def test_sinks(spark, folder, tmp_path):
@@ -296,6 +374,17 @@ def test_a_replaced_load_takes_its_enrichment_along(spark, folder, tmp_path):
     assert lines_with_enrichment(store).count() == store.read("lines").count() == 1
 
 
+def test_a_day_has_few_files_whatever_its_keys(spark, folder, tmp_path):
+    for part in range(2):
+        (folder / f"{part}.json").write_text("\n".join(f'{{"event_id": {i}, "ts": "2025-01-01T10:00:00", "kind": "k{i % 10000}"}}' for i in range(part * 10000, 10000 + part * 5000 + 5000)))
+        counts = events.daily_counts(feed(spark, folder), ["kind"])
+        events.upsert_days(counts, str(tmp_path / "d"), str(tmp_path / "c")).awaitTermination()
+        events.upsert_days(counts, str(tmp_path / "d"), str(tmp_path / "c")).awaitTermination()
+    got = spark.read.schema("kind string, n bigint, day date").parquet(str(tmp_path / "d"))
+    assert got.count() == 10000 and got.agg(F.sum("n")).first()[0] == 25000
+    assert len(list((tmp_path / "d").glob("day=*"))) == 1 and len(list((tmp_path / "d").glob("day=*/*.parquet"))) <= 4
+
+
 def test_event_state_ends_with_the_watermark(spark, folder, tmp_path):
     def removed(day):
         (folder / f"{day}.json").write_text(f'{{"event_id": {day}, "ts": "2025-01-{day:02}T10:00:00", "kind": "a"}}')
