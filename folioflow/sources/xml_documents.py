@@ -48,15 +48,15 @@ XSD_HEAD = 4096
 Paths = str | list[str]
 
 
-def _xml_reader(spark: SparkSession, modified_after: str | None) -> DataFrameReader:
-    reader = spark.read.option("pathGlobFilter", XML_NAMES).option("recursiveFileLookup", "true")
+def _xml_reader(spark: SparkSession, modified_after: str | None, names: str = XML_NAMES) -> DataFrameReader:
+    reader = spark.read.option("pathGlobFilter", names).option("recursiveFileLookup", "true")
     return reader.option("modifiedAfter", modified_after) if modified_after else reader
 
 
 def xml_files(spark: SparkSession, path: Paths, *, max_bytes: int | None = WHOLE_FILE_BYTES,
-              modified_after: str | None = None) -> DataFrame:
+              modified_after: str | None = None, names: str = XML_NAMES) -> DataFrame:
     """(file, content) of the XML files below ``path``; larger files are left unread."""
-    files = _xml_reader(spark, modified_after).format("binaryFile").load(path)
+    files = _xml_reader(spark, modified_after, names).format("binaryFile").load(path)
     if max_bytes is not None:
         files = files.filter(F.col("length") <= max_bytes)
     return files.select(F.col("_metadata.file_path").alias("file"), "content")
@@ -68,9 +68,9 @@ def listed_files(spark: SparkSession, path: Paths, modified_after: str | None =
         F.col("_metadata.file_path").alias("file"), "path")
 
 
-def sized_files(spark: SparkSession, path: Paths, modified_after: str | None = None) -> DataFrame:
+def sized_files(spark: SparkSession, path: Paths, modified_after: str | None = None, names: str = XML_NAMES) -> DataFrame:
     """(file, path, length), from the listing alone."""
-    return _xml_reader(spark, modified_after).format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), "path", "length")
+    return _xml_reader(spark, modified_after, names).format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), "path", "length")
 
 
 def literal_path(path: str) -> str:
@@ -129,19 +129,19 @@ def whole_file_documents(files: DataFrame) -> DataFrame:
                                   (~F.coalesce("r.sound", F.lit(False))).alias("malformed"), F.lit(None).cast(xml_text.SHAPE).alias("shape")))
 
 
-def _pieces(spark: SparkSession, path: Paths, min_bytes: int, modified_after: str | None) -> DataFrame:
+def _pieces(spark: SparkSession, path: Paths, min_bytes: int, modified_after: str | None, names: str) -> DataFrame:
     """(file, block, row, octets, cut, size): bytes of large files up to each cut, which may be another tag's."""
-    raw = _xml_reader(spark, modified_after).option("lineSep", CUT).text(path).filter(F.col("_metadata.file_size") > min_bytes)
+    raw = _xml_reader(spark, modified_after, names).option("lineSep", CUT).text(path).filter(F.col("_metadata.file_size") > min_bytes)
     return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"),
                       F.col("value").cast("binary").alias("octets"), F.col("value").rlike(_CUT_TAG).alias("cut"), F.col("_metadata.file_size").alias("size"))
 
 
-def large_files(spark: SparkSession, path: Paths, *, min_bytes: int = WHOLE_FILE_BYTES, modified_after: str | None = None) -> DataFrame:
+def large_files(spark: SparkSession, path: Paths, *, min_bytes: int = WHOLE_FILE_BYTES, modified_after: str | None = None, names: str = XML_NAMES) -> DataFrame:
     """(file, charset, whole, broken) of files larger than ``min_bytes``: whether one must be read whole, and whether its end is missing.
 
     One pass over them that keeps a row per file.
     """
-    piece = _pieces(spark, path, min_bytes, modified_after)
+    piece = _pieces(spark, path, min_bytes, modified_after, names)
     place, text = F.struct("block", "row"), F.col("octets").cast("string")
     prolog = text.rlike(r"^(?:\x{FEFF})?<\?xml\s")
     told = piece.select("file", "size", place.alias("place"), "cut", (F.length("octets") + F.when(F.col("cut"), len(CUT)).otherwise(0)).alias("n"),
@@ -156,9 +156,10 @@ def large_files(spark: SparkSession, path: Paths, *, min_bytes: int = WHOLE_FILE
                        ((F.col("n") > F.col("size")) | (F.col("prologs") > F.col("starts").cast("int"))).alias("broken"))
 
 
-def split_file_documents(spark: SparkSession, path: Paths, large: DataFrame, *, min_bytes: int = WHOLE_FILE_BYTES, modified_after: str | None = None) -> DataFrame:
+def split_file_documents(spark: SparkSession, path: Paths, large: DataFrame, *, min_bytes: int = WHOLE_FILE_BYTES, modified_after: str | None = None,
+                         names: str = XML_NAMES) -> DataFrame:
     """The same rows for the files of ``large`` that may be cut, many tasks per file, each piece with its shape."""
-    piece = _pieces(spark, path, min_bytes, modified_after).join(large.filter(~F.col("whole")).select("file", "charset", "broken"), "file")
+    piece = _pieces(spark, path, min_bytes, modified_after, names).join(large.filter(~F.col("whole")).select("file", "charset", "broken"), "file")
     octets = F.when(F.col("cut"), F.concat("octets", F.lit(CUT).cast("binary"))).otherwise(F.col("octets"))
 
     def read(text: Column) -> Column:
@@ -173,8 +174,9 @@ def split_file_documents(spark: SparkSession, path: Paths, large: DataFrame, *,
                                   F.coalesce("r.shape", xml_text.empty_shape()).alias("shape")))
 
 
-def scan_documents(spark: SparkSession, path: Paths, *, whole_file_bytes: int = WHOLE_FILE_BYTES, modified_after: str | None = None) -> DataFrame:
-    """All documents below ``path``, small files whole and large ones split.
+def scan_documents(spark: SparkSession, path: Paths, *, whole_file_bytes: int = WHOLE_FILE_BYTES, modified_after: str | None = None,
+                   names: str = XML_NAMES) -> DataFrame:
+    """All documents below ``path`` in files of such ``names``, small files whole and large ones split.
 
     ``modified_after`` (``2025-01-31T00:00:00``) prunes the listing, so that old files are not read. Large files are
     looked through first; the driver, which lists all files anyway, keeps a short row of each large one.
@@ -182,16 +184,16 @@ def scan_documents(spark: SparkSession, path: Paths, *, whole_file_bytes: int =
     def whole(files: DataFrame) -> DataFrame:
         return whole_file_documents(files.select("file", decoded(F.col("content")).alias("text")))
 
-    small = whole(xml_files(spark, path, max_bytes=whole_file_bytes, modified_after=modified_after))
-    sized = sized_files(spark, path, modified_after).filter(F.col("length") > whole_file_bytes)
+    small = whole(xml_files(spark, path, max_bytes=whole_file_bytes, modified_after=modified_after, names=names))
+    sized = sized_files(spark, path, modified_after, names).filter(F.col("length") > whole_file_bytes)
     if sized.select("path").isEmpty():
         return small
-    looked = large_files(spark, path, min_bytes=whole_file_bytes, modified_after=modified_after)
+    looked = large_files(spark, path, min_bytes=whole_file_bytes, modified_after=modified_after, names=names)
     large = spark.createDataFrame(looked.collect(), looked.schema)
-    out = small.unionByName(split_file_documents(spark, path, large, min_bytes=whole_file_bytes, modified_after=modified_after))
+    out = small.unionByName(split_file_documents(spark, path, large, min_bytes=whole_file_bytes, modified_after=modified_after, names=names))
     hidden = sized.join(large.filter("whole"), "file", "left_semi").collect()
     if hidden:
-        out = out.unionByName(whole(xml_files(spark, [literal_path(r.path) for r in hidden], max_bytes=None)))
+        out = out.unionByName(whole(xml_files(spark, [literal_path(r.path) for r in hidden], max_bytes=None, names=names)))
     return out
 
 
