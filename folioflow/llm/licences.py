@@ -85,6 +85,7 @@ NOTICES = [
 ]
 SPDX = {k: [k] for k in "Apache-2.0 BSD-2-Clause BSD-3-Clause CC-BY-4.0 CC-BY-NC-4.0 CC0-1.0 ISC MIT MPL-2.0 Unlicense".split()} | {
     k: [k, f"{k}-only", f"{k}-or-later"] for k in "AGPL-3.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0".split()}
+SPDX_KNOWN = sorted({x for ids in SPDX.values() for x in ids})
 #: Lines of nothing but comment marks part paragraphs; a comment at the head of a file, by its kind.
 PARTING = r"\r?\n[ \t/*#;%\x22'!<>=\x2D]*+(?=\r?\n)"
 IN_MARKS = r"(?s)^\s*+(?:<\?[a-z]*+\s*+)?(/\*.*?\*/|<!--.*?-->|\x22{3}.*?\x22{3})"
@@ -116,7 +117,8 @@ def notices(spark: SparkSession) -> tuple[DataFrame, dict[str, list[str]], dict[
     """(space, term, idf, weights by template) of notices and of SPDX identifiers; by space, the licences of the templates, and their number."""
     whole = [(p.stem, p.read_text("utf-8")) for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))]
     texts = {"notice": NOTICES + whole, "spdx": [(k, f"SPDX-License-Identifier: {x}") for k, ids in SPDX.items() for x in ids]}
-    rows = spark.createDataFrame([(space, i, t) for space, given in texts.items() for i, (_, t) in enumerate(given)], "space string, i int, text string")
+    rows = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(space).alias("space"), F.lit(i).alias("i"), F.lit(t).alias("text"))
+                                                    for space, given in texts.items() for i, (_, t) in enumerate(given)])))
     counted = rows.select("space", "i", F.explode(terms(F.col("text"))).alias("term")).groupBy("space", "i", "term").agg((1 + F.log(F.count("*"))).alias("tf"))
     n = F.when(F.col("space") == "spdx", len(texts["spdx"])).otherwise(len(texts["notice"]))
     seen = counted.groupBy("space", "term").agg(F.count("*").alias("df")).select("space", "term", F.log((1 + n) / F.col("df")).alias("idf"))
@@ -172,6 +174,17 @@ def block_licences(files: DataFrame, path: str = "path", text: str = "text", lea
             .select("path", "template", F.round(F.col("dot") / F.col("norm"), 6).alias("similarity")).where(F.col("similarity") >= least))
 
 
+def expressions(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+    """(path, template, similarity) of SPDX expressions of several identifiers, as written but for spacing; all of them must be known."""
+    said = F.regexp_extract_all(F.col(text), F.lit(r"SPDX-License-Identifier:[ \t]*([^\r\n]*)"), F.lit(1))
+    rows = files.where(F.contains(F.col(text), F.lit("SPDX-License-Identifier:"))).select(F.col(path).alias("path"), F.explode(said).alias("said"))
+    written_out = F.regexp_replace(F.trim(F.regexp_extract("said", r"^((?:[A-Za-z0-9.+\-]+|[() \t])*)", 1)), r"[ \t]+", " ")
+    ids = F.array_remove(F.split(F.regexp_replace(F.col("template"), r"[()]", " "), r"\s+(?:AND|OR|WITH)\s+|\s+", -1), "")
+    known = F.forall(ids, lambda x: F.regexp_replace(x, r"\+$", "").isin(*SPDX_KNOWN))
+    return (rows.select("path", written_out.alias("template")).where(F.col("template").rlike(r" (?:AND|OR|WITH) ") & known)
+            .distinct().select("path", "template", F.lit(1.0).alias("similarity")))
+
+
 def own_licences(files: DataFrame, path: str = "path", text: str = "text", least: float = LEAST) -> DataFrame:
     """(path, licence, similarity) of the most alike template of any licence line or block of a file; ties go to the first name.
 
@@ -191,7 +204,7 @@ def own_licences(files: DataFrame, path: str = "path", text: str = "text", least
     dots = (tf.join(F.broadcast(known.select("template", "term", "weight")), "term").groupBy("path", "line", "template")
             .agg(F.sum(F.col("w") * F.col("weight")).alias("dot")))
     cosine = dots.join(norm, ["path", "line"]).select("path", "template", F.round(F.col("dot") / F.col("norm"), 6).alias("similarity")).where(F.col("similarity") >= least)
-    cosine = cosine.unionByName(block_licences(files, path, text, least))
+    cosine = cosine.unionByName(block_licences(files, path, text, least)).unionByName(expressions(files, path, text))
     best = cosine.groupBy("path").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "template")).alias("b"))
     return best.select("path", F.regexp_replace(F.col("b")["template"], "-short$", "").alias("licence"), (-F.col("b")["s"]).alias("similarity"))
 
@@ -209,22 +222,26 @@ def _above(directory: Column) -> Column:
 def scan(files: DataFrame, path: str = "path", text: str = "text", least: float = LEAST) -> DataFrame:
     """(path, licence, similarity, origin) for every row: ``own``, ``inherited`` or null.
 
-    Several licence files in a directory: the most alike counts, then the first name, then the first path. A null path has no
+    Several licence files in a directory: the most alike counts, then the first name, then the first path. A licence file that no
+    template is like, empty or null ones too, ends inheritance: what lies below it has no licence, and origin ``unknown``. A null path has no
     directory and inherits nothing, but may have an own licence.
     """
     rows = files.select(F.col(path).alias("path"), F.col(text).alias("text"))
     own = written(own_licences(rows.withColumn("path", F.coalesce("path", F.lit("\u0000"))), least=least), "own-licences")
-    stated = (own.where(F.regexp_like(F.regexp_extract("path", r"[^/]*$", 0), F.lit(LICENCE_FILE)))
-              .groupBy(_directory(F.col("path")).alias("ancestor")).agg(F.min(F.struct((-F.col("similarity")).alias("s"), "licence", "path")).alias("b"))
-              .select("ancestor", F.col("b")["licence"].alias("licence"), (-F.col("b")["s"]).alias("similarity")))
+    name = F.regexp_extract("path", r"[^/]*$", 0)
+    licence_files = rows.where(F.regexp_like(name, F.lit(LICENCE_FILE))).select("path").distinct().join(own, "path", "left")
+    licence_files = licence_files.where(F.col("licence").isNotNull() | ~F.regexp_like(name, F.lit("(?i)^notice")))  # a mere notice ends nothing
+    # Recognised ones come first, as their similarity counts negative.
+    stated = (licence_files.groupBy(_directory(F.col("path")).alias("ancestor")).agg(F.min(F.struct(F.coalesce(-F.col("similarity"), F.lit(1.0)).alias("s"), "licence", "path")).alias("b"))
+              .select("ancestor", F.col("b")["licence"].alias("licence"), F.when(F.col("b")["s"] <= 0, -F.col("b")["s"]).alias("similarity")))
     directories = rows.where("path IS NOT NULL").select(_directory(F.col("path")).alias("directory")).distinct()
     nearest = (directories.select("directory", F.inline(_above(F.col("directory")))).join(stated, "ancestor")
                .groupBy("directory").agg(F.min(F.struct("up", "licence", "similarity")).alias("b"))
-               .select("directory", F.col("b")["licence"].alias("given"), F.col("b")["similarity"].alias("given_similarity")))
+               .select("directory", F.col("b")["licence"].alias("given"), F.col("b")["similarity"].alias("given_similarity"), F.lit(True).alias("told")))
     nearest = small(written(nearest, "directory-licences"))
     own = own.select(F.col("path").alias("key"), "licence", "similarity")
     out = (rows.select("path", F.coalesce("path", F.lit("\u0000")).alias("key"), _directory(F.col("path")).alias("directory"))
            .join(own, "key", "left").join(nearest, "directory", "left"))
-    origin = F.when(F.col("licence").isNotNull(), F.lit("own")).when(F.col("given").isNotNull(), F.lit("inherited"))
+    origin = F.when(F.col("licence").isNotNull(), F.lit("own")).when(F.col("given").isNotNull(), F.lit("inherited")).when(F.col("told"), F.lit("unknown"))
     return out.select("path", F.coalesce("licence", "given").alias("licence"),
                       F.when(F.col("licence").isNotNull(), F.col("similarity")).otherwise(F.col("given_similarity")).alias("similarity"), origin.alias("origin"))

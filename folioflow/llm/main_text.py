@@ -6,8 +6,10 @@ children. The element of the largest density sum is the kernel of the text. The
 is the threshold. A kernel inside ``article`` or ``main`` stands for the outermost of them, and others of that kind that reach the threshold
 count too. On other pages every element that reaches it gives its part of the largest density sum, anywhere under the body; paragraphs and
 elements of the same class beside such a block belong to it however short, unless half of them is link text, and so do headings before it.
-Elements that say what they are (navigation, adverts, forms, comments and the like) are left out before. Inside ``article`` and ``main``
-a class or id must name such a role as a whole, and but for adverts and comments links or a low density must confirm it.
+Elements that say what they are (navigation, adverts, forms, comments and the like) are left out before. A class or id must name such a
+role as a whole (``cookie-banner``, not ``share-price`` or ``has-sidebar``). Adverts and comments then go; of the others, inside ``article`` and ``main``
+links or a low density must confirm the name, elsewhere none may hold more than half of the page's text. Elsewhere a name that only
+mentions a role counts if links or a low density confirm it.
 One pass per page in Arrow batches, no shuffle; a page is parsed by its task alone.
 """
 
@@ -43,6 +45,8 @@ NAMES = frozenset("ad ads adv advert adverts advertisement advertising sponsor s
 SURE = frozenset("ad ads adv advert adverts advertisement advertising sponsor comment comments commentlist respond disqus".split())
 BESIDES = frozenset("area article articles bar body block box button buttons container content form heading icon icons inner item items left link links "
                     "list media news outer panel post posts right row section slot stories story thread title toggle unit units wrap wrapper".split())
+#: Words that make a name tell of what surrounds something, or lacks it.
+AROUND = frozenset("has have with without no not non is hide hidden show under below above after before".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements beside a block that read on with it.
 BESIDE = frozenset("p section blockquote pre".split())
@@ -53,7 +57,7 @@ _TOKENS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 class Node:
     __slots__ = ("tag", "parent", "parts", "drop", "chars", "tags", "link_chars", "link_tags", "density", "total", "kind", "doubt")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False, kind: str = "", doubt: bool = False):
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, kind: str = "", doubt: str = ""):
         self.tag, self.parent, self.drop, self.kind, self.doubt = tag, parent, drop, kind, doubt
         self.parts: list[str | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -67,10 +71,28 @@ def _named_out(tag: str, attrs: dict[str, str | None], in_text: bool) -> bool:
         return True
     if tag in HEADINGS:
         return False
-    if in_text or tag in ("article", "main", "body", "html"):
-        return _role(attrs, SURE)
-    names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-    return any(t.lower() in NAMES or t.lower() == "header" for t in _TOKENS.findall(names))
+    names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
+    return _role(attrs, SURE) or (not in_text and tag not in ("article", "main") and any(_ends_as_role(name, SURE) for name in names))
+
+
+def _doubt(tag: str, attrs: dict[str, str | None], in_text: bool) -> str:
+    """What must be found of an element before its name counts: ``inside``, ``whole`` or ``weak``, or nothing."""
+    if tag in HEADINGS or tag in ("article", "main"):
+        return ""
+    if in_text:
+        return "inside" if _role(attrs, NAMES) else ""
+    names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
+    if _role(attrs, NAMES | {"header"}) or any(_ends_as_role(name, NAMES | {"header"}) for name in names):
+        return "whole"
+    return "weak" if any(t.lower() in NAMES or t.lower() == "header" for name in names for t in _TOKENS.findall(name)) else ""
+
+
+def _ends_as_role(name: str, roles: frozenset[str]) -> bool:
+    """Whether a compound is of the kind that its last telling word names: ``site-header``, but not ``no-header``."""
+    words = [t.lower() for t in _TOKENS.findall(name)]
+    while words and (words[-1] in BESIDES or words[-1].isdigit()):
+        words.pop()
+    return bool(words) and words[-1] in roles and not AROUND.intersection(words)
 
 
 def _role(attrs: dict[str, str | None], roles: frozenset[str]) -> bool:
@@ -100,8 +122,7 @@ class Tree(HTMLParser):
         while up is not None:
             in_text, up = in_text or up.tag in ("article", "main"), up.parent
         given = dict(attrs)
-        doubt = in_text and tag not in HEADINGS and tag not in ("article", "main") and _role(given, NAMES)
-        node = Node(tag, self.now, _named_out(tag, given, in_text), given.get("class") or "", doubt)
+        node = Node(tag, self.now, _named_out(tag, given, in_text), given.get("class") or "", _doubt(tag, given, in_text))
         self.now.parts.append(node)
         if tag not in VOID:
             self.now = node
@@ -159,14 +180,18 @@ def _measure(nodes: list[Node]) -> None:
 
 
 def _confirm(nodes: list[Node]) -> bool:
-    """Leaves out the doubtful elements of which links make up a third, or whose density is below half that of the article around them."""
-    dropped = False
+    """Leaves out the doubtful elements that their name and their text agree on.
+
+    To confirm a name, links make up a third of the text, or the density is below half that of the article, or the page, around.
+    """
+    dropped, body = False, nodes[0]
     for node in nodes:
         if node.doubt:
             up = node.parent
             while up.parent is not None and up.tag not in ("article", "main"):
                 up = up.parent
-            if 3 * node.link_chars >= node.chars or 2 * node.density < up.density:
+            confirmed = node.doubt == "whole" or 3 * node.link_chars >= node.chars or 2 * node.density < up.density
+            if confirmed and (node.doubt == "inside" or 2 * node.chars <= body.chars):
                 node.drop = dropped = True
     return dropped
 

@@ -187,14 +187,15 @@ _TEMPLATES = ", ".join(f"('{k}', '{v}')" for k, v in licences.TEMPLATES.items())
   cs AS (SELECT path, template, round(sum(w * weight) / any_value(norm), 6) AS similarity FROM lw JOIN tw USING (term) JOIN nn USING (path, line) GROUP BY path, line, template),
   own AS (SELECT path, regexp_replace(template, '-short$', '') AS licence, similarity FROM cs WHERE similarity >= {licences.LEAST}
     QUALIFY row_number() OVER (PARTITION BY path ORDER BY similarity DESC, template) = 1),
-  stated AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS ancestor, licence, similarity FROM own WHERE regexp_matches(regexp_extract(path, '[^/]*$'), '{licences.LICENCE_FILE}')
-    QUALIFY row_number() OVER (PARTITION BY regexp_replace(path, '/?[^/]*$', '') ORDER BY similarity DESC, licence, path) = 1),
+  stated AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS ancestor, licence, similarity, true AS told FROM (SELECT DISTINCT path FROM f) LEFT JOIN own USING (path)
+    WHERE regexp_matches(regexp_extract(path, '[^/]*$'), '{licences.LICENCE_FILE}') AND (licence IS NOT NULL OR NOT regexp_matches(regexp_extract(path, '[^/]*$'), '(?i)^notice'))
+    QUALIFY row_number() OVER (PARTITION BY regexp_replace(path, '/?[^/]*$', '') ORDER BY similarity DESC NULLS LAST, licence, path) = 1),
   dirs AS (SELECT DISTINCT regexp_replace(path, '/?[^/]*$', '') AS directory FROM f),
   above AS (SELECT directory, up, array_to_string(parts[1 : len(parts) - up], '/') AS ancestor
     FROM (SELECT directory, parts, unnest(range(0, len(parts) + 1)) AS up FROM (SELECT directory, list_filter(string_split(directory, '/'), lambda x: x <> '') AS parts FROM dirs))),
-  near AS (SELECT directory, s.licence, s.similarity FROM above JOIN stated s USING (ancestor) QUALIFY row_number() OVER (PARTITION BY directory ORDER BY up) = 1)
+  near AS (SELECT directory, s.licence, s.similarity, told FROM above JOIN stated s USING (ancestor) QUALIFY row_number() OVER (PARTITION BY directory ORDER BY up) = 1)
   SELECT f.path, coalesce(o.licence, n.licence) AS licence, CASE WHEN o.licence IS NOT NULL THEN o.similarity ELSE n.similarity END AS similarity,
-    CASE WHEN o.licence IS NOT NULL THEN 'own' WHEN n.licence IS NOT NULL THEN 'inherited' END AS origin
+    CASE WHEN o.licence IS NOT NULL THEN 'own' WHEN n.licence IS NOT NULL THEN 'inherited' WHEN told THEN 'unknown' END AS origin
   FROM f LEFT JOIN own o USING (path) LEFT JOIN near n ON n.directory = regexp_replace(f.path, '/?[^/]*$', '')""")
 def op8_licences(spark, folder):
     """Licence of every document, laid out as files: source/language/document; one that ends with a licence line is its directory's."""

@@ -2,16 +2,18 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import string
 from collections import Counter, defaultdict
+from xml.etree import ElementTree
 
 import numpy as np
 import public_tokenizers
 import pytest
 
-from folioflow.llm import collocations, cover_trees, token_alignment
+from folioflow.llm import collocations, cover_trees, licences, main_text, token_alignment
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 DOCS = "doc_id bigint, text string, lang string, gram string, f bigint, block bigint, a int, words string"
@@ -238,3 +240,79 @@ def test_pruning():
         assert all(exact[a:b].max() <= x for a, b, x in zip(block.first[:-1], block.first[1:], reach))
         kth = cover_trees.search(block, p, points[p], radius, np.full(len(p), cover_trees.NONE), 10)[1]
         assert (reach < kth.min()).mean() > 0.5
+
+
+# ---- 8
+
+def test_unknown_licence_files_end_inheritance(spark):
+    files = [("LICENSE", "Released under the MIT License."), ("a.c", "code"), ("vendor/x/LICENSE", "All rights reserved. Unauthorized copying is strictly prohibited."),
+             ("vendor/x/a.c", "code"), ("vendor/x/deep/b.c", None), ("vendor/x/mit/LICENSE", "Released under the MIT License."), ("vendor/x/mit/c.c", ""), ("vendor/y/COPYING", None),
+             ("vendor/y/d.c", "x"), ("vendor/z/NOTICE", "Made by someone."), ("vendor/z/e.c", "x"), ("vendor/x/own.c", "// Released under the MIT License."),
+             ("vendor/w/LICENSE", "Keep out."), ("vendor/w/LICENSE.mit", "Released under the MIT License."), ("vendor/w/f.c", "x"),
+             ("s1.c", "// SPDX-License-Identifier: MIT OR Apache-2.0"), ("s2.c", "/* SPDX-License-Identifier: (MIT OR  GPL-2.0-or-later) AND BSD-3-Clause */"),
+             ("vendor/x/s3.c", "# SPDX-License-Identifier: MIT OR Nobody-1.0")]
+    got = {x.path: (x.licence, x.origin) for x in licences.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    unknown, mit, inherited = (None, "unknown"), ("MIT", "own"), ("MIT", "inherited")
+    assert {k: v for k, v in got.items() if k != "vendor/x/s3.c"} == {
+        "LICENSE": mit, "a.c": inherited, "vendor/x/LICENSE": unknown, "vendor/x/a.c": unknown, "vendor/x/deep/b.c": unknown, "vendor/x/mit/LICENSE": mit,
+        "vendor/x/mit/c.c": inherited, "vendor/y/COPYING": unknown, "vendor/y/d.c": unknown, "vendor/z/NOTICE": inherited, "vendor/z/e.c": inherited, "vendor/x/own.c": mit,
+        "vendor/w/LICENSE": inherited, "vendor/w/LICENSE.mit": mit, "vendor/w/f.c": inherited, "s1.c": ("MIT OR Apache-2.0", "own"),
+        "s2.c": ("(MIT OR GPL-2.0-or-later) AND BSD-3-Clause", "own")}
+    assert got["vendor/x/s3.c"][0] != "MIT OR Nobody-1.0"
+
+
+# ---- 3
+
+def test_names_do_not_cost_a_page():
+    text = " ".join(["Words of an article that goes on for a while."] * 12)
+    body = "".join(f"<p>{text} {i}</p>" for i in range(5))
+    want = " ".join(f"{text} {i}" for i in range(5))
+    links = "".join(f'<a href="/{i}">Other page {i}</a>' for i in range(30))
+    assert main_text.extract(f'<body><div class="layout has-sidebar">{body}</div></body>') == want
+    assert main_text.extract(f'<body><div class="page-with-sidebar"><article>{body}</article><div class="sidebar">{links}</div></div></body>') == want
+    assert main_text.extract(f'<body><div id="no-header"><main>{body}</main></div></body>') == want
+    price = body.replace("<p>", '<p class="share-price">', 1)
+    assert main_text.extract(f"<body><div>{price}</div></body>") == want
+    assert main_text.extract(f'<body><div class="site-header">{text}</div><div>{body}</div><div class="cookie-banner">{text}</div><div class="user-comments">{body * 3}</div></body>') == want
+
+
+def brute_density(html):
+    """Densities and density sums of every element of a well-formed page, by definition."""
+    root = ElementTree.fromstring(html)
+    chars = lambda e: sum(len("".join(t.split())) for t in e.itertext())
+    linked = lambda e: chars(e) if e.tag == "a" else sum(map(linked, e))
+    share = linked(root) / max(1, chars(root))
+
+    def density(e):
+        c, t, lc, lt = chars(e), len(list(e.iter())) - 1, linked(e), sum(x.tag == "a" for x in e.iter()) - (e.tag == "a")
+        if not c:
+            return 0.0
+        base = math.log(c / max(1, c - lc) * max(1, lc) + share * c + math.e)
+        return c / max(1, t) * math.log(c / max(1, lc) * max(1, t) / max(1, lt) + 1, base)
+
+    return [(e.tag, density(e), sum(density(x) for x in e)) for e in root.iter()]
+
+
+def test_density_by_definition():
+    r = random.Random(12)
+
+    def some(depth):
+        if depth == 0:
+            return " ".join("word" for _ in range(r.randint(0, 30)))
+        return "".join(r.choice(["<div>{}</div>", "<section>{}</section>", "<p>{}</p>", '<a href="x">{}</a>', "<b>{}</b>", "{}"]).format(some(depth - 1 if r.random() < 0.8 else 0)) for _ in range(r.randint(1, 4)))
+
+    for _ in range(40):
+        # No block stands inside a paragraph, which would close it.
+        page = re.sub("(<p>)((?:(?!</?p>).)*(?:<div>|<section>|<p>).*)", "<i>\\2", f"<html><div>{some(4)}</div></html>")
+        try:
+            want = brute_density(page)
+        except ElementTree.ParseError:
+            continue
+        tree = main_text.Tree()
+        tree.feed(page)
+        tree.close()
+        nodes = main_text._in_order(tree.root)
+        main_text._measure(nodes)
+        if [n.tag for n in nodes] == [t for t, _, _ in want]:
+            for node, (_, density, total) in zip(nodes, want):
+                assert math.isclose(node.density, density, rel_tol=1e-9) and math.isclose(node.total, total, rel_tol=1e-9, abs_tol=1e-9)
