@@ -90,20 +90,18 @@ class _Portion:
         self.piece = (self.piece + np.cumsum(gone))[~gone]
         self.one = self.one[~gone]
 
-    def told(self, count: np.ndarray, *of: np.ndarray) -> tuple[pa.Array, pa.Array, np.ndarray]:
-        """(node, next, count): ``of`` has numbers of the words, one array for each place; the fourth is the next. The language follows the node
-        after a tab, which no word has. Rows are in order of the first word, so that neighbours compress well."""
-        order = np.argsort(of[0], kind="stable")
+    def told(self, count: np.ndarray, *of: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """(key, count): the words, one array of numbers for each place, and after a tab, which no word has, the language. Rows are in order of
+        the first words, so that neighbours compress well."""
+        order = np.lexsort((of[1], of[0])) if len(of) > 1 else np.argsort(of[0])
         of = [x[order] for x in of]
         words = [self.spelled.take(pa.array(self.place[x])) for x in of]
-        lang = self.names.dictionary.take(pa.array(self.lang[of[0]]))
-        node = pc.binary_join_element_wise(*words[:WORDS - 1], " ") if len(of) > 1 else words[0]
-        after = words[WORDS - 1] if len(of) == WORDS else pa.array(np.full(len(count), "", object), pa.string())
-        return pc.binary_join_element_wise(node, lang, "\t"), after, count[order]
+        gram = pc.binary_join_element_wise(*words, " ") if len(of) > 1 else words[0]
+        return pc.binary_join_element_wise(gram, self.names.dictionary.take(pa.array(self.lang[of[0]])), "\t"), count[order]
 
 
-def edges(p: _Portion) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray]]:
-    """(node and language, next word, count) of edges, and of ends of pieces, where the next word is empty and the node may have fewer than three words."""
+def edges(p: _Portion) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(key, count) of edges, four words; and of ends of pieces, up to three words, whose counts are negative."""
     if not len(p.one):
         return
     near = np.flatnonzero(p.piece[1:] == p.piece[:-1])
@@ -117,11 +115,11 @@ def edges(p: _Portion) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray]]:
     yield p.told(n, *halves(gram // pairs), *halves(gram % pairs))
     at = last[length >= 3]
     gram, n = _counted(two[at - 2] * len(p.word_of) + p.one[at])
-    yield p.told(n, *halves(gram // len(p.word_of)), gram % len(p.word_of))
+    yield p.told(-n, *halves(gram // len(p.word_of)), gram % len(p.word_of))
     gram, n = _counted(two[last[length == 2] - 1])
-    yield p.told(n, *halves(gram))
+    yield p.told(-n, *halves(gram))
     gram, n = _counted(p.one[last[length == 1]])
-    yield p.told(n, gram)
+    yield p.told(-n, gram)
 
 
 def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[_Portion]:
@@ -167,10 +165,9 @@ def _edges(bits: dict[int, bytes]):
         for p in _portions(batches):
             bucket = p.buckets().astype(np.int64)
             p.without((common[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8) & 1) == 0)
-            for node, after, n in edges(p):
+            for key, n in edges(p):
                 for i in range(0, len(n), 20_000):
-                    part = slice(i, i + 20_000)
-                    yield pa.record_batch([node[part], after[part], pa.array(n[part])], names=["key", "next", "f"])
+                    yield pa.record_batch([key[i:i + 20_000], pa.array(n[i:i + 20_000])], names=["key", "f"])
 
     return run
 
@@ -183,12 +180,13 @@ def _last(gram: str | Column, words: int) -> Column:
     return F.substring_index(gram, " ", -words)
 
 
-def _row(gram: str | Column, kind: int, f: str = "f") -> Column:
-    return F.struct((F.col(gram) if isinstance(gram, str) else gram).alias("gram"), F.lit(kind).alias("kind"), F.col(f).alias("f"))
+def _key(words: str, key: str = "key") -> str:
+    """SQL of the first (or, negative, last) words of a key, with its language."""
+    return f"concat(substring_index(substring_index({key}, '\t', 1), ' ', {words}), substr({key}, instr({key}, '\t')))"
 
 
-def _rows(when: Column, *rows: Column) -> Column:
-    return F.when(when, F.array(*rows)).otherwise(F.array().cast("array<struct<gram:string,kind:int,f:bigint>>"))
+#: Words of a key.
+_WORDS = "(length(substring_index(key, '\t', 1)) - length(replace(substring_index(key, '\t', 1), ' ', '')) + 1)"
 
 
 class Graph:
@@ -222,22 +220,23 @@ class Graph:
     @cached_property
     def phrases(self) -> DataFrame:
         """(lang, gram, kind, f): frequent words and phrases of up to four words (kind: their number)."""
-        made = in_batches(self.docs.where("text IS NOT NULL"), _edges(self._common()), "key string, next string, f bigint")
-        # Already summed up in portions, so shuffled as it is, once: both aggregates read the same exchange, and so filter after it.
-        made = made.repartition("key")
-        lang, node = F.expr("substr(key, instr(key, '\t') + 1)").alias("lang"), F.substring_index("key", "\t", 1).alias("node")
-        ended = F.sum(F.when(F.col("next") == "", F.col("f")).otherwise(0)).alias("ended")
-        nodes = made.groupBy("key").agg(F.sum("f").alias("f"), ended).select(lang, node, "f", "ended").withColumn("words", F.size(F.split("node", " ")))
-        full, frequent = F.col("words") == WORDS - 1, F.col("f") >= self.least
-        # What leaves a node begins with its first two words; a piece that ends with it ends with its last two and its last one.
-        told = F.concat(_rows(full, _row(_first("node", 2), 2)), _rows(full & (F.col("ended") > 0), _row(_last("node", 2), 2, "ended"), _row(_last("node", 1), 1, "ended")),
-                        _rows(full & frequent, _row("node", 3)), _rows(F.col("words") == 2, _row("node", 2), _row(_last("node", 1), 1)), _rows(F.col("words") == 1, _row("node", 1)))
-        pairs = nodes.select("lang", F.inline(told)).groupBy("lang", "gram", "kind").agg(F.sum("f").alias("f"))
-        told = F.concat(_rows(F.col("kind") == 2, _row(_first("gram", 1), 1)), _rows((F.col("kind") != 2) | frequent, F.struct("gram", "kind", "f")))
-        shorter = pairs.select("lang", F.inline(told)).groupBy("lang", "gram", "kind").agg(F.sum("f").alias("f"))
-        longest = made.groupBy("key", "next").agg(F.sum("f").alias("f"), F.count_if(F.col("next") != "").alias("edges")).where(frequent & (F.col("edges") > 0))
-        longest = longest.select(lang, F.concat_ws(" ", node, "next"), F.lit(WORDS), "f")
-        return written(shorter.where(frequent).union(longest), "phrases")
+        made = in_batches(self.docs.where("text IS NOT NULL"), _edges(self._common()), "key string, f bigint")
+        # Already summed up in portions, so shuffled as it is, once, by the first three words: both aggregates read the same exchange.
+        made = made.repartition(F.expr(_key("3")))
+        row = "named_struct('key', {}, 'f', {}, 'ended', {})".format
+        none = "cast(array() as array<struct<key:string,f:bigint,ended:bigint>>)"
+        nodes = made.groupBy(F.expr(_key("3")).alias("key")).agg(F.sum(F.abs("f")).alias("f"), F.sum(F.when(F.col("f") < 0, -F.col("f")).otherwise(0)).alias("ended")).withColumn("words", F.expr(_WORDS))
+        # What leaves a node begins with its first two words, and a piece that ends with it ends with its last two.
+        told = f"""CASE WHEN words < 3 THEN array({row("key", "0L", "f")}) ELSE concat(array({row(_key("2"), "f", "0L")}),
+            CASE WHEN ended > 0 THEN array({row(_key("-2"), "0L", "ended")}) ELSE {none} END, CASE WHEN f >= {self.least} THEN array({row("key", "f", "0L")}) ELSE {none} END) END"""
+        pairs = nodes.select(F.expr(f"inline({told})")).groupBy("key").agg(F.sum("f").alias("f"), F.sum("ended").alias("ended")).withColumn("words", F.expr(_WORDS))
+        # The same for pairs, which occur as often as nodes and ends tell together.
+        told = f"""CASE WHEN words = 2 THEN concat(array({row(_key("1"), "f + ended", "0L")}), CASE WHEN ended > 0 THEN array({row(_key("-1"), "ended", "0L")}) ELSE {none} END,
+            CASE WHEN f + ended >= {self.least} THEN array({row("key", "f + ended", "0L")}) ELSE {none} END) ELSE array({row("key", "f + ended", "0L")}) END"""
+        shorter = pairs.select(F.expr(f"inline({told})")).groupBy("key").agg(F.sum("f").alias("f"))
+        edge = made.groupBy(F.expr(_key("3")).alias("node"), "key").agg(F.sum("f").alias("f")).select("key", "f")  # grouped by the node too: no further shuffle
+        found = shorter.union(edge).where(F.col("f") >= self.least)  # ends of pieces are below 0 here
+        return written(found.select(F.expr("substr(key, instr(key, '\t') + 1)").alias("lang"), F.expr("substring_index(key, '\t', 1)").alias("gram"), F.expr(_WORDS).alias("kind"), "f"), "phrases")
 
     def frequent(self, words: int) -> DataFrame:
         return self.phrases.where(F.col("kind") == words).select("lang", "gram", "f")
