@@ -77,8 +77,17 @@ def test_rules_need_no_shuffle(spark, store):
 
 def test_history_is_not_rescanned_for_new_keys(spark, store):
     headers, _, _ = store
-    text = plan(dedupe.only_new(dedupe.first_wins(headers, ["tipo_dte", "folio", "rut_emisor"], ["file_id"]), headers))
-    assert text.count("Exchange hashpartitioning") == 3, "the anti join uses the partitioning of the first-wins step"
+    text = plan(dedupe.only_new(dedupe.elected(headers, ["tipo_dte", "folio", "rut_emisor"], ["file_id"]), headers))
+    assert text.count("Exchange hashpartitioning") == 3, "the anti join uses the partitioning of the election"
+
+
+def test_winners_are_elected_without_their_payload(spark, store):
+    _, lines, _ = store
+    text = plan(dedupe.first_wins(lines, ["header_id"], ["line_id"]))
+    election = text[text.index("HashAggregate" if "HashAggregate" in text else "SortAggregate"):]
+    assert "descripcion" not in election and "ShuffledHashJoin" in text
+    assert not any("descripcion" in x for x in text.split("\n") if " Sort [" in x or "Aggregate(" in x)
+    assert dedupe.first_wins(lines, ["header_id"], ["line_id"]).count() == lines.select("header_id").distinct().count()
 
 
 def test_pairs_of_a_hot_document(spark, store):
