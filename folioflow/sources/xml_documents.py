@@ -121,10 +121,8 @@ def whole_file_documents(files: DataFrame) -> DataFrame:
 
     ``shape`` is NULL, as are a position's block and row: the file has been judged.
     """
-    def read(text: Column) -> Column:
-        return F.struct(xml_text.fragments(text).alias("texts"), xml_text.sound(xml_text.shape(xml_text.outline(text))).alias("sound"))
-
-    each = files.select("file", F.explode(F.transform(F.array(xml_text.plain(F.col("text"))), read)).alias("r"))
+    each = files.select("file", F.explode(F.transform(F.array(xml_text.plain(F.col("text"))), xml_text.parted)).alias("p"))
+    each = each.select("file", F.struct(F.col("p.texts").alias("texts"), xml_text.whole_is_sound(F.col("p.rest")).alias("sound")).alias("r"))
     return _documents(each.select("file", *(F.lit(None).cast("bigint").alias(c) for c in ("block", "row")), F.col("r.texts").alias("texts"),
                                   (~F.coalesce("r.sound", F.lit(False))).alias("malformed"), F.lit(None).cast(xml_text.SHAPE).alias("shape")))
 
@@ -163,10 +161,12 @@ def split_file_documents(spark: SparkSession, path: Paths, large: DataFrame, *,
     octets = F.when(F.col("cut"), F.concat("octets", F.lit(CUT).cast("binary"))).otherwise(F.col("octets"))
 
     def read(text: Column) -> Column:
-        rest = xml_text.outline(text)
-        begun = xml_text.headless(rest)
-        texts = F.concat(F.when(begun.isNotNull(), F.array(begun)).otherwise(F.array().cast("array<string>")), xml_text.fragments(text))
-        return F.struct(texts.alias("texts"), xml_text.shape(F.when(begun.isNotNull(), xml_text.without_headless(rest)).otherwise(rest)).alias("shape"))
+        def told(p: Column) -> Column:
+            begun = xml_text.headless(p["rest"])
+            texts = F.concat(F.when(begun.isNotNull(), F.array(begun)).otherwise(F.array().cast("array<string>")), p["texts"])
+            return F.struct(texts.alias("texts"), xml_text.shape(F.when(begun.isNotNull(), xml_text.without_headless(p["rest"])).otherwise(p["rest"])).alias("shape"))
+
+        return F.get(F.transform(F.array(xml_text.parted(text)), told), F.lit(0))
 
     each = piece.select("file", "block", "row", "broken", F.explode(F.transform(F.array(xml_text.plain(xml_text.decoded_as(octets, F.col("charset")))), read)).alias("r"))
     # A piece that cannot be decoded has no shape.

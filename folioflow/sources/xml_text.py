@@ -144,9 +144,11 @@ def plain(text: Column) -> Column:
     Markup that is left open, or stands where it may not, stays and makes the shape unsound. The usual file has none, and is
     searched once.
     """
-    body = F.regexp_replace(text, _PROLOG, "")
-    bare = _let(F.regexp_replace(body, _ASIDE, "$1"), lambda t: _let(_expanded(t), _escaped_sections))
-    return F.when(F.contains(body, F.lit("<!")) | F.contains(body, F.lit("<?")), bare).otherwise(body)
+    def cleared(body: Column) -> Column:
+        bare = _let(F.regexp_replace(body, _ASIDE, "$1"), lambda t: _let(_expanded(t), _escaped_sections))
+        return F.when(F.contains(body, F.lit("<!")) | F.contains(body, F.lit("<?")), bare).otherwise(body)
+
+    return _let(F.when(text.startswith("<?xml"), F.regexp_replace(text, _PROLOG, "")).otherwise(text), cleared)
 
 
 # ---- documents and the tags around them ---------------------------------------------------------
@@ -168,6 +170,19 @@ def outline(text: Column) -> Column:
     return F.regexp_replace(text, _DOCUMENT, _LEFT)
 
 
+def parted(text: Column) -> Column:
+    """Struct of ``texts``, the documents, and ``rest``, the outline. The usual text, of one document, is cut by plain search."""
+    first, last = F.instr(text, F.lit("<Documento")), F.instr(text, F.lit("</Documento>"))
+    named = F.length(text) - F.length(F.replace(text, F.lit("Documento"), F.lit("")))
+    one = (named == 18) & (first > 0) & (last > first)
+    whole = F.struct(fragments(text).alias("texts"), outline(text).alias("rest"))
+    cut = F.struct(F.array(F.substr(text, first, last - first + 12)).alias("texts"),
+                   F.concat(F.substr(text, F.lit(1), first - 1), F.lit(_LEFT), F.substr(text, last + 12)).alias("rest"))
+    # An empty element, or another whose name begins alike, is left to the patterns.
+    opened = F.substring_index(F.substr(text, first), ">", 1)
+    return F.when(F.when(one, opened.rlike(r"^<Documento(?:\s[^<]*)?$") & ~opened.endswith("/")).otherwise(False), cut).otherwise(whole)
+
+
 def headless(rest: Column) -> Column:
     """The document whose end an outline begins with, its opening tag restored; NULL if there is none."""
     body = F.regexp_extract(rest, _HEADLESS, 1)
@@ -198,6 +213,10 @@ def _names_of(*cells: Column) -> Column:
 
 def shape(rest: Column) -> Column:
     """Shape of an outline."""
+    return _let(rest, _shape)
+
+
+def _shape(rest: Column) -> Column:
     each = F.arrays_zip(*(F.regexp_extract_all(rest, F.lit(_TAG), F.lit(i)).alias(n) for i, n in ((1, "closing"), (2, "opening"), (3, "empty"))))
     start = F.struct(_names_of().alias("close"), _names_of().alias("open"), F.lit(0).alias("full"), F.lit(True).alias("ok"))
 
@@ -210,12 +229,14 @@ def shape(rest: Column) -> Column:
         before = F.struct(F.concat(s["close"], F.array(t["closing"])).alias("close"), s["open"].alias("open"), F.lit(0).alias("full"), s["ok"].alias("ok"))
         return F.when(t["closing"] != "", F.when(depth > 0, shut).otherwise(before)).when(t["empty"] != "", alone).otherwise(opened)
 
-    between = F.split(F.regexp_replace(rest, _TAG, "\u0001"), "\u0001")
     said = lambda part: F.trim(part, F.lit(" \t\r\n")) != ""
     folded = F.aggregate(each, start, step)
-    clean = ~rest.rlike(_WRONG) & ~rest.rlike(_TWICE) & ~F.exists(between, lambda p: F.contains(p, F.lit("<")))
-    return _let(folded, lambda s: F.struct(s["close"].alias("close"), s["open"].alias("open"), s["full"].alias("full"), (F.size(between) > 1).alias("tags"),
-                                           said(F.get(between, F.lit(0))).alias("lead"), said(F.element_at(between, -1)).alias("tail"), (s["ok"] & clean).alias("ok"))).cast(SHAPE)
+    def whole(between: Column) -> Column:
+        clean = ~rest.rlike(_WRONG) & ~rest.rlike(_TWICE) & ~F.exists(between, lambda p: F.contains(p, F.lit("<")))
+        return _let(folded, lambda s: F.struct(s["close"].alias("close"), s["open"].alias("open"), s["full"].alias("full"), (F.size(between) > 1).alias("tags"),
+                                               said(F.get(between, F.lit(0))).alias("lead"), said(F.element_at(between, -1)).alias("tail"), (s["ok"] & clean).alias("ok"))).cast(SHAPE)
+
+    return _let(F.split(F.regexp_replace(rest, _TAG, "\u0001"), "\u0001"), whole)
 
 
 def empty_shape() -> Column:
@@ -239,6 +260,17 @@ def all_joined(pieces: Column) -> Column:
     return F.aggregate(pieces, empty_shape(), lambda s, p: joined(s, p["shape"]))
 
 
+_ONE = r"(?:\s+[^\s<>/=\"'&]+\s*=\s*\"[^\"<&]*+\")?\s*"
+#: One document in up to three elements of at most one attribute each.
+_USUAL = (rf"^\s*(?:<Documento/>|<({_NAME}){_ONE}>\s*(?:<Documento/>|<({_NAME}){_ONE}>\s*(?:<Documento/>|<({_NAME}){_ONE}>\s*<Documento/>\s*</\3\s*>)"
+          rf"\s*</\2\s*>)\s*</\1\s*>)\s*$")
+
+
+def whole_is_sound(rest: Column) -> Column:
+    """Whether a file of this outline is well-formed around its documents. The usual outline is told by one pattern."""
+    return F.when(rest.rlike(_USUAL), True).otherwise(_let(shape(rest), sound))
+
+
 def sound(s: Column) -> Column:
     """Whether a file of this shape is well-formed around its documents: one root, all tags closed, nothing beside it."""
     return s["ok"] & (F.size(s["close"]) == 0) & (F.size(s["open"]) == 0) & (s["full"] == 1) & ~s["lead"] & ~s["tail"]
