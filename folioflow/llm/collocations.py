@@ -1,7 +1,8 @@
 """Phrase collocations from a weighted de Bruijn graph of word four-grams.
 
-1. Texts are cut into pieces and words. Words are counted by hash into 2^``BITS`` buckets; one in a bucket of fewer than ``LEAST``
-   occurrences is in no candidate, nor in part of one, and ends a piece. What this leaves out changes no count that matters, and the buckets have the same
+1. Texts are cut into pieces and words. Words, and pairs of neighbours, are counted by hash into 2^``BITS`` buckets. One in a bucket of fewer than ``LEAST``
+   occurrences is in no candidate, nor in part of one: pieces end at such a word, and between the words of such a pair. What this leaves out changes no count that
+   matters: all occurrences of a frequent phrase stay whole. A task's counts stop at ``LEAST``, which decides the sum of all tasks as well, so buckets have the same
    size however large the corpus.
 2. A four-gram is an edge from the node of its first three words to the next word; its weight is how often it stands in the corpus. Tasks
    sum up the edges of some megabytes of text, Spark adds these sums: only the longest grams are counted, and per piece its end, the last three words
@@ -20,6 +21,7 @@ as one per task, and the limit per language is taken in each task before it. Tab
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -31,7 +33,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.llm.arrays import portions
+from folioflow.llm.arrays import mix, portions
 from folioflow.llm.common import in_batches, written
 
 #: Words of the longest grams.
@@ -39,8 +41,8 @@ WORDS = 4
 LEAST, SHARE, TOP = 30, 80, 2000
 #: Bytes of text whose edges are summed up in a task at once.
 PORTION = 8 << 20
-#: Buckets of word hashes, of which tasks are sent one bit each: 4 MB.
-BITS, CHUNK = 25, 1 << 15
+#: Buckets of hashes of words and pairs, of which tasks are sent one bit each: 4 MB; they are summed up in chunks.
+BITS, CHUNK = 25, 1 << 13
 UNKNOWN = "und"
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -78,16 +80,23 @@ class _Portion:
         self.one, self.word_of = _numbered(self.names.indices.to_numpy().astype(np.int64)[doc] * kinds + words.indices.to_numpy())
         self.place, self.lang = self.word_of % kinds, self.word_of // kinds
 
-    def buckets(self) -> np.ndarray:
-        """Bucket of each word in ``word_of``."""
+    def buckets(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bucket of each word in ``word_of``; places of words that another one of their piece follows, and the bucket of each such pair."""
         names = [n.encode() for n in self.names.dictionary.to_pylist()]
         spelled = [w.encode() for w in self.spelled.to_pylist()]
-        return np.array([xxhash.xxh3_64_intdigest(spelled[w], len(names[x])) ^ xxhash.xxh3_64_intdigest(names[x]) for w, x in zip(self.place, self.lang)], np.uint64) >> np.uint64(64 - BITS)
-
-    def without(self, rare: np.ndarray) -> None:
-        """Leaves out the occurrences of rare words, where pieces then end."""
-        gone = rare[self.one]
-        self.piece = (self.piece + np.cumsum(gone))[~gone]
+        word = np.array([xxhash.xxh3_64_intdigest(spelled[w], len(names[x])) ^ xxhash.xxh3_64_intdigest(names[x]) for w, x in zip(self.place, self.lang)], np.uint64)
+        near = np.flatnonzero(self.piece[1:] == self.piece[:-1])
+        pair = mix(word * np.uint64(0x9E3779B97F4A7C15))[self.one[near]] + word[self.one[near + 1]]
+        rest = np.uint64(64 - BITS)
+        return (word >> rest).astype(np.int64), near, (mix(pair) >> rest).astype(np.int64)
+
+    def cut(self, common: np.ndarray) -> None:
+        """Leaves out the occurrences of rare words; there, and between the words of rare pairs, pieces then end. ``common``: a bit per bucket."""
+        rare = lambda bucket: (common[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8) & 1) == 0
+        word, near, pair = self.buckets()
+        gone, begins = rare(word)[self.one], np.zeros(len(self.one), bool)
+        begins[near[rare(pair)] + 1] = True
+        self.piece = (self.piece + np.cumsum(gone) + np.cumsum(begins))[~gone]
         self.one = self.one[~gone]
 
     def told(self, count: np.ndarray, *of: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -137,24 +146,37 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[_Portion]:
         yield _Portion(texts, langs)
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, bucket, f): how many words of each bucket a portion has."""
-    for p in _portions(batches):
-        of = p.lang * (1 << BITS) + p.buckets().astype(np.int64)
-        key, at = np.unique(of, return_inverse=True)
-        n = np.bincount(at, np.bincount(p.one, minlength=len(p.word_of)), len(key)).astype(np.int64)
-        for i in range(0, len(key), 50_000):
-            part = key[i:i + 50_000]
-            yield pa.record_batch([p.names.dictionary.take(pa.array(part >> BITS)), pa.array((part & ((1 << BITS) - 1)).astype(np.int32)), pa.array(n[i:i + 50_000])], names=["lang", "bucket", "f"])
+def _buckets(least: int):
+    """(lang, n) of all words of a task; and (chunk, held): its counts of a chunk of buckets, none above ``least``, as compressed numbers."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, total, held = ["lang", "n", "chunk", "held"], Counter(), np.zeros(1 << BITS, np.min_scalar_type(least))
+        for p in _portions(batches):
+            word, _, pair = p.buckets()
+            n = np.bincount(p.one, minlength=len(p.word_of))
+            for lang, of in zip(p.names.dictionary.to_pylist(), np.bincount(p.lang, n, len(p.names.dictionary))):
+                total[lang] += int(of)
+            at, more = _counted(np.concatenate((np.repeat(word, np.minimum(n, least)), pair)))
+            held[at] = np.minimum(held[at] + more, least)
+        yield pa.record_batch([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64()), pa.nulls(len(total), pa.int32()), pa.nulls(len(total), pa.binary())], names=names)
+        for chunk, counts in enumerate(held.reshape(-1, CHUNK)):
+            if counts.any():
+                yield pa.record_batch([pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.array([chunk], pa.int32()), pa.array([zstandard.compress(counts.tobytes())], pa.binary())], names=names)
 
+    return run
 
-def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places of a chunk of buckets as compressed bits."""
-    for batch in batches:
-        for chunk, places in zip(batch.column(0).to_pylist(), batch.column(1)):
-            bits = np.zeros(CHUNK, bool)
-            bits[places.values.to_numpy()] = True
-            yield pa.record_batch([pa.array([chunk], pa.int32()), pa.array([zstandard.compress(np.packbits(bits).tobytes())], pa.binary())], names=["chunk", "bits"])
+
+def _bits(least: int):
+    """Counts of the same chunk added; of each chunk one compressed bit per bucket: whether it has ``least`` occurrences."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts = np.frombuffer(zstandard.decompress(held), np.min_scalar_type(least))
+                total[chunk] = np.minimum(total[chunk] + counts.astype(np.int64), least).astype(counts.dtype) if chunk in total else counts
+        for chunk, counts in total.items():
+            yield pa.record_batch([pa.array([chunk], pa.int32()), pa.array([zstandard.compress(np.packbits(counts >= least).tobytes())], pa.binary())], names=["chunk", "bits"])
+
+    return run
 
 
 def _edges(bits: dict[int, bytes]):
@@ -163,8 +185,7 @@ def _edges(bits: dict[int, bytes]):
         for chunk, held in bits.items():
             common[chunk * CHUNK // 8:(chunk + 1) * CHUNK // 8] = np.frombuffer(zstandard.decompress(held), np.uint8)
         for p in _portions(batches):
-            bucket = p.buckets().astype(np.int64)
-            p.without((common[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8) & 1) == 0)
+            p.cut(common)
             for key, n in edges(p):
                 for i in range(0, len(n), 20_000):
                     yield pa.record_batch([key[i:i + 20_000], pa.array(n[i:i + 20_000])], names=["key", "f"])
@@ -202,20 +223,18 @@ class Graph:
         self.least = least
 
     @cached_property
-    def _words(self) -> DataFrame:
-        """(lang, bucket, f): all words by the bucket of their hash."""
-        found = in_batches(self.docs.where("text IS NOT NULL"), _buckets, "lang string, bucket int, f bigint")
-        return written(found.groupBy("lang", "bucket").agg(F.sum("f").alias("f")), "word_buckets")
+    def _counts(self) -> DataFrame:
+        """(lang, n) and (chunk, held) of every task."""
+        return written(in_batches(self.docs.where("text IS NOT NULL"), _buckets(self.least), "lang string, n bigint, chunk int, held binary"), "word_buckets")
 
     def totals(self) -> DataFrame:
         """(lang, n): all word occurrences."""
-        return self._words.groupBy("lang").agg(F.sum("f").alias("n"))
+        return self._counts.where("chunk IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
 
     def _common(self) -> dict[int, bytes]:
-        """Bits of the buckets that may hold frequent words; 2^BITS bits at most, on the driver too."""
-        some = self._words.where(F.col("f") >= self.least).select((F.col("bucket") / CHUNK).cast("int").alias("chunk"), (F.col("bucket") % CHUNK).alias("place"))
-        chunks = in_batches(some.distinct().groupBy("chunk").agg(F.collect_list("place").alias("places")), _bits, "chunk int, bits binary")
-        return {r["chunk"]: r["bits"] for r in chunks.collect()}
+        """Bits of the buckets that may hold frequent words or pairs; 2^BITS bits at most, on the driver too."""
+        chunks = self._counts.where("chunk IS NOT NULL").select("chunk", "held").repartition("chunk")
+        return {r["chunk"]: r["bits"] for r in in_batches(chunks, _bits(self.least), "chunk int, bits binary").collect()}
 
     @cached_property
     def phrases(self) -> DataFrame:
