@@ -2,7 +2,8 @@
 
 1. Texts are cut into pieces and words. Words, and pairs of neighbours, are counted by hash into 2^``BITS`` buckets. One in a bucket of fewer than ``LEAST``
    occurrences is in no candidate, nor in part of one: pieces end at such a word, and between the words of such a pair. What this leaves out changes no count that
-   matters: all occurrences of a frequent phrase stay whole. A task's counts stop at ``LEAST``, which decides the sum of all tasks as well, so buckets have the same
+   matters: all occurrences of a frequent phrase stay whole. Three words that are left are counted the same way, and where they are rare, the piece is cut in two that
+   share the middle word, which is then taken off its count once. A task's counts stop at ``LEAST``, which decides the sum of all tasks as well, so buckets have the same
    size however large the corpus.
 2. A four-gram is an edge from the node of its first three words to the next word; its weight is how often it stands in the corpus. Tasks
    sum up the edges of some megabytes of text, Spark adds these sums: only the longest grams are counted, and per piece its end, the last three words
@@ -79,26 +80,47 @@ class _Portion:
         kinds = max(1, len(self.spelled))
         self.one, self.word_of = _numbered(self.names.indices.to_numpy().astype(np.int64)[doc] * kinds + words.indices.to_numpy())
         self.place, self.lang = self.word_of % kinds, self.word_of // kinds
+        self.again = self.one[:0]
 
-    def buckets(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bucket of each word in ``word_of``; places of words that another one of their piece follows, and the bucket of each such pair."""
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        """Hash of each word in ``word_of``."""
         names = [n.encode() for n in self.names.dictionary.to_pylist()]
         spelled = [w.encode() for w in self.spelled.to_pylist()]
-        word = np.array([xxhash.xxh3_64_intdigest(spelled[w], len(names[x])) ^ xxhash.xxh3_64_intdigest(names[x]) for w, x in zip(self.place, self.lang)], np.uint64)
-        near = np.flatnonzero(self.piece[1:] == self.piece[:-1])
-        pair = mix(word * np.uint64(0x9E3779B97F4A7C15))[self.one[near]] + word[self.one[near + 1]]
-        rest = np.uint64(64 - BITS)
-        return (word >> rest).astype(np.int64), near, (mix(pair) >> rest).astype(np.int64)
+        return np.array([xxhash.xxh3_64_intdigest(spelled[w], len(names[x])) ^ xxhash.xxh3_64_intdigest(names[x]) for w, x in zip(self.place, self.lang)], np.uint64)
+
+    def grams(self, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places where so many words of one piece begin, and their buckets."""
+        at = np.flatnonzero(self.piece[words - 1:] == self.piece[:len(self.piece) - words + 1])
+        made = self.hashes[self.one[at]]
+        for k in range(1, words):
+            made = mix(made * np.uint64(0x9E3779B97F4A7C15)) + self.hashes[self.one[at + k]]
+        return at, (mix(made) >> np.uint64(64 - BITS)).astype(np.int64)
+
+    def rare(self, words: int, common: np.ndarray) -> np.ndarray:
+        """Places where so many words begin whose bucket is rare; ``common`` has a bit per bucket."""
+        at, bucket = self.grams(words)
+        return at[(common[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8) & 1) == 0]
 
     def cut(self, common: np.ndarray) -> None:
-        """Leaves out the occurrences of rare words; there, and between the words of rare pairs, pieces then end. ``common``: a bit per bucket."""
-        rare = lambda bucket: (common[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8) & 1) == 0
-        word, near, pair = self.buckets()
-        gone, begins = rare(word)[self.one], np.zeros(len(self.one), bool)
-        begins[near[rare(pair)] + 1] = True
+        """Leaves out the occurrences of rare words; there, and between the words of rare pairs, pieces then end."""
+        gone, begins = np.zeros(len(self.one), bool), np.zeros(len(self.one), bool)
+        gone[self.rare(1, common)] = True
+        begins[self.rare(2, common) + 1] = True
         self.piece = (self.piece + np.cumsum(gone) + np.cumsum(begins))[~gone]
         self.one = self.one[~gone]
 
+    def part(self, common: np.ndarray) -> None:
+        """Cuts pieces at rare groups of three words: the middle one, listed in ``again``, ends one piece and begins the next."""
+        middle = self.rare(3, common) + 1
+        self.again = self.one[middle]
+        times = np.ones(len(self.one), np.int64)
+        times[middle] = 2
+        copy = np.zeros(times.sum(), bool)
+        copy[middle + np.arange(1, len(middle) + 1)] = True
+        self.piece = np.repeat(self.piece, times) + np.cumsum(copy)
+        self.one = np.repeat(self.one, times)
+
     def told(self, count: np.ndarray, *of: np.ndarray) -> tuple[pa.Array, np.ndarray]:
         """(key, count): the words, one array of numbers for each place, and after a tab, which no word has, the language. Rows are in order of
         the first words, so that neighbours compress well."""
@@ -110,7 +132,8 @@ class _Portion:
 
 
 def edges(p: _Portion) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """(key, count) of edges, four words; and of ends of pieces, up to three words, whose counts are negative."""
+    """(key, count) of edges, four words; and of ends of pieces, up to three words, whose counts are negative; words in two pieces are taken off
+    the ends of one word."""
     if not len(p.one):
         return
     near = np.flatnonzero(p.piece[1:] == p.piece[:-1])
@@ -127,8 +150,9 @@ def edges(p: _Portion) -> Iterator[tuple[pa.Array, np.ndarray]]:
     yield p.told(-n, *halves(gram // len(p.word_of)), gram % len(p.word_of))
     gram, n = _counted(two[last[length == 2] - 1])
     yield p.told(-n, *halves(gram))
-    gram, n = _counted(p.one[last[length == 1]])
-    yield p.told(-n, gram)
+    off = np.bincount(p.again, minlength=len(p.word_of)) - np.bincount(p.one[last[length == 1]], minlength=len(p.word_of))
+    gram = np.flatnonzero(off)
+    yield p.told(off[gram], gram)
 
 
 def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[_Portion]:
@@ -146,16 +170,28 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[_Portion]:
         yield _Portion(texts, langs)
 
 
-def _buckets(least: int):
-    """(lang, n) of all words of a task; and (chunk, held): its counts of a chunk of buckets, none above ``least``, as compressed numbers."""
+def _common(bits: dict[int, bytes]) -> np.ndarray:
+    common = np.zeros((1 << BITS) // 8, np.uint8)
+    for chunk, held in bits.items():
+        common[chunk * CHUNK // 8:(chunk + 1) * CHUNK // 8] = np.frombuffer(zstandard.decompress(held), np.uint8)
+    return common
+
+
+def _buckets(least: int, bits: dict[int, bytes] | None = None):
+    """(lang, n) of all words of a task; and (chunk, held): its counts of a chunk of buckets, none above ``least``, as compressed numbers. Counted are
+    words and pairs, or with their ``bits`` groups of three words without rare ones among them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, total, held = ["lang", "n", "chunk", "held"], Counter(), np.zeros(1 << BITS, np.min_scalar_type(least))
+        common = None if bits is None else _common(bits)
         for p in _portions(batches):
-            word, _, pair = p.buckets()
-            n = np.bincount(p.one, minlength=len(p.word_of))
-            for lang, of in zip(p.names.dictionary.to_pylist(), np.bincount(p.lang, n, len(p.names.dictionary))):
-                total[lang] += int(of)
-            at, more = _counted(np.concatenate((np.repeat(word, np.minimum(n, least)), pair)))
+            for lang, n in zip(p.names.dictionary.to_pylist(), np.bincount(p.lang[p.one], minlength=len(p.names.dictionary))):
+                total[lang] += int(n)
+            if common is None:
+                found = np.concatenate((p.grams(1)[1], p.grams(2)[1]))
+            else:
+                p.cut(common)
+                found = p.grams(3)[1]
+            at, more = _counted(found)
             held[at] = np.minimum(held[at] + more, least)
         yield pa.record_batch([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64()), pa.nulls(len(total), pa.int32()), pa.nulls(len(total), pa.binary())], names=names)
         for chunk, counts in enumerate(held.reshape(-1, CHUNK)):
@@ -179,13 +215,12 @@ def _bits(least: int):
     return run
 
 
-def _edges(bits: dict[int, bytes]):
+def _edges(pairs: dict[int, bytes], threes: dict[int, bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = np.zeros((1 << BITS) // 8, np.uint8)
-        for chunk, held in bits.items():
-            common[chunk * CHUNK // 8:(chunk + 1) * CHUNK // 8] = np.frombuffer(zstandard.decompress(held), np.uint8)
+        two, three = _common(pairs), _common(threes)
         for p in _portions(batches):
-            p.cut(common)
+            p.cut(two)
+            p.part(three)
             for key, n in edges(p):
                 for i in range(0, len(n), 20_000):
                     yield pa.record_batch([key[i:i + 20_000], pa.array(n[i:i + 20_000])], names=["key", "f"])
@@ -222,31 +257,35 @@ class Graph:
         self.docs = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
         self.least = least
 
-    @cached_property
-    def _counts(self) -> DataFrame:
+    def _counted(self, purpose: str, bits: dict[int, bytes] | None = None) -> DataFrame:
         """(lang, n) and (chunk, held) of every task."""
-        return written(in_batches(self.docs.where("text IS NOT NULL"), _buckets(self.least), "lang string, n bigint, chunk int, held binary"), "word_buckets")
+        return written(in_batches(self.docs.where("text IS NOT NULL"), _buckets(self.least, bits), "lang string, n bigint, chunk int, held binary"), purpose)
+
+    @cached_property
+    def _pairs(self) -> DataFrame:
+        return self._counted("pair_buckets")
 
     def totals(self) -> DataFrame:
         """(lang, n): all word occurrences."""
-        return self._counts.where("chunk IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+        return self._pairs.where("chunk IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
 
-    def _common(self) -> dict[int, bytes]:
-        """Bits of the buckets that may hold frequent words or pairs; 2^BITS bits at most, on the driver too."""
-        chunks = self._counts.where("chunk IS NOT NULL").select("chunk", "held").repartition("chunk")
+    def _common(self, counts: DataFrame) -> dict[int, bytes]:
+        """Bits of the buckets that may hold frequent words or phrases; 2^BITS bits at most, on the driver too."""
+        chunks = counts.where("chunk IS NOT NULL").select("chunk", "held").repartition("chunk")
         return {r["chunk"]: r["bits"] for r in in_batches(chunks, _bits(self.least), "chunk int, bits binary").collect()}
 
     @cached_property
     def phrases(self) -> DataFrame:
         """(lang, gram, kind, f): frequent words and phrases of up to four words (kind: their number)."""
-        made = in_batches(self.docs.where("text IS NOT NULL"), _edges(self._common()), "key string, f bigint")
+        pairs = self._common(self._pairs)
+        made = in_batches(self.docs.where("text IS NOT NULL"), _edges(pairs, self._common(self._counted("three_buckets", pairs))), "key string, f bigint")
         # Already summed up in portions, so shuffled as it is, once, by the first three words: both aggregates read the same exchange.
         made = made.repartition(F.expr(_key("3")))
         row = "named_struct('key', {}, 'f', {}, 'ended', {})".format
         none = "cast(array() as array<struct<key:string,f:bigint,ended:bigint>>)"
-        nodes = made.groupBy(F.expr(_key("3")).alias("key")).agg(F.sum(F.abs("f")).alias("f"), F.sum(F.when(F.col("f") < 0, -F.col("f")).otherwise(0)).alias("ended")).withColumn("words", F.expr(_WORDS))
+        nodes = made.groupBy(F.expr(_key("3")).alias("key")).agg(F.sum(F.abs("f")).alias("f"), F.sum(F.when(F.col("f") < 0, -F.col("f")).otherwise(0)).alias("ended"), F.sum(-F.col("f")).alias("alone")).withColumn("words", F.expr(_WORDS))
         # What leaves a node begins with its first two words, and a piece that ends with it ends with its last two.
-        told = f"""CASE WHEN words < 3 THEN array({row("key", "0L", "f")}) ELSE concat(array({row(_key("2"), "f", "0L")}),
+        told = f"""CASE WHEN words < 3 THEN array({row("key", "0L", "alone")}) ELSE concat(array({row(_key("2"), "f", "0L")}),
             CASE WHEN ended > 0 THEN array({row(_key("-2"), "0L", "ended")}) ELSE {none} END, CASE WHEN f >= {self.least} THEN array({row("key", "f", "0L")}) ELSE {none} END) END"""
         pairs = nodes.select(F.expr(f"inline({told})")).groupBy("key").agg(F.sum("f").alias("f"), F.sum("ended").alias("ended")).withColumn("words", F.expr(_WORDS))
         # The same for pairs, which occur as often as nodes and ends tell together.
@@ -254,7 +293,7 @@ class Graph:
             CASE WHEN f + ended >= {self.least} THEN array({row("key", "f + ended", "0L")}) ELSE {none} END) ELSE array({row("key", "f + ended", "0L")}) END"""
         shorter = pairs.select(F.expr(f"inline({told})")).groupBy("key").agg(F.sum("f").alias("f"))
         edge = made.groupBy(F.expr(_key("3")).alias("node"), "key").agg(F.sum("f").alias("f")).select("key", "f")  # grouped by the node too: no further shuffle
-        found = shorter.union(edge).where(F.col("f") >= self.least)  # ends of pieces are below 0 here
+        found = shorter.union(edge.where(f"f > 0 AND {_WORDS} = {WORDS}")).where(F.col("f") >= self.least)  # not the ends of pieces
         return written(found.select(F.expr("substr(key, instr(key, '\t') + 1)").alias("lang"), F.expr("substring_index(key, '\t', 1)").alias("gram"), F.expr(_WORDS).alias("kind"), "f"), "phrases")
 
     def frequent(self, words: int) -> DataFrame:
