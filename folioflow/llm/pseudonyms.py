@@ -20,12 +20,14 @@ ROUNDS = 8
 WALK = 24
 
 # The written forms that are looked for. Possessive or bounded repeats keep the search linear.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}+"
+EMAIL = r"(?<![\p{IsLatin}0-9._%+-])[\p{IsLatin}0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}+"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 PHONE = (r"(?<![A-Za-z0-9])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![A-Za-z0-9])"
          r"|(?<![A-Za-z0-9])\+[0-9]{1,3}+[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![A-Za-z0-9])"
          r"|(?<![A-Za-z0-9])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![A-Za-z0-9])"
          r"|(?<![A-Za-z0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![A-Za-z0-9]|[.-][0-9])")
+#: Country codes of international numbers: those of one and two digits, else three; and a trunk 0 in parentheses, which is not dialled.
+CALLING_CODE = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}|[0-9]{1,2})(?:[ .-]?\(0\))?"
 #: National numbers with their trunk 0 (French in pairs; area and number as in Germany and Britain; unspaced), Spanish ones in groups that are not thousands,
 #: and American ones with spaces.
 NATIONAL = (r"(?<![A-Za-z0-9+]|[0-9][ ./-])(?:0[1-9](?:(?: [0-9]{2}){4}|(?:\.[0-9]{2}){4}|(?:-[0-9]{2}){4}|[0-9]{8,9})"
@@ -151,8 +153,9 @@ def _card(m: Column, key: str) -> Column:
     return let(_digits(m), go)
 
 
-def _phone(m: Column, key: str, code: str = r"^\+[0-9]{1,3}") -> Column:
-    """The country code, or the trunk 0 of a national number, stays: it is part of the format."""
+def _phone(m: Column, key: str, code: str = CALLING_CODE) -> Column:
+    """The country code, or the trunk 0 of a national number, stays: it is part of the format. All other digits are permuted as one number, so
+    spaced, unspaced, national and international spellings of a number stay linked."""
     code = F.regexp_extract(m, code, 0)
     rest = F.substring(m, F.length(code) + 1, F.length(m))
     def go(d: Column) -> Column:

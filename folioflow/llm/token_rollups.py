@@ -9,6 +9,7 @@ adds nothing. Totals are sums over committed partitions; a batch that was not co
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,9 +53,14 @@ class Rollup:
                                           F.sum(F.coalesce("after", F.lit(0)) - F.coalesce("before", F.lit(0))).alias("tokens"))
         mark = self.spark.range(1).select(*[F.lit(None).cast("string").alias(k) for k in KEYS], F.lit(0).cast("long").alias("docs"), F.lit(0).cast("long").alias("tokens"))
         sums = sums.union(mark).withColumn("batch", F.lit(batch))
-        sums.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self.folder)
+        sums.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self.folder)
 
     def totals(self) -> DataFrame:
-        """(source, lang, version, docs, tokens) of groups that hold documents."""
-        deltas = self.spark.read.schema(DELTAS).parquet(self.folder)
+        """(source, lang, version, docs, tokens) of groups that hold documents; none before the first commit."""
+        try:
+            deltas = self.spark.read.schema(DELTAS).parquet(self.folder)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            deltas = self.spark.createDataFrame([], DELTAS)
         return deltas.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 OR tokens <> 0")

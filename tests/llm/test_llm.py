@@ -266,6 +266,27 @@ def test_pseudonyms_at_sentence_ends_and_in_national_forms(spark):
     assert new[len(rows):] == left
 
 
+def test_spellings_of_a_phone_number_stay_linked(spark):
+    groups = [["+1 743 555 3824", "+17435553824", "+1 (743) 555-3824", "(743) 555-3824", "743-555-3824"], ["+49 30 1234567", "+49301234567", "+49 (0)30 1234567", "030 1234567"],
+              ["+33 1 23 45 67 89", "+33123456789", "01 23 45 67 89"], ["+351 21 234 5678", "+351212345678"], ["+7 495 123 45 67", "+74951234567"]]
+    written = [s for g in groups for s in g]
+    made = iter(x.text for x in pseudonyms.pseudonymise_column(documents(spark, [(i, f"Call {s} now") for i, s in enumerate(written)]), "k").orderBy("doc_id").collect())
+    for code, group in zip(["1", "49", "33", "351", "7"], groups):
+        found = []
+        for spelled, t in zip(group, made):
+            assert len(t) == len(f"Call {spelled} now") and spelled not in t, (spelled, t)
+            digits = re.sub("[^0-9]", "", t)
+            if "+" in spelled:
+                assert digits.startswith(code)
+                digits = digits[len(code):]
+            found.append(digits[1:] if re.match(r"0|.*\(0\)", spelled) else digits)
+        national = re.sub("[^0-9]", "", group[0])[len(code):]
+        assert set(found) == {feistel(national, "k", "phone")}, found
+    mails = pseudonyms.pseudonymise_column(documents(spark, [(1, "jürgen@b.com"), (2, "an jürgen@b.com."), (3, "联系me@b.com")]), "k").orderBy("doc_id").collect()
+    assert re.fullmatch("[a-z]ü[a-z]{4}@b.com", mails[0].text) and mails[0].text[:1] + mails[0].text[2:6] != "jrgen" and mails[1].text == f"an {mails[0].text}."
+    assert re.fullmatch("联系[a-z]{2}@b.com", mails[2].text)
+
+
 # ---- 3
 
 def test_main_text(spark):
@@ -369,6 +390,7 @@ def test_exchange_never_lowers_the_likelihood():
 def test_rollups(spark, tmp_path):
     docs = documents(spark, [(1, "a b c", "en", "s"), (2, None, "en", "s"), (3, "x-y z", None, None), (3, "x-y z", None, None)])
     sums = token_rollups.Rollup(spark, str(tmp_path / "r"))
+    assert sums.totals().count() == 0
     sums.commit("0", token_rollups.inserted(docs.limit(0), "spaced-1"))
     assert sums.totals().count() == 0
     for _ in range(2):
