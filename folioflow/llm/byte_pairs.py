@@ -33,6 +33,8 @@ from folioflow.llm.arrays import _BYTE, _powers, mix, portions
 from folioflow.llm.common import in_batches, small, written
 
 VOCABULARY = "byte_bpe_50k"
+#: The most shared chunks, counted once per document that has them, that are sent to every executor: 32 bytes each, 64 MB.
+BROADCAST_CHUNKS = 2_000_000
 #: Bytes the rolling hash sees; one safe place in ``SAFE_CUT`` and one character in ``ANY_CUT`` is a cut.
 WINDOW, SAFE_CUT, ANY_CUT = 24, 128, 1 << 16
 _SAFE = re.compile(rb"(?<=[!-~]) ")
@@ -228,7 +230,7 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabula
     shared = met.groupBy("chunk").agg(F.count("*").alias("n"), F.min("key").alias("owner")).where("n > 1").select("chunk", "owner")
     needs = met.distinct().join(shared, "chunk").groupBy("key").agg(
         F.collect_list(F.struct("chunk", (F.col("owner") == F.col("key")).alias("own"))).alias("needs"))
-    needs = small(written(needs, "needs"))
+    needs = small(written(needs, "needs"), BROADCAST_CHUNKS, "needs")
     first = written(in_batches(rows.join(needs, "key", "left").select("doc_id", "key", "text", "needs"),
                                _encode(vocabulary, with_ids), _ddl(_FIRST)), "encoded")
     waiting = first.where("text IS NOT NULL")

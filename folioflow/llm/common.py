@@ -33,9 +33,12 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def small(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``rows``, a written table, marked for broadcast if it is counted and found small."""
-    return F.broadcast(rows) if rows.count() <= limit else rows
+def small(rows: DataFrame, limit: int = BROADCAST_ROWS, arrays: str | None = None) -> DataFrame:
+    """``rows``, a written table, marked for broadcast if it is counted and found small: entries of the column ``arrays`` count as a row each."""
+    if arrays is None:
+        return F.broadcast(rows) if rows.count() <= limit else rows
+    entries = rows.agg(F.coalesce(F.sum(F.size(arrays) + 1), F.lit(0)).alias("n")).first()["n"]
+    return F.broadcast(rows) if entries <= limit else rows
 
 
 def ascii_lower(text: Column) -> Column:
