@@ -292,8 +292,9 @@ class Graph:
         told = f"""CASE WHEN words = 2 THEN concat(array({row(_key("1"), "f + ended", "0L")}), CASE WHEN ended > 0 THEN array({row(_key("-1"), "ended", "0L")}) ELSE {none} END,
             CASE WHEN f + ended >= {self.least} THEN array({row("key", "f + ended", "0L")}) ELSE {none} END) ELSE array({row("key", "f + ended", "0L")}) END"""
         shorter = pairs.select(F.expr(f"inline({told})")).groupBy("key").agg(F.sum("f").alias("f"))
-        edge = made.groupBy(F.expr(_key("3")).alias("node"), "key").agg(F.sum("f").alias("f")).select("key", "f")  # grouped by the node too: no further shuffle
-        found = shorter.union(edge.where(f"f > 0 AND {_WORDS} = {WORDS}")).where(F.col("f") >= self.least)  # not the ends of pieces
+        # Grouped by the node too: no further shuffle. The words are an aggregate, as a filter of the key would go below the exchange and part it from the one above.
+        edge = made.groupBy(F.expr(_key("3")).alias("node"), "key").agg(F.sum("f").alias("f"), F.max(F.expr(_WORDS)).alias("words"))
+        found = shorter.union(edge.where(F.col("words") == WORDS).select("key", "f")).where(F.col("f") >= self.least)
         return written(found.select(F.expr("substr(key, instr(key, '\t') + 1)").alias("lang"), F.expr("substring_index(key, '\t', 1)").alias("gram"), F.expr(_WORDS).alias("kind"), "f"), "phrases")
 
     def frequent(self, words: int) -> DataFrame:
