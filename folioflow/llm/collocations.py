@@ -44,6 +44,8 @@ LEAST, SHARE, TOP = 30, 80, 2000
 PORTION = 8 << 20
 #: Buckets of hashes of words and pairs, of which tasks are sent one bit each: 4 MB; they are summed up in chunks.
 BITS, CHUNK = 25, 1 << 13
+#: Words whose buckets are counted at once.
+SLICE = 1 << 18
 UNKNOWN = "und"
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -187,12 +189,14 @@ def _buckets(least: int, bits: dict[int, bytes] | None = None):
             for lang, n in zip(p.names.dictionary.to_pylist(), np.bincount(p.lang[p.one], minlength=len(p.names.dictionary))):
                 total[lang] += int(n)
             if common is None:
-                found = np.concatenate((p.grams(1)[1], p.grams(2)[1]))
+                found = [p.grams(1)[1], p.grams(2)[1]]
             else:
                 p.cut(common)
-                found = p.grams(3)[1]
-            at, more = _counted(found)
-            held[at] = np.minimum(held[at] + more, least)
+                found = [p.grams(3)[1]]
+            for some in found:
+                for i in range(0, len(some), SLICE):
+                    at, more = _counted(some[i:i + SLICE])
+                    held[at] = np.minimum(held[at] + more, least)
         yield pa.record_batch([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64()), pa.nulls(len(total), pa.int32()), pa.nulls(len(total), pa.binary())], names=names)
         for chunk, counts in enumerate(held.reshape(-1, CHUNK)):
             if counts.any():
