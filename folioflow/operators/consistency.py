@@ -63,8 +63,11 @@ def _as_rows(wide: DataFrame) -> DataFrame:
 
 
 def unparsed_files(files: DataFrame, headers: DataFrame) -> DataFrame:
-    """Registered files no document came from."""
-    return files.join(headers.select("file_id").distinct(), "file_id", "left_anti")
+    """Registered files no document came from.
+
+    The join asks only whether there is a document, so their ids are not made distinct before: that would hold all ids of a task in memory.
+    """
+    return files.join(headers.select("file_id"), "file_id", "left_anti")
 
 
 def backlog(files: DataFrame, headers: DataFrame) -> DataFrame:

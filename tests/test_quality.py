@@ -163,3 +163,12 @@ def test_file_scope_rejects_every_document_of_the_file(spark):
 def test_repeated_lines(spark):
     lines = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", None), ("b", None)], "header_id string, nro_linea int")
     assert [tuple(r) for r in dedupe.repeated_lines(lines).collect()] == [("a", 1, 2)]
+
+
+def test_unparsed_files_holds_no_set_of_ids(spark):
+    """A task that reads many documents keeps no table of their files; files with many documents and repeated or null ids count as before."""
+    files = spark.createDataFrame([("f1", "a"), ("f2", "b"), ("f2", "b"), ("f3", "c"), (None, "d")], "file_id string, filename string")
+    headers = spark.createDataFrame([("f1",)] * 50 + [(None,), ("f9",)], "file_id string")
+    got = consistency.unparsed_files(files, headers)
+    assert sorted((r.file_id or "-", r.filename) for r in got.collect()) == [("-", "d"), ("f2", "b"), ("f2", "b"), ("f3", "c")]
+    assert "Aggregate" not in got._jdf.queryExecution().executedPlan().toString()
