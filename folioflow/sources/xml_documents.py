@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.scalars import fill_price, fill_quantity, iso_day, number, present, whole
-from folioflow.sources import xml_text
+from folioflow.sources import xml_text, xml_usual
 from folioflow.sources.xml_text import decoded
 
 XML_NAMES = "*.[xX][mM][lL]"
@@ -96,12 +96,16 @@ _CUT_TAG = r"</?(?:[\w.-]+:)?$"
 
 
 def _documents(texts: DataFrame) -> DataFrame:
-    """(file, block, row, texts, malformed, shape) -> (file, position, malformed, shape, doc): one row per document, one where there is none.
+    """(file, block, row, texts, malformed, shape, values told) -> (file, position, malformed, shape, doc): one row per document, one where there is none.
 
-    ``malformed`` is true for what cannot be read at all. The shape stands on the first of a piece's rows. The parse result leaves a
-    generator, so later filters cannot make the parser run twice.
+    ``malformed`` is true for what cannot be read at all. The shape stands on the first of a piece's rows. Where the values of a piece have been
+    told, it is one usual document and ``texts`` is NULL. Other texts are held against the usual document by themselves, then parsed. The
+    result leaves a generator, so later filters cannot make the parser run twice.
     """
-    each = texts.select("file", "block", "row", "malformed", "shape", F.posexplode_outer("texts").alias("at", "text"))
+    each = texts.select("file", "block", "row", "malformed", "shape", *[F.col(c).alias(f"{c}_before") for c in xml_usual.TOLD], F.posexplode_outer("texts").alias("at", "text"))
+    each = xml_usual.told(each, xml_usual.DOCUMENT).withColumns({c: F.coalesce(f"{c}_before", c) for c in xml_usual.TOLD})
+    # The header is built by itself, under code generation; lines and the parser's results are not.
+    each, usual = xml_usual.once(each, "_header", xml_usual.header()), F.col("_head").isNotNull()
     parsed = F.from_xml("text", FRAGMENT_XML, PARSER)
 
     def outcome(xml: Column) -> Column:
@@ -110,9 +114,10 @@ def _documents(texts: DataFrame) -> DataFrame:
         doc = F.struct(xml.getField("Encabezado").alias("Encabezado"), xml.getField("Detalle").alias("Detalle"))
         return F.struct((F.col("malformed") | bad).alias("malformed"), F.when(there & ~bad, doc).alias("doc"))
 
+    read = F.struct(F.col("malformed"), F.struct(F.col("_header").alias("Encabezado"), xml_usual.lines().alias("Detalle")).alias("doc"))
     first = F.coalesce(F.col("at"), F.lit(0)) == 0
     rows = each.select("file", F.struct("block", "row", F.coalesce("at", F.lit(0)).cast("bigint").alias("at")).alias("position"), F.when(first, F.col("shape")).alias("shape"),
-                       F.explode(F.transform(F.array(parsed), outcome)).alias("r"))
+                       F.explode(F.array(F.when(usual, read).otherwise(F.get(F.transform(F.array(parsed), outcome), F.lit(0))))).alias("r"))
     return rows.select("file", "position", F.col("r.malformed").alias("malformed"), "shape", F.col("r.doc").alias("doc"))
 
 
@@ -121,10 +126,13 @@ def whole_file_documents(files: DataFrame) -> DataFrame:
 
     ``shape`` is NULL, as are a position's block and row: the file has been judged.
     """
-    each = files.select("file", F.explode(F.transform(F.array(xml_text.plain(F.col("text"))), xml_text.parted)).alias("p"))
-    each = each.select("file", F.struct(F.col("p.texts").alias("texts"), xml_text.whole_is_sound(F.col("p.rest")).alias("sound")).alias("r"))
+    each, usual = xml_usual.told(files.select("file", "text"), xml_usual.FILE), F.col("_head").isNotNull()
+    parts = F.get(F.transform(F.array(xml_text.plain(F.col("text"))), xml_text.parted), F.lit(0))
+    each = each.select("file", *xml_usual.TOLD, F.explode(F.array(F.when(~usual, parts))).alias("p"))
+    sound = F.when(usual, True).otherwise(xml_text.whole_is_sound(F.col("p.rest")))
+    each = each.select("file", *xml_usual.TOLD, F.explode(F.array(F.struct(F.col("p.texts").alias("texts"), sound.alias("sound")))).alias("r"))
     return _documents(each.select("file", *(F.lit(None).cast("bigint").alias(c) for c in ("block", "row")), F.col("r.texts").alias("texts"),
-                                  (~F.coalesce("r.sound", F.lit(False))).alias("malformed"), F.lit(None).cast(xml_text.SHAPE).alias("shape")))
+                                  (~F.coalesce("r.sound", F.lit(False))).alias("malformed"), F.lit(None).cast(xml_text.SHAPE).alias("shape"), *xml_usual.TOLD))
 
 
 def _pieces(spark: SparkSession, path: Paths, min_bytes: int, modified_after: str | None, names: str) -> DataFrame:
@@ -143,14 +151,14 @@ def large_files(spark: SparkSession, path: Paths, *, min_bytes: int = WHOLE_FILE
     place, text = F.struct("block", "row"), F.col("octets").cast("string")
     prolog = text.rlike(r"^(?:\x{FEFF})?<\?xml\s")
     told = piece.select("file", "size", place.alias("place"), "cut", (F.length("octets") + F.when(F.col("cut"), len(CUT)).otherwise(0)).alias("n"),
-                        F.substring("octets", 1, xml_text.HEAD_BYTES).alias("head"), prolog.alias("prolog"), xml_text.stands_alone(text).alias("alone"))
+                        F.when(xml_text.may_name_charset(F.col("octets")), F.substring("octets", 1, xml_text.HEAD_BYTES)).alias("head"), prolog.alias("prolog"), xml_text.stands_alone(text).alias("alone"))
     each = told.groupBy("file").agg(
         F.min_by("head", "place").alias("head"), F.max_by("cut", "place").alias("last_cut"), F.count_if(~F.col("cut")).alias("loose"), F.bool_and("alone").alias("alone"),
         # The reader leaves out a byte order mark; more bytes than the file has mean that it ends within a tag that looks like a cut.
         F.sum("n").alias("n"), F.max("size").alias("size"), F.count_if("prolog").alias("prologs"), F.min_by("prolog", "place").alias("starts"))
     # All pieces but the last end at a document's tag, else the cut is inside something else.
     loose = F.col("loose") > F.when(F.col("last_cut"), 0).otherwise(1)
-    return each.select("file", xml_text.charset(F.col("head")).alias("charset"), (loose | ~F.col("alone")).alias("whole"),
+    return each.select("file", xml_text.charset(F.coalesce("head", F.lit(b""))).alias("charset"), (loose | ~F.col("alone")).alias("whole"),
                        ((F.col("n") > F.col("size")) | (F.col("prologs") > F.col("starts").cast("int"))).alias("broken"))
 
 
@@ -168,10 +176,14 @@ def split_file_documents(spark: SparkSession, path: Paths, large: DataFrame, *,
 
         return F.get(F.transform(F.array(xml_text.parted(text)), told), F.lit(0))
 
-    each = piece.select("file", "block", "row", "broken", F.explode(F.transform(F.array(xml_text.plain(xml_text.decoded_as(octets, F.col("charset")))), read)).alias("r"))
+    each = piece.select("file", "block", "row", "broken", F.explode(F.array(xml_text.decoded_as(octets, F.col("charset")))).alias("text"))
+    each, usual = xml_usual.told(each, xml_usual.PIECE), F.col("_head").isNotNull()
+    parts = F.get(F.transform(F.array(xml_text.plain(F.col("text"))), read), F.lit(0))
+    each = each.select("file", "block", "row", "broken", *xml_usual.TOLD, F.explode(F.array(F.when(~usual, parts))).alias("r"))
+    shape = F.when(usual, xml_text.shape_of(xml_usual.around("c"), xml_usual.around("o"))).otherwise(F.coalesce("r.shape", xml_text.empty_shape()))
     # A piece that cannot be decoded has no shape.
-    return _documents(each.select("file", "block", "row", F.col("r.texts").alias("texts"), (F.col("broken") | F.col("r.texts").isNull()).alias("malformed"),
-                                  F.coalesce("r.shape", xml_text.empty_shape()).alias("shape")))
+    return _documents(each.select("file", "block", "row", F.col("r.texts").alias("texts"), (F.col("broken") | (~usual & F.col("r.texts").isNull())).alias("malformed"),
+                                  shape.alias("shape"), *xml_usual.TOLD))
 
 
 def scan_documents(spark: SparkSession, path: Paths, *, whole_file_bytes: int = WHOLE_FILE_BYTES, modified_after: str | None = None,

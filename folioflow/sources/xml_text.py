@@ -83,6 +83,11 @@ def charset(head: Column) -> Column:
     return _let(F.regexp_replace(F.upper(said), "[^A-Z0-9]", ""), named)
 
 
+def may_name_charset(octets: Column) -> Column:
+    """False where ``charset`` finds neither a mark nor a name, so that a file's first bytes need not be kept."""
+    return F.contains(octets, F.lit(b"<?xml")) | F.hex(F.substring(octets, 1, 2)).isin("FFFE", "3C00", "FEFF", "003C") | F.contains(octets, F.lit(b"\x00"))
+
+
 def decoded_as(content: Column, name: Column) -> Column:
     """Bytes as text by the charset named; NULL where the bytes do not fit it. A byte order mark is left out."""
     latin = F.decode(content, "ISO-8859-1")
@@ -243,6 +248,11 @@ def empty_shape() -> Column:
     return F.struct(_names_of(), _names_of(), F.lit(0), F.lit(False), F.lit(False), F.lit(False), F.lit(True)).cast(SHAPE)
 
 
+def shape_of(close: Column, open: Column) -> Column:
+    """Shape of elements closed, then at least one left open, a document last."""
+    return F.struct(close, open, F.lit(0), F.lit(True), F.lit(False), F.lit(False), F.lit(True)).cast(SHAPE)
+
+
 def joined(a: Column, b: Column) -> Column:
     """Shape of two neighbours together; associative."""
     n, m = F.size(a["open"]), F.size(b["close"])
