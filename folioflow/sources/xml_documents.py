@@ -92,7 +92,7 @@ def unseen(files: DataFrame, registry: DataFrame, *, retry_failed: bool = False)
 
 #: Where large files are cut. The text before tells whether the tag is a document's.
 CUT = "Documento>"
-_CUT_TAG = r"</?(?:[\w.-]+:)?$"
+_CUT_TAG = r"^/?(?:[\w.-]+:)?$"
 
 
 def _documents(texts: DataFrame) -> DataFrame:
@@ -139,7 +139,8 @@ def _pieces(spark: SparkSession, path: Paths, min_bytes: int, modified_after: st
     """(file, block, row, octets, cut, size): bytes of large files up to each cut, which may be another tag's."""
     raw = _xml_reader(spark, modified_after, names).option("lineSep", CUT).text(path).filter(F.col("_metadata.file_size") > min_bytes)
     return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"),
-                      F.col("value").cast("binary").alias("octets"), F.col("value").rlike(_CUT_TAG).alias("cut"), F.col("_metadata.file_size").alias("size"))
+                      F.col("value").cast("binary").alias("octets"),
+                      (F.contains("value", F.lit("<")) & F.substring_index("value", "<", -1).rlike(_CUT_TAG)).alias("cut"), F.col("_metadata.file_size").alias("size"))
 
 
 def large_files(spark: SparkSession, path: Paths, *, min_bytes: int = WHOLE_FILE_BYTES, modified_after: str | None = None, names: str = XML_NAMES) -> DataFrame:
@@ -149,7 +150,7 @@ def large_files(spark: SparkSession, path: Paths, *, min_bytes: int = WHOLE_FILE
     """
     piece = _pieces(spark, path, min_bytes, modified_after, names)
     place, text = F.struct("block", "row"), F.col("octets").cast("string")
-    prolog = text.rlike(r"^(?:\x{FEFF})?<\?xml\s")
+    prolog = F.contains(text, F.lit("<?xml")) & text.rlike(r"^(?:\x{FEFF})?<\?xml\s")
     told = piece.select("file", "size", place.alias("place"), "cut", (F.length("octets") + F.when(F.col("cut"), len(CUT)).otherwise(0)).alias("n"),
                         F.when(xml_text.may_name_charset(F.col("octets")), F.substring("octets", 1, xml_text.HEAD_BYTES)).alias("head"), prolog.alias("prolog"), xml_text.stands_alone(text).alias("alone"))
     each = told.groupBy("file").agg(
