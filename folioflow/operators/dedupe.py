@@ -26,9 +26,13 @@ def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     Two phases: an election among keys and order, then the elected rows are fetched by a semi join. Other columns are in no
     aggregate and in no sort; they move once, dealt by key and order, so that a hot key is spread.
     """
-    won = elected(df, keys, order).select(*[F.col(c).alias(f"_{c}") for c in dict.fromkeys([*keys, *order])])
-    same = reduce(and_, [df[c].eqNullSafe(F.col(f"_{c}")) for c in dict.fromkeys([*keys, *order])])
-    return df.join(won.hint("shuffle_hash"), same, "left_semi")
+    return matching(df, elected(df, keys, order).hint("shuffle_hash"), list(dict.fromkeys([*keys, *order])), "left_semi")
+
+
+def matching(df: DataFrame, others: DataFrame, columns: list[str], how: str) -> DataFrame:
+    """Rows of ``df`` that have an equal among ``others`` (``left_semi``), or none (``left_anti``). NULLs are equal."""
+    renamed = others.select(*[F.col(c).alias(f"_{c}") for c in columns])
+    return df.join(renamed, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns]), how)
 
 
 def present_keys(new: DataFrame, stored: DataFrame, keys: list[str] = BUSINESS_KEY) -> DataFrame:
@@ -76,7 +80,11 @@ def repeated_lines(lines: DataFrame, header: str = "header_id", number: str = "n
 
 def split_rejects(parsed: DataFrame, scope: str = "document", required: list[str] = HEADER_REQUIRED) -> tuple[DataFrame, DataFrame]:
     """(storable, rejected with reason). ``scope='file'``: one bad document rejects its whole file."""
-    judged = parsed.withColumn("reason", reject_reason(required=required))
+    return split_judged(parsed.withColumn("reason", reject_reason(required=required)), scope)
+
+
+def split_judged(judged: DataFrame, scope: str = "document") -> tuple[DataFrame, DataFrame]:
+    """The same for documents that carry their ``reason``."""
     if scope == "document":
         return judged.filter("reason IS NULL").drop("reason"), judged.filter("reason IS NOT NULL")
     if scope != "file":

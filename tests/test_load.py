@@ -396,3 +396,38 @@ def test_event_state_ends_with_the_watermark(spark, folder, tmp_path):
     assert [removed(d) > 0 for d in (1, 10, 20)][1:] == [True, True]
     got = spark.read.schema("n bigint, day date, kind string").parquet(str(tmp_path / "d"))
     assert sorted((str(r.day), r.kind, r.n) for r in got.collect()) == [("2025-01-01", "a", 1), ("2025-01-10", "a", 1), ("2025-01-20", "a", 1)]
+
+
+def test_files_are_judged_once_and_new_documents_are_not_moved(spark, folder, tmp_path, monkeypatch):
+    """What a first load stores is read as it was staged: no step groups, joins or sorts the documents' files again."""
+    plans, write = {}, Store.write
+    monkeypatch.setattr(Store, "write", lambda self, table, load_id, rows: (
+        plans.__setitem__(table, rows._jdf.queryExecution().executedPlan().toString()), write(self, table, load_id, rows))[1])
+    (folder / "a.xml").write_text(VALID)
+    (folder / "b.xml").write_text(VALID[:-30])
+    store = Store(spark, str(tmp_path / "store"))
+    assert counters(ingest_folder(store, str(folder), run("one"), as_of=AS_OF).first()) == ("PARTIAL", 2, 1, 1, 1, 0, 2, 0)
+    for table in ("files", "rejects", "errors", "headers", "lines"):
+        assert "Exchange" not in plans[table] and "Join" not in plans[table], table
+
+
+def test_first_of_a_key_wins_in_a_load_that_repeats_stored_ones(spark, folder, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    (folder / "a.xml").write_text(envelope(document(1, [line(name="stored")])))
+    ingest_folder(store, str(folder), run("one"), as_of=AS_OF)
+    (folder / "d.xml").write_text(envelope(document(1, [line(name="late")]) + document(2, [line(name="from d")]) + document(3, [line(name="only")])))
+    (folder / "c.xml").write_text(envelope(document(2, [line(name="from c")]) + document(2, [line(name="after")])))
+    (folder / "b.xml").write_text(envelope(document(2, [line(name="broken file")]) + document(4, [line()]))[:-20])
+    row = ingest_folder(store, str(folder), run("two"), as_of=AS_OF).first()
+    assert counters(row)[:6] == ("PARTIAL", 3, 2, 1, 2, 3)
+    assert {r.nombre_item for r in store.read("lines").filter("load_id = 'two'").collect()} == {"from c", "only"}
+
+
+def test_large_files_are_looked_through_without_a_sort(spark, folder):
+    from folioflow.sources import xml_documents as xml
+
+    (folder / "a.xml").write_text(VALID)
+    looked = xml.large_files(spark, str(folder), min_bytes=1)
+    partial = looked._jdf.queryExecution().executedPlan().toString().split("Exchange")[-1]
+    assert "SortAggregate" not in partial and "HashAggregate" in partial
+    assert [(r.charset, r.whole, r.broken) for r in looked.collect()] == [("UTF-8", False, False)]
