@@ -186,9 +186,11 @@ def parted(text: Column) -> Column:
     whole = F.struct(fragments(text).alias("texts"), outline(text).alias("rest"))
     cut = F.struct(F.array(F.substr(text, first, last - first + 12)).alias("texts"),
                    F.concat(F.substr(text, F.lit(1), first - 1), F.lit(_LEFT), F.substr(text, last + 12)).alias("rest"))
+    # Without a second tag of the name there is none.
+    none = F.struct(F.array().cast("array<string>").alias("texts"), text.alias("rest"))
     # An empty element, or another whose name begins alike, is left to the patterns.
     opened = F.substring_index(F.substr(text, first), ">", 1)
-    return F.when(F.when(one, opened.rlike(r"^<Documento(?:\s[^<]*)?$") & ~opened.endswith("/")).otherwise(False), cut).otherwise(whole)
+    return F.when(named < 18, none).when(F.when(one, opened.rlike(r"^<Documento(?:\s[^<]*)?$") & ~opened.endswith("/")).otherwise(False), cut).otherwise(whole)
 
 
 def headless(rest: Column) -> Column:
@@ -280,8 +282,21 @@ _USUAL = (rf"^\s*(?:<Documento/>|<({_NAME}){_ONE}>\s*(?:<Documento/>|<({_NAME}){
 
 
 def whole_is_sound(rest: Column) -> Column:
-    """Whether a file of this outline is well-formed around its documents. The usual outline is told by one pattern."""
-    return F.when(rest.rlike(_USUAL), True).otherwise(_let(shape(rest), sound))
+    """Whether a file of this outline is well-formed around its documents. The usual outline is told by one pattern, a cut one by counts."""
+    return F.when(rest.rlike(_USUAL), True).when(_uneven(rest), False).otherwise(_let(shape(rest), sound))
+
+
+def _uneven(rest: Column) -> Column:
+    """True of outlines whose tags cannot be in pairs, by their numbers.
+
+    Where an outline is sound every ``<`` begins a tag and every closing tag has its opening one; the others are empty, and no more
+    than there are ``/>``.
+    """
+    def times(mark: str) -> Column:
+        return ((F.length(rest) - F.length(F.replace(rest, F.lit(mark), F.lit("")))) / len(mark)).cast("int")
+
+    alone = times("<") - 2 * times("</")
+    return (alone < 0) | (alone > times("/>"))
 
 
 def sound(s: Column) -> Column:
