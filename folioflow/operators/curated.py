@@ -27,13 +27,15 @@ def fact_lines(headers: DataFrame, lines: DataFrame, violations: DataFrame, rule
 
     Flags are one row per line before the join; lines without violations get False. Where the
     violations carry their document, the join on (document, line) reuses the lines' partitioning
-    by document, and the wide rows are shuffled once.
+    by document, and the wide rows are shuffled once. For that they meet their headers, too, by the id as violations spell it.
     """
     flags = line_flags(violations, rules)
+    document = F.col("l.header_id").cast("string")
+    heads = headers.withColumn("_document", F.col("header_id").cast("string")).drop("header_id")
     same = F.col("f.line_id") == F.col("l.line_id").cast("string")
     if "header_id" in flags.columns:
-        same = (F.col("f.header_id") == F.col("l.header_id").cast("string")) & same
-    joined = lines.join(headers, "header_id").alias("l").join(flags.alias("f"), same, "left")
+        same = (F.col("f.header_id") == document) & same
+    joined = lines.alias("l").join(heads, F.col("_document") == document).join(flags.alias("f"), same, "left")
     return joined.select(
         "l.header_id", F.col("l.line_id").alias("detail_id"), *HEADER_SIDE, *LINE_SIDE, *TOTALS,
         F.coalesce("dq_has_error", F.lit(False)).alias("dq_has_error"),

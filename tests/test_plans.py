@@ -135,3 +135,16 @@ def test_work_folder_is_below_the_shared_folder(spark):
     first, second = work_folder(spark, "a"), work_folder(spark, "a")
     base = base or spark.sparkContext.getCheckpointDir()
     assert first.startswith(base.rstrip("/")) and first != second
+
+
+def test_fact_shuffles_lines_once_where_ids_are_numbers(spark, store):
+    headers, lines, violations = store
+    number = F.element_at(F.split("header_id", ":"), 2).cast("bigint")
+    headers, lines = headers.withColumn("header_id", number), lines.withColumn("header_id", number)
+    violations = violations.withColumn("header_id", number.cast("string"))
+    fact = curated.fact_lines(headers, lines, violations, rule_catalogue(spark))
+    exchanged = [x for x in plan(fact).split("\n") if "Exchange hashpartitioning" in x]
+    assert len(exchanged) == 4 and not any("line_id#" in x.split("hashpartitioning")[1] for x in exchanged), "joined lines stay where their document is"
+    rows = fact.agg(F.count("*"), F.count_if("dq_has_error"), F.count_if("dq_has_warn"), F.max("header_id")).first()
+    assert tuple(rows) == (30000, 1500, 1500, headers.agg(F.max("header_id")).first()[0])
+    assert dict(fact.dtypes)["header_id"] == "bigint"
