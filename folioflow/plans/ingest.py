@@ -20,8 +20,8 @@ from folioflow.session import bounded, discard, work_folder
 from folioflow.sources.store import REJECTS, Store
 from folioflow.sources.text_documents import headers_from_text, listed_texts, text_files
 from folioflow.sources.xml_documents import (
-    STAGED_LINES, WHOLE_FILE_BYTES, decoded, document_lines, file_name, file_verdicts, header_key, header_projection,
-    line_projection, listed_files, literal_path, scan_documents, sized_files, unseen, whole_file_documents, xml_files, xsd_invalid,
+    STAGED_LINES, WHOLE_FILE_BYTES, document_lines, file_name, file_verdicts, header_key, header_projection,
+    line_projection, listed_files, literal_path, scan_documents, sized_files, unseen, whole_file_documents, xsd_invalid_files,
 )
 from folioflow.sources.xml_text import SHAPE
 
@@ -216,9 +216,9 @@ def _load(store: Store, rows: DataFrame, run: Run, work: str, *, as_of: date | N
 
 def refused(spark: SparkSession, paths: str | list[str], xsd_paths: dict[str, str], most_bytes: int = SCHEMA_BYTES) -> DataFrame:
     """(file, reason) of files that break the schema they name, whatever their size; of those too large to tell."""
-    texts = xml_files(spark, paths, max_bytes=most_bytes).select("file", decoded(F.col("content")).alias("text"))
-    broken = xsd_invalid(texts, xsd_paths).select("file", F.concat(F.lit("xsd "), "kind").alias("reason"))
-    large = sized_files(spark, paths).filter(F.col("length") > most_bytes)
+    sized = sized_files(spark, paths)
+    broken = xsd_invalid_files(spark, sized.filter(F.col("length") <= most_bytes).collect(), xsd_paths).select("file", F.concat(F.lit("xsd "), "kind").alias("reason"))
+    large = sized.filter(F.col("length") > most_bytes)
     return broken.unionByName(large.select("file", F.lit("xsd not checked: file too large").alias("reason")))
 
 

@@ -1,0 +1,66 @@
+"""Files that are read whole beyond the size at which a task would hold too much, and what a load leaves on disk."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from folioflow.sources import xml_documents as xml
+from folioflow.sources import xml_text
+from samples import document, envelope, line
+from test_xml_files import FILES, expected
+
+
+def read(spark, folder, **how):
+    pieces = xml.scan_documents(spark, str(folder), **how)
+    verdicts = {r.file.rsplit("/", 1)[1][:-4]: not r.malformed for r in xml.file_verdicts(pieces).collect()}
+    found = xml.parsed_documents(xml.sound_documents(pieces)).select(xml.file_name(F.col("file")).alias("f"), "folio", "razon_social_emisor").collect()
+    docs = {}
+    for r in found:
+        docs.setdefault(r.f[:-4], {})[r.folio] = r.razon_social_emisor
+    return pieces, verdicts, docs
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 50])
+def test_files_read_whole_are_cut_alike(spark, folder, monkeypatch, chunk):
+    """Cut by the task that holds the text, every file has the verdict and the values that the standard library's parser tells."""
+    monkeypatch.setattr(xml, "CUT_BYTES", 0)
+    monkeypatch.setattr(xml_text, "CHUNK_BYTES", chunk)
+    for name, raw in FILES.items():
+        (folder / f"{name}.xml").write_bytes(raw)
+    want = {name: expected(raw) for name, raw in FILES.items()} | {"utf16_lost_half": (False, {})}
+    pieces, verdicts, docs = read(spark, folder, whole_file_bytes=1 << 20)
+    verdicts.setdefault("empty", False)  # a file without bytes has no row
+    assert verdicts == {name: good for name, (good, _) in want.items()}
+    assert docs == {name: d for name, (_, d) in want.items() if d}
+    assert pieces.filter("position.block IS NULL AND file NOT LIKE '%/empty.xml'").isEmpty()
+
+
+def test_long_file_is_no_single_text(spark, folder):
+    """A file of many documents gives pieces with shapes of their own, none of which spans the file."""
+    body = [document(i, [line()], name="Peña €") for i in range(4000)]
+    (folder / "long.xml").write_text(envelope(*body))
+    (folder / "wide.xml").write_bytes(envelope(*body, prolog='<?xml version="1.0" encoding="UTF-16"?>').encode("utf-16"))
+    (folder / "cut.xml").write_text(envelope(*body)[:-20])
+    pieces, verdicts, docs = read(spark, folder, whole_file_bytes=1 << 30)
+    assert verdicts == {"long": True, "wide": True, "cut": False}
+    assert {k: len(v) for k, v in docs.items()} == {"long": 4000, "wide": 4000} and set(docs["wide"].values()) == {"Peña €"}
+    kept = pieces.groupBy("file").agg(F.count_if(F.col("shape").isNotNull()).alias("n"), F.count_if(F.col("position.block").isNull()).alias("whole"))
+    assert all(r.n >= 4000 and r.whole == 0 for r in kept.collect())
+
+
+def test_long_pieces_are_passed_over(spark, folder):
+    """A large file that holds a piece beyond the bound, or nothing else, is read whole by a task and not as one record."""
+    (folder / "a.xml").write_text(envelope(*[document(i, [line()]) for i in range(20)]))
+    (folder / "b.xml").write_text(envelope(document(1, [line(i) for i in range(100)]), document(2, [line()])))
+    (folder / "c.xml").write_bytes(envelope(*[document(i, [line()]) for i in range(20)], prolog="").encode("utf-16"))
+    looked = {r.file[-5:]: r.whole for r in xml.large_files(spark, str(folder), min_bytes=1, piece_bytes=2000).collect()}
+    assert not looked["a.xml"] and looked["b.xml"] and looked.get("c.xml", True)
+
+
+@pytest.mark.parametrize("end", ["</Documento>", "</sii:Documento>"])
+def test_stretches_end_at_documents(spark, monkeypatch, end):
+    monkeypatch.setattr(xml_text, "CHUNK_BYTES", 40)
+    texts = ["", "x", "ñ€" * 60, *("ab€" * k + f"<Documento>{'é' * k}{end}" * 30 + "z" * 3 * k for k in range(12))]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", xml_text.stretches(F.col("t")).alias("s")).collect()
+    for r in rows:
+        assert "".join(r.s) == r.t and all(s.endswith(end) for s in r.s[:-1])
+    assert max(len(r.s) for r in rows) > 5
