@@ -16,7 +16,7 @@ from folioflow.operators.dedupe import elected, matching, present_keys, reject_r
 from folioflow.operators.health import DAILY_JOB, daily_health
 from folioflow.operators.quality import Limits, find_violations, violations_per_hundred
 from folioflow.schema import BUSINESS_KEY, HEADER_COLUMNS, HEADER_REQUIRED, PRINTED_REQUIRED, RUN_LOGS
-from folioflow.session import bounded, discard, work_folder
+from folioflow.session import bounded, discard, passing_shuffles, work_folder
 from folioflow.sources.store import REJECTS, Store
 from folioflow.sources.text_documents import headers_from_text, listed_texts, text_files
 from folioflow.sources.xml_documents import (
@@ -81,7 +81,8 @@ def load_staged(store: Store, rows: DataFrame, run: Run, **options) -> DataFrame
     """
     work = work_folder(store.spark, "load")
     try:
-        return _load(store, rows, run, work, **options)
+        with passing_shuffles(store.spark):
+            return _load(store, rows, run, work, **options)
     except Exception as failure:
         store.write("run_logs", run.run_id, store.spark.createDataFrame([(
             run.run_id, run.job, run.source, run.started_at, datetime.now(timezone.utc), "ERROR", 0, 0, 0, 0, 0, 0, 0,

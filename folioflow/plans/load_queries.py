@@ -14,7 +14,7 @@ from folioflow.operators.quality import Limits
 from folioflow.plans.ingest import Run, ingest_folder, load_documents
 from folioflow.plans.parse_queries import XML_HEADERS, order_xml
 from folioflow.plans.registry import query, with_roles
-from folioflow.session import work_folder
+from folioflow.session import discard, passing_shuffles, work_folder
 from folioflow.sources.store import Store
 from folioflow.sources.tables import SCHEMAS, documents
 from folioflow.sources.xml_documents import whole_file_documents
@@ -76,8 +76,10 @@ def write_envelopes(spark, sf, folder: str, only: str = "true") -> None:
         F.struct(whole("mnt_neto").alias("MntNeto"), whole("iva").alias("IVA"), whole("mnt_total").alias("MntTotal")).alias("Totales"))
     line = F.struct(F.lit(1).alias("NroLinDet"), F.col("razon_social_emisor").alias("NmbItem"), F.lit(2).alias("QtyItem"),
                     whole("mnt_neto").alias("MontoItem"))
-    d.select(F.struct(F.col("header_id").alias("_ID"), header.alias("Encabezado"), line.alias("Detalle")).alias("Documento")).write.format(
-        "xml").option("rootTag", "EnvioDTE").option("rowTag", "DTE").save(folder)
+    rows = d.select(F.struct(F.col("header_id").alias("_ID"), header.alias("Encabezado"), line.alias("Detalle")).alias("Documento"))
+    # Indentation would be about half of the files.
+    with passing_shuffles(spark):
+        rows.write.format("xml").option("rootTag", "EnvioDTE").option("rowTag", "DTE").option("indent", "").save(folder)
 
 
 LOADED = with_roles("docs", """
@@ -120,6 +122,7 @@ def two_streams_load(spark, sf) -> DataFrame:
         write_envelopes(spark, sf, f"{work}/{name}", only)
         for _ in range(2):
             stream_ingest(store, f"{work}/{name}", f"{work}/checkpoint-{name}", as_of=AS_OF).awaitTermination()
+        discard(spark, f"{work}/{name}")
     return _loaded(store)
 
 

@@ -1,10 +1,20 @@
 """Files that are read whole beyond the size at which a task would hold too much, and what a load leaves on disk."""
 
+import time
+from datetime import date, datetime
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from folioflow.plans import load_queries
+from folioflow.plans.ingest import Run, load_documents
+from folioflow.session import passing_shuffles
 from folioflow.sources import xml_documents as xml
 from folioflow.sources import xml_text
+from folioflow.sources.store import Store
+from folioflow.sources.tables import SCHEMAS
 from samples import document, envelope, line
 from test_xml_files import FILES, expected
 
@@ -64,3 +74,62 @@ def test_stretches_end_at_documents(spark, monkeypatch, end):
     for r in rows:
         assert "".join(r.s) == r.t and all(s.endswith(end) for s in r.s[:-1])
     assert max(len(r.s) for r in rows) > 5
+
+
+# ---- what a load leaves on disk
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    rows = {
+        "nation": [(0, "NATION_0", 0)], "customer": [(i, f"Customer {i}", 0, 1.0, "x") for i in range(5)],
+        "orders": [(i, i % 5, "FOP"[i % 3], 100.0 + i, datetime(1996, 1, 1 + i % 28), "1-URGENT") for i in range(200)],
+    }
+    for name, some in rows.items():
+        spark.createDataFrame(some, SCHEMAS[name]).write.parquet(f"{tmp_path}/sf/{name}.parquet")
+    return f"{tmp_path}/sf"
+
+
+@pytest.mark.parametrize("name", ["two_streams_load"])
+def test_streams_keep_no_envelopes_that_are_loaded(spark, tables, tmp_path, monkeypatch, name):
+    """All documents are in the store, and of the files made for them none is left."""
+    written = []
+    write = load_queries.write_envelopes
+    monkeypatch.setattr(load_queries, "work_folder", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    monkeypatch.setattr(load_queries, "write_envelopes", lambda spark, sf, folder, *only: (write(spark, sf, folder, *only), written.extend(
+        (p, p.read_text()) for p in Path(folder).glob("*.xml"))))
+    rows = entry.queries()[name](spark, tables)
+    assert rows.count() == 200 and rows.select("header_id").distinct().count() == 200
+    assert written and not any(p.exists() for p, _ in written)
+    # Values and tags, no indentation.
+    assert not any(row.startswith(" ") for _, text in written for row in text.splitlines())
+
+
+def shuffle_files(spark):
+    top = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {p for d in top for p in Path(d.getPath()).rglob("shuffle_*.data")}
+
+
+def test_load_leaves_no_shuffle_files(spark, folder):
+    """Once a load has returned, the files of its shuffles go, without waiting for the driver's garbage."""
+    for i in range(3):
+        (folder / f"{i}.xml").write_text(envelope(*[document(100 * i + k, [line()]) for k in range(5)]))
+    store, pieces = Store(spark, f"{folder}/../store"), xml.scan_documents(spark, str(folder))
+    before = shuffle_files(spark)
+    load_documents(store, pieces, Run(run_id="one"), as_of=date(2026, 1, 1))
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert store.read("headers").count() == 15
+
+
+def test_results_outlive_their_shuffle_files(spark):
+    """A plan whose shuffle files are gone gives the same rows when it is run again, and the setting ends with the block."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    with passing_shuffles(spark):
+        counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        first = sorted(counts.collect())
+        time.sleep(0.5)
+        assert sorted(counts.collect()) == first
+    assert spark.conf.get(key) == was
