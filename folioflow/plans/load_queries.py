@@ -110,6 +110,7 @@ def stream_load(spark, sf) -> DataFrame:
     write_envelopes(spark, sf, f"{work}/in")
     store = Store(spark, f"{work}/store")
     stream_ingest(store, f"{work}/in", f"{work}/checkpoint", files_per_batch=6, as_of=AS_OF).awaitTermination()
+    discard(spark, f"{work}/in")  # loaded, and larger than all that the join below needs
     return _loaded(store)
 
 

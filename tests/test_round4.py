@@ -89,7 +89,7 @@ def tables(spark, tmp_path):
     return f"{tmp_path}/sf"
 
 
-@pytest.mark.parametrize("name", ["two_streams_load"])
+@pytest.mark.parametrize("name", ["stream_load", "two_streams_load"])
 def test_streams_keep_no_envelopes_that_are_loaded(spark, tables, tmp_path, monkeypatch, name):
     """All documents are in the store, and of the files made for them none is left."""
     written = []
