@@ -66,6 +66,18 @@ def test_long_pieces_are_passed_over(spark, folder):
     assert not looked["a.xml"] and looked["b.xml"] and looked.get("c.xml", True)
 
 
+def test_longest_files_are_read_by_few_tasks(spark, folder, monkeypatch):
+    """Of four cores one reads the longest of the files that are read whole, and the rows are the same."""
+    for i in range(6):
+        (folder / f"{i}.xml").write_text(envelope(document(i, [line()], name="x" * (200 if i < 4 else 2))))
+    files = xml.sized_files(spark, str(folder)).collect()
+    every = [xml.parsed_documents(xml.cut_file_documents(spark, files)).select("file", "folio").orderBy("folio").collect()]
+    monkeypatch.setattr(xml, "LONG_BYTES", sorted(r.length for r in files)[1])
+    assert xml._of_contents(spark, [r for r in files if r.length > xml.LONG_BYTES], F.explode(F.array("content"))).rdd.getNumPartitions() == 1
+    every.append(xml.parsed_documents(xml.cut_file_documents(spark, files)).select("file", "folio").orderBy("folio").collect())
+    assert every[0] == every[1] and len(every[0]) == 6
+
+
 @pytest.mark.parametrize("end", ["</Documento>", "</sii:Documento>"])
 def test_stretches_end_at_documents(spark, monkeypatch, end):
     monkeypatch.setattr(xml_text, "CHUNK_BYTES", 40)
